@@ -15,6 +15,7 @@ def build_session() -> SparkSession:
         .appName("traffic-lake-tests")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "4g")
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()

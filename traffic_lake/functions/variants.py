@@ -9,7 +9,21 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-NUMERIC_KINDS = ("int", "float", "bool")
+# Runtime type name of each VARIANT type.
+KINDS = {
+    "STRING": "str",
+    "BIGINT": "int",
+    "DECIMAL": "float",
+    "DOUBLE": "float",
+    "FLOAT": "float",
+    "BOOLEAN": "bool",
+    "VOID": "NoneType",
+    "OBJECT": "dict",
+    "ARRAY": "list",
+    "TIMESTAMP": "datetime",
+    "DATE": "datetime",
+    "BINARY": "bytes",
+}
 
 # Number text as accepted for coordinates: digits may be grouped with "_",
 # surrounding blanks are ignored, infinities and nan are words.
@@ -29,23 +43,38 @@ def has_field(doc: Column, path: str) -> Column:
     return field(doc, path).isNotNull()
 
 
+def type_name(value: Column) -> Column:
+    """Declared type of a VARIANT, such as ``BIGINT`` or ``OBJECT<...>``.
+
+    It walks the whole value: keep the result in a column when it is needed
+    more than once, and test it with the predicates below.
+    """
+    return F.schema_of_variant(value)
+
+
+def is_text(name: Column) -> Column:
+    return name == "STRING"
+
+
+def is_whole(name: Column) -> Column:
+    return name == "BIGINT"
+
+
+def is_numeric(name: Column) -> Column:
+    """Numbers and booleans, which count as 0 and 1."""
+    return name.rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT|BOOLEAN)")
+
+
+def is_object(name: Column) -> Column:
+    return name.startswith("OBJECT")
+
+
 def kind(value: Column) -> Column:
-    """Runtime type name of a VARIANT: str, int, float, bool, NoneType, dict, list, datetime."""
-    name = F.schema_of_variant(value)
+    """Runtime type name of a VARIANT: str, int, float, bool, NoneType, dict, list, datetime, bytes."""
     # JSON integers beyond 64 bits arrive as DECIMAL(n,0) with n > 18.
-    wide_int = name.rlike(r"^DECIMAL\((19|[23]\d),0\)$")
-    return (
-        F.when(name == "STRING", "str")
-        .when((name == "BIGINT") | wide_int, "int")
-        .when(name.startswith("DECIMAL") | name.isin("DOUBLE", "FLOAT"), "float")
-        .when(name == "BOOLEAN", "bool")
-        .when(name == "VOID", "NoneType")
-        .when(name.startswith("OBJECT"), "dict")
-        .when(name.startswith("ARRAY"), "list")
-        .when(name.startswith("TIMESTAMP") | (name == "DATE"), "datetime")
-        .when(name == "BINARY", "bytes")
-        .otherwise(F.lower(name))
-    )
+    name = F.regexp_replace(type_name(value), r"^DECIMAL\((19|[23]\d),0\)$", "BIGINT")
+    pairs = [F.lit(part) for pair in KINDS.items() for part in pair]
+    return F.try_element_at(F.create_map(*pairs), F.regexp_extract(name, "^[A-Z]+", 0))
 
 
 def as_object(value: Column) -> Column:
@@ -53,13 +82,9 @@ def as_object(value: Column) -> Column:
     return F.try_variant_get(value, "$", "map<string,variant>")
 
 
-def is_number(value: Column) -> Column:
-    return kind(value).isin(*NUMERIC_KINDS)
-
-
 def number(value: Column) -> Column:
     """A JSON number or boolean as DOUBLE; number-like text stays NULL."""
-    return F.when(is_number(value), F.try_variant_get(value, "$", "double"))
+    return F.when(is_numeric(type_name(value)), F.try_variant_get(value, "$", "double"))
 
 
 def parse_number(value: Column) -> Column:
@@ -68,9 +93,8 @@ def parse_number(value: Column) -> Column:
     parsed = F.when(
         text.rlike(NUMBER_TEXT), F.regexp_replace(F.trim(text), "_", "").try_cast("double")
     )
-    of = kind(value)
-    return F.when(of == "str", parsed).when(
-        of.isin(*NUMERIC_KINDS), F.try_variant_get(value, "$", "double")
+    return F.when(is_text(type_name(value)), parsed).otherwise(
+        F.try_variant_get(value, "$", "double")
     )
 
 

@@ -128,35 +128,37 @@ def _picked(df: DataFrame, alert: str, text: list[str], ints: list[str], floats:
 def _not_object(alert: str) -> Column:
     """True for documents that are no object; the costly look at the whole
     document is taken only when none of the usual fields is there."""
-    bare = F.coalesce(*[F.col(f"v_{n}") for n in ("type", "location", "pubMillis", "city", "subtype")]).isNull()
-    return F.when(bare, F.coalesce(V.kind(F.col(alert)) != "dict", F.lit(True))).otherwise(False)
+    usual = [F.col(f"v_{n}") for n in ("type", "location", "pubMillis", "city", "subtype")]
+    whole = F.coalesce(V.is_object(V.type_name(F.col(alert))), F.lit(False))
+    return F.coalesce(*usual).isNull() & ~whole
 
 
 def _times(df: DataFrame) -> DataFrame:
     """``pubMillis``, its UTC instant, and a warning when it cannot be used."""
-    kind = V.kind(F.col("v_pubMillis"))
-    df = df.withColumn("k_pubMillis", kind)
-    whole = F.when(
-        F.col("k_pubMillis") == "int", F.try_variant_get(F.col("v_pubMillis"), "$", "bigint")
-    )
-    any_number = F.when(
-        F.col("k_pubMillis").isin(*V.NUMERIC_KINDS), F.try_variant_get(F.col("v_pubMillis"), "$", "double")
+    value, name = F.col("v_pubMillis"), F.col("t_pubMillis")
+    df = df.withColumn("t_pubMillis", V.type_name(value)).withColumns(
+        {
+            "whole": F.when(V.is_whole(name), F.try_variant_get(value, "$", "bigint")),
+            "real": F.when(
+                V.is_numeric(name) & ~V.is_whole(name), F.try_variant_get(value, "$", "double")
+            ),
+        }
     )
-    df = df.withColumns({"n_whole": whole, "n_double": any_number})
-    n_whole, n_double = _usable_time(F.col("n_whole")), _usable_time(F.col("n_double"))
-    in_years = n_double.between(TP.MIN_EPOCH_MS, TP.MAX_EPOCH_MS)
-    stamp = F.when(n_whole.isNotNull(), TP.epoch_ms_to_utc(n_whole)).otherwise(
-        TP.epoch_ms_to_utc(n_double, fractional=True)
+    whole, real = F.col("whole"), F.col("real")
+    df = df.withColumn(
+        "source_timestamp",
+        F.coalesce(
+            TP.epoch_ms_to_utc(_usable_time(whole)),
+            TP.epoch_ms_to_utc(_usable_time(real), fractional=True),
+        ),
     )
-    usable = F.col("k_pubMillis").isin("NoneType") | F.col("k_pubMillis").isNull() | (F.col("n_double") == 0)
+    missing = F.coalesce((name == "VOID") | (whole == 0) | (real == 0), F.lit(False))
+    unusable = name.isNotNull() & F.col("source_timestamp").isNull() & ~missing
     return df.withColumns(
         {
-            "pubMillis": F.coalesce(F.col("n_whole"), F.col("n_double").try_cast("bigint")),
-            "source_timestamp": stamp,
+            "pubMillis": F.coalesce(whole, real.try_cast("bigint")),
             "ingestion_timestamp": F.current_timestamp(),
-            "warning": F.when(usable | F.coalesce(in_years, F.lit(False)), F.lit(None)).otherwise(
-                "pubMillis_unusable"
-            ),
+            "warning": F.when(unusable, "pubMillis_unusable"),
         }
     )
 
@@ -171,18 +173,13 @@ def to_raw(df: DataFrame, alert: str = "alert") -> DataFrame:
     spot = F.col("v_location")
     df = df.withColumns(
         {
-            "k_location": V.kind(spot),
+            "t_location": V.type_name(spot),
             "x": V.parse_number(V.field(spot, "x")),
             "y": V.parse_number(V.field(spot, "y")),
         }
     )
-    truthy_number = F.col("k_location").isin(*V.NUMERIC_KINDS) & (
-        F.try_variant_get(spot, "$", "double") != 0
-    )
-    reason = (
-        F.when(_not_object(alert), "alert_not_object")
-        .when(truthy_number, "location_not_object")
-    )
+    truthy_number = V.is_numeric(F.col("t_location")) & (F.try_variant_get(spot, "$", "double") != 0)
+    reason = F.when(_not_object(alert), "alert_not_object").when(truthy_number, "location_not_object")
     df = df.withColumns({"location": A.geo_point(F.col("x"), F.col("y")), "reject_reason": reason})
     return df.select(*[f.name for f in RAW.fields], alert, "reject_reason", "warning")
 
@@ -199,36 +196,27 @@ def to_processed(
     naming ``source_time`` uses the document's own publication time.
     """
     df = _times(_picked(df, alert, PROCESSED_TEXT, PROCESSED_INT, []))
-    spot, city = F.col("v_location"), F.col("v_city")
-    df = df.withColumns(
-        {
-            "v_x": V.field(spot, "x"),
-            "v_y": V.field(spot, "y"),
-            "k_type": V.kind(F.col("v_type")),
-            "k_subtype": V.kind(F.col("v_subtype")),
-            "k_city": V.kind(city),
-        }
-    )
+    spot = F.col("v_location")
+    df = df.withColumns({"v_x": V.field(spot, "x"), "v_y": V.field(spot, "y")})
     # Paths into anything but an object give NULL, so both being there implies an object.
     df = df.withColumns(
         {
             "has_point": F.col("v_x").isNotNull() & F.col("v_y").isNotNull(),
+            "t_city": V.type_name(F.col("v_city")),
             "x": V.number(F.col("v_x")),
             "y": V.number(F.col("v_y")),
         }
     )
-    core = (F.col("k_city") == "str") & A.is_core_city(F.col("city"), rules)
+    has_point, city_name = F.col("has_point"), F.col("t_city")
+    no_number = F.col("x").isNull() | F.col("y").isNull()
     reason = (
         F.when(_not_object(alert), "alert_not_object")
-        .when(F.col("k_type") != "str", "type_not_text")
-        .when(F.col("k_subtype") != "str", "subtype_not_text")
-        .when(F.col("has_point") & (F.col("k_city") != "str"), "city_not_text")
-        .when(
-            F.col("has_point") & core & (F.col("x").isNull() | F.col("y").isNull()),
-            "coordinates_not_numeric",
-        )
+        .when(~V.is_text(V.type_name(F.col("v_type"))), "type_not_text")
+        .when(~V.is_text(V.type_name(F.col("v_subtype"))), "subtype_not_text")
+        .when(has_point & ~V.is_text(city_name), "city_not_text")
+        .when(has_point & A.is_core_city(F.col("city"), rules) & no_number, "coordinates_not_numeric")
     )
-    name = F.when(F.col("k_city").isNull(), rules.unknown).otherwise(F.col("city"))
+    name = F.when(city_name.isNull(), rules.unknown).otherwise(F.col("city"))
     if isinstance(ts, str) and ts == "source_time":
         ts = TP.utc_ntz(F.col("source_timestamp"))
     df = df.withColumns(
@@ -236,7 +224,7 @@ def to_processed(
             "pig_event_filter": _event_group(F.col("type"), F.col("subtype")),
             "pig_location_filter": F.struct(
                 name.alias("ciudad"),
-                A.zone(F.col("city"), F.col("x"), F.col("y"), rules, F.col("has_point")).alias("zona"),
+                A.zone(F.col("city"), F.col("x"), F.col("y"), rules, has_point).alias("zona"),
             ),
             "location": A.geo_point(V.parse_number(F.col("v_x")), V.parse_number(F.col("v_y"))),
             "reject_reason": reason,

@@ -512,9 +512,7 @@ def processed_stream_table(spark, sf_dir):
 
 
 def _reject_stream(spark, sf_dir) -> DataFrame:
-    return views.events_stream(spark, sf_dir).selectExpr(
-        "lpad(lower(hex(event_id)), 24, '0') AS mongo_id", f"parse_json({views.REJECT_DOC}) AS alert"
-    )
+    return views.reject_documents_view(views.events_stream(spark, sf_dir))
 
 
 @query
