@@ -80,19 +80,20 @@ def zone(
     """Zone of an alert; a value exactly on a threshold counts as Centro.
 
     ``has_point`` says whether both coordinates are given (default: both are
-    not NULL). Spark orders NaN above every number, hence the guards.
+    not NULL). Spark orders NaN above every number, so NaN is first replaced by
+    a threshold, which lies in the centre.
     """
     has_point = (x.isNotNull() & y.isNotNull()) if has_point is None else has_point
     name = F.coalesce(city, F.lit(rules.unknown))
-    latitude = (
-        F.when((y > rules.north) & ~F.isnan(y), "Norte").when(y < rules.south, "Sur").otherwise("Centro")
-    )
-    longitude = (
-        F.when(x < rules.west, "Oeste").when((x > rules.east) & ~F.isnan(x), "Este").otherwise("Centro")
-    )
+    lat, lon = F.nanvl(y, F.lit(rules.north)), F.nanvl(x, F.lit(rules.west))
+    latitude = F.when(lat > rules.north, "Norte").when(lat < rules.south, "Sur").otherwise("Centro")
+    longitude = F.when(lon < rules.west, "Oeste").when(lon > rules.east, "Este").otherwise("Centro")
     return (
         F.when(~has_point, rules.unknown)
-        .when(is_core_city(name, rules), F.concat_ws("-", F.lit(rules.prefix), latitude, longitude))
+        .when(
+            is_core_city(name, rules),
+            F.concat(F.lit(f"{rules.prefix}-"), latitude, F.lit("-"), longitude),
+        )
         .otherwise(F.concat(name, F.lit(f"-{rules.nearby}")))
     )
 

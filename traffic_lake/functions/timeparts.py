@@ -17,9 +17,10 @@ MAX_EPOCH_MS = 253402300799999  # 9999-12-31T23:59:59.999Z
 # Weekday names, Monday first.
 WEEKDAYS = ("Lunes", "Martes", "Miércoles", "Jueves", "Viernes", "Sábado", "Domingo")
 
-# Fixed values: (first hour, name) of each part of the day; earlier hours are Madrugada.
-DAY_PARTS = ((20, "Noche"), (16, "Tarde"), (10, "Día"), (6, "Mañana"))
-NIGHT = "Madrugada"
+# Part of the day of each hour, 0 to 23.
+DAY_PARTS = (
+    ["Madrugada"] * 6 + ["Mañana"] * 4 + ["Día"] * 6 + ["Tarde"] * 4 + ["Noche"] * 4
+)
 
 
 def _epoch() -> Column:
@@ -32,9 +33,14 @@ def _micros(ms: Column, fractional: bool) -> Column:
     return F.when(ms.between(MIN_EPOCH_MS, MAX_EPOCH_MS), us)
 
 
+def ntz_of_micros(us: Column) -> Column:
+    """Epoch microseconds as a UTC wall-clock value."""
+    return _epoch() + F.expr("INTERVAL '0.000001' SECOND") * us
+
+
 def utc_ntz(ts: Column) -> Column:
     """An instant as its UTC wall-clock value."""
-    return _epoch() + F.expr("INTERVAL '0.000001' SECOND") * F.unix_micros(ts)
+    return ntz_of_micros(F.unix_micros(ts))
 
 
 def utc_now() -> Column:
@@ -47,7 +53,7 @@ def epoch_ms_to_utc(ms: Column, fractional: bool = False) -> Column:
 
 
 def epoch_ms_to_utc_ntz(ms: Column, fractional: bool = False) -> Column:
-    return _epoch() + F.expr("INTERVAL '0.000001' SECOND") * _micros(ms, fractional)
+    return ntz_of_micros(_micros(ms, fractional))
 
 
 def epoch_ms_to_local(ms: Column, tz: str = SANTIAGO, fractional: bool = False) -> Column:
@@ -66,14 +72,13 @@ def to_local(utc: Column, tz: str | None = SANTIAGO) -> Column:
 
 def iso_naive(ntz: Column) -> Column:
     """``yyyy-MM-ddTHH:mm:ss`` plus six fraction digits only when non-zero."""
-    text = ntz.cast("string")
-    fraction = F.substring(text, 20, 7)
-    return F.concat(
-        F.substring(text, 1, 10),
-        F.lit("T"),
-        F.substring(text, 12, 8),
-        F.when(fraction == "", "").otherwise(F.rpad(fraction, 7, "0")),
-    )
+    return _iso(ntz.cast("string"))
+
+
+def _iso(text: Column) -> Column:
+    # Casting drops trailing zeros of the fraction, and the point with them.
+    width = F.when(F.length(text) == 19, 19).otherwise(26)
+    return F.translate(F.rpad(text, width, F.lit("0")), " ", "T")
 
 
 def iso_utc(ts: Column) -> Column:
@@ -83,13 +88,14 @@ def iso_utc(ts: Column) -> Column:
 
 def offset_text(utc: Column, local: Column) -> Column:
     """The ``+HH:MM`` offset between two wall clocks of one instant."""
-    minutes = (local - utc).cast("interval minute").cast("int")
-    size = F.abs(minutes)
+    return _offset((local - utc).cast("interval minute").cast("int"))
+
+
+def _offset(minutes: Column) -> Column:
+    # The clock time of that many minutes past midnight spells the offset.
+    clock = _epoch() + F.expr("INTERVAL '1' MINUTE") * F.abs(minutes)
     return F.concat(
-        F.when(minutes < 0, "-").otherwise("+"),
-        F.lpad((F.floor(size / 60)).cast("string"), 2, "0"),
-        F.lit(":"),
-        F.lpad((size % 60).cast("string"), 2, "0"),
+        F.when(minutes < 0, "-").otherwise("+"), F.substring(clock.cast("string"), 12, 5)
     )
 
 
@@ -99,19 +105,18 @@ def iso_with_offset(utc: Column, tz: str = SANTIAGO) -> Column:
     return F.concat(iso_naive(local), offset_text(utc, local))
 
 
+def _named(names: list[str] | tuple[str, ...], index: Column) -> Column:
+    return F.get(F.array(*[F.lit(n) for n in names]), index)
+
+
 def day_part(utc: Column, tz: str | None = SANTIAGO) -> Column:
     """Name of the part of the local day; ``tz=None`` means already local."""
-    hour = F.hour(to_local(utc, tz))
-    chain = F.when(hour.isNull(), F.lit(None).cast("string"))
-    for start, name in DAY_PARTS:
-        chain = chain.when(hour >= start, name)
-    return chain.otherwise(NIGHT)
+    return _named(DAY_PARTS, F.hour(to_local(utc, tz)))
 
 
 def weekday_es(utc: Column, tz: str | None = SANTIAGO) -> Column:
     """Spanish weekday name of the local day."""
-    names = F.array(*[F.lit(n) for n in WEEKDAYS])
-    return F.try_element_at(names, F.weekday(to_local(utc, tz).cast("date")) + 1)
+    return _named(WEEKDAYS, F.weekday(to_local(utc, tz).cast("date")))
 
 
 def with_time_filter(
@@ -123,21 +128,30 @@ def with_time_filter(
     """Add the time group; ``ts`` is naive UTC, None means processing time."""
     utc = utc_now() if ts is None else (F.col(ts) if isinstance(ts, str) else ts)
     local = F.col("__local")
-    # The zone shift is computed once, the five members read its result.
+    # Values read more than once get a column, so each is computed once per row
+    # and the generated code stays small enough to be compiled to machine code.
     return (
         df.withColumn("__utc", utc)
         .withColumn("__local", to_local(F.col("__utc"), tz))
+        .withColumns(
+            {
+                "__hour": F.hour(local),
+                "__date": local.cast("date"),
+                "__text": local.cast("string"),
+                "__minutes": (local - F.col("__utc")).cast("interval minute").cast("int"),
+            }
+        )
         .withColumn(
             into,
             F.struct(
-                day_part(local, None).alias("categoria_dia"),
-                weekday_es(local, None).alias("dia_semana"),
-                F.hour(local).alias("hora"),
-                local.cast("date").alias("fecha"),
-                F.concat(iso_naive(local), offset_text(F.col("__utc"), local)).alias("timestamp_chile"),
+                _named(DAY_PARTS, F.col("__hour")).alias("categoria_dia"),
+                _named(WEEKDAYS, F.weekday("__date")).alias("dia_semana"),
+                F.col("__hour").alias("hora"),
+                F.col("__date").alias("fecha"),
+                F.concat(_iso(F.col("__text")), _offset(F.col("__minutes"))).alias("timestamp_chile"),
             ),
         )
-        .drop("__utc", "__local")
+        .drop("__utc", "__local", "__hour", "__date", "__text", "__minutes")
     )
 
 

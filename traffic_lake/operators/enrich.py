@@ -50,7 +50,10 @@ def with_event_filter(
     default: str = A.DEFAULT_PRIORITY,
     into: str = "pig_event_filter",
 ) -> DataFrame:
-    return df.withColumn(into, _event_group(F.col(type_col), F.col(subtype_col), mapping, default))
+    group = _event_group(F.col("__tipo"), F.col(subtype_col), mapping, default)
+    return (
+        df.withColumn("__tipo", A.upper_or_empty(F.col(type_col))).withColumn(into, group).drop("__tipo")
+    )
 
 
 def with_location_filter(
@@ -68,8 +71,9 @@ def with_location_filter(
     )
 
 
-def _event_group(kind: Column, subkind: Column, mapping=A.PRIORITIES, default=A.DEFAULT_PRIORITY):
-    tipo = A.upper_or_empty(kind)
+def _event_group(
+    tipo: Column, subkind: Column, mapping: Mapping[str, str] = A.PRIORITIES, default: str = A.DEFAULT_PRIORITY
+) -> Column:
     return F.struct(
         tipo.alias("tipo"),
         A.upper_or_empty(subkind).alias("subtipo"),
@@ -77,9 +81,9 @@ def _event_group(kind: Column, subkind: Column, mapping=A.PRIORITIES, default=A.
     )
 
 
-def _usable_time(ms: Column) -> Column:
+def _source_timestamp(ms: Column) -> Column:
     """A publication time of 0 counts as missing."""
-    return F.when(ms != 0, ms)
+    return F.when(ms != 0, TP.epoch_ms_to_utc(ms))
 
 
 def flat_to_raw(df: DataFrame, x: str = "x", y: str = "y") -> DataFrame:
@@ -88,7 +92,7 @@ def flat_to_raw(df: DataFrame, x: str = "x", y: str = "y") -> DataFrame:
         df.withColumns(
             {
                 "location": A.geo_point(F.col(x), F.col(y)),
-                "source_timestamp": TP.epoch_ms_to_utc(_usable_time(F.col("pubMillis"))),
+                "source_timestamp": _source_timestamp(F.col("pubMillis")),
                 "ingestion_timestamp": F.current_timestamp(),
             }
         ),
@@ -104,61 +108,73 @@ def flat_to_processed(
     return out.withColumns(
         {
             "location": A.geo_point(F.col(x), F.col(y)),
-            "source_timestamp": TP.epoch_ms_to_utc(_usable_time(F.col("pubMillis"))),
+            "source_timestamp": _source_timestamp(F.col("pubMillis")),
             "ingestion_timestamp": F.current_timestamp(),
         }
     ).drop(x, y)
 
 
-def _picked(df: DataFrame, alert: str, text: list[str], ints: list[str], floats: list[str]) -> DataFrame:
-    """Extract every needed path from the document exactly once.
+# Fields whose runtime type matters stay VARIANT, under a v_ name.
+_AS_IS = ("type", "subtype", "city", "location", "pubMillis")
+
+
+_SPOT = "struct<x:variant,y:variant>"
+
+
+def _picked(
+    df: DataFrame, alert: str, text: list[str], ints: list[str], floats: list[str], spot: str = "variant"
+) -> DataFrame:
+    """Extract every needed field in one pass over the document.
 
-    Fields whose runtime type matters stay VARIANT under a ``v_`` name.
+    A field that does not fit its type is NULL by itself; the whole struct is
+    NULL only for a document that is no object.
     """
-    doc = F.col(alert)
-    typed = {
-        **{name: F.try_variant_get(doc, f"$.{name}", "string") for name in text},
-        **{name: F.try_variant_get(doc, f"$.{name}", "int") for name in ints},
-        **{name: F.try_variant_get(doc, f"$.{name}", "float") for name in floats},
-    }
-    as_is = {f"v_{name}": V.field(doc, name) for name in ("type", "subtype", "city", "location", "pubMillis")}
-    return df.select("mongo_id", alert, *[c.alias(n) for n, c in {**typed, **as_is}.items()])
+    kinds = {n: "string" for n in text} | {n: "int" for n in ints} | {n: "float" for n in floats}
+    kinds |= {n: "variant" for n in _AS_IS} | {"location": spot}
+    wanted = "struct<" + ",".join(f"`{n}`:{kind}" for n, kind in kinds.items()) + ">"
+    doc = F.col("__doc")
+    columns = [
+        F.col(f"__doc.{n}").alias(f"v_{n}" if n in _AS_IS else n) for n in kinds
+    ]
+    # A generator's output is not copied into the filters that read it, so that
+    # selecting good or rejected rows does not extract the document again.
+    once = F.explode(F.array(F.try_variant_get(F.col(alert), "$", wanted)))
+    return df.select("mongo_id", alert, once.alias("__doc")).select(
+        "mongo_id", alert, doc.isNotNull().alias("is_object"), *columns
+    )
 
 
-def _not_object(alert: str) -> Column:
-    """True for documents that are no object; the costly look at the whole
-    document is taken only when none of the usual fields is there."""
-    usual = [F.col(f"v_{n}") for n in ("type", "location", "pubMillis", "city", "subtype")]
-    whole = F.coalesce(V.is_object(V.type_name(F.col(alert))), F.lit(False))
-    return F.coalesce(*usual).isNull() & ~whole
+def _text(name: str) -> Column:
+    return F.try_variant_get(F.col(f"v_{name}"), "$", "string").alias(name)
 
 
 def _times(df: DataFrame) -> DataFrame:
     """``pubMillis``, its UTC instant, and a warning when it cannot be used."""
     value, name = F.col("v_pubMillis"), F.col("t_pubMillis")
-    df = df.withColumn("t_pubMillis", V.type_name(value)).withColumns(
-        {
-            "whole": F.when(V.is_whole(name), F.try_variant_get(value, "$", "bigint")),
-            "real": F.when(
-                V.is_numeric(name) & ~V.is_whole(name), F.try_variant_get(value, "$", "double")
+    whole, real, us = F.col("pubMillis"), F.col("__real"), F.col("__us")
+    df = (
+        df.withColumn("t_pubMillis", V.type_name(value))
+        .withColumns(
+            {
+                "pubMillis": F.when(V.is_numeric(name), F.try_variant_get(value, "$", "bigint")),
+                "__real": F.try_variant_get(value, "$", "double"),
+            }
+        )
+        .withColumn(
+            "__us",
+            F.when(
+                (real != 0) & whole.between(TP.MIN_EPOCH_MS, TP.MAX_EPOCH_MS),
+                whole * 1000 + F.rint((real - whole) * 1000).cast("bigint"),
             ),
-        }
-    )
-    whole, real = F.col("whole"), F.col("real")
-    df = df.withColumn(
-        "source_timestamp",
-        F.coalesce(
-            TP.epoch_ms_to_utc(_usable_time(whole)),
-            TP.epoch_ms_to_utc(_usable_time(real), fractional=True),
-        ),
+        )
     )
-    missing = F.coalesce((name == "VOID") | (whole == 0) | (real == 0), F.lit(False))
-    unusable = name.isNotNull() & F.col("source_timestamp").isNull() & ~missing
+    # Absent, null and zero times are no mistakes; name is NULL for an absent one.
+    bad = us.isNull() & (name != "VOID") & (whole.isNull() | (real != 0))
     return df.withColumns(
         {
-            "pubMillis": F.coalesce(whole, real.try_cast("bigint")),
+            "source_timestamp": F.timestamp_micros(us),
             "ingestion_timestamp": F.current_timestamp(),
-            "warning": F.when(unusable, "pubMillis_unusable"),
+            "warning": F.when(bad, "pubMillis_unusable"),
         }
     )
 
@@ -169,17 +185,20 @@ def to_raw(df: DataFrame, alert: str = "alert") -> DataFrame:
     Coordinates given as text are parsed; a bad point or time leaves its
     column NULL and keeps the row. A number as ``location`` rejects the row.
     """
-    df = _times(_picked(df, alert, RAW_TEXT, RAW_INT, RAW_FLOAT))
+    text = [n for n in RAW_TEXT if n not in _AS_IS]
     spot = F.col("v_location")
-    df = df.withColumns(
-        {
-            "t_location": V.type_name(spot),
-            "x": V.parse_number(V.field(spot, "x")),
-            "y": V.parse_number(V.field(spot, "y")),
-        }
+    df = (
+        _times(_picked(df, alert, text, RAW_INT, RAW_FLOAT))
+        .withColumn("spot", F.try_variant_get(spot, "$", _SPOT))
+        .withColumns(
+            {n: _text(n) for n in RAW_TEXT if n in _AS_IS}
+            | {"x": V.parse_number(F.col("spot.x")), "y": V.parse_number(F.col("spot.y"))}
+        )
+    )
+    reason = F.when(~F.col("is_object"), "alert_not_object").when(
+        V.is_numeric(V.type_name(spot)) & (F.try_variant_get(spot, "$", "double") != 0),
+        "location_not_object",
     )
-    truthy_number = V.is_numeric(F.col("t_location")) & (F.try_variant_get(spot, "$", "double") != 0)
-    reason = F.when(_not_object(alert), "alert_not_object").when(truthy_number, "location_not_object")
     df = df.withColumns({"location": A.geo_point(F.col("x"), F.col("y")), "reject_reason": reason})
     return df.select(*[f.name for f in RAW.fields], alert, "reject_reason", "warning")
 
@@ -195,38 +214,42 @@ def to_processed(
     ``ts`` (naive UTC column) replaces the processing time in the time group;
     naming ``source_time`` uses the document's own publication time.
     """
-    df = _times(_picked(df, alert, PROCESSED_TEXT, PROCESSED_INT, []))
-    spot = F.col("v_location")
-    df = df.withColumns({"v_x": V.field(spot, "x"), "v_y": V.field(spot, "y")})
-    # Paths into anything but an object give NULL, so both being there implies an object.
-    df = df.withColumns(
-        {
-            "has_point": F.col("v_x").isNotNull() & F.col("v_y").isNotNull(),
-            "t_city": V.type_name(F.col("v_city")),
-            "x": V.number(F.col("v_x")),
-            "y": V.number(F.col("v_y")),
+    text = [n for n in PROCESSED_TEXT if n not in _AS_IS]
+    # A location that is no object is a NULL struct here, without coordinates.
+    x, y = F.col("v_location.x"), F.col("v_location.y")
+    df = _times(_picked(df, alert, text, PROCESSED_INT, [], _SPOT)).withColumns(
+        {n: _text(n) for n in PROCESSED_TEXT if n in _AS_IS}
+        | {
+            "has_point": x.isNotNull() & y.isNotNull(),
+            "p_x": F.try_variant_get(x, "$", "double"),
+            "p_y": F.try_variant_get(y, "$", "double"),
+            "numeric": V.is_numeric(V.type_name(x)) & V.is_numeric(V.type_name(y)),
         }
     )
-    has_point, city_name = F.col("has_point"), F.col("t_city")
-    no_number = F.col("x").isNull() | F.col("y").isNull()
+    has_point, given = F.col("has_point"), F.col("v_city")
     reason = (
-        F.when(_not_object(alert), "alert_not_object")
+        F.when(~F.col("is_object"), "alert_not_object")
         .when(~V.is_text(V.type_name(F.col("v_type"))), "type_not_text")
         .when(~V.is_text(V.type_name(F.col("v_subtype"))), "subtype_not_text")
-        .when(has_point & ~V.is_text(city_name), "city_not_text")
-        .when(has_point & A.is_core_city(F.col("city"), rules) & no_number, "coordinates_not_numeric")
+        .when(
+            has_point,
+            F.when(~V.is_text(V.type_name(given)), "city_not_text").when(
+                ~F.col("numeric") & A.is_core_city(F.col("city"), rules), "coordinates_not_numeric"
+            ),
+        )
     )
-    name = F.when(city_name.isNull(), rules.unknown).otherwise(F.col("city"))
+    df = df.withColumn("__tipo", A.upper_or_empty(F.col("type")))
+    name = F.when(given.isNull(), rules.unknown).otherwise(F.col("city"))
     if isinstance(ts, str) and ts == "source_time":
-        ts = TP.utc_ntz(F.col("source_timestamp"))
+        ts = TP.ntz_of_micros(F.col("__us"))
     df = df.withColumns(
         {
-            "pig_event_filter": _event_group(F.col("type"), F.col("subtype")),
+            "pig_event_filter": _event_group(F.col("__tipo"), F.col("subtype")),
             "pig_location_filter": F.struct(
                 name.alias("ciudad"),
-                A.zone(F.col("city"), F.col("x"), F.col("y"), rules, has_point).alias("zona"),
+                A.zone(F.col("city"), F.col("p_x"), F.col("p_y"), rules, has_point).alias("zona"),
             ),
-            "location": A.geo_point(V.parse_number(F.col("v_x")), V.parse_number(F.col("v_y"))),
+            "location": A.geo_point(F.col("p_x"), F.col("p_y")),
             "reject_reason": reason,
         }
     )
