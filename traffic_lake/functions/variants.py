@@ -65,16 +65,26 @@ def is_numeric(name: Column) -> Column:
     return name.rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT|BOOLEAN)")
 
 
-def is_object(name: Column) -> Column:
-    return name.startswith("OBJECT")
+def is_container(name: Column) -> Column:
+    return name.startswith("OBJECT") | name.startswith("ARRAY")
 
 
-def kind(value: Column) -> Column:
-    """Runtime type name of a VARIANT: str, int, float, bool, NoneType, dict, list, datetime, bytes."""
+def bare_type(value: Column) -> Column:
+    """The type without the members of objects and lists: a small set of names."""
+    return F.substring_index(type_name(value), "<", 1)
+
+
+def kind_of(bare: Column) -> Column:
+    """Runtime type name for a bare type: str, int, float, bool, NoneType, dict, list, datetime, bytes."""
     # JSON integers beyond 64 bits arrive as DECIMAL(n,0) with n > 18.
-    name = F.regexp_replace(type_name(value), r"^DECIMAL\((19|[23]\d),0\)$", "BIGINT")
+    wide_int = bare.rlike(r"^DECIMAL\((19|[23]\d),0\)$")
     pairs = [F.lit(part) for pair in KINDS.items() for part in pair]
-    return F.try_element_at(F.create_map(*pairs), F.regexp_extract(name, "^[A-Z]+", 0))
+    known = F.try_element_at(F.create_map(*pairs), F.regexp_extract(bare, "^[A-Z]+", 0))
+    return F.when(wide_int, "int").otherwise(known)
+
+
+def kind(value: Column) -> Column:
+    return kind_of(bare_type(value))
 
 
 def as_object(value: Column) -> Column:

@@ -10,6 +10,7 @@ from ..functions import variants as V
 
 SAMPLES = 5
 SAMPLE_CHARS = 100
+MAX_DEPTH = 8
 
 # Category words looked for in the lower-cased path, in order of precedence.
 CORE_PATHS = ("_id", "type", "subtype")
@@ -19,64 +20,59 @@ METADATA_WORDS = ("id",)
 # Display order of the categories.
 CATEGORY_ORDER = ("core", "location", "time", "domain", "metadata")
 
-_NODES = "array<struct<path:string,value:variant,fresh:boolean>>"
-
-
-def _children(path: Column, value: Column) -> Column:
-    """Child nodes of an object, or of the object that leads a list."""
-    own = V.as_object(value)
-    lead = F.try_variant_get(value, "$[0]", "map<string,variant>")
-    prefix = F.when(path.isNull(), "").when(own.isNotNull(), F.concat(path, F.lit("."))).otherwise(
-        F.concat(path, F.lit("[0]."))
-    )
-    entries = F.map_entries(F.coalesce(own, F.when(path.isNotNull(), lead)))
+def _entries(value: Column, prefix: Column) -> Column:
+    """``array<struct<path,value>>`` of an object's fields, NULL for anything else."""
     return F.transform(
-        entries,
-        lambda e: F.struct(
-            F.concat(prefix, e["key"]).alias("path"), e["value"].alias("value"), F.lit(True).alias("fresh")
-        ),
+        F.map_entries(value),
+        lambda e: F.struct(F.concat(prefix, e["key"]).alias("path"), e["value"].alias("value")),
     )
 
 
-def _expand(df: DataFrame, keep: list[str]) -> DataFrame:
-    """One more level: every fresh node yields itself, now settled, and its children."""
-    itself = F.array(F.struct("path", "value", F.lit(False).alias("fresh")))
-    below = F.when(F.col("fresh"), _children(F.col("path"), F.col("value")))
-    nodes = F.concat(itself, F.coalesce(below, F.array().cast(_NODES)))
-    return df.select(*keep, F.explode(nodes).alias("n")).select(*keep, "n.path", "n.value", "n.fresh")
+def _below(node: Column) -> Column:
+    """Fields of an object node, or of the object that leads a list node."""
+    own = _entries(V.as_object(node["value"]), F.concat(node["path"], F.lit(".")))
+    lead = F.try_variant_get(node["value"], "$[0]", "map<string,variant>")
+    return F.coalesce(own, _entries(lead, F.concat(node["path"], F.lit("[0]."))), F.array())
 
 
-def _levels(df: DataFrame, depth: int, alert: str, key: str) -> DataFrame:
-    top = _children(F.lit(None).cast("string"), F.col(alert))
-    out = df.select(key, F.explode(top).alias("n")).select(key, "n.path", "n.value", "n.fresh")
-    for _ in range(depth - 1):
-        out = _expand(out, [key])
-    return out
+def _levels(df: DataFrame, depth: int, alert: str, keep: list[str]) -> tuple[DataFrame, list[str]]:
+    """One array column of nodes per level, all made from a single look at the
+    document; only containers are followed further down."""
+    names = [f"__level{i}" for i in range(1, depth + 1)]
+    df = df.select(*keep, _entries(V.as_object(F.col(alert)), F.lit("")).alias(names[0]))
+    for above, name in zip(names, names[1:]):
+        containers = F.filter(F.col(above), lambda n: V.is_container(V.type_name(n["value"])))
+        df = df.withColumn(name, F.flatten(F.transform(containers, _below)))
+    return df, names
 
 
 def document_depth(df: DataFrame, alert: str = "alert", start: int = 4) -> int:
     """Levels needed to reach every path; one boolean per pass reaches the driver."""
     depth = start
     while True:
-        nodes = df.select(F.lit(0).alias("k"), alert).transform(lambda d: _levels(d, depth, alert, "k"))
-        more = F.size(_children(F.col("path"), F.col("value"))) > 0
-        deeper = nodes.filter("fresh").agg(F.bool_or(more)).first()[0]
-        if not deeper:
+        levels, names = _levels(df, depth + 1, alert, [])
+        if not levels.agg(F.bool_or(F.size(names[-1]) > 0)).first()[0]:
             return depth
         depth *= 2
 
 
 def flatten_paths(
-    df: DataFrame, alert: str = "alert", key: str = "mongo_id", max_depth: int | None = None
+    df: DataFrame, alert: str = "alert", key: str = "mongo_id", max_depth: int | None = MAX_DEPTH
 ) -> DataFrame:
     """One row per document and path: ``key, path, value``.
 
     Objects give ``a.b``; a list whose first element is an object gives
     ``a[0].b`` for that element only. The source is read once whatever the
-    depth. ``max_depth=None`` measures the depth first, so no level is lost.
+    depth. A document deeper than ``max_depth`` fails the query instead of
+    losing paths; ``max_depth=None`` takes an extra pass to measure the depth.
     """
     depth = document_depth(df, alert) if max_depth is None else max_depth
-    return _levels(df, depth, alert, key).select(key, "path", "value")
+    levels, names = _levels(df, depth + 1, alert, [key])
+    last = names.pop()
+    too_deep = F.raise_error(F.lit(f"documents nest deeper than {depth} levels: raise max_depth"))
+    checked = F.when(F.size(last) > 0, too_deep.cast(levels.schema[last].dataType)).otherwise(F.col(last))
+    nodes = F.explode(F.concat(*names, checked))
+    return levels.select(key, nodes.alias("n")).select(key, "n.path", "n.value")
 
 
 def sample_text(value: Column) -> Column:
@@ -96,15 +92,20 @@ def sample_text(value: Column) -> Column:
 
 
 def field_stats(nodes: DataFrame) -> DataFrame:
-    """``path, n, types, null_n``. Partial aggregation collapses the rows per
-    path before the shuffle, so a path present in every document is no hot key."""
+    """``path, n, types, null_n``.
+
+    Counting per path and type collapses the rows in each task before the
+    first shuffle, so a path present in every document is no hot key.
+    """
+    kind = V.kind_of(F.col("type_name"))
     return (
-        nodes.select("path", V.kind(F.col("value")).alias("kind"))
+        nodes.groupBy("path", V.bare_type(F.col("value")).alias("type_name"))
+        .agg(F.count(F.lit(1)).alias("n"))
         .groupBy("path")
         .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.sort_array(F.collect_set("kind")).alias("types"),
-            F.count_if(F.col("kind") == "NoneType").alias("null_n"),
+            F.sum("n").alias("n"),
+            F.sort_array(F.collect_set(kind)).alias("types"),
+            F.sum(F.when(kind == "NoneType", F.col("n")).otherwise(0)).alias("null_n"),
         )
     )
 
@@ -128,7 +129,7 @@ def profile_fields(
     df: DataFrame,
     alert: str = "alert",
     key: str = "mongo_id",
-    max_depth: int | None = None,
+    max_depth: int | None = MAX_DEPTH,
     samples: int = SAMPLES,
 ) -> DataFrame:
     """One row per path: ``path, n, pct, types, null_n, null_pct, samples``."""
