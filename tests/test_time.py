@@ -1,0 +1,107 @@
+from __future__ import annotations
+
+import datetime as dt
+from zoneinfo import ZoneInfo
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from traffic_lake.functions import timeparts as TP
+
+GOLDEN = [
+    ("2024-01-15 12:00:00", "2024-01-15T09:00:00-03:00"),
+    ("2024-06-15 12:00:00", "2024-06-15T08:00:00-04:00"),
+    ("2024-06-15 12:00:00.123", "2024-06-15T08:00:00.123000-04:00"),
+    ("2024-04-07 02:59:59", "2024-04-06T23:59:59-03:00"),
+    ("2024-04-07 03:00:00", "2024-04-06T23:00:00-04:00"),
+    ("2024-09-08 03:59:59", "2024-09-07T23:59:59-04:00"),
+    ("2024-09-08 04:00:00", "2024-09-08T01:00:00-03:00"),
+    ("2024-06-15 12:00:00.000001", "2024-06-15T08:00:00.000001-04:00"),
+]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/Santiago", "Asia/Kathmandu"])
+def test_offset_text_in_any_session_zone(spark, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        df = spark.createDataFrame(GOLDEN, "utc string, text string").withColumn("utc", F.col("utc").cast("timestamp_ntz"))
+        for row in df.select("text", TP.iso_with_offset(F.col("utc")).alias("found")).collect():
+            assert row["found"] == row["text"]
+        late = TP.iso_naive(TP.epoch_ms_to_local(F.lit(1725768000123)))
+        assert spark.range(1).select(late).first()[0] == "2024-09-08T01:00:00.123000"
+        assert spark.range(1).select(TP.iso_utc(TP.epoch_ms_to_utc(F.lit(0)))).first()[0] == "1970-01-01T00:00:00+00:00"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_offset_of_other_zones(spark):
+    utc = F.lit("2024-01-15 12:00:00").cast("timestamp_ntz")
+    found = spark.range(1).select(
+        TP.iso_with_offset(utc, "Asia/Kathmandu"), TP.iso_with_offset(utc, "UTC"), TP.iso_with_offset(utc, "America/St_Johns")
+    ).first()
+    assert tuple(found) == ("2024-01-15T17:45:00+05:45", "2024-01-15T12:00:00+00:00", "2024-01-15T08:30:00-03:30")
+
+
+def test_out_of_range_times_are_null(spark):
+    ms = F.col("ms")
+    rows = [(TP.MAX_EPOCH_MS + 1,), (TP.MIN_EPOCH_MS - 1,), (None,), (2**62,)]
+    df = spark.createDataFrame(rows, "ms bigint").select(TP.epoch_ms_to_utc(ms), TP.epoch_ms_to_local(ms))
+    assert all(tuple(r) == (None, None) for r in df.collect())
+    # In range as an instant, before year 1 on the local clock.
+    early = spark.createDataFrame([(TP.MIN_EPOCH_MS,)], "ms bigint")
+    assert early.select(TP.epoch_ms_to_local(ms)).first()[0] is None
+
+
+def test_parts_of_day(spark):
+    expected = {0: "Madrugada", 5: "Madrugada", 6: "Mañana", 9: "Mañana", 10: "Día", 15: "Día",
+                16: "Tarde", 19: "Tarde", 20: "Noche", 23: "Noche"}
+    rows = [(dt.datetime(2024, 1, 1, h, 59, 59), name) for h, name in expected.items()]
+    df = spark.createDataFrame(rows, "t timestamp_ntz, name string")
+    assert all(r[0] == r[1] for r in df.select("name", TP.day_part(F.col("t"), None)).collect())
+
+
+def test_weekdays(spark):
+    rows = [(dt.datetime(2024, 1, 1 + i),) for i in range(7)]
+    df = spark.createDataFrame(rows, "t timestamp_ntz").orderBy("t")
+    assert [r[0] for r in df.select(TP.weekday_es(F.col("t"), None)).collect()] == list(TP.WEEKDAYS)
+    # Two in the morning UTC on a Monday is still Sunday in Santiago.
+    monday = spark.range(1).select(TP.weekday_es(F.lit("2024-01-01 02:00:00").cast("timestamp_ntz")))
+    assert monday.first()[0] == "Domingo"
+
+
+def test_time_filter_defaults_to_now(spark):
+    group = TP.with_time_filter(spark.range(1)).first()["pig_time_filter"]
+    now = dt.datetime.now(ZoneInfo(TP.SANTIAGO))
+    stamp = dt.datetime.fromisoformat(group["timestamp_chile"])
+    assert abs((now - stamp).total_seconds()) < 120
+    assert group["fecha"] == stamp.date() and group["hora"] == stamp.hour
+
+
+def test_comments(spark):
+    df = spark.createDataFrame(
+        [([(1718452800000, "a"), (None, "b")],), (None,)], "comments array<struct<reportMillis:bigint,text:string>>"
+    )
+    first, second = TP.localize_comments(df).collect()
+    assert [c["reportMillis_santiago"] for c in first["comments"]] == ["2024-06-15T08:00:00", None]
+    assert second["comments"] is None
+    assert TP.with_processed_at(df).schema["_processed_at"].dataType.typeName() == "timestamp_ntz"
+
+
+# From 1970 on, where all zone tables agree.
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.integers(0, 4_102_444_800_000), min_size=20, max_size=60))
+def test_local_time_matches_the_standard_library(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "ms bigint")
+    out = df.select(
+        "ms",
+        TP.iso_naive(TP.epoch_ms_to_local(F.col("ms"))).alias("naive"),
+        TP.iso_with_offset(TP.epoch_ms_to_utc_ntz(F.col("ms"))).alias("aware"),
+    )
+    zone, epoch = ZoneInfo(TP.SANTIAGO), dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)
+    for row in out.collect():
+        local = (epoch + dt.timedelta(milliseconds=row["ms"])).astimezone(zone)
+        assert row["aware"] == local.isoformat()
+        assert row["naive"] == local.replace(tzinfo=None).isoformat()
