@@ -28,7 +28,7 @@ def plan(df, mode="formatted"):
 NARROW = [
     "event_priority", "geo_zone", "bbox_filter", "local_publish_time", "source_timestamp_utc", "day_part_weekday",
     "comment_times", "raw_projection", "raw_documents", "processed_rows", "processed_documents", "keep_list",
-    "conform_casts", "purity_row_hits", "dead_letters",
+    "conform_casts", "purity_row_hits", "dead_letters", "incremental_backlog",
 ]
 
 

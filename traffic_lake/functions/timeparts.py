@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 SANTIAGO = "America/Santiago"
 MIN_EPOCH_MS = -62135596800000  # 0001-01-01T00:00:00Z
 MAX_EPOCH_MS = 253402300799999  # 9999-12-31T23:59:59.999Z
+DAY_MS = 86400000
 
 # Weekday names, Monday first.
 WEEKDAYS = ("Lunes", "Martes", "Miércoles", "Jueves", "Viernes", "Sábado", "Domingo")
@@ -27,10 +28,11 @@ def _epoch() -> Column:
     return F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
 
 
-def _micros(ms: Column, fractional: bool) -> Column:
-    """Epoch milliseconds as whole microseconds, NULL outside years 1-9999."""
+def _micros(ms: Column, fractional: bool, margin: int = 0) -> Column:
+    """Epoch milliseconds as whole microseconds, NULL outside years 1-9999
+    less ``margin`` milliseconds at both ends."""
     us = F.rint(ms * 1000).cast("bigint") if fractional else ms.cast("bigint") * 1000
-    return F.when(ms.between(MIN_EPOCH_MS, MAX_EPOCH_MS), us)
+    return F.when(ms.between(MIN_EPOCH_MS + margin, MAX_EPOCH_MS - margin), us)
 
 
 def ntz_of_micros(us: Column) -> Column:
@@ -57,10 +59,12 @@ def epoch_ms_to_utc_ntz(ms: Column, fractional: bool = False) -> Column:
 
 
 def epoch_ms_to_local(ms: Column, tz: str = SANTIAGO, fractional: bool = False) -> Column:
-    """Epoch milliseconds to the naive local time of ``tz``."""
-    local = to_local(epoch_ms_to_utc_ntz(ms, fractional), tz)
-    # The zone shift can leave the years 1-9999 even when the instant does not.
-    return F.when(F.year(local).between(1, 9999), local)
+    """Epoch milliseconds to the naive local time of ``tz``.
+
+    NULL within a day of the ends of the years 1-9999, where the zone shift
+    could leave them.
+    """
+    return to_local(ntz_of_micros(_micros(ms, fractional, DAY_MS)), tz)
 
 
 def to_local(utc: Column, tz: str | None = SANTIAGO) -> Column:
@@ -156,13 +160,16 @@ def with_time_filter(
 
 
 def localize_comments(df: DataFrame, comments: str = "comments", tz: str = SANTIAGO) -> DataFrame:
-    """Give every comment struct ``reportMillis_santiago``; no time gives NULL."""
+    """Give every comment struct ``reportMillis_santiago``; no time gives NULL.
+
+    One pass per step over the list, since an expression inside a lambda is
+    computed again wherever it is used.
+    """
+    listed = F.col(comments)
+    clocks = F.transform(listed, lambda c: epoch_ms_to_local(c["reportMillis"], tz).cast("string"))
+    texts = F.transform(clocks, _iso)
     return df.withColumn(
-        comments,
-        F.transform(
-            F.col(comments),
-            lambda c: c.withField("reportMillis_santiago", iso_naive(epoch_ms_to_local(c["reportMillis"], tz))),
-        ),
+        comments, F.zip_with(listed, texts, lambda c, text: c.withField("reportMillis_santiago", text))
     )
 
 

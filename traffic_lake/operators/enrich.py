@@ -10,6 +10,8 @@ Two input forms share the same expressions:
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -270,17 +272,17 @@ def with_local_times(df: DataFrame, alert: str = "alert", tz: str = TP.SANTIAGO)
     def local_text(value: Column) -> Column:
         return TP.iso_naive(TP.epoch_ms_to_local(V.number(value), tz, fractional=True))
 
-    def comment(c: Column) -> Column:
-        text = local_text(V.field(c, "reportMillis"))
+    def comment(c: Column, text: Column) -> Column:
         return F.when(text.isNotNull(), _put(c, {"reportMillis_santiago": text.cast("variant")})).otherwise(c)
 
     doc = F.col(alert)
     published = local_text(V.field(doc, "pubMillis"))
     comments = F.try_variant_get(doc, "$.comments", "array<variant>")
-    df = df.withColumns(
+    texts = F.transform(F.col("__listed"), lambda c: local_text(V.field(c, "reportMillis")))
+    df = df.withColumn("__listed", comments).withColumns(
         {
             "__published": published.cast("variant"),
-            "__comments": F.to_variant_object(F.transform(comments, comment)),
+            "__comments": F.to_variant_object(F.zip_with(F.col("__listed"), texts, comment)),
             "__at": TP.to_local(TP.utc_now(), tz).cast("variant"),
         }
     )
@@ -289,14 +291,19 @@ def with_local_times(df: DataFrame, alert: str = "alert", tz: str = TP.SANTIAGO)
         "pubMillis_santiago": F.col("__published"),
         "comments": F.col("__comments"),
     }
-    return df.withColumn(alert, F.coalesce(_put(doc, added), doc)).drop("__published", "__comments", "__at")
+    return df.withColumn(alert, F.coalesce(_put(doc, added), doc)).drop(
+        "__listed", "__published", "__comments", "__at"
+    )
 
 
 def _put(doc: Column, fields: Mapping[str, Column]) -> Column:
     """The object with the non-NULL ``fields`` set; NULL when ``doc`` is no object."""
+
+    def stays(name: Column, _: Column) -> Column:
+        return reduce(and_, [(name != field) | value.isNull() for field, value in fields.items()])
+
     names = F.array(*[F.lit(n) for n in fields])
     new = F.map_filter(
         F.map_from_arrays(names, F.array(*fields.values())), lambda _, value: value.isNotNull()
     )
-    old = F.map_filter(V.as_object(doc), lambda name, _: ~F.array_contains(F.map_keys(new), name))
-    return F.to_variant_object(F.map_concat(old, new))
+    return F.to_variant_object(F.map_concat(F.map_filter(V.as_object(doc), stays), new))

@@ -9,15 +9,15 @@ from ..functions import variants as V
 
 
 def read_after(df: DataFrame, key: str, mark=None, limit: int | None = None) -> DataFrame:
-    """Rows beyond ``mark`` in ascending key order.
+    """Rows beyond ``mark``; with ``limit`` the first ones in ascending key order.
 
     ``mark`` is a value or a scalar-subquery Column; on a stored key column it
-    is pushed into the file scan. With ``limit`` the sort keeps only that many
-    rows per task.
+    is pushed into the file scan. The limited sort keeps that many rows per
+    task. Without a limit nothing depends on the order, and none is made: a
+    total sort would shuffle the whole backlog.
     """
     out = df if mark is None else df.filter(F.col(key) > mark)
-    out = out.orderBy(key)
-    return out if limit is None else out.limit(limit)
+    return out if limit is None else out.orderBy(key).limit(limit)
 
 
 def high_water_mark(target: DataFrame, key: str = "mongo_id"):

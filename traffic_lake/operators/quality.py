@@ -15,9 +15,19 @@ class RawPurityError(ValueError):
     """Source documents already hold derived fields."""
 
 
+# What a dead letter keeps: the document as it came, and why it was rejected.
+DEAD_LETTER = ("mongo_id", "alert", "reject_reason", "warning")
+
+
 def split_rejects(df: DataFrame, reason: str = "reject_reason") -> tuple[DataFrame, DataFrame]:
-    """(good rows without the reason column, rejected rows with it)."""
-    return df.filter(F.col(reason).isNull()).drop(reason), df.filter(F.col(reason).isNotNull())
+    """(good rows without the reason column, rejected rows as dead letters).
+
+    Dead letters hold the document itself; values derived from it are left out.
+    """
+    bad = df.filter(F.col(reason).isNotNull())
+    if "alert" in df.columns:
+        bad = bad.select(*[c for c in DEAD_LETTER if c in df.columns and c != reason], reason)
+    return df.filter(F.col(reason).isNull()).drop(reason), bad
 
 
 def field_counts(df: DataFrame, fields: Iterable[str], alert: str = "alert") -> DataFrame:
