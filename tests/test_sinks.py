@@ -83,6 +83,8 @@ def test_latest_snapshot_and_its_expiry(spark):
     assert at("2024-01-01 00:08:59") == [2, 3]
     assert at("2024-01-01 00:09:00") == []
     assert at("2024-01-01 00:03:00") == [1]
+    alive = S.latest_snapshot(df, as_of=F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    assert [r["payload"] for r in S.snapshot_payload(alive).collect()] == ['{"id":1,"fetched_at":"2024-01-01T00:00:00.000Z"}']
     assert S.latest_snapshot(df).count() == 0
     assert S.latest_snapshot(df.withColumn("fetched_at", F.current_timestamp())).count() == 3
 

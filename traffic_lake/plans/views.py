@@ -22,11 +22,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events table as a file stream."""
+    """The events table as a file stream.
+
+    A pattern matches the table whether it is one file or a folder of files.
+    """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return (
-        spark.readStream.schema(EVENTS).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    )
+    return spark.readStream.schema(EVENTS).parquet(f"{sf_dir}/events.parque[t]")
 
 
 def alerts_view(events: DataFrame) -> DataFrame:

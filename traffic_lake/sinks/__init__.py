@@ -7,5 +7,6 @@ from .tables import (
     merge_upsert,
     newest_per_key,
     read_current,
+    snapshot_payload,
     upsert,
 )

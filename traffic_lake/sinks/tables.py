@@ -77,6 +77,11 @@ def latest_snapshot(
     return alive.filter(F.col(ts) == alive.select(F.max(ts)).scalar())
 
 
+def snapshot_payload(snapshot: DataFrame) -> DataFrame:
+    """The snapshot as JSON text, one row per alert."""
+    return snapshot.select(F.to_json(F.struct("*")).alias("payload"))
+
+
 def upsert(
     df: DataFrame,
     path: str,
