@@ -78,6 +78,12 @@ def test_limits_use_a_partial_sort(spark, name):
     assert "TakeOrderedAndProject" in plan(queries()[name](spark, SF))
 
 
+def test_newest_rows_are_found_by_key_alone(spark, bronze):
+    text = O.recent_sample(bronze, n=5)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(mongo_id,ScalarSubquery" in text
+    assert "ReadSchema: struct<mongo_id:string>" in text
+
+
 def test_samples_and_versions_are_cut_before_the_shuffle(spark, bronze):
     for df in (O.field_samples(O.flatten_paths(bronze)), S.newest_per_key(bronze, version=("fetched_at",))):
         assert plan(df, "simple").count("WindowGroupLimit") == 2

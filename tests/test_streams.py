@@ -76,7 +76,7 @@ def test_three_streams_end_to_end(spark, land):
     copies = []
 
     def ingest():
-        run(ingest_stream(spark, folder, f"{base}/bronze", f"{base}/c0", f"{base}/bad",
+        run(ingest_stream(spark, folder, f"{base}/bronze", f"{base}/c0", f"{base}/bad", f"{base}/ingest_m",
                           {"copy": lambda df, i: copies.append(df.count()), "down": lambda df, i: 1 / 0},
                           max_files_per_trigger=4, available_now=True))
 
@@ -87,6 +87,9 @@ def test_three_streams_end_to_end(spark, land):
 
     ingest()
     consume()
+    counted = spark.read.parquet(f"{base}/ingest_m").agg(
+        F.sum("snapshots_n"), F.sum("corrupt_n"), F.sum("alerts_n"), F.max("failed_sinks"), F.bool_or("slow_write"))
+    assert tuple(counted.first()) == (6, 2, 5, 1, False)
     bronze = sources.read_bronze(spark, f"{base}/bronze")
     assert uuids(bronze) == ["None", "u1", "u1", "u2", "u3"] and sum(copies) == 5
     assert spark.read.parquet(f"{base}/bad").count() == 2

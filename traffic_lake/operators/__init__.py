@@ -17,6 +17,7 @@ from .fields import (
     field_samples,
     field_stats,
     flatten_paths,
+    inspect_fields,
     profile_fields,
 )
 from .incremental import (

@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import variants as V
+from .incremental import recent_sample
 
 SAMPLES = 5
 SAMPLE_CHARS = 100
@@ -86,6 +87,7 @@ def sample_text(value: Column) -> Column:
             F.format_string("list(%d items)", F.size(F.try_variant_get(value, "$", "array<variant>"))),
         )
         .when(kind == "bool", F.initcap(text))
+        .when((kind == "datetime") & (F.length(text) > 19), F.rpad(text, 26, "0"))
         .when(kind == "float", V.float_text(F.try_variant_get(value, "$", "double")))
         .otherwise(F.substring(text, 1, SAMPLE_CHARS))
     )
@@ -188,3 +190,13 @@ def classify_fields(profile: DataFrame, path: str = "path") -> DataFrame:
 def by_category(classified: DataFrame, path: str = "path") -> DataFrame:
     """Display order: category, then name."""
     return classified.orderBy("category_rank", path)
+
+
+def inspect_fields(
+    df: DataFrame, alert: str = "alert", key: str = "mongo_id", newest: int | None = 100
+) -> DataFrame:
+    """Profile and classes of the ``newest`` documents in display order; None takes all."""
+    docs = df.select(key, alert)
+    if newest is not None:
+        docs = recent_sample(docs, key, newest)
+    return by_category(classify_fields(profile_fields(docs, alert, key)))

@@ -8,16 +8,29 @@ from pyspark.sql import functions as F
 from ..functions import variants as V
 
 
+def _edge(df: DataFrame, key: str, n: int, newest: bool) -> DataFrame:
+    """The first ``n`` rows by key, in order.
+
+    A pass over the key column alone finds the key of the last row wanted; the
+    rows are then read with that bound pushed into the scan. On stored,
+    time-ordered keys the wide columns of nearly all row groups stay unread.
+    """
+    order = F.desc(key) if newest else F.asc(key)
+    keys = df.select(key).orderBy(order).limit(n)
+    bound = keys.agg(F.min(key) if newest else F.max(key)).scalar()
+    within = F.col(key) >= bound if newest else F.col(key) <= bound
+    return df.filter(within).orderBy(order).limit(n)
+
+
 def read_after(df: DataFrame, key: str, mark=None, limit: int | None = None) -> DataFrame:
     """Rows beyond ``mark``; with ``limit`` the first ones in ascending key order.
 
     ``mark`` is a value or a scalar-subquery Column; on a stored key column it
-    is pushed into the file scan. The limited sort keeps that many rows per
-    task. Without a limit nothing depends on the order, and none is made: a
-    total sort would shuffle the whole backlog.
+    is pushed into the file scan. Without a limit nothing depends on the order,
+    and none is made: a total sort would shuffle the whole backlog.
     """
     out = df if mark is None else df.filter(F.col(key) > mark)
-    return out if limit is None else out.orderBy(key).limit(limit)
+    return out if limit is None else _edge(out, key, limit, newest=False)
 
 
 def high_water_mark(target: DataFrame, key: str = "mongo_id"):
@@ -37,7 +50,7 @@ def last_ingested_key(target: DataFrame, key: str = "mongo_id", stamp: str = "in
 
 def recent_sample(df: DataFrame, key: str = "mongo_id", n: int = 100) -> DataFrame:
     """The newest ``n`` rows (all of them when there are fewer)."""
-    return df.orderBy(F.desc(key)).limit(n)
+    return _edge(df, key, n, newest=True)
 
 
 def document_count(df: DataFrame) -> DataFrame:
@@ -46,5 +59,5 @@ def document_count(df: DataFrame) -> DataFrame:
 
 def example_fields(df: DataFrame, alert: str = "alert", key: str | None = None) -> DataFrame:
     """Top-level field names of one document: any one, or the oldest by ``key``."""
-    one = df.limit(1) if key is None else df.orderBy(key).limit(1)
+    one = df.limit(1) if key is None else _edge(df.select(key, alert), key, 1, newest=False)
     return one.select(F.explode(F.map_keys(V.as_object(F.col(alert)))).alias("field"))

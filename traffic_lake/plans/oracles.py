@@ -262,6 +262,11 @@ _SQL: dict[str, str] = {
         string_agg(sample, ' | ' ORDER BY rank) FILTER (rank <= 3) AS shown FROM samples GROUP BY path)
       SELECT path, n, coalesce(shown, '') AS shown FROM (SELECT path, count(*) AS n FROM nodes GROUP BY path)
       LEFT JOIN shown USING (path)""",
+    "inspect_recent": f"""WITH {DOCS.replace('FROM events)', 'FROM (SELECT * FROM events ORDER BY event_id DESC LIMIT 100))')},
+      {NODES}, {SAMPLES}, shown AS (SELECT path, string_agg(sample, ' | ' ORDER BY rank) AS samples FROM samples GROUP BY path),
+      counted AS (SELECT path, count(*) AS n, array_to_string(list_sort(list(DISTINCT {KIND})), ',') AS types FROM nodes GROUP BY path)
+      SELECT path, {CATEGORY} AS category, {CATEGORY} <> 'metadata' AS keep, n, types, coalesce(samples, '') AS samples
+      FROM counted LEFT JOIN shown USING (path)""",
     "distinct_paths": f"WITH {DOCS}, {NODES} SELECT count(DISTINCT path) AS n_paths FROM nodes",
     "field_classes": f"""WITH {ALERTS}, {COUNTED}, classed AS (SELECT path, n, {CATEGORY} AS category FROM counted)
       SELECT path, n, category,

@@ -322,6 +322,16 @@ def field_report(spark, sf_dir):
     )
 
 
+@query
+def inspect_recent(spark, sf_dir):
+    """Profile and classes of the newest 100 documents."""
+    found = O.inspect_fields(views.documents(spark, sf_dir))
+    return found.select(
+        "path", "category", "keep", "n", F.array_join("types", ",").alias("types"),
+        F.array_join("samples", " | ").alias("samples"),
+    )
+
+
 @query
 def distinct_paths(spark, sf_dir):
     return O.flatten_paths(views.documents(spark, sf_dir)).agg(F.count_distinct("path").alias("n_paths"))
