@@ -222,11 +222,11 @@ _SQL: dict[str, str] = {
       SELECT mongo_id, k, "reportMillis", {iso('loc')} AS "reportMillis_santiago" FROM t""",
     "raw_projection": RAW_SQL,
     "raw_documents": RAW_SQL,
-    "raw_stream_table": RAW_SQL,
+    "raw_stream": RAW_SQL,
     "processed_rows": f"""WITH {ALERTS}, {TIMED} SELECT mongo_id, uuid, type, subtype, city, "pubMillis", reliability,
         confidence, "nThumbsUp", y AS lat, x AS lon, {SOURCE_TS} AS source_timestamp, {GROUPS}, {TIME_GROUP} FROM timed""",
     "processed_documents": PROCESSED_DOC_SQL,
-    "processed_stream_table": PROCESSED_DOC_SQL,
+    "processed_stream": PROCESSED_DOC_SQL,
     "keep_list": f'WITH {ALERTS} SELECT mongo_id, type, subtype, x, y, "pubMillis", city, reliability FROM alerts',
     "conform_casts": """SELECT event_id,
         CASE WHEN user_id % 3 <> 0 THEN CAST(user_id AS INT) END AS code,
@@ -302,7 +302,7 @@ _SQL: dict[str, str] = {
     "facet_top_k": f"""WITH {ALERTS} SELECT {TIPO} AS tipo, {ZONA} AS zona, count(*) AS n FROM alerts
       GROUP BY 1, 2 ORDER BY n DESC, tipo, zona LIMIT 10""",
     "hourly_histogram": HISTOGRAM,
-    "histogram_stream_table": HISTOGRAM,
+    "histogram_stream": HISTOGRAM,
     "priority_histogram": f"""WITH {ALERTS} SELECT CAST(date_trunc('day', make_timestamp("pubMillis" * 1000)) AS TIMESTAMP) AS bucket,
         {PRIORIDAD} AS prioridad, count(*) AS n FROM alerts WHERE "pubMillis" <> 0 GROUP BY 1, 2""",
     "raw_processed_reconcile": f"""WITH {REJECT_DOCS}, {REASONS} SELECT

@@ -23,7 +23,9 @@ _QUERIES: dict[str, Query] = {}
 
 
 def query(fn: Query) -> Query:
-    _QUERIES[fn.__name__] = fn
+    """Register a query under its function's name, less the suffix that keeps
+    it apart from the operator it shows."""
+    _QUERIES[fn.__name__.removesuffix("_table")] = fn
     return fn
 
 
