@@ -148,3 +148,58 @@ def test_histogram_adds_up_over_batches(spark):
     run(histogram_stream(source, f"{base}/out", f"{base}/c", available_now=True))
     rows = S.read_current(spark, f"{base}/out", "bucket").orderBy("bucket").collect()
     assert [r["n"] for r in rows] == [6, 6, 6, 6, 6]
+
+
+def test_replay_after_a_failed_write_stores_nothing_twice(spark, monkeypatch):
+    from traffic_lake.streaming import pipelines
+
+    base = work_dir(spark, "replay")
+    docs = [(f"{i:024x}", '{"type":"JAM"}' if i % 3 else '{"type":1}') for i in range(9)]
+    spark.createDataFrame(docs, "mongo_id string, doc string").repartition(3).write.parquet(f"{base}/in")
+    real, calls = pipelines.upsert, []
+
+    def fails_after_writing_once(*args, **kwargs):
+        real(*args, **kwargs)
+        calls.append(1)
+        if len(calls) == 2:
+            raise OSError("lost after the write")
+
+    monkeypatch.setattr(pipelines, "upsert", fails_after_writing_once)
+
+    def stream():
+        source = spark.readStream.schema("mongo_id string, doc string").option("maxFilesPerTrigger", 1)
+        docs = source.parquet(f"{base}/in").select("mongo_id", F.parse_json("doc").alias("alert"))
+        run(processed_stream(docs, f"{base}/out", f"{base}/c", f"{base}/bad", f"{base}/m", available_now=True))
+
+    with pytest.raises(Exception, match="lost after the write"):
+        stream()
+    stream()
+    assert spark.read.parquet(f"{base}/out").count() == 6
+    assert spark.read.parquet(f"{base}/bad").count() == 3
+    assert spark.read.parquet(f"{base}/m").agg(F.sum("read_n")).first()[0] == 9
+
+
+def test_histogram_with_a_watermark(spark):
+    base = work_dir(spark, "watermark")
+    spark.range(30).select(F.timestamp_seconds(F.col("id") * 600).alias("source_timestamp")).write.parquet(f"{base}/in")
+    source = spark.readStream.schema("source_timestamp timestamp").parquet(f"{base}/in")
+    run(histogram_stream(source, f"{base}/out", f"{base}/c", watermark="1 day", available_now=True))
+    assert S.read_current(spark, f"{base}/out", "bucket").agg(F.sum("n")).first()[0] == 30
+
+
+def test_command_line(spark, land, capsys):
+    from traffic_lake.__main__ import main
+
+    folder, _ = land
+    lake = work_dir(spark, "lake")
+    main(["ingest", "--lake", lake, "--land", folder, "--once"])
+    for _ in range(2):
+        main(["raw", "--lake", lake, "--once", "--files", "1"])
+        main(["processed", "--lake", lake, "--once"])
+    assert spark.read.parquet(f"{lake}/raw/v1").count() == 3
+    assert spark.read.parquet(f"{lake}/processed/v1").count() == 3
+    assert spark.read.parquet(f"{lake}/rejected/raw-v1").count() == 2
+    main(["inspect", "--lake", lake])
+    assert "comments[0].reportMillis_santiago" in capsys.readouterr().out
+    with pytest.raises(SystemExit):
+        main(["ingest", "--lake", lake])
