@@ -116,7 +116,8 @@ def float_text(value: Column) -> Column:
     raw = F.regexp_replace(value.cast("string"), r"\.0E", "E")
     power = F.regexp_extract(raw, r"E-?(\d+)$", 1)
     mark = F.when(raw.contains("E-"), "e-").otherwise("e+")
-    scientific = F.concat(F.regexp_extract(raw, r"^([^E]*)", 1), mark, F.lpad(power, F.greatest(F.length(power), F.lit(2)), F.lit("0")))
+    digits = F.lpad(power, F.greatest(F.length(power), F.lit(2)), F.lit("0"))
+    scientific = F.concat(F.regexp_extract(raw, r"^([^E]*)", 1), mark, digits)
     return (
         F.when(value == 0, value.cast("string"))
         .when((size >= 1e-4) & (size < 1e16), plain)

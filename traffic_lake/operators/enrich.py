@@ -118,8 +118,6 @@ def flat_to_processed(
 
 # Fields whose runtime type matters stay VARIANT, under a v_ name.
 _AS_IS = ("type", "subtype", "city", "location", "pubMillis")
-
-
 _SPOT = "struct<x:variant,y:variant>"
 
 
@@ -135,9 +133,7 @@ def _picked(
     kinds |= {n: "variant" for n in _AS_IS} | {"location": spot}
     wanted = "struct<" + ",".join(f"`{n}`:{kind}" for n, kind in kinds.items()) + ">"
     doc = F.col("__doc")
-    columns = [
-        F.col(f"__doc.{n}").alias(f"v_{n}" if n in _AS_IS else n) for n in kinds
-    ]
+    columns = [F.col(f"__doc.{n}").alias(f"v_{n}" if n in _AS_IS else n) for n in kinds]
     # A generator's output is not copied into the filters that read it, so that
     # selecting good or rejected rows does not extract the document again.
     once = F.explode(F.array(F.try_variant_get(F.col(alert), "$", wanted)))
