@@ -5,9 +5,11 @@ from __future__ import annotations
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from traffic_lake import operators as O
 from traffic_lake.plans import queries, views
+from traffic_lake.schemas import PROCESSED, conform
 from traffic_lake.session import work_dir
 from traffic_lake.sinks import tables as S
 
@@ -51,7 +53,8 @@ def test_conversions_fit_the_jit(spark, bronze):
     good_raw, _ = O.split_rejects(O.to_raw(bronze))
     good, bad = O.split_rejects(O.to_processed(bronze, "source_time"))
     flat = queries()["processed_rows"](spark, SF)
-    for df in (O.to_raw(bronze), good_raw, O.to_processed(bronze), good, bad, flat):
+    table = conform(good, PROCESSED).withColumn("key_date", S.key_date(F.col("mongo_id")))
+    for df in (O.to_raw(bronze), good_raw, O.to_processed(bronze), good, bad, flat, table):
         sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", plan(df, "codegen"))]
         assert sizes and max(sizes) < 8000, sizes
 
@@ -97,8 +100,6 @@ def test_profile_reads_the_source_once_per_branch(spark, bronze):
 def test_snapshot_age_prunes_the_scan(spark):
     path = work_dir(spark, "snap")
     spark.sql("SELECT TIMESTAMP'2024-01-01 00:00:00' AS fetched_at, 1 AS v").write.parquet(path)
-    from pyspark.sql import functions as F
-
     as_of = F.lit("2024-01-01 00:01:00").cast("timestamp")
     df = S.latest_snapshot(spark.read.parquet(path), as_of=as_of)
     assert df.count() == 1

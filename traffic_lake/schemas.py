@@ -78,12 +78,13 @@ PROCESSED = T.StructType(
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Project ``df`` onto ``schema``: values that do not cast and missing columns become NULL."""
-    present = {f.name: f.dataType for f in df.schema.fields}
+    # Types are compared by name: a cast for the sake of nullability alone would rebuild structs.
+    present = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     columns = []
     for f in schema.fields:
         if f.name not in present:
             column = F.lit(None).cast(f.dataType)
-        elif present[f.name] == f.dataType:
+        elif present[f.name] == f.dataType.simpleString():
             column = F.col(f"`{f.name}`")
         else:
             column = F.col(f"`{f.name}`").try_cast(f.dataType)

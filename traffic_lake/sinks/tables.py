@@ -177,8 +177,8 @@ def ensure_target(
 
 def check_schema(df: DataFrame, schema: T.StructType) -> list[str]:
     """Columns of ``schema`` that ``df`` lacks or holds with another type."""
-    have = {f.name: f.dataType for f in df.schema.fields}
-    return [f.name for f in schema.fields if have.get(f.name) != f.dataType]
+    have = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    return [f.name for f in schema.fields if have.get(f.name) != f.dataType.simpleString()]
 
 
 def fan_out(
