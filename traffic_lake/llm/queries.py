@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
+from .seed_extend import remove_repeated_passages
+from .simhash import near_duplicates
 from .suffix_dedup import remove_repeated_substrings
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,4 +36,16 @@ def op4_suffix_dedup(spark, sf_dir):
     )
 
 
+@query
+def op7_seed_extend(spark, sf_dir):
+    docs = remove_repeated_passages(table(spark, sf_dir, "documents"))
+    return docs.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op10_simhash(spark, sf_dir):
+    docs = near_duplicates(table(spark, sf_dir, "documents"))
+    return docs.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id", "n_links")
+
+
 SQL: dict[str, str] = {}
