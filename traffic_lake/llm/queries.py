@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
+from .packing import pack
+from .radix_dedup import exact_duplicates
 from .seed_extend import remove_repeated_passages
 from .simhash import near_duplicates
+from .string_tiling import contamination
 from .suffix_dedup import remove_repeated_substrings
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,6 +39,23 @@ def op4_suffix_dedup(spark, sf_dir):
     )
 
 
+@query
+def op3_packing(spark, sf_dir):
+    return pack(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_radix_dedup(spark, sf_dir):
+    docs = exact_duplicates(table(spark, sf_dir, "documents"))
+    return docs.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+@query
+def op9_string_tiling(spark, sf_dir):
+    docs = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return docs.select("doc_id", "contaminated", F.transform(F.coalesce("items", F.array()), lambda i: i["item_id"]).alias("item_ids"))
+
+
 @query
 def op7_seed_extend(spark, sf_dir):
     docs = remove_repeated_passages(table(spark, sf_dir, "documents"))
@@ -48,4 +68,11 @@ def op10_simhash(spark, sf_dir):
     return docs.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id", "n_links")
 
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op5_radix_dedup": """
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents)
+        SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+          doc_id = max(doc_id) OVER same AS kept, sha256(t) AS text_sha256
+        FROM d WINDOW same AS (PARTITION BY t)
+    """,
+}
