@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 from .common import table
 from .packing import pack
+from .perspectives import rotate
 from .radix_dedup import exact_duplicates
 from .seed_extend import remove_repeated_passages
 from .simhash import near_duplicates
 from .string_tiling import contamination
 from .suffix_dedup import remove_repeated_substrings
+from .warc import round_trip
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -39,6 +41,13 @@ def op4_suffix_dedup(spark, sf_dir):
     )
 
 
+@query
+def op2_warc(spark, sf_dir):
+    return round_trip(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "verified"
+    )
+
+
 @query
 def op3_packing(spark, sf_dir):
     return pack(table(spark, sf_dir, "documents"))
@@ -50,6 +59,13 @@ def op5_radix_dedup(spark, sf_dir):
     return docs.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+@query
+def op8_perspectives(spark, sf_dir):
+    chats = rotate(table(spark, sf_dir, "conversations"))
+    runs = F.transform("mask", lambda r: F.concat(r["chars"].cast("string"), F.when(r["train"], "+").otherwise("-")))
+    return chats.withColumn("mask", F.array_join(runs, ""))
+
+
 @query
 def op9_string_tiling(spark, sf_dir):
     docs = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -69,6 +85,32 @@ def op10_simhash(spark, sf_dir):
 
 
 SQL: dict[str, str] = {
+    "op2_warc": """
+        WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+        f AS (SELECT page_id, octet_length(b) AS n, sha256(b) AS d, min(page_id) OVER (PARTITION BY b) AS first FROM p)
+        SELECT page_id, n AS payload_bytes, d AS payload_digest,
+          CASE WHEN n >= 100 AND page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+          CASE WHEN n >= 100 AND page_id > first THEN first END AS refers_to, true AS verified
+        FROM f
+    """,
+    "op8_perspectives": """
+        WITH m AS (
+          SELECT conv_id, turn, CAST(coalesce(floor(turn / 64.0), -1) AS BIGINT) AS part,
+            CASE WHEN coalesce(role, '') = '' THEN 'unknown' ELSE role END AS role, coalesce(text, '') AS text
+          FROM conversations),
+        s AS (SELECT DISTINCT conv_id, role AS speaker FROM m WHERE role <> 'system'),
+        r AS (
+          SELECT m.*, speaker, role = speaker AS own,
+            CASE WHEN role = 'system' THEN '<|system|>' WHEN role = speaker THEN '<|assistant|>'
+              ELSE '<|user ' || replace(role, '<|', '< |') || '|>' END || chr(10) AS head,
+            replace(text, '<|', '< |') || '<|end|>' || chr(10) AS body
+          FROM m JOIN s ON m.conv_id IS NOT DISTINCT FROM s.conv_id)
+        SELECT conv_id, speaker, part, count(*) AS n_messages,
+          string_agg(head || body, '' ORDER BY turn NULLS FIRST, role, m_text) AS text,
+          string_agg(length(head) || '-' || length(body) || CASE WHEN own THEN '+' ELSE '-' END, '' ORDER BY turn NULLS FIRST, role, m_text) AS mask,
+          CAST(sum(CASE WHEN own THEN length(body) ELSE 0 END) AS BIGINT) AS n_target_chars
+        FROM (SELECT *, text AS m_text FROM r) GROUP BY conv_id, speaker, part
+    """,
     "op5_radix_dedup": """
         WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents)
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
