@@ -69,3 +69,15 @@ def arrow_out(schema: pa.Schema, rows: Iterator[tuple], size: int = 4096, weight
             held, heavy = [], 0
     if held:
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
+
+
+def share(spark: SparkSession, value: object):
+    """A broadcast of an object of this package, whose classes the tasks' processes don't have: its plain state."""
+    return spark.sparkContext.broadcast(vars(value))
+
+
+def shared(kind: type, state: dict) -> object:
+    """The object again; all tasks of a process use the same state."""
+    out = object.__new__(kind)
+    out.__dict__ = state
+    return out

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import brown_lm, toxicity
 from .common import table
 from .packing import pack
 from .perspectives import rotate
@@ -41,6 +42,12 @@ def op4_suffix_dedup(spark, sf_dir):
     )
 
 
+@query
+def op1_toxicity(spark, sf_dir):
+    docs = toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return docs.select("doc_id", "held_out", "score", "predicted", "ratio")
+
+
 @query
 def op2_warc(spark, sf_dir):
     return round_trip(table(spark, sf_dir, "pages")).select(
@@ -72,6 +79,11 @@ def op9_string_tiling(spark, sf_dir):
     return docs.select("doc_id", "contaminated", F.transform(F.coalesce("items", F.array()), lambda i: i["item_id"]).alias("item_ids"))
 
 
+@query
+def op6_brown_lm(spark, sf_dir):
+    return brown_lm.score(table(spark, sf_dir, "documents")).drop("rid")
+
+
 @query
 def op7_seed_extend(spark, sf_dir):
     docs = remove_repeated_passages(table(spark, sf_dir, "documents"))
