@@ -29,8 +29,13 @@ def stored(df: DataFrame, path: str, **partitioned: list[str]) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def numbered(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """Columns ``rid``, ``doc_id`` and ``body`` (UTF-8 bytes, NULL as empty) of each row.
+def whole_row(docs: DataFrame):
+    """All columns, whatever their names, as the struct ``row``."""
+    return F.struct(*(F.col("`" + c.replace("`", "``") + "`") for c in docs.columns)).alias("row")
+
+
+def numbered(docs: DataFrame, text: str = "text", id_col: str = "doc_id", carry: bool = False) -> DataFrame:
+    """Columns ``rid``, ``doc_id`` and ``body`` (UTF-8 bytes, NULL as empty) of each row, with ``carry`` also ``row``, all its columns.
 
     ``rid`` tells rows apart even where ids repeat or are NULL. It follows from
     the place of a row in the files, so ``docs`` has to be a stored table.
@@ -39,9 +44,16 @@ def numbered(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> Dat
         F.monotonically_increasing_id().alias("rid"),
         F.col(id_col).cast("long").alias("doc_id"),
         F.coalesce(F.col(text).cast("binary"), F.lit(b"")).alias("body"),
+        *([whole_row(docs)] if carry else []),
     )
 
 
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows of a stored table but those whose ``rid`` (as ``numbered`` gives it) is in ``gone``."""
+    rows = docs.select(F.monotonically_increasing_id().alias("rid"), whole_row(docs))
+    return rows.join(gone.select("rid"), "rid", "left_anti").select("row.*")
+
+
 def words_of(text) -> F.Column:
     """The words of a text column as an array, JVM side; NULL and blank texts have none."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), BLANK), lambda w: w != "")
@@ -55,7 +67,9 @@ def crc_fold(doc_id, n: int):
 def arrow_rows(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[tuple]:
     """Rows of the batches, one Python tuple at a time."""
     for batch in batches:
-        yield from zip(*(batch.column(c).to_pylist() for c in columns))
+        for at in range(0, batch.num_rows, 256):  # few texts at once as Python objects
+            part = batch.slice(at, 256)
+            yield from zip(*(part.column(c).to_pylist() for c in columns))
 
 
 def arrow_out(schema: pa.Schema, rows: Iterator[tuple], size: int = 4096, weight: int = 8 << 20) -> Iterator[pa.RecordBatch]:

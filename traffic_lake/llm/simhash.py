@@ -131,7 +131,8 @@ def components(edges: DataFrame, path: str) -> DataFrame:
 def near_duplicates(
     docs: DataFrame, shingle: int = 3, radius: int = 3, text: str = "text", id_col: str = "doc_id"
 ) -> DataFrame:
-    """One row per row of ``docs``, a stored table: rid, doc_id, fingerprint (long), component_id, n_links (of the fingerprint)."""
+    """One row per row of ``docs``, a stored table: rid, doc_id, fingerprint (long), component (its smallest
+    fingerprint), component_id, n_links (of the fingerprint)."""
     spark = docs.sparkSession
     path = scratch(spark, "simhash")
     rows = stored(
@@ -146,7 +147,7 @@ def near_duplicates(
     classes = stored(
         linked.join(lowest, "root")
         .join(degree.withColumnRenamed("node", "fp"), "fp", "left")
-        .select("fp", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links")),
+        .select("fp", F.col("root").alias("component"), "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links")),
         f"{path}/classes",
     )
-    return rows.join(classes, "fp").select("rid", "doc_id", F.col("fp").alias("fingerprint"), "component_id", "n_links")
+    return rows.join(classes, "fp").select("rid", "doc_id", F.col("fp").alias("fingerprint"), "component", "component_id", "n_links")

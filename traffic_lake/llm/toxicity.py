@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import arrow_out, arrow_rows, crc_fold, numbered, scratch, share, shared, stored
 
@@ -178,14 +179,17 @@ def score(
     grams: int = GRAMS,
     text: str = "text",
     id_col: str = "doc_id",
+    carry: bool = False,
 ) -> DataFrame:
     """One row per row of ``docs``, a stored table: rid, doc_id, held_out, score, ratio (per word), predicted.
 
+    With ``carry`` there is also ``row``, a struct of all columns of ``docs``.
+
     Learns from labels of rows whose crc32 of the id modulo 3 isn't 1.
     """
     spark = docs.sparkSession
     path = scratch(spark, "toxicity")
-    rows = numbered(docs, text, id_col)
+    rows = numbered(docs, text, id_col, carry)
     fold = crc_fold(F.col("doc_id"), 3)
     known = labels.filter("toxic IN (0, 1)").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).distinct()
     known = known.withColumn("fold", fold).filter("fold <> 1").withColumn("order", F.xxhash64("doc_id"))
@@ -198,17 +202,16 @@ def score(
 
     def measured(df: DataFrame, ratio: Ratio, keep: list[str]) -> DataFrame:
         held = share(spark, ratio)
-        kind = {"toxic": pa.int32(), "rid": pa.int64(), "doc_id": pa.int64()}
 
         def measure(batches):
-            schema = pa.schema([(c, kind[c]) for c in keep] + [("x", pa.list_(pa.float64()))])
             ratio = shared(Ratio, held.value)
-            rows = ((*row[:-1], features(row[-1], ratio)) for b in batches for row in arrow_rows([b], *keep, "body"))
-            return arrow_out(schema, rows)
+            for batch in batches:
+                x = [features(body, ratio) for (body,) in arrow_rows([batch], "body")]
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(c) for c in keep), pa.array(x, pa.list_(pa.float64()))], names=[*keep, "x"]
+                )
 
-        return df.select(*keep, "body").mapInArrow(
-            measure, ", ".join(f"{c} {'int' if c == 'toxic' else 'long'}" for c in keep) + ", x array<double>"
-        )
+        return df.select(*keep, "body").mapInArrow(measure, df.select(*keep).schema.add("x", T.ArrayType(T.DoubleType())))
 
     sides = {(r["toxic"], r["fold"]) for r in sample.select("toxic", "fold").distinct().collect()}
     if len(sides) < 4:  # a class or a part of it is missing
@@ -226,7 +229,7 @@ def score(
     for i in range(4):
         total = total + F.col("x")[i] * float(weights[i])
     return (
-        measured(rows, ratio, ["rid", "doc_id"])
+        measured(rows, ratio, ["rid", "doc_id", *(["row"] if carry else [])])
         .withColumn("score", 1 / (1 + F.exp(-total)))
         .select(
             "rid",
@@ -235,5 +238,6 @@ def score(
             "score",
             F.col("x")[0].alias("ratio"),
             (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
+            *(["row"] if carry else []),
         )
     )
