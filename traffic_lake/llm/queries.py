@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
+
 from . import brown_lm, toxicity
 from .common import table
 from .packing import pack
@@ -96,6 +98,11 @@ def op10_simhash(spark, sf_dir):
     return docs.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id", "n_links")
 
 
+@query
+def pipeline(spark, sf_dir):
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 SQL: dict[str, str] = {
     "op2_warc": """
         WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
