@@ -90,15 +90,10 @@ def test_ratio_is_a_ratio_of_distributions():
             counts[g, side] += 1
     ratio = toxicity.Ratio({g: (counts[g, 0], counts[g, 1]) for g, _ in counts})
     letters = {g[-1] for g in ratio.counts} | {"z"}  # z stands for what was never seen
-    for context in {g[:-1] for g in ratio.counts}:
+    for context in {g[:-1] for g in ratio.counts} | {"unseen"[: toxicity.ORDER - 1]}:
         for side in (0, 1):
-            total = ratio.total[side][context]
-            if total:
-                mass = 0.0
-                for x in letters:
-                    seen = max(ratio.counts.get(context + x, (0, 0))[side] - toxicity.DISCOUNT, 0)
-                    mass += (seen + toxicity.DISCOUNT * ratio.kinds[side][context] * ratio.shared(context[1:] + x)) / total
-                assert mass == pytest.approx(1)
+            assert sum(ratio.chance(context + x, side) for x in letters) == pytest.approx(1)
+    assert ratio("abba") < 0 < ratio("baab") and ratio("(abab).") == ratio("abab")
 
 
 # Language model

@@ -34,11 +34,11 @@ from .common import arrow_out, arrow_rows, crc_fold, numbered, scratch, share, s
 
 ORDER, DISCOUNT = 6, 0.75
 #: Bounds of what is learnt from: rows of a class, character sequences.
-PER_CLASS, GRAMS = 6000, 300_000
+PER_CLASS, GRAMS = 6000, 150_000
 WINDOW = 40
 THRESHOLD = 0.7
-#: Words whose ratio a task remembers.
-REMEMBERED = 300_000
+#: Words, and character sequences, whose ratio a task remembers.
+REMEMBERED = 500_000
 PAD = "\x02" * (ORDER - 1)
 _TRIM = ".,;:!?\"'()[]{}|*%#&$<>"
 
@@ -54,65 +54,72 @@ class Ratio:
 
     def __init__(self, counts: dict[str, tuple[int, int]]):
         self.counts = counts
-        self.total = [Counter(), Counter()]
-        self.kinds = [Counter(), Counter()]
+        #: Of each class and context: how many characters followed, and how many different ones.
+        self.follow: tuple[dict[str, tuple[int, int]], ...] = ({}, {})
         for gram, pair in counts.items():
             for side in (0, 1):
                 if pair[side]:
-                    self.total[side][gram[:-1]] += pair[side]
-                    self.kinds[side][gram[:-1]] += 1
-        # shared lower orders: in how many ways a sequence continues one that is longer by a character
-        self.ways, self.from_total, self.from_kinds = [], [], []
-        longer = set(counts)
-        while longer and len(next(iter(longer))) > 1:
+                    total, kinds = self.follow[side].get(gram[:-1], (0, 0))
+                    self.follow[side][gram[:-1]] = total + pair[side], kinds + 1
+        # Shared lower orders, by sequence (orders differ in length): in how many ways it
+        # continues one that is longer by a character, and the same sums for its contexts.
+        self.ways: dict[str, int] = {}
+        self.followed: dict[str, tuple[int, int]] = {}
+        longer = list(counts)
+        while longer and len(longer[0]) > 1:
             ways = Counter(g[1:] for g in longer)
-            total, kinds = Counter(), Counter()
             for g, n in ways.items():
-                total[g[:-1]] += n
-                kinds[g[:-1]] += 1
-            self.ways.append(ways)
-            self.from_total.append(total)
-            self.from_kinds.append(kinds)
-            longer = set(ways)
+                total, kinds = self.followed.get(g[:-1], (0, 0))
+                self.followed[g[:-1]] = total + n, kinds + 1
+            self.ways.update(ways)
+            longer = list(ways)
         self.characters = len(longer) + 1
         self.words: dict[str, float] = {}
+        self.steps: dict[str, float] = {}
         self.shares: dict[str, float] = {}
 
-    def shared(self, gram: str, level: int = 0) -> float:
-        if level == len(self.ways):
+    def shared(self, gram: str) -> float:
+        """Kneser-Ney chance of the last character after the others, from the pooled continuation counts."""
+        if not gram:
             return 1 / self.characters
-        if level == 0 and gram in self.shares:
-            return self.shares[gram]
-        total = self.from_total[level][gram[:-1]]
-        below = self.shared(gram[1:], level + 1)
-        if not total:
-            out = below
-        else:
-            kept = max(self.ways[level][gram] - DISCOUNT, 0) if gram in self.ways[level] else 0
-            out = (kept + DISCOUNT * self.from_kinds[level][gram[:-1]] * below) / total
-        if level == 0:
+        out = self.shares.get(gram)
+        if out is None:
+            out, context = self.shared(gram[1:]), self.followed.get(gram[:-1])
+            if context:
+                out = (max(self.ways.get(gram, 0) - DISCOUNT, 0) + DISCOUNT * context[1] * out) / context[0]
             self.shares[gram] = out
         return out
 
+    def chance(self, gram: str, side: int) -> float:
+        """Chance of the last character in a class."""
+        share, context = self.shared(gram[1:]), self.follow[side].get(gram[:-1])
+        if not context:
+            return share
+        kept = self.counts[gram][side] - DISCOUNT if gram in self.counts else 0
+        return (max(kept, 0) + DISCOUNT * context[1] * share) / context[0]
+
     def step(self, gram: str) -> float:
-        context = gram[:-1]
-        totals = [t[context] for t in self.total]
-        if not any(totals):
+        if gram[:-1] not in self.follow[0] and gram[:-1] not in self.follow[1]:
             return 0.0
-        share, pair = self.shared(gram[1:]), self.counts.get(gram, (0, 0))
-        p = [
-            (max(pair[s] - DISCOUNT, 0) + DISCOUNT * self.kinds[s][context] * share) / totals[s] if totals[s] else share
-            for s in (0, 1)
-        ]
-        return log(p[1] / p[0])
+        return log(self.chance(gram, 1) / self.chance(gram, 0))
 
     def __call__(self, token: str) -> float:
-        out = self.words.get(token)
+        bare = token.strip(_TRIM)
+        out = self.words.get(bare)
         if out is None:
+            if len(self.steps) >= REMEMBERED:
+                self.steps.clear()
+                self.shares.clear()
+            out, steps = 0.0, self.steps
+            for gram in spelled(bare):
+                step = steps.get(gram)
+                if step is None:
+                    step = steps[gram] = self.step(gram)
+                out += step
             if len(self.words) >= REMEMBERED:
                 self.words.clear()
-                self.shares.clear()
-            out = self.words[token] = sum(map(self.step, spelled(token)))
+            self.words[bare] = out
+        self.words[token] = out
         return out
 
 
@@ -121,7 +128,8 @@ def features(body: bytes, ratio: Ratio) -> list[float]:
     tokens = body.decode("utf-8", "replace").lower().split()
     if not tokens:
         return [0.0] * 4
-    each = np.clip(np.fromiter(map(ratio, tokens), float, len(tokens)), -12, 12)
+    known = ratio.words
+    each = np.clip(np.array([known[t] if t in known else ratio(t) for t in tokens]), -12, 12)
     n = len(each)
     if n <= WINDOW:
         worst = each.sum() / (n + 5)
@@ -223,6 +231,7 @@ def score(
         # the classes were taken in other shares than they have among the labels
         have = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
         taken = {r["toxic"]: r["count"] for r in chosen.groupBy("toxic").count().collect()}
+        del first
         weights[-1] += log(have[1] / have[0]) - log(taken[1] / taken[0])
         ratio = Ratio(_count(sample.select("toxic", "body"), grams))
     total = F.lit(float(weights[-1]))
