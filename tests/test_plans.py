@@ -104,3 +104,28 @@ def test_snapshot_age_prunes_the_scan(spark):
     df = S.latest_snapshot(spark.read.parquet(path), as_of=as_of)
     assert df.count() == 1
     assert "GreaterThan(fetched_at,2023-12-31 23:56:00" in plan(df)
+
+
+def test_current_rows_are_not_ranked_with_their_values(spark):
+    path, into = work_dir(spark, "current"), work_dir(spark, "compacted")
+    df = views.alerts(spark, SF).selectExpr("mongo_id", "type AS wide", "DATE'2024-01-01' AS day")
+    S.upsert(df, path, 0, partition_by=["day"])
+    once = S.read_current(spark, path, partition_by=["day"])
+    assert "Exchange" not in plan(once)
+    S.upsert(df.withColumn("wide", F.lit("new")), path, 1, partition_by=["day"])
+    S.upsert(df.withColumn("day", F.lit("2024-01-02").cast("date")), path, 2, partition_by=["day"])
+    text = plan(S.read_current(spark, path, partition_by=["day"]), "simple")
+    for line in text.split("\n"):
+        if "partial_max" in line or "partial_count" in line:
+            assert "wide" not in line
+    S.compact(spark, path, into, partition_by=["day"])
+    compacted = S.read_current(spark, into, partition_by=["day"])
+    assert "Exchange" not in plan(compacted)
+    assert compacted.count() == S.read_current(spark, path, partition_by=["day"]).count()
+
+
+def test_appends_write_few_files(spark, bronze):
+    path = work_dir(spark, "files")
+    S.append_events(bronze.repartition(8), path)
+    days = spark.read.parquet(path).select("ingest_date").distinct().count()
+    assert len(spark.read.parquet(path).inputFiles()) <= 2 * days

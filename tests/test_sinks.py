@@ -115,15 +115,6 @@ def test_fan_out(spark, where):
     assert seen.is_set() and spark.read.parquet(where).count() == 1
 
 
-def test_merge_needs_a_format_that_can(spark):
-    frame(spark, [("a", 1)]).write.mode("overwrite").saveAsTable("merge_target")
-    try:
-        with pytest.raises(PySparkException):
-            S.merge_upsert(frame(spark, [("a", 2)]), "merge_target")
-    finally:
-        spark.sql("DROP TABLE merge_target")
-
-
 def test_work_dir(spark):
     assert work_dir(spark, "x") != work_dir(spark, "x")
     before = spark.conf.get("spark.checkpoint.dir", None)

@@ -49,7 +49,7 @@ def test_batch_read(spark, land):
     bronze = sources.explode_alerts(snapshots)
     assert uuids(bronze) == ["None", "u1", "u1", "u2", "u3"]
     keys = [r["mongo_id"] for r in bronze.collect()]
-    assert len(set(keys)) == 5 and all(len(k) == 24 and int(k, 16) >= 0 for k in keys)
+    assert len(set(keys)) == 5 and all(len(k) == 88 and int(k, 16) >= 0 for k in keys)
     assert keys == [r["mongo_id"] for r in sources.explode_alerts(sources.read_alert_snapshots(spark, folder)).collect()]
     bad = {r["file_name"]: r["_corrupt_record"] for r in sources.quarantine_corrupt(snapshots).collect()}
     assert bad == {"d.json": "{bad", "f.json": '{"alerts": "text"}'}
@@ -203,3 +203,70 @@ def test_command_line(spark, land, capsys):
     assert "comments[0].reportMillis_santiago" in capsys.readouterr().out
     with pytest.raises(SystemExit):
         main(["ingest", "--lake", lake])
+
+
+def test_equal_envelopes_and_repeated_keys(spark):
+    folder = work_dir(spark, "equal")
+    os.makedirs(folder)
+    line = '{"fetched_at":"2024-05-01T10:00:00Z","alerts":[{"uuid":"u1","type":"JAM","type":"HAZARD"},{"uuid":"u2"}]}'
+    for name in ("a", "b"):
+        with open(f"{folder}/{name}.json", "w") as f:
+            f.write("\n".join([line] * 4 + ["", '{"fetched_at":1714557600000,"alerts":[{"uuid":"u3"}]}']))
+    read = lambda: sources.explode_alerts(sources.read_alert_snapshots(spark, folder, multi_line=False))
+    rows = read().selectExpr("mongo_id", "CAST(fetched_at AS STRING) AS at", "variant_get(alert, '$.type', 'string') AS type").collect()
+    assert len(rows) == len({r["mongo_id"] for r in rows}) == 18
+    assert {r["at"] for r in rows} == {"2024-05-01 10:00:00"} and {r["type"] for r in rows} == {"HAZARD", None}
+    assert {r["mongo_id"] for r in read().collect()} == {r["mongo_id"] for r in rows}
+
+
+def test_keys_of_one_second(spark):
+    """Millions of envelopes of one second: no two share a key."""
+    many = spark.range(3_000_000).select(
+        sources.alert_key(F.timestamp_seconds(F.lit(1714557600)), F.sha2(F.col("id").cast("string"), 256), F.lit(0), F.lit(0)).alias("k")
+    )
+    assert many.agg(F.count_distinct("k")).first()[0] == 3_000_000
+
+
+def test_late_files_are_read(spark):
+    base = work_dir(spark, "late")
+    os.makedirs(f"{base}/land")
+
+    def land(name, at):
+        with open(f"{base}/land/{name}.json", "w") as f:
+            f.write(json.dumps({"alerts": [{"uuid": name}]}))
+        os.utime(f"{base}/land/{name}.json", (at, at))
+
+    for name, at in (("new", 1714557600), ("old", 1714557600 - 40 * 86400)):
+        land(name, at)
+        run(ingest_stream(spark, f"{base}/land", f"{base}/d", f"{base}/c", available_now=True))
+    assert uuids(sources.read_bronze(spark, f"{base}/d")) == ["new", "old"]
+
+
+def test_exports_are_counted_where_they_are_written(spark, monkeypatch):
+    from traffic_lake.streaming import pipelines
+
+    base = work_dir(spark, "exports")
+    docs = [(f"{i:024x}", json.dumps({"type": "JAM", "subtype": "x"})) for i in range(10)]
+    spark.createDataFrame(docs, "mongo_id string, doc string").selectExpr(
+        "mongo_id", "timestamp_seconds(0) AS fetched_at", "'f' AS file_name", "0 AS pos", "parse_json(doc) AS alert"
+    ).write.parquet(f"{base}/d")
+    whole = pipelines.conform
+    monkeypatch.setattr(pipelines, "conform", lambda df, schema: whole(df, schema).filter("mongo_id > '000000000000000000000003'"))
+    run(raw_stream(sources.read_bronze(spark, f"{base}/d", True), f"{base}/t", f"{base}/c", metrics=f"{base}/m", available_now=True))
+    row = spark.read.parquet(f"{base}/m").first()
+    assert (row["converted_n"], row["exported_n"]) == (10, 6)
+
+
+def test_fresh_checkpoint_is_a_later_run(spark):
+    base = work_dir(spark, "runs")
+
+    def store(number, rows):
+        spark.createDataFrame(rows, "mongo_id string, doc string").selectExpr(
+            "mongo_id", "timestamp_seconds(0) AS fetched_at", "'f' AS file_name", "0 AS pos", "parse_json(doc) AS alert"
+        ).coalesce(1).write.parquet(f"{base}/d{number}")
+        run(raw_stream(sources.read_bronze(spark, f"{base}/d{number}", True), f"{base}/t", f"{base}/c{number}", available_now=True))
+
+    store(1, [(f"{i:024x}", '{"uuid":"first"}') for i in range(6)] + [("0" * 24, '{"uuid":"first"}')])
+    store(2, [(f"{9:024x}", '{"uuid":"second"}'), (f"{1:024x}", '{"uuid":"second"}')])
+    current = S.read_current(spark, f"{base}/t", partition_by=["key_date"])
+    assert sorted(r["uuid"] for r in current.collect()) == ["first"] * 5 + ["second"] * 2

@@ -32,7 +32,10 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         if document_count(stored).first()["n"] == 0:
             print("no documents stored yet")
         else:
-            inspect_fields(stored, newest=args.newest).show(1000, truncate=False)
+            found = inspect_fields(stored, newest=args.newest)
+            print(*found.columns, sep="\t")
+            for row in found.toLocalIterator():  # every path, however many
+                print(*row, sep="\t")
         return
     if args.stage == "ingest":
         query = ingest_stream(

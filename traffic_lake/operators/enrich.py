@@ -9,7 +9,7 @@ Two input forms share the same expressions:
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 from operator import and_
 
@@ -118,11 +118,17 @@ def flat_to_processed(
 
 # Fields whose runtime type matters stay VARIANT, under a v_ name.
 _AS_IS = ("type", "subtype", "city", "location", "pubMillis")
-_SPOT = "struct<x:variant,y:variant>"
+_SPOT = "struct<x:variant,y:variant,lat:double,lon:double>"
 
 
 def _picked(
-    df: DataFrame, alert: str, text: list[str], ints: list[str], floats: list[str], spot: str = "variant"
+    df: DataFrame,
+    alert: str,
+    text: list[str],
+    ints: list[str],
+    floats: list[str],
+    spot: str = "variant",
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Extract every needed field in one pass over the document.
 
@@ -137,8 +143,8 @@ def _picked(
     # A generator's output is not copied into the filters that read it, so that
     # selecting good or rejected rows does not extract the document again.
     once = F.explode(F.array(F.try_variant_get(F.col(alert), "$", wanted)))
-    return df.select("mongo_id", alert, once.alias("__doc")).select(
-        "mongo_id", alert, doc.isNotNull().alias("is_object"), *columns
+    return df.select("mongo_id", alert, *keep, once.alias("__doc")).select(
+        "mongo_id", alert, *keep, doc.isNotNull().alias("is_object"), *columns
     )
 
 
@@ -177,8 +183,8 @@ def _times(df: DataFrame) -> DataFrame:
     )
 
 
-def to_raw(df: DataFrame, alert: str = "alert") -> DataFrame:
-    """Raw table rows from documents, with ``reject_reason`` and ``warning``.
+def to_raw(df: DataFrame, alert: str = "alert", keep: Sequence[str] = ()) -> DataFrame:
+    """Raw table rows from documents, with ``reject_reason`` and ``warning``; other columns to ``keep`` stay.
 
     Coordinates given as text are parsed; a bad point or time leaves its
     column NULL and keeps the row. A number as ``location`` rejects the row.
@@ -186,7 +192,7 @@ def to_raw(df: DataFrame, alert: str = "alert") -> DataFrame:
     text = [n for n in RAW_TEXT if n not in _AS_IS]
     spot = F.col("v_location")
     df = (
-        _times(_picked(df, alert, text, RAW_INT, RAW_FLOAT))
+        _times(_picked(df, alert, text, RAW_INT, RAW_FLOAT, keep=keep))
         .withColumn("spot", F.try_variant_get(spot, "$", _SPOT))
         .withColumns(
             {n: _text(n) for n in RAW_TEXT if n in _AS_IS}
@@ -198,7 +204,7 @@ def to_raw(df: DataFrame, alert: str = "alert") -> DataFrame:
         "location_not_object",
     )
     df = df.withColumns({"location": A.geo_point(F.col("x"), F.col("y")), "reject_reason": reason})
-    return df.select(*[f.name for f in RAW.fields], alert, "reject_reason", "warning")
+    return df.select(*[f.name for f in RAW.fields], alert, "reject_reason", "warning", *keep)
 
 
 def to_processed(
@@ -225,6 +231,8 @@ def to_processed(
         }
     )
     has_point, given = F.col("has_point"), F.col("v_city")
+    for axis, other in (("x", "lon"), ("y", "lat")):
+        df = df.withColumn(f"l_{axis}", F.when(has_point, F.col(f"p_{axis}")).otherwise(F.col(f"v_location.{other}")))
     reason = (
         F.when(~F.col("is_object"), "alert_not_object")
         .when(~V.is_text(V.type_name(F.col("v_type"))), "type_not_text")
@@ -247,7 +255,8 @@ def to_processed(
                 name.alias("ciudad"),
                 A.zone(F.col("city"), F.col("p_x"), F.col("p_y"), rules, has_point).alias("zona"),
             ),
-            "location": A.geo_point(F.col("p_x"), F.col("p_y")),
+            # Without x and y the object stays what it is: a point if it has lat and lon.
+            "location": A.geo_point(F.col("l_x"), F.col("l_y"), cast=False),
             "reject_reason": reason,
         }
     )

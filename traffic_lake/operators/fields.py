@@ -11,7 +11,6 @@ from .incremental import recent_sample
 
 SAMPLES = 5
 SAMPLE_CHARS = 100
-MAX_DEPTH = 8
 
 # Category words looked for in the lower-cased path, in order of precedence.
 CORE_PATHS = ("_id", "type", "subtype")
@@ -47,25 +46,33 @@ def _levels(df: DataFrame, depth: int, alert: str, keep: list[str]) -> tuple[Dat
     return df, names
 
 
-def document_depth(df: DataFrame, alert: str = "alert", start: int = 4) -> int:
-    """Levels needed to reach every path; one boolean per pass reaches the driver."""
-    depth = start
-    while True:
-        levels, names = _levels(df, depth + 1, alert, [])
-        if not levels.agg(F.bool_or(F.size(names[-1]) > 0)).first()[0]:
-            return depth
-        depth *= 2
+def document_depth(df: DataFrame, alert: str = "alert") -> int:
+    """Levels that reach every path: the deepest nesting of brackets, found in one
+    pass of which a number reaches the driver."""
+    text = F.to_json(F.struct(F.col(alert).alias("v")))
+    quoted = r'"(?:[^"\\]|\\.)*"'
+    brackets = F.regexp_replace(F.regexp_replace(text, quoted, ""), r"[^\[\]{}]", "")
+    deepest = F.aggregate(
+        F.split(brackets, ""),
+        F.struct(F.lit(0).alias("now"), F.lit(0).alias("most")),
+        lambda at, c: F.struct(
+            (at["now"] + F.when(c.isin("{", "["), 1).when(c.isin("}", "]"), -1).otherwise(0)).alias("now"),
+            F.greatest(at["most"], at["now"]).alias("most"),
+        ),
+        lambda at: at["most"],
+    )
+    return max(1, df.agg(F.max(deepest)).first()[0] or 1)
 
 
 def flatten_paths(
-    df: DataFrame, alert: str = "alert", key: str = "mongo_id", max_depth: int | None = MAX_DEPTH
+    df: DataFrame, alert: str = "alert", key: str = "mongo_id", max_depth: int | None = None
 ) -> DataFrame:
     """One row per document and path: ``key, path, value``.
 
     Objects give ``a.b``; a list whose first element is an object gives
-    ``a[0].b`` for that element only. The source is read once whatever the
-    depth. A document deeper than ``max_depth`` fails the query instead of
-    losing paths; ``max_depth=None`` takes an extra pass to measure the depth.
+    ``a[0].b`` for that element only. The depth is measured in a pass of its own.
+    With ``max_depth`` that pass is saved, and a document deeper than that fails
+    the query instead of losing paths.
     """
     depth = document_depth(df, alert) if max_depth is None else max_depth
     levels, names = _levels(df, depth + 1, alert, [key])
@@ -131,7 +138,7 @@ def profile_fields(
     df: DataFrame,
     alert: str = "alert",
     key: str = "mongo_id",
-    max_depth: int | None = MAX_DEPTH,
+    max_depth: int | None = None,
     samples: int = SAMPLES,
 ) -> DataFrame:
     """One row per path: ``path, n, pct, types, null_n, null_pct, samples``."""

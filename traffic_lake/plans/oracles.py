@@ -6,9 +6,11 @@ over the given tables.
 
 from __future__ import annotations
 
-from .views import REJECT_DOC
+from .views import EXTRA, REJECT_DOC
 
-ALERTS = """alerts AS (SELECT event_id,
+EXTRA_COLUMNS = ", ".join(f'{sql} AS "{name}"' for name, sql in EXTRA.items())
+
+ALERTS = f"""alerts AS (SELECT event_id,
   lpad(lower(to_hex(event_id)), 24, '0') AS mongo_id,
   concat('u-', CAST(event_id % 997 AS VARCHAR)) AS uuid,
   CASE event_id % 9 WHEN 0 THEN 'accident' WHEN 1 THEN 'HAZARD' WHEN 2 THEN 'jam' WHEN 3 THEN 'ROAD_CLOSED'
@@ -21,7 +23,7 @@ ALERTS = """alerts AS (SELECT event_id,
   CAST(event_id % 11 AS INT) AS reliability,
   CAST(event_id % 6 AS INT) AS confidence,
   CAST(user_id % 7 AS INT) AS "nThumbsUp",
-  CAST(date_trunc('hour', ts) AS TIMESTAMP) AS snapshot_ts, ts
+  CAST(date_trunc('hour', ts) AS TIMESTAMP) AS snapshot_ts, ts, {EXTRA_COLUMNS}
 FROM events)"""
 
 DOCS = """docs AS (SELECT event_id, lpad(lower(to_hex(event_id)), 24, '0') AS mongo_id,
@@ -118,13 +120,10 @@ TIME_GROUP = f"""{day_part('loc')} AS categoria_dia, {weekday('loc')} AS dia_sem
   {iso('loc')} || {offset('utc', 'loc')} AS timestamp_chile"""
 SOURCE_TS = """CASE WHEN "pubMillis" <> 0 THEN """ + iso('make_timestamp("pubMillis" * 1000)') + """ || '+00:00' END"""
 
-RAW_COLUMNS = """mongo_id, CAST(NULL AS VARCHAR) AS country, city, CAST(NULL AS VARCHAR) AS street, type, subtype,
-  CAST(NULL AS VARCHAR) AS "roadType", CAST(NULL AS VARCHAR) AS "turnType", CAST(NULL AS VARCHAR) AS "endNode",
-  CAST(NULL AS VARCHAR) AS "alertType", CAST(NULL AS VARCHAR) AS "reportDescription", uuid, "pubMillis",
-  CAST(NULL AS FLOAT) AS speed, CAST(NULL AS FLOAT) AS length, CAST(NULL AS INT) AS delay,
-  CAST(NULL AS INT) AS severity, CAST(NULL AS INT) AS "reportRating", confidence, reliability,
-  CAST(NULL AS INT) AS "jamLevel", CAST(NULL AS INT) AS "alertsCount", CAST(NULL AS INT) AS irregularities,
-  CAST(NULL AS INT) AS "driversCount", CAST(NULL AS INT) AS level, y AS lat, x AS lon, """ + SOURCE_TS + " AS source_timestamp"
+RAW_COLUMNS = """mongo_id, country, city, street, type, subtype, "roadType", "turnType", "endNode", "alertType",
+  "reportDescription", uuid, "pubMillis", speed, length, delay, severity, "reportRating", confidence, reliability,
+  "jamLevel", "alertsCount", irregularities, "driversCount", level, y AS lat, x AS lon, """ + SOURCE_TS + """ AS source_timestamp,
+  true AS stamped"""
 
 GROUPS = f"""{TIPO} AS tipo, {SUBTIPO} AS subtipo, {PRIORIDAD} AS prioridad,
   {CIUDAD} AS ciudad, {ZONA} AS zona"""
@@ -134,9 +133,10 @@ RAW_SQL = f"WITH {ALERTS} SELECT {RAW_COLUMNS} FROM alerts"
 PROCESSED_DOC_SQL = f"""WITH {ALERTS}, timed AS (SELECT *,
     CASE WHEN "pubMillis" <> 0 THEN make_timestamp("pubMillis" * 1000) END AS utc,
     {local('CASE WHEN "pubMillis" <> 0 THEN make_timestamp("pubMillis" * 1000) END')} AS loc FROM alerts)
-  SELECT mongo_id, CAST(NULL AS VARCHAR) AS country, city, CAST(NULL AS VARCHAR) AS street, type, subtype,
-    CAST(NULL AS VARCHAR) AS "reportBy", uuid, CAST(NULL AS VARCHAR) AS id, "pubMillis", reliability, confidence,
-    "nThumbsUp", CAST(NULL AS INT) AS "nComments", y AS lat, x AS lon, {SOURCE_TS} AS source_timestamp,
+  SELECT mongo_id, country, city, street, type, subtype, "reportBy", uuid, id, "pubMillis", reliability, confidence,
+    "nThumbsUp", "nComments", CASE WHEN x IS NULL AND event_id % 34 = 0 THEN -33.5e0 ELSE y END AS lat,
+    CASE WHEN x IS NULL AND event_id % 34 = 0 THEN CAST(event_id % 7 - 74 AS DOUBLE) ELSE x END AS lon,
+    {SOURCE_TS} AS source_timestamp,
     {GROUPS}, {TIME_GROUP} FROM timed"""
 
 NUMERIC = "('UBIGINT', 'BIGINT', 'DOUBLE', 'BOOLEAN')"
@@ -174,14 +174,16 @@ FIELDS = {
     "type": "type",
     "subtype": "subtype",
     "city": "city",
-    "location": "x",
+    "location": "CASE WHEN x IS NOT NULL OR event_id % 34 = 0 THEN 1 END",
+    "location.lat": "CASE WHEN x IS NULL AND event_id % 34 = 0 THEN 1 END",
+    "location.lon": "CASE WHEN x IS NULL AND event_id % 34 = 0 THEN 1 END",
     "location.x": "x",
     "location.y": "y",
     "pubMillis": '"pubMillis"',
     "reliability": "reliability",
     "confidence": "confidence",
     "nThumbsUp": '"nThumbsUp"',
-}
+} | {name: f'"{name}"' for name in EXTRA}
 COUNTED = "counted AS (" + " UNION ALL ".join(
     f"SELECT '{path}' AS path, count({column}) AS n FROM alerts" for path, column in FIELDS.items()
 ) + ")"
@@ -224,7 +226,8 @@ _SQL: dict[str, str] = {
     "raw_documents": RAW_SQL,
     "raw_stream": RAW_SQL,
     "processed_rows": f"""WITH {ALERTS}, {TIMED} SELECT mongo_id, uuid, type, subtype, city, "pubMillis", reliability,
-        confidence, "nThumbsUp", y AS lat, x AS lon, {SOURCE_TS} AS source_timestamp, {GROUPS}, {TIME_GROUP} FROM timed""",
+        confidence, "nThumbsUp", country, street, "reportBy", id, "nComments", y AS lat, x AS lon, {SOURCE_TS} AS source_timestamp,
+        true AS stamped, {GROUPS}, {TIME_GROUP} FROM timed""",
     "processed_documents": PROCESSED_DOC_SQL,
     "processed_stream": PROCESSED_DOC_SQL,
     "keep_list": f'WITH {ALERTS} SELECT mongo_id, type, subtype, x, y, "pubMillis", city, reliability FROM alerts',
@@ -236,8 +239,8 @@ _SQL: dict[str, str] = {
       WHERE mongo_id > (SELECT max(mongo_id) FROM alerts WHERE ts < TIMESTAMP '2024-01-15') ORDER BY mongo_id LIMIT 100""",
     "incremental_backlog": """SELECT event_id, event_type FROM events
       WHERE event_id > (SELECT max(event_id) FROM events WHERE ts < TIMESTAMP '2024-01-15') ORDER BY event_id""",
-    "resume_mark_raw": f"WITH {ALERTS} SELECT max(mongo_id) AS mark FROM alerts WHERE ts < TIMESTAMP '2024-01-15'",
-    "resume_mark_processed": f"""WITH {ALERTS} SELECT mongo_id AS mark FROM alerts WHERE ts < TIMESTAMP '2024-01-15'
+    "resume_mark_raw": f"WITH {ALERTS} SELECT max(mongo_id) AS mark FROM alerts",
+    "resume_mark_processed": f"""WITH {ALERTS} SELECT mongo_id AS mark FROM alerts
       ORDER BY snapshot_ts DESC, mongo_id DESC LIMIT 1""",
     "recent_sample": f"WITH {ALERTS} SELECT mongo_id, type, city FROM alerts ORDER BY mongo_id DESC LIMIT 100",
     "collection_count": "SELECT count(*) AS n FROM events",
@@ -274,17 +277,17 @@ _SQL: dict[str, str] = {
         category <> 'metadata' AND (left(path, 1) <> '_' OR path = '_id') AS keep FROM classed""",
     "latest_snapshot": f"""WITH {ALERTS} SELECT mongo_id, type FROM alerts
       WHERE snapshot_ts = (SELECT max(snapshot_ts) FROM alerts)""",
-    "expired_snapshot": f"""WITH {ALERTS}, clock AS (SELECT max(snapshot_ts) AS newest,
-        max(snapshot_ts) + INTERVAL 300 SECOND AS as_of FROM alerts)
-      SELECT count(*) AS n FROM alerts, clock WHERE snapshot_ts = newest AND snapshot_ts > as_of - INTERVAL 300 SECOND""",
+    "expired_snapshot": f"""WITH {ALERTS}, newest AS (SELECT count(*) AS n FROM alerts
+        WHERE snapshot_ts = (SELECT max(snapshot_ts) FROM alerts))
+      SELECT 299 AS age, n FROM newest UNION ALL SELECT 300, 0 UNION ALL SELECT 301, 0""",
     "append_by_day": f"""WITH {ALERTS} SELECT 'appended' AS mode, strftime(snapshot_ts, '%Y-%m-%d') AS ingest_date,
         2 * count(*) AS n FROM alerts GROUP BY 2
       UNION ALL SELECT 'replayed', strftime(snapshot_ts, '%Y-%m-%d'), count(*) FROM alerts GROUP BY 2""",
     "upsert_last_wins": NEWEST,
     "compacted_target": NEWEST,
-    "ensure_target_state": """SELECT * FROM (VALUES (1, 'create', 'v1', 0)) s(step, state, version, v1_rows)
-      UNION ALL SELECT 2, 'rebuild', 'v2', CAST(count(*) AS INT) FROM events
-      UNION ALL SELECT 3, 'ok', 'v2', CAST(count(*) AS INT) FROM events""",
+    "ensure_target_state": f"""WITH {ALERTS}, a AS (SELECT CAST(count(*) AS INT) AS n, max(mongo_id) AS most FROM alerts)
+      SELECT 1 AS step, 'create' AS state, 'v1' AS version, 0 AS v1_rows, '' AS v1_greatest
+      UNION ALL SELECT 2, 'rebuild', 'v2', n, most FROM a UNION ALL SELECT 3, 'ok', 'v2', n, most FROM a""",
     "fan_out_counts": """SELECT 'events' AS sink, count(*) AS n, 1 AS failed_sinks FROM events
       UNION ALL SELECT 'zones', count(*), 1 FROM events""",
     "snapshot_read": f'WITH {ALERTS}, {LANDED} SELECT uuid, "pubMillis", pos FROM exploded',
@@ -296,7 +299,20 @@ _SQL: dict[str, str] = {
     "cycle_metrics": f"""WITH {REJECT_DOCS}, {REASONS} SELECT count(*) AS read_n, count(*) - count(processed_reason) AS converted_n,
         count(*) - count(processed_reason) AS exported_n, count(processed_reason) AS failed_n,
         count(*) - count(processed_reason) AS stored_n, count(processed_reason) AS dead_letter_n FROM judged""",
-    "gated_stream": "SELECT true AS stopped, true AS unwritten, count(*) AS pig_time_filter FROM events",
+    "gated_stream": """SELECT 'dirty' AS source, true AS stopped, 0 AS stored_n,
+        count(*) FILTER (event_type = 'signup') AS pig_time_filter FROM events
+      UNION ALL SELECT 'clean', false, count(*) FILTER (event_type <> 'signup'), 0 FROM events""",
+    "snapshot_repeats": """SELECT sum(2 * (1 + event_id % 4)) AS documents, sum(2 * (1 + event_id % 4)) AS keys,
+        sum(1 + event_id % 4) AS last_value, sum(2 * (1 + event_id % 4)) AS raw_rows FROM events""",
+    "snapshot_fetch_time": f"""WITH {ALERTS} SELECT uuid, strftime(snapshot_ts, '%Y-%m-%d %H:%M:%S') AS fetched_at,
+        epoch_us(snapshot_ts) // 1000000 AS key_seconds FROM alerts WHERE snapshot_ts = (SELECT max(snapshot_ts) FROM alerts)""",
+    "deep_profile": """WITH levels AS (SELECT unnest(range(1, event_id % 13 + 2)) AS k, event_id % 13 + 1 AS depth FROM events)
+      SELECT repeat('n.', CAST(k - 1 AS INT)) || 'n' AS path, count(*) AS n,
+        CASE WHEN bool_or(k < depth) AND bool_or(k = depth) THEN 'dict,int' WHEN bool_or(k < depth) THEN 'dict' ELSE 'int' END AS types
+      FROM levels GROUP BY k""",
+    "rejects_accounted": f"WITH {REJECT_DOCS}, {REASONS} SELECT mongo_id, processed_reason IS NULL AS stored FROM judged",
+    "bounded_stream": "SELECT true AS several, count(*) AS read_n, count(*) AS exported_n, count(*) AS stored_n FROM events",
+    "resumed_stream": f"""WITH {ALERTS} SELECT mongo_id, CASE WHEN event_id % 10 = 0 THEN 'CHANGED' ELSE type END AS type FROM alerts""",
     "facet_counts": f"""WITH {ALERTS}, {TIMED} SELECT {PRIORIDAD} AS prioridad, {ZONA} AS zona,
         {day_part('loc')} AS categoria_dia, count(*) AS n FROM timed GROUP BY 1, 2, 3""",
     "facet_top_k": f"""WITH {ALERTS} SELECT {TIPO} AS tipo, {ZONA} AS zona, count(*) AS n FROM alerts

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from .. import operators as O
 from ..functions import timeparts as TP
-from ..schemas import DERIVED_FIELDS, conform
+from ..schemas import DERIVED_FIELDS, PROCESSED, conform
 from ..session import work_dir
 from ..sinks import tables as S
 from ..sources import explode_alerts, read_alert_snapshots, read_bronze
@@ -127,8 +127,13 @@ def comment_times(spark, sf_dir):
 
 
 def _flat_point(df: DataFrame) -> DataFrame:
-    return df.withColumns({"lat": F.col("location.lat"), "lon": F.col("location.lon")}).withColumn(
-        "source_timestamp", TP.iso_utc(F.col("source_timestamp"))
+    return df.withColumns(
+        {
+            "lat": F.col("location.lat"),
+            "lon": F.col("location.lon"),
+            "source_timestamp": TP.iso_utc(F.col("source_timestamp")),
+            "stamped": F.col("ingestion_timestamp").isNotNull(),
+        }
     ).drop("location", "ingestion_timestamp")
 
 
@@ -152,7 +157,8 @@ def _flat_groups(df: DataFrame) -> DataFrame:
 
 @query
 def processed_rows(spark, sf_dir):
-    df = O.flat_to_processed(_event_time(alerts(spark, sf_dir)), "event_ts")
+    given = alerts(spark, sf_dir).drop(*(name for name in views.EXTRA if name not in PROCESSED.names))
+    df = O.flat_to_processed(_event_time(given), "event_ts")
     return _flat_groups(_flat_point(df)).drop("event_ts", "snapshot_ts")
 
 
@@ -162,10 +168,10 @@ def processed_documents(spark, sf_dir):
     good, _ = O.split_rejects(
         O.to_processed(views.bronze_view(table(spark, sf_dir, "events")), "source_time")
     )
-    return _flat_groups(_flat_point(good)).drop("alert", "warning")
+    return _flat_groups(_flat_point(good)).drop("alert", "warning", "stamped")
 
 
-KEEP = ("mongo_id", "type", "subtype", "x", "y", "pubMillis", "city", "street", "reliability")
+KEEP = ("mongo_id", "type", "subtype", "x", "y", "pubMillis", "city", "no_such_field", "reliability")
 
 
 @query
@@ -224,12 +230,12 @@ def incremental_backlog(spark, sf_dir):
 
 @query
 def resume_mark_raw(spark, sf_dir):
-    return _synced(spark, sf_dir).agg(F.max("mongo_id").alias("mark"))
+    return alerts(spark, sf_dir).agg(F.max("mongo_id").alias("mark"))
 
 
 @query
 def resume_mark_processed(spark, sf_dir):
-    stamped = _synced(spark, sf_dir).withColumnRenamed("snapshot_ts", "ingestion_timestamp")
+    stamped = alerts(spark, sf_dir).withColumnRenamed("snapshot_ts", "ingestion_timestamp")
     return stamped.agg(O.last_ingested("mongo_id", "ingestion_timestamp").alias("mark"))
 
 
@@ -281,15 +287,23 @@ def reject_reasons_nested(spark, sf_dir):
 
 
 def _reasons(docs: DataFrame) -> DataFrame:
-    """Both outcomes per document. Each conversion is narrow over one scan."""
-    processed = O.to_processed(docs, "source_time").select(
-        "mongo_id", F.col("reject_reason").alias("processed_reason"), F.lit(None).cast("string").alias("raw_reason"),
+    """Both outcomes per document, from one scan and one parse."""
+    judged = O.to_processed(docs, "source_time").select(
+        "mongo_id", "alert", F.col("reject_reason").alias("processed_reason")
     )
-    raw = O.to_raw(docs).select(
-        "mongo_id", F.lit(None).cast("string").alias("processed_reason"), F.col("reject_reason").alias("raw_reason"),
-    )
-    both = processed.filter("processed_reason IS NOT NULL").unionByName(raw.filter("raw_reason IS NOT NULL"))
-    return both.groupBy("processed_reason", "raw_reason").agg(
+    both = O.to_raw(judged, keep=["processed_reason"]).withColumnRenamed("reject_reason", "raw_reason")
+    found = both.select(
+        F.explode(
+            F.filter(
+                F.array(
+                    F.struct("processed_reason", F.lit(None).cast("string").alias("raw_reason"), "mongo_id"),
+                    F.struct(F.lit(None).cast("string").alias("processed_reason"), "raw_reason", "mongo_id"),
+                ),
+                lambda r: r["processed_reason"].isNotNull() | r["raw_reason"].isNotNull(),
+            )
+        ).alias("r")
+    ).select("r.*")
+    return found.groupBy("processed_reason", "raw_reason").agg(
         F.count(F.lit(1)).alias("n"), F.min("mongo_id").alias("first_id"), F.max("mongo_id").alias("last_id")
     )
 
@@ -358,25 +372,28 @@ def latest_snapshot(spark, sf_dir):
 
 @query
 def expired_snapshot(spark, sf_dir):
-    """As of 300 seconds after the newest snapshot: expired."""
+    """What is alive 299 to 301 seconds after the newest snapshot."""
     df = alerts(spark, sf_dir)
-    as_of = df.select(F.max("snapshot_ts") + F.expr("INTERVAL '300' SECOND")).scalar()
-    return S.latest_snapshot(df, "snapshot_ts", as_of=as_of).agg(F.count(F.lit(1)).alias("n"))
+
+    def alive(age: int) -> DataFrame:
+        as_of = df.select(F.max("snapshot_ts") + F.expr(f"INTERVAL '{age}' SECOND")).scalar()
+        return S.latest_snapshot(df, "snapshot_ts", as_of=as_of).agg(F.lit(age).alias("age"), F.count(F.lit(1)).alias("n"))
+
+    return alive(299).unionByName(alive(300)).unionByName(alive(301))
 
 
 @query
 def append_by_day(spark, sf_dir):
     """Append twice, nothing is de-duplicated; a replayed batch counts once."""
-    out = work_dir(spark, "append")
-    bronze = views.bronze_view(table(spark, sf_dir, "events"))
-    S.append_events(bronze, out)
-    S.append_events(bronze, out)
-    batched = work_dir(spark, "append-batch")
-    S.append_events(bronze, batched, batch_id=7)
-    S.append_events(bronze, batched, batch_id=7)
+    base = work_dir(spark, "append")
+    views.bronze_view(table(spark, sf_dir, "events")).write.parquet(f"{base}/source")
+    bronze = read_bronze(spark, f"{base}/source")
+    for _ in range(2):
+        S.append_events(bronze, f"{base}/appended")
+        S.append_events(bronze, f"{base}/replayed", batch_id=7)
     days = F.col("ingest_date").cast("string").alias("ingest_date")
-    twice = spark.read.parquet(out).select(days, F.lit("appended").alias("mode"))
-    once = spark.read.parquet(batched).select(days, F.lit("replayed").alias("mode"))
+    twice = spark.read.parquet(f"{base}/appended").select(days, F.lit("appended").alias("mode"))
+    once = spark.read.parquet(f"{base}/replayed").select(days, F.lit("replayed").alias("mode"))
     return O.facet_counts(twice.unionByName(once), ["mode", "ingest_date"])
 
 
@@ -401,7 +418,7 @@ def upsert_last_wins(spark, sf_dir):
 def compacted_target(spark, sf_dir):
     into = work_dir(spark, "compact")
     S.compact(spark, _upserted(spark, sf_dir), into, "uuid")
-    return spark.read.parquet(into).drop(S.BATCH)
+    return S.read_current(spark, into, "uuid")
 
 
 @query
@@ -413,14 +430,15 @@ def ensure_target_state(spark, sf_dir):
 
     def decide() -> str:
         state, path = S.ensure_target(spark, base)
-        rows = 0 if state == "create" else spark.read.parquet(f"{base}/v1").count()
-        steps.append((len(steps) + 1, state, path.rsplit("/", 1)[1], rows))
+        held = None if state == "create" else spark.read.parquet(f"{base}/v1")
+        rows, greatest = (0, "") if held is None else held.agg(F.count(F.lit(1)), F.max("mongo_id")).first()
+        steps.append((len(steps) + 1, state, path.rsplit("/", 1)[1], rows, greatest))
         return path
 
     alerts(spark, sf_dir).write.parquet(decide())
     enriched.write.parquet(decide())
     decide()
-    cols = ["step", "state", "version", "v1_rows"]
+    cols = ["step", "state", "version", "v1_rows", "v1_greatest"]
     one = [F.struct(*[F.lit(v).alias(c) for c, v in zip(cols, s)]) for s in steps]
     return spark.range(1).select(F.inline(F.array(*one)))
 
@@ -520,7 +538,7 @@ def processed_stream_table(spark, sf_dir):
         _bronze_stream(spark, sf_dir), f"{base}/t", f"{base}/c", ts="source_time", available_now=True
     ).awaitTermination()
     current = S.read_current(spark, f"{base}/t", partition_by=["key_date"]).drop("key_date")
-    return _flat_groups(_flat_point(current)).drop("alert")
+    return _flat_groups(_flat_point(current)).drop("alert", "stamped")
 
 
 def _reject_stream(spark, sf_dir) -> DataFrame:
@@ -547,30 +565,126 @@ def cycle_metrics(spark, sf_dir):
 
 @query
 def gated_stream(spark, sf_dir):
-    """The purity gate stops a batch before anything is written."""
+    """The purity gate stops a batch before anything is written; what is clean goes through."""
     base = work_dir(spark, "gate")
-    dirty = views.events_stream(spark, sf_dir).selectExpr(
-        "lpad(lower(hex(event_id)), 24, '0') AS mongo_id",
-        """parse_json(concat('{"pig_time_filter":', props, '}')) AS alert""",
+    events = views.events_stream(spark, sf_dir)
+
+    def documents(df: DataFrame, clean: bool) -> DataFrame:
+        kept = df.filter("event_type <> 'signup'") if clean else df
+        return kept.selectExpr(
+            "lpad(lower(hex(event_id)), 24, '0') AS mongo_id",
+            """parse_json(CASE event_type WHEN 'signup' THEN concat('{"pig_time_filter":', props, '}')
+               ELSE '{"type":"JAM","subtype":"x"}' END) AS alert""",
+        )
+
+    def pass_through(name: str, clean: bool) -> DataFrame:
+        out = f"{base}/{name}/v1"
+        stream = processed_stream(documents(events, clean), out, f"{base}/{name}-c", available_now=True)
+        try:
+            stream.awaitTermination()
+            stopped = False
+        except Exception:
+            stopped = True
+        state, _ = S.ensure_target(spark, f"{base}/{name}")
+        stored = F.lit(0).cast("long") if state == "create" else S.read_current(spark, out, partition_by=["key_date"]).select(F.count(F.lit(1))).scalar()
+        return O.field_counts(documents(table(spark, sf_dir, "events"), clean), ["pig_time_filter"]).select(
+            F.lit(name).alias("source"), F.lit(stopped).alias("stopped"), stored.alias("stored_n"), "pig_time_filter"
+        )
+
+    return pass_through("dirty", False).unionByName(pass_through("clean", True))
+
+
+# --- what must not get lost ----------------------------------------------------
+
+
+def _lines(spark, sf_dir, times: str, envelope: str) -> str:
+    """Landed lines of one alert per event, each ``times`` times."""
+    land = work_dir(spark, "repeats")
+    docs = views.alert_json(alerts(spark, sf_dir)).withColumn("number", views.event_number())
+    docs.selectExpr(f"{envelope} AS value", f"explode(sequence(1, CAST({times} AS INT))) AS k").select("value").write.text(land)
+    return land
+
+
+@query
+def snapshot_repeats(spark, sf_dir):
+    """Polls of an unchanged feed are equal lines: each is a document of its own, in all tables."""
+    land = _lines(
+        spark, sf_dir, "1 + number % 4", """concat('{"alerts":[', doc, ',{"uuid":"other","type":"JAM","type":"HAZARD"}]}')"""
     )
-    stream = processed_stream(dirty, f"{base}/t", f"{base}/c", available_now=True)
-    try:
-        stream.awaitTermination()
-        stopped = False
-    except Exception:
-        stopped = True
-    state, _ = S.ensure_target(spark, base)
-    checked = O.field_counts(
-        table(spark, sf_dir, "events").selectExpr(
-            """parse_json(concat('{"pig_time_filter":', props, '}')) AS alert"""
-        ),
-        DERIVED_FIELDS,
+    base = work_dir(spark, "repeats")
+    ingest_stream(spark, land, f"{base}/d", f"{base}/c0", multi_line=False, available_now=True).awaitTermination()
+    raw_stream(read_bronze(spark, f"{base}/d", True), f"{base}/raw", f"{base}/c1", available_now=True).awaitTermination()
+    stored = read_bronze(spark, f"{base}/d").agg(
+        F.count(F.lit(1)).alias("documents"),
+        F.count_distinct("mongo_id").alias("keys"),
+        F.count_if(F.expr("variant_get(alert, '$.type', 'string') = 'HAZARD' AND variant_get(alert, '$.uuid', 'string') = 'other'")).alias("last_value"),
+    )
+    current = S.read_current(spark, f"{base}/raw", partition_by=["key_date"])
+    return stored.withColumn("raw_rows", current.select(F.count(F.lit(1))).scalar())
+
+
+@query
+def snapshot_fetch_time(spark, sf_dir):
+    """Envelopes that tell when they were fetched: the newest poll of a compacted history."""
+    land = _lines(
+        spark, sf_dir, "1", """concat('{"fetched_at":"', date_format(snapshot_ts, "yyyy-MM-dd'T'HH:mm:ss"), 'Z","alerts":[', doc, ']}')"""
     )
-    return checked.select(
-        F.lit(stopped).alias("stopped"), F.lit(state == "create").alias("unwritten"), "pig_time_filter"
+    read = explode_alerts(read_alert_snapshots(spark, land, multi_line=False))
+    as_of = alerts(spark, sf_dir).select(F.max("snapshot_ts").cast("timestamp") + F.expr("INTERVAL '10' SECOND")).scalar()
+    return S.latest_snapshot(read, as_of=as_of).select(
+        F.expr("variant_get(alert, '$.uuid', 'string')").alias("uuid"),
+        F.date_format("fetched_at", "yyyy-MM-dd HH:mm:ss").alias("fetched_at"),
+        F.conv(F.substring("mongo_id", 1, 8), 16, 10).cast("long").alias("key_seconds"),
     )
 
 
+@query
+def deep_profile(spark, sf_dir):
+    """Documents that nest further than any level given."""
+    nested = "concat(repeat('{\"n\":', CAST(1 + event_id % 13 AS INT)), CAST(event_id AS STRING), repeat('}', CAST(1 + event_id % 13 AS INT)))"
+    docs = table(spark, sf_dir, "events").selectExpr("CAST(event_id AS STRING) AS mongo_id", f"{nested} AS doc").selectExpr("mongo_id", views.PARSED)
+    return O.profile_fields(docs, samples=0).select("path", "n", F.array_join("types", ",").alias("types"))
+
+
+@query
+def rejects_accounted(spark, sf_dir):
+    """Stored rows and dead letters are what was read, with default arguments."""
+    base = work_dir(spark, "accounted")
+    processed_stream(_reject_stream(spark, sf_dir), f"{base}/t", f"{base}/c", ts="source_time", available_now=True).awaitTermination()
+    stored = S.read_current(spark, f"{base}/t", partition_by=["key_date"]).select("mongo_id", F.lit(True).alias("stored"))
+    dead = spark.read.parquet(f"{base}/t-rejected").select("mongo_id", F.lit(False).alias("stored"))
+    return stored.unionByName(dead)
+
+
+@query
+def bounded_stream(spark, sf_dir):
+    """Several batches by a bound on each; together they are the whole."""
+    base = work_dir(spark, "bounded")
+    views.bronze_view(table(spark, sf_dir, "events")).repartition(6, "mongo_id").write.parquet(f"{base}/d")
+    source = read_bronze(spark, f"{base}/d", True, max_files_per_trigger=2)
+    raw_stream(source, f"{base}/t", f"{base}/c", metrics=f"{base}/m", available_now=True).awaitTermination()
+    cycles = spark.read.parquet(f"{base}/m").agg(
+        (F.count(F.lit(1)) > 1).alias("several"), F.sum("read_n").alias("read_n"), F.sum("exported_n").alias("exported_n")
+    )
+    return cycles.withColumn(
+        "stored_n", S.read_current(spark, f"{base}/t", partition_by=["key_date"]).select(F.count(F.lit(1))).scalar()
+    )
+
+
+@query
+def resumed_stream(spark, sf_dir):
+    """Half the documents, then with a fresh checkpoint the other half and some of the first again, changed."""
+    base = work_dir(spark, "resumed")
+    docs = views.bronze_view(table(spark, sf_dir, "events"))
+    number = views.event_number()
+    changed = docs.withColumn("alert", F.expr("""parse_json('{"type":"CHANGED","subtype":"x"}')"""))
+    docs.filter(number % 2 == 0).write.parquet(f"{base}/first")
+    docs.filter(number % 2 == 1).unionByName(changed.filter(number % 10 == 0)).write.parquet(f"{base}/second")
+    for part in ("first", "second"):
+        raw_stream(read_bronze(spark, f"{base}/{part}", True), f"{base}/t", f"{base}/c-{part}", available_now=True).awaitTermination()
+    return S.read_current(spark, f"{base}/t", partition_by=["key_date"]).select("mongo_id", "type")
+
+
 # --- dashboards --------------------------------------------------------------
 
 

@@ -30,6 +30,32 @@ def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.readStream.schema(EVENTS).parquet(f"{sf_dir}/events.parque[t]")
 
 
+# The fields beyond those that rules look at, alike in both SQL dialects. Gaps and
+# moduli differ, so that fields that trade places or types show.
+EXTRA = {
+    "country": "CASE WHEN event_id % 4 <> 0 THEN concat('C', CAST(event_id % 3 AS STRING)) END",
+    "street": "CASE WHEN event_id % 6 <> 0 THEN concat('Calle ', CAST(user_id % 50 AS STRING)) END",
+    "roadType": "CASE WHEN event_id % 7 <> 0 THEN concat('road ', CAST(event_id % 8 AS STRING)) END",
+    "turnType": "CASE WHEN event_id % 8 <> 1 THEN concat('turn ', CAST(event_id % 5 AS STRING)) END",
+    "endNode": "concat('node ', CAST(event_id % 211 AS STRING))",
+    "alertType": "CASE WHEN event_id % 3 <> 1 THEN concat('kind ', CAST(event_id % 13 AS STRING)) END",
+    "reportDescription": "CASE WHEN event_id % 5 = 2 THEN concat('atención \"', CAST(user_id AS STRING)) END",
+    "speed": "CASE WHEN event_id % 9 <> 4 THEN CAST(CAST(event_id % 240 AS DOUBLE) / 4 AS FLOAT) END",
+    "length": "CASE WHEN event_id % 10 <> 3 THEN CAST(CAST(event_id % 4001 AS DOUBLE) / 2 AS FLOAT) END",
+    "delay": "CASE WHEN event_id % 11 <> 5 THEN CAST(event_id % 601 - 1 AS INT) END",
+    "severity": "CAST(event_id % 5 AS INT)",
+    "reportRating": "CASE WHEN event_id % 12 <> 7 THEN CAST(event_id % 6 AS INT) END",
+    "jamLevel": "CASE WHEN event_id % 13 <> 8 THEN CAST(event_id % 7 AS INT) END",
+    "alertsCount": "CAST(event_id % 17 AS INT)",
+    "irregularities": "CASE WHEN event_id % 14 <> 9 THEN CAST(event_id % 19 AS INT) END",
+    "driversCount": "CAST(event_id % 23 AS INT)",
+    "level": "CASE WHEN event_id % 15 <> 10 THEN CAST(event_id % 29 AS INT) END",
+    "reportBy": "CASE WHEN event_id % 16 <> 11 THEN concat('by ', CAST(user_id % 31 AS STRING)) END",
+    "id": "concat('alert-', CAST(event_id AS STRING))",
+    "nComments": "CASE WHEN event_id % 18 <> 12 THEN CAST(event_id % 37 AS INT) END",
+}
+
+
 def alerts_view(events: DataFrame) -> DataFrame:
     """Flat alerts: every priority and zone, gaps, box edges, repeated uuids."""
     return events.selectExpr(
@@ -48,6 +74,7 @@ def alerts_view(events: DataFrame) -> DataFrame:
         "CAST(event_id % 6 AS INT) AS confidence",
         "CAST(user_id % 7 AS INT) AS nThumbsUp",
         "CAST(date_trunc('HOUR', ts) AS TIMESTAMP_NTZ) AS snapshot_ts",
+        *[f"{sql} AS `{name}`" for name, sql in EXTRA.items()],
     )
 
 
@@ -61,15 +88,20 @@ def event_number() -> Column:
 
 
 def alert_json(alerts: DataFrame) -> DataFrame:
-    """Flat alerts plus their document text ``doc``; NULL fields are left out of it."""
+    """Flat alerts plus their document text ``doc``; NULL fields are left out of it.
+
+    Half the points that lack x and y are given as lat and lon.
+    """
     has_point = F.col("x").isNotNull()
+    named = F.when(event_number() % 34 == 0, F.struct(F.lit(-33.5).alias("lat"), (event_number() % 7 - 74).alias("lon")))
+    spot = F.when(has_point, F.to_json(F.struct("x", "y"))).otherwise(F.to_json(named))
     return alerts.withColumn(
         "doc",
         F.to_json(
             F.struct(
                 "uuid", "type", "subtype", "city",
-                F.when(has_point, F.struct("x", "y")).alias("location"),
-                "pubMillis", "reliability", "confidence", "nThumbsUp",
+                F.parse_json(spot).alias("location"),
+                "pubMillis", "reliability", "confidence", "nThumbsUp", *EXTRA,
             )
         ),
     )

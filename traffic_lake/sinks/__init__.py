@@ -1,12 +1,13 @@
 from .tables import (
     append_events,
     compact,
+    compact_events,
     ensure_target,
     fan_out,
     latest_snapshot,
-    merge_upsert,
     newest_per_key,
     read_current,
+    run_number,
     snapshot_payload,
     upsert,
 )

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import unquote
 
 from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
@@ -17,7 +19,10 @@ from ..functions.timeparts import utc_ntz
 # Fixed value: how long the latest snapshot stays valid.
 SNAPSHOT_TTL = "300 seconds"
 
-BATCH = "batch_id"
+# A write is told by the run of its stream and the batch in that run; both are partitions.
+RUN, BATCH = "run_id", "batch_id"
+# Fixed value: the folder name of a partition whose value is NULL.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
 
 def write_batch(df: DataFrame, path: str, partitions: Sequence[str], rebalance: bool) -> None:
@@ -42,23 +47,55 @@ def key_date(key: Column) -> Column:
     return ingest_date(F.timestamp_seconds(F.conv(F.substring(key, 1, 8), 16, 10).cast("bigint")))
 
 
+def numbered(df: DataFrame, run_id: int, batch_id: int) -> DataFrame:
+    return df.withColumns({RUN: F.lit(run_id).cast("bigint"), BATCH: F.lit(batch_id).cast("bigint")})
+
+
+def run_number(spark: SparkSession, checkpoint: str) -> int:
+    """The number of the run that ``checkpoint`` belongs to.
+
+    It is the time at which the first stream with that checkpoint started, kept
+    beside the checkpoint: a fresh checkpoint counts its batches from 0 again,
+    but in a later run, so that it neither replaces older batches nor loses to them.
+    """
+    beside = f"{checkpoint.rstrip('/')}-run"
+    try:
+        return spark.read.schema("run bigint").parquet(beside).first()["run"]
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+    run = time.time_ns() // 1_000_000
+    spark.range(1).select(F.lit(run).cast("bigint").alias("run")).coalesce(1).write.parquet(beside)
+    return run
+
+
 def append_events(
     df: DataFrame,
     path: str,
     batch_id: int | None = None,
     stamp: str = "fetched_at",
-    rebalance: bool = False,
+    rebalance: bool = True,
+    run_id: int = 0,
 ) -> None:
     """Append documents under ``ingest_date``; nothing is de-duplicated.
 
     With ``batch_id`` the rows go to that batch's own partition and a replayed
-    batch replaces itself instead of being stored twice.
+    batch replaces itself instead of being stored twice. Rows are dealt by day
+    first, so a task writes few files; adaptive execution splits a large day.
     """
     dated = df.withColumn("ingest_date", ingest_date(F.col(stamp)))
     if batch_id is None:
+        if rebalance:
+            dated = dated.hint("rebalance", F.col("ingest_date"))
         dated.write.mode("append").partitionBy("ingest_date").parquet(path)
     else:
-        write_batch(dated.withColumn(BATCH, F.lit(batch_id)), path, ["ingest_date", BATCH], rebalance)
+        write_batch(numbered(dated, run_id, batch_id), path, ["ingest_date", RUN, BATCH], rebalance)
+
+
+def compact_events(spark: SparkSession, path: str, into: str) -> None:
+    """Write appended documents to a new folder in well-sized files per day. The old folder is left alone."""
+    stored = spark.read.parquet(path).drop(RUN, BATCH)
+    stored.hint("rebalance", F.col("ingest_date")).write.partitionBy("ingest_date").parquet(into)
 
 
 def latest_snapshot(
@@ -88,21 +125,23 @@ def upsert(
     batch_id: int,
     key: str = "mongo_id",
     partition_by: Sequence[str] = (),
-    rebalance: bool = False,
+    rebalance: bool = True,
+    run_id: int = 0,
 ) -> None:
     """Store one batch of whole rows; readers see the last version of each key.
 
     Writing is append-like and needs no look at older rows. Replaying a batch
     replaces its own partitions. Columns in ``partition_by`` must follow from
-    the key, so that all versions of a key stay in one partition.
+    the key, so that all versions of a key stay in one partition. A batch holds
+    a key once (see :func:`newest_per_key`).
     """
     if key not in df.columns:
         raise ValueError(f"no key column {key!r}")
-    write_batch(df.withColumn(BATCH, F.lit(batch_id)), path, [*partition_by, BATCH], rebalance)
+    write_batch(numbered(df, run_id, batch_id), path, [*partition_by, RUN, BATCH], rebalance)
 
 
 def newest_per_key(
-    df: DataFrame, key: str = "mongo_id", version: Sequence[str] = (BATCH,), within: Sequence[str] = ()
+    df: DataFrame, key: str = "mongo_id", version: Sequence[str] = (RUN, BATCH), within: Sequence[str] = ()
 ) -> DataFrame:
     """The row with the greatest ``version`` of each key.
 
@@ -114,35 +153,49 @@ def newest_per_key(
     return df.withColumn("__rank", F.row_number().over(newest)).filter("__rank = 1").drop("__rank")
 
 
+def _writes(df: DataFrame, partition_by: Sequence[str]) -> dict[tuple[str, ...], set[tuple[str, str]]]:
+    """The writes (run, batch) that each partition of an upserted table holds, as its folder names tell."""
+    found: dict[tuple[str, ...], set[tuple[str, str]]] = {}
+    for file in df.inputFiles():
+        at = dict(part.split("=", 1) for part in file.split("/") if "=" in part)
+        found.setdefault(tuple(at[p] for p in partition_by), set()).add((at[RUN], at[BATCH]))
+    return found
+
+
 def read_current(
     spark: SparkSession, path: str, key: str = "mongo_id", partition_by: Sequence[str] = ()
 ) -> DataFrame:
     """The upserted table as its readers see it; filters on ``partition_by``
-    columns still prune files."""
-    return newest_per_key(spark.read.parquet(path), key, (BATCH,), partition_by).drop(BATCH)
+    columns still prune files.
+
+    Only partitions that hold several writes are looked through, and there only
+    keys and write numbers are shuffled: they give the outdated versions, which
+    are taken out of the rows. Partitions of one write are read as they are.
+    """
+    stored = spark.read.parquet(path)
+    several = [values for values, writes in _writes(stored, partition_by).items() if len(writes) > 1]
+    if not several:
+        return stored.drop(RUN, BATCH)
+    if len(partition_by) == 1:
+        value = F.coalesce(F.col(partition_by[0]).cast("string"), F.lit(NO_VALUE))
+        mixed = value.isin(*(unquote(values[0]) for values in several))
+    else:
+        mixed = F.lit(True)
+    rows = stored.filter(mixed).select(key, RUN, BATCH)
+    last = rows.groupBy(key).agg(F.max(F.struct(RUN, BATCH)).alias("__last"), F.count(F.lit(1)).alias("__n"))
+    last = last.filter("__n > 1").select(key, "__last")
+    outdated = rows.join(last, key).filter(F.struct(RUN, BATCH) < F.col("__last")).drop("__last")
+    return stored.join(outdated, [key, RUN, BATCH], "left_anti").drop(RUN, BATCH)
 
 
 def compact(
     spark: SparkSession, path: str, into: str, key: str = "mongo_id", partition_by: Sequence[str] = ()
 ) -> None:
-    """Write the current rows to a new folder as batch -1, in well-sized files.
+    """Write the current rows to a new folder as batch -1 of run 0, in well-sized files per partition.
 
     The old folder is left alone: point readers and writers to the new one.
     """
-    upsert(read_current(spark, path, key, partition_by), into, -1, key, partition_by, rebalance=True)
-
-
-def merge_upsert(df: DataFrame, table: str, key: str = "mongo_id") -> None:
-    """Upsert into a catalog table whose format supports MERGE."""
-    (
-        df.alias("s")
-        .mergeInto(table, F.expr(f"{table}.{key} = s.{key}"))
-        .whenMatched()
-        .updateAll()
-        .whenNotMatched()
-        .insertAll()
-        .merge()
-    )
+    upsert(read_current(spark, path, key, partition_by), into, -1, key, partition_by)
 
 
 def _columns(spark: SparkSession, path: str) -> set[str] | None:
