@@ -65,6 +65,17 @@ def exact_duplicates(docs: DataFrame, text: str = "text", id_col: str = "doc_id"
             break
         width, turn = min(width * GROWTH, WIDEST), turn + 1
     rows = reduce(DataFrame.unionByName, done)
-    keepers = rows.filter("group_size > 1 AND doc_id <=> keep_id").groupBy("group").agg(F.min("rid").alias("keeper"))
-    copies = rows.filter("group_size > 1").join(keepers, "group").withColumn("kept", F.col("rid") == F.col("keeper")).drop("keeper")
-    return rows.filter("group_size = 1").withColumn("kept", F.lit(True)).unionByName(copies)
+    # The row that stays is the one with the group's largest id. Only where that id repeats in the
+    # group, which is rare, do later rows with it have to be told: they are few, and none by group.
+    again = (
+        rows.filter("group_size > 1 AND doc_id <=> keep_id")
+        .groupBy("group")
+        .agg(F.min("rid").alias("keeper"), F.count("*").alias("n"))
+        .filter("n > 1")
+        .select("keeper", "group")
+    )
+    same = rows.filter("group_size > 1 AND doc_id <=> keep_id").select("rid", "group")
+    later = stored(same.join(again, "group").filter("rid <> keeper").select("rid", F.lit(True).alias("later")), f"{path}/later")
+    if later.isEmpty():
+        return rows.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("keep_id")))
+    return rows.join(later, "rid", "left").withColumn("kept", F.col("doc_id").eqNullSafe(F.col("keep_id")) & F.col("later").isNull()).drop("later")
