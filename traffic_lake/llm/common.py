@@ -64,6 +64,22 @@ def crc_fold(doc_id, n: int):
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % n
 
 
+def most_frequent(counts: DataFrame, n: str, top: int) -> tuple[DataFrame, DataFrame]:
+    """Rows with the greatest counts ``n``, at most ``top`` of them, and the others.
+
+    Counts are cut at a sixteenth of a power of two, so that neither a sort nor
+    more than about a thousand rows are needed to tell how many lie above.
+    """
+    step = F.floor(F.log2(F.col(n)) * 16).cast("int")
+    upper, total = 64 * 16, 0
+    for bucket, size in sorted(counts.groupBy(step).count().collect(), reverse=True):
+        total += size
+        if total > top:
+            break
+        upper = bucket
+    return counts.filter(step >= upper), counts.filter(step < upper)
+
+
 def arrow_rows(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[tuple]:
     """Rows of the batches, one Python tuple at a time."""
     for batch in batches:
