@@ -7,8 +7,8 @@ spellings that the corpus shares. The log-likelihood ratio of a text, normalised
 by its length, and that of its most suspicious ``WINDOW`` words and single words
 go through a logistic curve to a score between 0 and 1.
 
-The labelled rows that are learnt from are bounded: at most ``PER_CLASS`` of
-each class, those with the smallest hash of the id, and the ``GRAMS`` most
+The labelled rows that are learnt from are bounded: about ``PER_CLASS`` of each
+class, those with a small hash of the id, and at most ``GRAMS`` of the most
 frequent character sequences. The model is therefore small whatever the corpus,
 and scoring is one pass over whole texts without a shuffle. The curve is fitted
 on rows that its model hasn't seen; then the model is counted again from all.
@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_out, arrow_rows, crc_fold, numbered, scratch, share, shared, stored
+from .common import arrow_out, arrow_rows, crc_fold, most_frequent, numbered, scratch, share, shared, stored
 
 ORDER, DISCOUNT = 6, 0.75
 #: Bounds of what is learnt from: rows of a class, character sequences.
@@ -155,7 +155,7 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
     return w
 
 
-def _count(labelled: DataFrame, grams: int) -> dict[str, tuple[int, int]]:
+def _count(labelled: DataFrame, grams: int, path: str) -> dict[str, tuple[int, int]]:
     """The most frequent character sequences of (toxic, body) rows with their ordinary and toxic counts."""
 
     def spell(batches):
@@ -176,7 +176,8 @@ def _count(labelled: DataFrame, grams: int) -> dict[str, tuple[int, int]]:
     counted = labelled.mapInArrow(spell, "gram string, ordinary long, toxic long").groupBy("gram").agg(
         F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic")
     )
-    rows = counted.orderBy(F.desc(F.col("ordinary") + F.col("toxic")), "gram").limit(grams).toPandas()
+    total = stored(counted.withColumn("n", F.col("ordinary") + F.col("toxic")), path)
+    rows = most_frequent(total, "n", grams)[0].toPandas()  # at most that many
     return dict(zip(rows["gram"], zip(rows["ordinary"].tolist(), rows["toxic"].tolist())))
 
 
@@ -200,11 +201,12 @@ def score(
     rows = numbered(docs, text, id_col, carry)
     fold = crc_fold(F.col("doc_id"), 3)
     known = labels.filter("toxic IN (0, 1)").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).distinct()
-    known = known.withColumn("fold", fold).filter("fold <> 1").withColumn("order", F.xxhash64("doc_id"))
-    chosen = None
-    for toxic in (0, 1):  # two sorted limits: each keeps per_class ids per task
-        side = known.filter(F.col("toxic") == toxic).orderBy("order", "doc_id").limit(per_class)
-        chosen = side if chosen is None else chosen.unionByName(side)
+    known = known.withColumn("fold", fold).filter("fold <> 1")
+    have = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
+    # a hash of the id deals rows evenly, so a bound on it keeps about per_class of each class
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / (1 << 30)
+    share_of = F.when(F.col("toxic") == 1, per_class / max(1, have.get(1, 0))).otherwise(per_class / max(1, have.get(0, 0)))
+    chosen = known.filter(place < share_of)
     chosen = stored(chosen, f"{path}/chosen")
     sample = stored(rows.select("doc_id", "body").join(F.broadcast(chosen), "doc_id").select("toxic", "fold", "body"), f"{path}/sample")
 
@@ -225,15 +227,14 @@ def score(
     if len(sides) < 4:  # a class or a part of it is missing
         weights, ratio = np.zeros(5), Ratio({})
     else:
-        first = Ratio(_count(sample.filter("fold = 0").select("toxic", "body"), grams))
+        first = Ratio(_count(sample.filter("fold = 0").select("toxic", "body"), grams, f"{path}/first"))
         unseen = measured(sample.filter("fold = 2"), first, ["toxic"]).toPandas()  # at most twice per_class rows
         weights = logistic(np.stack(unseen["x"].to_numpy()), unseen["toxic"].to_numpy(float))
         # the classes were taken in other shares than they have among the labels
-        have = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
         taken = {r["toxic"]: r["count"] for r in chosen.groupBy("toxic").count().collect()}
         del first
         weights[-1] += log(have[1] / have[0]) - log(taken[1] / taken[0])
-        ratio = Ratio(_count(sample.select("toxic", "body"), grams))
+        ratio = Ratio(_count(sample.select("toxic", "body"), grams, f"{path}/all"))
     total = F.lit(float(weights[-1]))
     for i in range(4):
         total = total + F.col("x")[i] * float(weights[i])
