@@ -112,24 +112,48 @@ def text_runs(texts: Iterator[tuple[object, np.ndarray]], L: int, k: int):
         yield from flush()
 
 
+#: The bits of the filter before the join: a bound on what it takes, whatever the corpus.
+FILTER_BITS = 26
+
+
+def bitmap(hashes: DataFrame) -> np.ndarray:
+    """A bit for each hash, at its lowest ``FILTER_BITS`` bits; at most 8 MB, of which only words with a bit set are collected."""
+    word = F.col("h").bitwiseAND((1 << FILTER_BITS) - 64)
+    rows = hashes.groupBy(F.shiftright(word, 6).alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(h & 63 AS INT))")).alias("bits")).toPandas()
+    out = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
+    out[rows["at"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64).view(np.uint64)
+    return out
+
+
 def mark_repeats(docs: DataFrame, encode: Callable[[bytes], np.ndarray], L: int, k: int, path: str) -> DataFrame:
     """``docs`` (rid, doc_id, body) with ``picks``, the offsets of anchors that occur more than once; NULL if there are none.
 
     Anchors are counted with partial sums, so a frequent one costs a row per
-    task; the join back is on a stored table, which lets skewed keys be split.
+    task. The join back is on a stored table, which lets skewed keys be split; a
+    bitmap of bounded size spares it most anchors that occur once, as long as the
+    repeated ones don't fill it.
     """
-    schema = pa.schema([("h", pa.int64()), ("rid", pa.int64()), ("p", pa.int64())])
 
-    def emit(batches):
+    def emit(batches, held=None):
+        fields = [("h", pa.int64())] + ([("rid", pa.int64()), ("p", pa.int64())] if held else [])
+        schema, bits = pa.schema(fields), held.value if held else None
         for batch in batches:
             rows = ((rid, encode(body)) for rid, body in arrow_rows([batch], "rid", "body"))
             for rid, _, _, _, _, p, h in text_runs(rows, L, k):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(h.view(np.int64)), pa.array(np.full(len(p), rid, np.int64)), pa.array(p)], schema=schema
-                )
-
-    anchors = docs.select("rid", "body").mapInArrow(lambda b: merged(emit(b)), "h long, rid long, p long")
-    repeated = stored(anchors.groupBy("h").count().filter("count > 1").select("h"), f"{path}/repeated")
+                if bits is None:
+                    yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64))], schema=schema)
+                    continue
+                low = h & np.uint64((1 << FILTER_BITS) - 1)
+                may = (bits[(low >> np.uint64(6)).astype(np.int64)] >> (h & np.uint64(63))) & np.uint64(1) == 1
+                h, p = h[may], p[may]
+                columns = [pa.array(h.view(np.int64)), pa.array(np.full(len(p), rid, np.int64)), pa.array(p)]
+                yield pa.RecordBatch.from_arrays(columns, schema=schema)
+
+    texts = docs.select("rid", "body")
+    counted = texts.mapInArrow(lambda b: merged(emit(b)), "h long").groupBy("h").count()
+    repeated = stored(counted.filter("count > 1").select("h"), f"{path}/repeated")
+    held = docs.sparkSession.sparkContext.broadcast(bitmap(repeated))
+    anchors = texts.mapInArrow(lambda b: merged(emit(b, held)), "h long, rid long, p long")
     picks = anchors.join(repeated.hint("shuffle_hash"), "h", "left_semi").groupBy("rid").agg(F.collect_list("p").alias("picks"))
     return docs.join(picks.hint("shuffle_hash"), "rid", "left")
 

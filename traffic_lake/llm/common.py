@@ -23,9 +23,9 @@ def scratch(spark: SparkSession, name: str) -> str:
     return work_dir(spark, name)
 
 
-def stored(df: DataFrame, path: str, **partitioned: list[str]) -> DataFrame:
+def stored(df: DataFrame, path: str) -> DataFrame:
     """``df`` written once and read back: later jobs start from files that outlive executors."""
-    df.write.parquet(path, **partitioned)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -8,9 +8,9 @@ covers it also starts in a text with a smaller id.
 2. Extension: around a seed, each window that has the seed as its anchor is the
    seed extended to the left by some words and to the right by the rest. Equal
    surroundings collapse to one class with its smallest id before a shuffle.
-   The extensions of the classes are then matched by 128-bit digests of their
-   words, with partial minima, so neither a frequent seed nor a frequent passage
-   is ever gathered, and no pairs are made.
+   The extensions of the classes of a seed are then matched by its hash and a
+   64-bit digest of their words, with partial minima, so neither a frequent seed
+   nor a frequent passage is ever gathered, and no pairs are made.
 3. Matched windows that overlap or touch are merged into maximal repeats.
 
 Words compare by 64-bit hashes. NULL and blank texts have no words and stay as
@@ -71,47 +71,64 @@ def remove_repeated_passages(docs: DataFrame, L: int = 13, text: str = "text", i
     touched = marked.filter("picks IS NOT NULL")
 
     def surroundings(batches):
-        schema = pa.schema([("c", pa.binary()), ("windows", pa.binary()), ("rid", pa.int64()), ("doc_id", pa.int64()), ("a", pa.int64())])
+        schema = pa.schema(
+            [("h", pa.int64()), ("c", pa.int64()), ("windows", pa.binary()), ("rid", pa.int64()), ("doc_id", pa.int64()), ("a", pa.int64())]
+        )
 
         def rows():
-            for rid, doc_id, units, a, b, _ in marked_runs(batches, as_words, L, k):
+            for rid, doc_id, units, a, b, h in marked_runs(batches, as_words, L, k):
                 raw = units.tobytes()
-                digests = b"".join(xxhash.xxh3_128_digest(raw[8 * i : 8 * (i + L)]) for i in range(b - a + 1))
-                yield xxhash.xxh3_128_digest(raw), digests, rid, doc_id, a
+                digests = b"".join(xxhash.xxh3_64_digest(raw[8 * i : 8 * (i + L)]) for i in range(b - a + 1))
+                yield h, xxhash.xxh3_64_intdigest(raw) - (1 << 63), digests, rid, doc_id, a
 
         return arrow_out(schema, rows())
 
-    places = touched.mapInArrow(surroundings, "c binary, windows binary, rid long, doc_id long, a long")
+    # A seed's hash goes with each digest: windows are equal if both are, as are surroundings.
+    places = touched.mapInArrow(surroundings, "h long, c long, windows binary, rid long, doc_id long, a long")
     classes = stored(
-        places.groupBy("c", "windows").agg(
+        places.groupBy("h", "c", "windows").agg(
             F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.max(F.col("doc_id").isNull()).alias("unknown")
         ),
         f"{path}/classes",
     )
-    extended = classes.select(
+    # With one kind of surroundings, a seed's extensions are known to match; else they are matched one by one.
+    several = stored(classes.groupBy("h").count().filter("count > 1").select("h"), f"{path}/several")
+    later = "least < high OR (least IS NOT NULL AND unknown)"
+    n_windows = (F.length("windows") / 8).cast("int")
+    alike = (
+        classes.join(several, "h", "left_anti")
+        .withColumn("least", F.col("low"))
+        .filter(later)
+        .select(
+            "h", "c", F.transform(F.sequence(F.lit(0), n_windows - 1), lambda i: F.struct(i.alias("i"), F.col("least").alias("least"))).alias("found")
+        )
+    )
+    extended = classes.join(several, "h", "left_semi").select(
+        "h",
         "c",
         "low",
         "high",
         "unknown",
         F.posexplode(
-            F.transform(F.sequence(F.lit(0), (F.length("windows") / 16).cast("int") - 1), lambda i: F.substring("windows", (i * 16 + 1).cast("int"), F.lit(16)))
+            F.transform(F.sequence(F.lit(0), n_windows - 1), lambda i: F.substring("windows", (i * 8 + 1).cast("int"), F.lit(8)))
         ).alias("i", "w"),
     )
     lowest = stored(
-        extended.groupBy("w").agg(F.min("low").alias("least"), F.max("high").alias("high"), F.max("unknown").alias("unknown")).filter(
-            "least < high OR (least IS NOT NULL AND unknown)"
-        ).select("w", "least"),
+        extended.groupBy("h", "w")
+        .agg(F.min("low").alias("least"), F.max("high").alias("high"), F.max("unknown").alias("unknown"))
+        .filter(later)
+        .select("h", "w", "least"),
         f"{path}/lowest",
     )
     matched = (
-        extended.join(lowest, "w")
+        extended.join(lowest, ["h", "w"])
         .filter("least < high OR unknown")
-        .groupBy("c")
+        .groupBy("h", "c")
         .agg(F.collect_list(F.struct("i", "least")).alias("found"))
     )
     starts = (
-        places.select("c", "rid", "doc_id", "a")
-        .join(stored(matched, f"{path}/matched"), "c")
+        places.select("h", "c", "rid", "doc_id", "a")
+        .join(stored(matched.unionByName(alike), f"{path}/matched"), ["h", "c"])
         .select(
             "rid",
             F.transform(
