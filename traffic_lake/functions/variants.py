@@ -65,13 +65,14 @@ def is_numeric(name: Column) -> Column:
     return name.rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT|BOOLEAN)")
 
 
-def is_container(name: Column) -> Column:
-    return name.startswith("OBJECT") | name.startswith("ARRAY")
-
-
 def bare_type(value: Column) -> Column:
-    """The type without the members of objects and lists: a small set of names."""
-    return F.substring_index(type_name(value), "<", 1)
+    """The type without the members of objects and lists: a small set of names.
+
+    Only for values that are neither is the type text made, which would walk
+    all that lies below.
+    """
+    listed = F.try_variant_get(value, "$", "array<variant>").isNotNull()
+    return F.when(as_object(value).isNotNull(), "OBJECT").when(listed, "ARRAY").otherwise(type_name(value))
 
 
 def kind_of(bare: Column) -> Column:

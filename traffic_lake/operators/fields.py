@@ -37,12 +37,11 @@ def _below(node: Column) -> Column:
 
 def _levels(df: DataFrame, depth: int, alert: str, keep: list[str]) -> tuple[DataFrame, list[str]]:
     """One array column of nodes per level, all made from a single look at the
-    document; only containers are followed further down."""
+    document. What is no container has nothing below it."""
     names = [f"__level{i}" for i in range(1, depth + 1)]
     df = df.select(*keep, _entries(V.as_object(F.col(alert)), F.lit("")).alias(names[0]))
     for above, name in zip(names, names[1:]):
-        containers = F.filter(F.col(above), lambda n: V.is_container(V.type_name(n["value"])))
-        df = df.withColumn(name, F.flatten(F.transform(containers, _below)))
+        df = df.withColumn(name, F.flatten(F.transform(above, _below)))
     return df, names
 
 
@@ -122,15 +121,20 @@ def field_stats(nodes: DataFrame) -> DataFrame:
 def field_samples(nodes: DataFrame, key: str = "mongo_id", n: int = SAMPLES) -> DataFrame:
     """``path, rank, sample``: the newest ``n`` non-null values of each path.
 
-    The rank filter becomes a group limit on both sides of the shuffle: a task
-    sends at most ``n`` rows per path, and text is rendered for those alone.
+    Paths and keys alone are ranked: the rank filter becomes a group limit on both
+    sides of the shuffle, so a task sends at most ``n`` short rows per path. The
+    values are then fetched for those keys, and text is rendered for them alone.
     """
     newest = W.partitionBy("path").orderBy(F.desc(key))
+    rank = F.row_number().over(newest)
+    present = nodes.filter(~F.is_variant_null("value"))
+    chosen = present.select("path", key).withColumn("rank", rank).filter(F.col("rank") <= n).drop("rank").distinct()
     return (
-        nodes.filter(~F.is_variant_null("value"))
-        .withColumn("rank", F.row_number().over(newest))
+        present.join(chosen, ["path", key])
+        .select("path", key, sample_text(F.col("value")).alias("sample"))
+        .withColumn("rank", rank)
         .filter(F.col("rank") <= n)
-        .select("path", "rank", sample_text(F.col("value")).alias("sample"))
+        .select("path", "rank", "sample")
     )
 
 
