@@ -113,15 +113,15 @@ def text_runs(texts: Iterator[tuple[object, np.ndarray]], L: int, k: int):
 
 
 #: The bits of the filter before the join: a bound on what it takes, whatever the corpus.
-FILTER_BITS = 26
+FILTER_BITS = 25
 
 
 def bitmap(hashes: DataFrame) -> np.ndarray:
-    """A bit for each hash, at its lowest ``FILTER_BITS`` bits; at most 8 MB, of which only words with a bit set are collected."""
+    """A bit for each hash, at its lowest ``FILTER_BITS`` bits; at most 4 MB, of which only words with a bit set are collected."""
     word = F.col("h").bitwiseAND((1 << FILTER_BITS) - 64)
-    rows = hashes.groupBy(F.shiftright(word, 6).alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(h & 63 AS INT))")).alias("bits")).toPandas()
+    rows = hashes.groupBy(F.shiftright(word, 6).alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(h & 63 AS INT))")).alias("bits")).toArrow()
     out = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
-    out[rows["at"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64).view(np.uint64)
+    out[rows["at"].to_numpy()] = rows["bits"].to_numpy().view(np.uint64)
     return out
 
 

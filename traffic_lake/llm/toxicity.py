@@ -177,8 +177,8 @@ def _count(labelled: DataFrame, grams: int, path: str) -> dict[str, tuple[int, i
         F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic")
     )
     total = stored(counted.withColumn("n", F.col("ordinary") + F.col("toxic")), path)
-    rows = most_frequent(total, "n", grams)[0].toPandas()  # at most that many
-    return dict(zip(rows["gram"], zip(rows["ordinary"].tolist(), rows["toxic"].tolist())))
+    rows = most_frequent(total, "n", grams)[0].toArrow()  # at most that many
+    return dict(zip(rows["gram"].to_pylist(), zip(rows["ordinary"].to_pylist(), rows["toxic"].to_pylist())))
 
 
 def score(
@@ -228,8 +228,8 @@ def score(
         weights, ratio = np.zeros(5), Ratio({})
     else:
         first = Ratio(_count(sample.filter("fold = 0").select("toxic", "body"), grams, f"{path}/first"))
-        unseen = measured(sample.filter("fold = 2"), first, ["toxic"]).toPandas()  # at most twice per_class rows
-        weights = logistic(np.stack(unseen["x"].to_numpy()), unseen["toxic"].to_numpy(float))
+        unseen = measured(sample.filter("fold = 2"), first, ["toxic"]).toArrow()  # about twice per_class rows at most
+        weights = logistic(np.array(unseen["x"].to_pylist()), unseen["toxic"].to_numpy().astype(float))
         # the classes were taken in other shares than they have among the labels
         taken = {r["toxic"]: r["count"] for r in chosen.groupBy("toxic").count().collect()}
         del first
