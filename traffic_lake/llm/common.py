@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -24,9 +25,17 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 
 def stored(df: DataFrame, path: str) -> DataFrame:
-    """``df`` written once and read back: later jobs start from files that outlive executors."""
+    """``df`` written once and read back: later jobs start from files that outlive executors.
+
+    Spark drops the shuffle files of finished jobs when the driver's garbage
+    collector has seen that nothing refers to them. Jobs here are few and large,
+    so it's told to look, lest the files of all steps lie on the disks at once.
+    """
+    spark = df.sparkSession
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def whole_row(docs: DataFrame):
