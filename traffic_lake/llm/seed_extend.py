@@ -147,6 +147,7 @@ def remove_repeated_passages(docs: DataFrame, L: int = 13, text: str = "text", i
         return arrow_out(schema, _finish(batches, L))
 
     result = "rid long, doc_id long, n_words long, n_removed long, spans array<struct<start: long, end: long>>, kept binary"
+    starts = stored(starts, f"{path}/starts")  # what led to them can go before the texts are shuffled
     cut = touched.join(starts.hint("shuffle_hash"), "rid", "left").select("rid", "doc_id", "body", "starts").mapInArrow(finish, result)
     words = words_of(F.col("body").cast("string"))
     whole = marked.filter("picks IS NULL").select(

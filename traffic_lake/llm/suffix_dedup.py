@@ -197,6 +197,7 @@ def remove_repeated_substrings(
         return arrow_out(schema, _finish(batches, L))
 
     result = "rid long, doc_id long, n_bytes long, n_removed long, spans array<struct<start: long, end: long>>, kept binary"
+    spans = stored(spans, f"{path}/spans")  # what led to them can go before the texts are shuffled
     cut = touched.join(spans.hint("shuffle_hash"), "rid", "left").select("rid", "doc_id", "body", "spans").mapInArrow(finish, result)
     whole = marked.filter("picks IS NULL").select(
         "rid",
