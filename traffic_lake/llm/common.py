@@ -43,14 +43,30 @@ def whole_row(docs: DataFrame):
     return F.struct(*(F.col("`" + c.replace("`", "``") + "`") for c in docs.columns)).alias("row")
 
 
+def placed(docs: DataFrame, *columns) -> DataFrame:
+    """``rid`` and the given columns of each row of a stored table.
+
+    ``rid`` is the number of the row's file, in order of their paths, and its
+    place in that file; so all jobs give a row the same one, however the
+    files are split among tasks.
+    """
+    place = docs.metadataColumn("_metadata")
+    path = place["file_path"].alias("_path")
+    paths = sorted(r[0] for r in docs.select(path).distinct().collect())
+    files = docs.sparkSession.createDataFrame([(p, n << 40) for n, p in enumerate(paths)], "_path string, _first long")
+    rows = docs.select(path, place["row_index"].alias("_at"), *columns)
+    names = rows.columns[2:]
+    return rows.join(F.broadcast(files), "_path").select((F.col("_first") + F.col("_at")).alias("rid"), *names)
+
+
 def numbered(docs: DataFrame, text: str = "text", id_col: str = "doc_id", carry: bool = False) -> DataFrame:
     """Columns ``rid``, ``doc_id`` and ``body`` (UTF-8 bytes, NULL as empty) of each row, with ``carry`` also ``row``, all its columns.
 
     ``rid`` tells rows apart even where ids repeat or are NULL. It follows from
     the place of a row in the files, so ``docs`` has to be a stored table.
     """
-    return docs.select(
-        F.monotonically_increasing_id().alias("rid"),
+    return placed(
+        docs,
         F.col(id_col).cast("long").alias("doc_id"),
         F.coalesce(F.col(text).cast("binary"), F.lit(b"")).alias("body"),
         *([whole_row(docs)] if carry else []),
@@ -59,7 +75,7 @@ def numbered(docs: DataFrame, text: str = "text", id_col: str = "doc_id", carry:
 
 def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
     """The rows of a stored table but those whose ``rid`` (as ``numbered`` gives it) is in ``gone``."""
-    rows = docs.select(F.monotonically_increasing_id().alias("rid"), whole_row(docs))
+    rows = placed(docs, whole_row(docs))
     return rows.join(gone.select("rid"), "rid", "left_anti").select("row.*")
 
 
