@@ -8,9 +8,10 @@ by its length, and that of its most suspicious ``WINDOW`` words and single words
 go through a logistic curve to a score between 0 and 1.
 
 The labelled rows that are learnt from are bounded: about ``PER_CLASS`` of each
-class, those with a small hash of the id, and at most ``GRAMS`` of the most
-frequent character sequences. The model is therefore small whatever the corpus,
-and scoring is one pass over whole texts without a shuffle. The curve is fitted
+class, those with a small hash of the id. All their character sequences are
+kept, since the rare ones are what continuation counts and discounts are made
+of. The model is therefore bounded whatever the corpus, and scoring is one pass
+over whole texts without a shuffle. The curve is fitted
 on rows that its model hasn't seen; then the model is counted again from all.
 
 NULL and blank texts have no words and get the score of an unremarkable empty
@@ -30,11 +31,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_out, arrow_rows, crc_fold, most_frequent, numbered, scratch, share, shared, stored
+from .common import arrow_out, arrow_rows, crc_fold, numbered, scratch, share, shared, stored
 
 ORDER, DISCOUNT = 6, 0.75
-#: Bounds of what is learnt from: rows of a class, character sequences.
-PER_CLASS, GRAMS = 6000, 150_000
+#: Bound of what is learnt from: rows of a class.
+PER_CLASS = 6000
 WINDOW = 40
 THRESHOLD = 0.7
 #: Words, and character sequences, whose ratio a task remembers.
@@ -155,8 +156,8 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
     return w
 
 
-def _count(labelled: DataFrame, grams: int, path: str) -> dict[str, tuple[int, int]]:
-    """The most frequent character sequences of (toxic, body) rows with their ordinary and toxic counts."""
+def _count(labelled: DataFrame, path: str) -> dict[str, tuple[int, int]]:
+    """All character sequences of (toxic, body) rows, which are bounded, with their ordinary and toxic counts."""
 
     def spell(batches):
         schema = pa.schema([("gram", pa.string()), ("ordinary", pa.int64()), ("toxic", pa.int64())])
@@ -176,8 +177,7 @@ def _count(labelled: DataFrame, grams: int, path: str) -> dict[str, tuple[int, i
     counted = labelled.mapInArrow(spell, "gram string, ordinary long, toxic long").groupBy("gram").agg(
         F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic")
     )
-    total = stored(counted.withColumn("n", F.col("ordinary") + F.col("toxic")), path)
-    rows = most_frequent(total, "n", grams)[0].toArrow()  # at most that many
+    rows = stored(counted, path).toArrow()
     return dict(zip(rows["gram"].to_pylist(), zip(rows["ordinary"].to_pylist(), rows["toxic"].to_pylist())))
 
 
@@ -185,7 +185,6 @@ def score(
     docs: DataFrame,
     labels: DataFrame,
     per_class: int = PER_CLASS,
-    grams: int = GRAMS,
     text: str = "text",
     id_col: str = "doc_id",
     carry: bool = False,
@@ -227,14 +226,14 @@ def score(
     if len(sides) < 4:  # a class or a part of it is missing
         weights, ratio = np.zeros(5), Ratio({})
     else:
-        first = Ratio(_count(sample.filter("fold = 0").select("toxic", "body"), grams, f"{path}/first"))
+        first = Ratio(_count(sample.filter("fold = 0").select("toxic", "body"), f"{path}/first"))
         unseen = measured(sample.filter("fold = 2"), first, ["toxic"]).toArrow()  # about twice per_class rows at most
         weights = logistic(np.array(unseen["x"].to_pylist()), unseen["toxic"].to_numpy().astype(float))
         # the classes were taken in other shares than they have among the labels
         taken = {r["toxic"]: r["count"] for r in chosen.groupBy("toxic").count().collect()}
         del first
         weights[-1] += log(have[1] / have[0]) - log(taken[1] / taken[0])
-        ratio = Ratio(_count(sample.select("toxic", "body"), grams, f"{path}/all"))
+        ratio = Ratio(_count(sample.select("toxic", "body"), f"{path}/all"))
     total = F.lit(float(weights[-1]))
     for i in range(4):
         total = total + F.col("x")[i] * float(weights[i])
