@@ -13,6 +13,7 @@ from . import brown_lm, toxicity
 from .common import table
 from .packing import pack
 from .perspectives import rotate
+from .phrases import collocations
 from .radix_dedup import exact_duplicates
 from .seed_extend import remove_repeated_passages
 from .simhash import near_duplicates
@@ -98,6 +99,11 @@ def op10_simhash(spark, sf_dir):
     return docs.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id", "n_links")
 
 
+@query
+def op13_collocations(spark, sf_dir):
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 @query
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
@@ -136,4 +142,28 @@ SQL: dict[str, str] = {
           doc_id = max(doc_id) OVER same AS kept, sha256(t) AS text_sha256
         FROM d WINDOW same AS (PARTITION BY t)
     """,
+    "op13_collocations": """
+        WITH t AS (
+          SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS body
+          FROM documents),
+        p AS (SELECT lang, unnest(regexp_split_to_array(body, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM t),
+        w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS words FROM p),
+        s AS (SELECT lang, words, unnest(range(1, len(words) + 1)) AS i FROM w),
+        g AS (SELECT lang, words[i : i + k - 1] AS g FROM s, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE i + k - 1 <= len(words)),
+        f AS (SELECT lang, g, len(g) AS k, count(*) AS f FROM g GROUP BY lang, g HAVING count(*) >= 30),
+        n AS (SELECT lang, CAST(sum(len(words)) AS BIGINT) AS n FROM w GROUP BY lang),
+        c AS (SELECT *, unnest(range(1, k)) AS cut FROM f WHERE k > 1),
+        v AS (
+          SELECT c.lang, c.g, c.f AS a, x.f AS l, y.f AS r, CAST(2000000 * c.f::HUGEINT // (x.f + y.f) AS BIGINT) AS score,
+            row_number() OVER (PARTITION BY c.lang, c.g ORDER BY 2000000 * c.f::HUGEINT // (x.f + y.f), cut) AS nth
+          FROM c JOIN f x ON x.lang = c.lang AND x.g = c.g[1 : cut] JOIN f y ON y.lang = c.lang AND y.g = c.g[cut + 1 : c.k]),
+        i AS (
+          SELECT lang, g[j : j + m - 1] AS g, max(f) AS most
+          FROM (SELECT *, unnest(range(1, k)) AS j FROM f WHERE k > 2), (SELECT unnest([2, 3]) AS m) WHERE m < k AND j + m - 1 <= k GROUP BY ALL),
+        o AS (
+          SELECT v.*, array_to_string(v.g, ' ') AS phrase FROM v LEFT JOIN i ON i.lang = v.lang AND i.g = v.g
+          WHERE nth = 1 AND (most IS NULL OR 100 * most::HUGEINT < 80 * a::HUGEINT)),
+        z AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM o)
+        SELECT lang, rank, phrase, a, l, r, n, score FROM z JOIN n USING (lang) WHERE rank <= 2000
+    """,
 }
