@@ -20,6 +20,7 @@ from .simhash import near_duplicates
 from .string_tiling import contamination
 from .suffix_dedup import remove_repeated_substrings
 from .warc import round_trip
+from .whitening import whitened
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -99,6 +100,11 @@ def op10_simhash(spark, sf_dir):
     return docs.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id", "n_links")
 
 
+@query
+def op12_whitening(spark, sf_dir):
+    return whitened(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op13_collocations(spark, sf_dir):
     return collocations(table(spark, sf_dir, "documents"))
