@@ -11,6 +11,7 @@ import corpus_pipeline
 
 from . import brown_lm, toxicity
 from .common import table
+from .fingerprints import as_text, compared
 from .packing import pack
 from .perspectives import rotate
 from .phrases import collocations
@@ -100,6 +101,14 @@ def op10_simhash(spark, sf_dir):
     return docs.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id", "n_links")
 
 
+@query
+def op11_fingerprints(spark, sf_dir):
+    docs = compared(table(spark, sf_dir, "documents"))
+    prints = {"fingerprint": as_text(F.col("vector")), "edited_fingerprint": as_text(F.col("edited_vector"))}
+    docs = docs.withColumn("edited_sha256", F.sha2(F.col("edited").cast("binary"), 256)).withColumns(prints)
+    return docs.select("doc_id", "n_chars", "edited_sha256", *prints, "near_edited", "near_next")
+
+
 @query
 def op12_whitening(spark, sf_dir):
     return whitened(table(spark, sf_dir, "embeddings"))
@@ -148,6 +157,55 @@ SQL: dict[str, str] = {
           doc_id = max(doc_id) OVER same AS kept, sha256(t) AS text_sha256
         FROM d WINDOW same AS (PARTITION BY t)
     """,
+    "op11_fingerprints": """
+        WITH o AS (
+          SELECT doc_id, coalesce(text, '') AS t, coalesce(lead(coalesce(text, '')) OVER w, first_value(coalesce(text, '')) OVER w) AS nt,
+            coalesce(lead(doc_id) OVER w, first_value(doc_id) OVER w) AS nid
+          FROM documents WINDOW w AS (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
+        e AS (SELECT *, length(t) AS n, left(t, length(t) - length(t) // 2) || left(nt, length(t) // 2) AS edited FROM o),
+        k AS (SELECT doc_id, 0 AS kind, t AS body FROM e UNION ALL SELECT doc_id, 1, edited FROM e),
+        p AS (SELECT doc_id, kind, unnest(list_filter(string_split(body, chr(10)), lambda x: trim(x) <> '')) AS line FROM k),
+        pd AS (SELECT doc_id, kind, line, sha256(line) || sha256(sha256(line)) AS h FROM p),
+        s AS (
+          SELECT doc_id, kind,
+            md5(unnest(list_filter(regexp_split_to_array(line, '[.!?]+[\\x20\\x09-\\x0D]+'), lambda x: x <> ''))) AS h
+          FROM p),
+        wide AS (
+          SELECT doc_id, kind, i, sum(CAST('0x' || substr(h, 15 * i + 1, 15) AS BIGINT)) % 1152921504606846976 AS v
+          FROM pd, range(8) r(i) GROUP BY ALL),
+        counted AS (SELECT doc_id, kind, count(*) AS n FROM s GROUP BY ALL),
+        ones AS (
+          SELECT doc_id, kind, b // 60 AS word, b % 15 AS j, b % 60 // 15 AS field,
+            CAST(sum((CAST('0x' || substr(h, 15 * (b // 60) + 1, 15) AS BIGINT) >> (b % 60)) & 1) AS BIGINT) % 16384 AS v
+          FROM s, range(120) r(b) GROUP BY ALL),
+        packed AS (SELECT doc_id, kind, 9 + 15 * word + j AS i, CAST(sum(v * (1 << (15 * field))) AS BIGINT) AS v FROM ones GROUP BY ALL),
+        entries AS (
+          SELECT doc_id, kind, i, CAST(v AS BIGINT) AS v FROM wide UNION ALL SELECT doc_id, kind, 8, n FROM counted
+          UNION ALL SELECT * FROM packed),
+        prints AS (
+          SELECT k.doc_id, k.kind, string_agg(format('{:015x}', coalesce(v, 0)), '' ORDER BY r.i) AS f
+          FROM k CROSS JOIN range(39) r(i) LEFT JOIN entries x ON x.doc_id = k.doc_id AND x.kind = k.kind AND x.i = r.i GROUP BY ALL),
+        signs AS (
+          SELECT doc_id, kind, word * 60 + field * 15 + j AS b, (2 * v - n + 16384 + 32768 * (1 + n // 32768)) % 32768 - 16384 AS v
+          FROM ones JOIN counted USING (doc_id, kind)),
+        sizes AS (SELECT doc_id, kind, CAST(sum(v * v) AS BIGINT) AS size FROM signs GROUP BY ALL),
+        pairs AS (SELECT doc_id, doc_id AS other, 1 AS kind FROM e UNION ALL SELECT doc_id, nid, 0 FROM e),
+        products AS (
+          SELECT p.doc_id, p.kind, CAST(sum(x.v * y.v) AS BIGINT) AS product
+          FROM pairs p JOIN signs x ON x.doc_id = p.doc_id AND x.kind = 0 JOIN signs y ON y.doc_id = p.other AND y.kind = p.kind AND y.b = x.b
+          GROUP BY ALL),
+        near AS (
+          SELECT p.doc_id, p.kind,
+            CASE WHEN a.f = b.f THEN 1e0 WHEN coalesce(x.size, 0) + coalesce(y.size, 0) = 0 THEN 0e0
+              ELSE greatest(0e0, least(1e0, 2e0 * coalesce(product, 0) / (coalesce(x.size, 0) + coalesce(y.size, 0)))) END AS near
+          FROM pairs p JOIN prints a ON a.doc_id = p.doc_id AND a.kind = 0 JOIN prints b ON b.doc_id = p.other AND b.kind = p.kind
+          LEFT JOIN sizes x ON x.doc_id = p.doc_id AND x.kind = 0 LEFT JOIN sizes y ON y.doc_id = p.other AND y.kind = p.kind
+          LEFT JOIN products q ON q.doc_id = p.doc_id AND q.kind = p.kind)
+        SELECT e.doc_id, n AS n_chars, sha256(edited) AS edited_sha256, a.f AS fingerprint, b.f AS edited_fingerprint,
+          c.near AS near_edited, d.near AS near_next
+        FROM e JOIN prints a ON a.doc_id = e.doc_id AND a.kind = 0 JOIN prints b ON b.doc_id = e.doc_id AND b.kind = 1
+        JOIN near c ON c.doc_id = e.doc_id AND c.kind = 1 JOIN near d ON d.doc_id = e.doc_id AND d.kind = 0
+    """,
     "op13_collocations": """
         WITH t AS (
           SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS body
