@@ -5,16 +5,18 @@ language, all contiguous occurrences, overlaps included.
 
 1. A sample of the rows, one in ``SAMPLE`` by a hash of id and text, proposes
    phrases that reach half the support due to the sample.
-2. One full pass counts exactly what was proposed and the negative border, that
-   is each phrase that occurs, wasn't proposed, and whose parts without the
-   last and without the first word were.
-3. Where a phrase of the border is frequent, the sample failed. An expansion pass
-   then counts, at all lengths, what wasn't counted and has frequent parts or
-   parts that this pass counts too; nothing is possible beyond that, so it closes.
+2. One full pass counts what was proposed and the negative border, that is each
+   phrase that occurs, wasn't proposed, and whose parts without the last and
+   without the first word were. Most of these are rare, so a phrase goes by a
+   64-bit hash here; what reaches the support is a superset.
+3. Where a phrase of the border is frequent, the sample failed. So another pass
+   counts by their words the phrases that reached the support and, at all
+   lengths, those that weren't counted and have frequent parts or parts that
+   this pass counts too. Nothing is possible beyond that, so it closes.
 
 The sample decides what a pass counts, never a figure: all counts are exact.
-Which phrases are proposed goes to the tasks as a bitmap sized by their number,
-16 bits each, up to 16 MB; beyond that it fills up and more is counted than
+Which phrases are proposed, and later found, goes to the tasks as a bitmap sized by
+their number, 32 bits each, up to 16 MB; beyond that it fills up and more is counted than
 need be. Words compare by 64-bit hashes; should any two words of the
 corpus share one, all is counted again with other hashes.
 
@@ -57,14 +59,6 @@ def longer_hash(shorter: np.ndarray, word: np.ndarray) -> np.ndarray:
     return mix(shorter * _ODD + word)
 
 
-def phrase_hashes(words: list[np.ndarray]) -> np.ndarray:
-    """Hashes of phrases, given as columns of word hashes, 0 where a phrase has ended."""
-    out = words[0]
-    for word in words[1:]:
-        out = np.where(word == 0, out, longer_hash(out, word))
-    return out
-
-
 def has(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     low = hashes & np.uint64(len(bits) * 64 - 1)
     return (bits[(low >> np.uint64(6)).astype(np.int64)] >> (hashes & np.uint64(63))) & np.uint64(1) == 1
@@ -91,13 +85,13 @@ def _distinct(keys: np.ndarray) -> tuple[np.ndarray, int]:
 
 def counted(
     hashes: np.ndarray, codes: np.ndarray, joints: np.ndarray, longest: int, proposed: np.ndarray | None, found: np.ndarray | None
-) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Phrases of a run of words and how often they occur: their length, a word hash per row and column, counts.
+) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """Phrases of a run of words and how often they occur: their length, their hashes, a word hash per row and column, counts.
 
     ``hashes`` are those of the distinct words, ``codes`` says which word stands where. Without
     ``proposed`` (the sample) phrases of words that occur again; with it those that
-    are proposed and the border; with ``found`` too, those that weren't
-    counted then and are possible, given what is known to be frequent.
+    are proposed and the border; with ``found`` too, those that are found, and those that weren't
+    counted then and are possible, given what is found.
     """
     H = hashes[codes]
     ids, size, g = codes.astype(np.int64), len(hashes), H
@@ -115,14 +109,13 @@ def counted(
         times = np.bincount(inverse, minlength=n)
         hashed = longer_hash(g[first], H[first + k - 1])
         before = was[first] & was[first + 1] if found is not None else np.zeros(n, bool)
-        new = ~before
-        yield k, np.column_stack([H[first[new] + j] for j in range(k)]), times[new]
         if proposed is None:
-            stays = times > 1
+            stays, told = times > 1, slice(None)
         elif found is None:
-            stays = has(proposed, hashed)
+            stays, told = has(proposed, hashed), slice(None)
         else:
-            stays = new | has(found, hashed)
+            stays = told = ~before | has(found, hashed)
+        yield k, hashed[told], np.column_stack([H[first[told] + j] for j in range(k)]), times[told]
         size, length = n, len(ids) - 1
         ids, g_next, may, was_next = np.zeros(length, np.int64), np.zeros(length, np.uint64), np.zeros(length, bool), np.zeros(length, bool)
         ids[at], g_next[at], may[at] = inverse, hashed[inverse], stays[inverse]
@@ -145,14 +138,16 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes
 
 
 def _counter(longest: int, seed: int, proposed=None, found=None) -> Callable:
-    """The function for ``mapInArrow`` that counts phrases in tasks; words too, unless ``found`` is given, with their text where ``proposed`` is."""
-    names = ["lang", "word"] if proposed is not None and found is None else []
-    schema = pa.schema([(c, pa.string()) for c in names] + [(c, pa.int64()) for c in [*_KEY, "n"]])
+    """The function for ``mapInArrow`` that counts in tasks.
+
+    By hash, ``g``, with the words' text where ``proposed`` is given; with ``found`` phrases by their words' hashes.
+    """
+    text = ["lang", "word"] if proposed is not None and found is None else []
+    key = _KEY if found is not None else ["g"]
+    schema = pa.schema([(c, pa.string()) for c in text] + [(c, pa.int64()) for c in [*key, "n"]])
 
-    def batch(k: int, words: np.ndarray, n: np.ndarray, *text) -> pa.RecordBatch:
-        columns = [pa.array(words[:, j].view(np.int64) if j < k else np.zeros(len(n), np.int64)) for j in range(4)]
-        lead = list(text) or [pa.nulls(len(n), pa.string())] * len(names)
-        return pa.RecordBatch.from_arrays([*lead, *columns, pa.array(n.astype(np.int64))], schema=schema)
+    def long(a: np.ndarray) -> pa.Array:
+        return pa.array(a.view(np.int64))
 
     def run(batches):
         bits = [None if b is None else b.value for b in (proposed, found)]
@@ -166,50 +161,38 @@ def _counter(longest: int, seed: int, proposed=None, found=None) -> Callable:
             hashes = np.fromiter((xxhash.xxh3_64_intdigest(w, salt) or 1 for w in spelt), np.uint64, len(spelt))
             codes = coded.indices.to_numpy()
             if found is None:
-                text = [pa.array([lang] * len(hashes), pa.string()), coded.dictionary.cast(pa.string())] if names else []
-                yield batch(1, hashes[:, None], np.bincount(codes, minlength=len(hashes)), *text)
-            for k, rows, n in counted(hashes, codes, joints, longest, *bits):
-                if len(n):
-                    yield batch(k, np.ascontiguousarray(rows), n)
+                lead = [pa.array([lang] * len(spelt), pa.string()), coded.dictionary.cast(pa.string())] if text else []
+                yield [*lead, long(hashes), long(np.bincount(codes, minlength=len(spelt)))]
+            for k, hashed, rows, n in counted(hashes, codes, joints, longest, *bits):
+                ends = [np.zeros(len(n), np.uint64)] * (4 - k)
+                by = [long(hashed)] if found is None else [long(c) for c in [*np.ascontiguousarray(rows.T), *ends]]
+                yield [*(pa.nulls(len(n), pa.string()) for _ in text), *by, long(n)]
 
     def small(batches):
-        for out in run(batches):
+        for columns in run(batches):
+            out = pa.RecordBatch.from_arrays(columns, schema=schema)
             for at in range(0, out.num_rows, 1 << 16):
                 yield out.slice(at, 1 << 16)
 
     return small
 
 
-def _totals(texts: DataFrame, counter: Callable, *text: str) -> DataFrame:
+def _totals(texts: DataFrame, counter: Callable, *key: str) -> DataFrame:
     """Counts of all tasks, summed before and after the shuffle."""
-    schema = ", ".join([f"{c} string" for c in text] + [f"{c} long" for c in [*_KEY, "n"]])
-    return texts.mapInArrow(counter, schema).groupBy(*text, *_KEY).agg(F.sum("n").alias("n"))
+    schema = ", ".join(f"{c} {'string' if c in ('lang', 'word') else 'long'}" for c in [*key, "n"])
+    return texts.mapInArrow(counter, schema).groupBy(*key).agg(F.sum("n").alias("n"))
 
 
 def _bitmap(phrases: DataFrame) -> np.ndarray:
-    """A bit for each phrase of a stored table, 16 bits per phrase, at most 16 MB."""
-    power = min(MOST_BITS, max(LEAST_BITS, (16 * phrases.count()).bit_length()))
-
-    def emit(batches):
-        for b in batches:
-            low = phrase_hashes([b.column(c).to_numpy().view(np.uint64) for c in _KEY]) & np.uint64((1 << power) - 1)
-            bit = np.uint64(1) << (low & np.uint64(63))
-            yield pa.RecordBatch.from_arrays([pa.array((low >> np.uint64(6)).astype(np.int64)), pa.array(bit.view(np.int64))], ["at", "bits"])
-
-    rows = phrases.select(*_KEY).mapInArrow(emit, "at long, bits long").groupBy("at").agg(F.bit_or("bits").alias("bits")).toArrow()
+    """A bit for each hash ``g`` of a stored table, 32 bits per phrase, at most 16 MB."""
+    power = min(MOST_BITS, max(LEAST_BITS, (32 * phrases.count()).bit_length()))
+    low = F.col("g").bitwiseAND((1 << power) - 1)
+    rows = phrases.groupBy(F.shiftright(low, 6).alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(g & 63 AS INT))")).alias("bits")).toArrow()
     out = np.zeros(1 << (power - 6), np.uint64)
     out[rows["at"].to_numpy()] = rows["bits"].to_numpy().view(np.uint64)
     return out
 
 
-def _outside(phrases: DataFrame, held) -> DataFrame:
-    def outside(batches):
-        for b in batches:
-            yield b.filter(pa.array(~has(held.value, phrase_hashes([b.column(c).to_numpy().view(np.uint64) for c in _KEY]))))
-
-    return phrases.mapInArrow(outside, phrases.schema)
-
-
 def frequent_phrases(
     docs: DataFrame, support: int = 30, longest: int = 4, text: str = "text", lang: str = "lang", id_col: str = "doc_id"
 ) -> tuple[DataFrame, DataFrame]:
@@ -229,26 +212,24 @@ def frequent_phrases(
     texts = texts.select("lang", "body")
     for seed in count():
         path = scratch(spark, "phrases")
-        proposals = _totals(sample, _counter(longest - 1, seed)).filter(F.col("n") >= max(2, support // (2 * SAMPLE)))
+        proposals = _totals(sample, _counter(longest - 1, seed), "g").filter(F.col("n") >= max(2, support // (2 * SAMPLE)))
         proposed = share(_bitmap(stored(proposals, f"{path}/proposed")))
-        full = _totals(texts, _counter(longest, seed, proposed), "lang", "word")
+        full = _totals(texts, _counter(longest, seed, proposed), "lang", "word", "g")
         full = stored(full.filter((F.col("n") >= support) | F.col("word").isNotNull()), f"{path}/full")
-        words = full.filter("word IS NOT NULL").select("lang", "word", "h1", "n")
+        words = full.filter("word IS NOT NULL").select("lang", "word", F.col("g").alias("h1"), "n")
         if words.groupBy("h1").count().filter("count > 1").isEmpty():
             break
-    frequent = full.filter(F.col("n") >= support).select(*_KEY, "n")
-    if longest > 1 and not _outside(frequent.filter(F.col(f"h{longest}") == 0), proposed).isEmpty():
-        found = share(_bitmap(frequent))
-        more = _totals(texts, _counter(longest, seed, proposed, found)).filter(F.col("n") >= support)
-        frequent = frequent.unionByName(stored(more, f"{path}/more"))
-    return frequent, words
+    found = share(_bitmap(full.filter(F.col("n") >= support)))
+    longer = _totals(texts, _counter(longest, seed, proposed, found), *_KEY).filter(F.col("n") >= support)
+    none = [F.lit(0).cast("long").alias(h) for h in _KEY[1:]]
+    return words.filter(F.col("n") >= support).select("h1", *none, "n").unionByName(stored(longer, f"{path}/longer")), words
 
 
 def _exact(c: str):
     return F.col(c).cast("decimal(20,0)")
 
 
-def best(frequent: DataFrame, words: DataFrame, top: int, within: int) -> DataFrame:
+def best(frequent: DataFrame, words: DataFrame, support: int, top: int, within: int) -> DataFrame:
     """Scores, choice and text of phrases, given what ``frequent_phrases`` returns."""
 
     def span(i: int, n: int):
@@ -282,7 +263,7 @@ def best(frequent: DataFrame, words: DataFrame, top: int, within: int) -> DataFr
     # Text and language by the words' hashes.
     chosen = lowest.join(left, "p", "left_semi").select("p", "a", "low.*")
     word = chosen.select("p", F.posexplode(F.array(*(F.col(f"p.{h}") for h in _KEY))).alias("i", "h1")).filter("h1 <> 0")
-    spelt = word.join(words.select("h1", "lang", "word"), "h1").groupBy("p")
+    spelt = word.join(words.filter(F.col("n") >= support).select("h1", "lang", "word"), "h1").groupBy("p")
     spelt = spelt.agg(F.max("lang").alias("lang"), F.array_sort(F.collect_list(F.struct("i", "word"))).alias("w"))
     spelt = spelt.select("p", "lang", F.array_join(F.col("w.word"), " ").alias("phrase"))
     sizes = words.groupBy("lang").agg(F.sum("n").alias("n"))
@@ -308,4 +289,4 @@ def collocations(
     where a longer frequent phrase that holds it has ``within`` percent of its occurrences or more. ``n`` is
     the number of words of the language. Ties go by ``a``, then by the bytes of the phrase.
     """
-    return best(*frequent_phrases(docs, support, longest, text, lang, id_col), top=top, within=within)
+    return best(*frequent_phrases(docs, support, longest, text, lang, id_col), support=support, top=top, within=within)
