@@ -89,13 +89,85 @@ def test_ratio_is_a_ratio_of_distributions():
         for g in toxicity.spelled(w):
             counts[g, side] += 1
     ratio = toxicity.Ratio({g: (counts[g, 0], counts[g, 1]) for g, _ in counts})
-    letters = {g[-1] for g in ratio.counts} | {"z"}  # z stands for what was never seen
-    for context in {g[:-1] for g in ratio.counts} | {"unseen"[: toxicity.ORDER - 1]}:
+    letters = {g[-1] for g, _ in counts} | {"z"}  # z stands for what was never seen
+    for context in {g[:-1] for g, _ in counts} | {"unseen"[: toxicity.ORDER - 1]}:
         for side in (0, 1):
             assert sum(ratio.chance(context + x, side) for x in letters) == pytest.approx(1)
     assert ratio("abba") < 0 < ratio("baab") and ratio("(abab).") == ratio("abab")
 
 
+def plain_ratio(counts, word):
+    """The definition, one sequence at a time."""
+    levels = [set(counts)]
+    for _ in range(toxicity.ORDER - 1):
+        levels.append({g[1:] for g in levels[-1]})
+    characters, d = len(levels[-1]) + 1, toxicity.DISCOUNT
+
+    def shared(gram):
+        if not gram:
+            return 1 / characters
+        lower, longer = shared(gram[1:]), levels[toxicity.ORDER - 1 - len(gram)]
+        ways = Counter(g[1:] for g in longer)
+        same = {g: n for g, n in ways.items() if g[:-1] == gram[:-1]}
+        if not same:
+            return lower
+        return (max(ways[gram] - d, 0) + d * len(same) * lower) / sum(same.values())
+
+    def chance(gram, side):
+        same = [n[side] for g, n in counts.items() if g[:-1] == gram[:-1] and n[side]]
+        if not same:
+            return shared(gram[1:])
+        return (max(counts.get(gram, (0, 0))[side] - d, 0) + d * len(same) * shared(gram[1:])) / sum(same)
+
+    contexts = {g[:-1] for g in counts}
+    return sum(np.log(chance(g, 1) / chance(g, 0)) for g in toxicity.spelled(word) if g[:-1] in contexts)
+
+
+def test_ratios_equal_the_definition():
+    rng = random.Random(8)
+    counts: dict[str, tuple[int, int]] = {}
+    for _ in range(60):
+        for g in toxicity.spelled("".join(rng.choice("abé😀") for _ in range(rng.randint(0, 7)))):
+            a, b = counts.get(g, (0, 0))
+            counts[g] = (a + 1, b) if rng.random() < 0.6 else (a, b + 1)
+    words = ["", "...", "a", "(ab)", "xyz", "abxab", "😀é", "b" * 300] + ["".join(rng.choice("abé😀z") for _ in range(6)) for _ in range(40)]
+    ratio = toxicity.Ratio(counts)
+    assert ratio.ratios(words) == pytest.approx([plain_ratio(counts, w) for w in words])
+    assert ratio.learn(set(words)) == pytest.approx({w: plain_ratio(counts, w) for w in words})
+
+
+def test_score_is_the_curve_of_the_features(spark, tmp_path, monkeypatch):
+    """The query's scores from plain counts, ratios and features of the same rows."""
+    rows, labels = rude_corpus(120)
+    fits = []
+    curve = toxicity.logistic
+    monkeypatch.setattr(toxicity, "logistic", lambda x, y: fits.append((x, y)) or curve(x, y))
+    monkeypatch.setattr(toxicity, "REMEMBERED", 1000)
+    got = {r.doc_id: r for r in toxicity.score(tables.documents(spark, f"{tmp_path}/d", rows), labelled(spark, f"{tmp_path}/l", labels)).collect()}
+    fold, toxic, text = (lambda i: zlib.crc32(str(i).encode()) % 3), {i: t for i, _, t in labels}, dict(rows)
+
+    def counted(folds):
+        counts: dict[str, list[int]] = {}
+        for i, t in rows:
+            if fold(i) in folds:
+                for token in t.lower().split():
+                    for g in toxicity.spelled(token):
+                        counts.setdefault(g, [0, 0])[toxic[i]] += 1
+        return {g: tuple(n) for g, n in counts.items()}
+
+    def measured(counts, i):
+        tokens = text[i].lower().split()
+        return toxicity.features(tokens, dict(zip(tokens, toxicity.Ratio(counts).ratios(tokens))))
+
+    (x, y), first = fits[0], counted({0})
+    expected = sorted((toxic[i], *measured(first, i)) for i, _ in rows if fold(i) == 2)
+    assert sorted((int(b), *a) for a, b in zip(x.tolist(), y)) == [pytest.approx(e) for e in expected]
+    weights, every = curve(x, y), counted({0, 2})
+    for i, _ in rows:
+        score = 1 / (1 + np.exp(-(np.dot(measured(every, i), weights[:4]) + weights[4])))
+        assert got[i].score == pytest.approx(score, rel=1e-6)
+
+
 # Language model
 
 

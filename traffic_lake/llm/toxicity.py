@@ -31,16 +31,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_out, arrow_rows, crc_fold, numbered, scratch, share, shared, stored
+from .anchors import mix
+from .common import arrow_out, arrow_rows, crc_fold, numbered, placed, scratch, share, shared, stored, whole_row
 
 ORDER, DISCOUNT = 6, 0.75
 #: Bound of what is learnt from: rows of a class.
 PER_CLASS = 6000
 WINDOW = 40
 THRESHOLD = 0.7
-#: Words, and character sequences, whose ratio a task remembers.
-REMEMBERED = 500_000
+#: Bytes of words whose ratio a task remembers.
+REMEMBERED = 32 << 20
 PAD = "\x02" * (ORDER - 1)
+_ODD = np.uint64(0x9E3779B97F4A7C15)
 _TRIM = ".,;:!?\"'()[]{}|*%#&$<>"
 
 
@@ -50,87 +52,131 @@ def spelled(token: str) -> list[str]:
     return [word[i : i + ORDER] for i in range(len(word) - ORDER + 1)]
 
 
+def _sequences(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The sequences of :func:`spelled` of all words as rows of code points, and where each word's begin."""
+    bare = [w.strip(_TRIM) for w in words]
+    n = np.fromiter(map(len, bare), np.int64, len(bare)) + 1
+    text = PAD + ("\x03" + PAD).join(bare) + "\x03"
+    codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    begin = np.cumsum(n) - n
+    at = np.arange(n.sum()) + np.repeat(np.arange(len(n)) * (ORDER - 1), n)
+    return codes[at[:, None] + np.arange(ORDER)], begin
+
+
+def _hash(sequences: np.ndarray) -> np.ndarray:
+    out = np.zeros(len(sequences), np.uint64)
+    for codes in sequences.T:
+        out = mix(out * _ODD + codes + np.uint64(1))
+    return out
+
+
+def _table(keys: np.ndarray, *columns: np.ndarray) -> dict[str, object]:
+    """Columns by distinct 64-bit keys, in slots that follow from the key, the next free one if taken."""
+    size = 1 << max(4, (2 * len(keys)).bit_length())
+    slots, left = np.zeros(size, np.int32), np.arange(len(keys), dtype=np.int32)
+    at = (keys & np.uint64(size - 1)).astype(np.int64)
+    while len(left):
+        free = slots[at] == 0
+        slots[at[free]] = left[free] + 1
+        again = slots[at] != left + 1
+        left, at = left[again], (at[again] + 1) & (size - 1)
+    return {"keys": keys, "slots": slots, "columns": columns}
+
+
+def _find(table: dict[str, object], keys: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Whether each key is in the table, and its columns' values, 0 without."""
+    slots, known = table["slots"], table["keys"]
+    row, left, at = np.full(len(keys), -1), np.arange(len(keys)), (keys & np.uint64(len(slots) - 1)).astype(np.int64)
+    while len(left):
+        here = slots[at] - 1
+        hit = here >= 0
+        hit[hit] = known[here[hit]] == keys[left[hit]]
+        row[left[hit]] = here[hit]
+        go = ~hit & (here >= 0)
+        left, at = left[go], (at[go] + 1) & (len(slots) - 1)
+    found = row >= 0
+    out = [np.zeros(len(keys)) for _ in table["columns"]]
+    for values, column in zip(out, table["columns"]):
+        values[found] = column[row[found]]
+    return found, out
+
+
 class Ratio:
-    """Log-likelihood ratio of words, toxic against ordinary."""
+    """Log-likelihood ratio of words, toxic against ordinary.
+
+    All that was counted is held as numbers by 64-bit hashes of sequences, looked up for many words at once.
+    """
 
     def __init__(self, counts: dict[str, tuple[int, int]]):
-        self.counts = counts
-        #: Of each class and context: how many characters followed, and how many different ones.
-        self.follow: tuple[dict[str, tuple[int, int]], ...] = ({}, {})
-        for gram, pair in counts.items():
-            for side in (0, 1):
-                if pair[side]:
-                    total, kinds = self.follow[side].get(gram[:-1], (0, 0))
-                    self.follow[side][gram[:-1]] = total + pair[side], kinds + 1
-        # Shared lower orders, by sequence (orders differ in length): in how many ways it
-        # continues one that is longer by a character, and the same sums for its contexts.
-        self.ways: dict[str, int] = {}
-        self.followed: dict[str, tuple[int, int]] = {}
-        longer = list(counts)
-        while longer and len(longer[0]) > 1:
-            ways = Counter(g[1:] for g in longer)
-            for g, n in ways.items():
-                total, kinds = self.followed.get(g[:-1], (0, 0))
-                self.followed[g[:-1]] = total + n, kinds + 1
-            self.ways.update(ways)
-            longer = list(ways)
+        grams = np.frombuffer("".join(counts).encode("utf-32-le"), np.uint32).reshape(-1, ORDER)
+        pairs = np.array(list(counts.values()), np.float64).reshape(-1, 2)
+        self.counts = _table(_hash(grams), pairs[:, 0], pairs[:, 1])
+        #: By context: how many characters followed, and how many different ones, of ordinary and of toxic rows.
+        contexts, group = np.unique(_hash(grams[:, :-1]), return_inverse=True)
+        sums = [np.bincount(group, w, len(contexts)) for side in (0, 1) for w in (pairs[:, side], pairs[:, side] > 0)]
+        self.follow = _table(contexts, *sums)
+        # Shared lower orders, the longest first: in how many ways a sequence continues one that is
+        # longer by a character, and the same sums for its contexts.
+        self.ways, self.followed, longer = [], [], grams
+        for _ in range(ORDER - 1):
+            shorter, first, group = np.unique(_hash(longer[:, 1:]), return_index=True, return_inverse=True)
+            ways = np.bincount(group, minlength=len(shorter)).astype(np.float64)
+            longer = longer[first, 1:]
+            contexts, group = np.unique(_hash(longer[:, :-1]), return_inverse=True)
+            self.ways.append(_table(shorter, ways))
+            self.followed.append(_table(contexts, np.bincount(group, ways, len(contexts)), np.bincount(group, minlength=len(contexts))))
         self.characters = len(longer) + 1
         self.words: dict[str, float] = {}
-        self.steps: dict[str, float] = {}
-        self.shares: dict[str, float] = {}
-
-    def shared(self, gram: str) -> float:
-        """Kneser-Ney chance of the last character after the others, from the pooled continuation counts."""
-        if not gram:
-            return 1 / self.characters
-        out = self.shares.get(gram)
-        if out is None:
-            out, context = self.shared(gram[1:]), self.followed.get(gram[:-1])
-            if context:
-                out = (max(self.ways.get(gram, 0) - DISCOUNT, 0) + DISCOUNT * context[1] * out) / context[0]
-            self.shares[gram] = out
-        return out
+        self.held = 0
+
+    def chances(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Chance of the last character of each sequence in both classes, and whether either knows the context."""
+        # Kneser-Ney from the pooled continuation counts, the shortest sequences first
+        share = np.full(len(grams), 1 / self.characters)
+        for ways, followed, at in reversed(list(zip(self.ways, self.followed, range(1, ORDER)))):
+            known, (total, kinds) = _find(followed, _hash(grams[:, at:-1]))
+            n = _find(ways, _hash(grams[:, at:]))[1][0]
+            lower = (np.maximum(n - DISCOUNT, 0) + DISCOUNT * kinds * share) / np.where(known, total, 1)
+            share = np.where(known, lower, share)
+        seen, follow = _find(self.follow, _hash(grams[:, :-1]))
+        counts, out = _find(self.counts, _hash(grams))[1], []
+        for side in (0, 1):
+            total, kinds = follow[2 * side : 2 * side + 2]
+            own = (np.maximum(counts[side] - DISCOUNT, 0) + DISCOUNT * kinds * share) / np.where(total > 0, total, 1)
+            out.append(np.where(total > 0, own, share))
+        return out[0], out[1], seen
 
     def chance(self, gram: str, side: int) -> float:
         """Chance of the last character in a class."""
-        share, context = self.shared(gram[1:]), self.follow[side].get(gram[:-1])
-        if not context:
-            return share
-        kept = self.counts[gram][side] - DISCOUNT if gram in self.counts else 0
-        return (max(kept, 0) + DISCOUNT * context[1] * share) / context[0]
-
-    def step(self, gram: str) -> float:
-        if gram[:-1] not in self.follow[0] and gram[:-1] not in self.follow[1]:
-            return 0.0
-        return log(self.chance(gram, 1) / self.chance(gram, 0))
-
-    def __call__(self, token: str) -> float:
-        bare = token.strip(_TRIM)
-        out = self.words.get(bare)
-        if out is None:
-            if len(self.steps) >= REMEMBERED:
-                self.steps.clear()
-                self.shares.clear()
-            out, steps = 0.0, self.steps
-            for gram in spelled(bare):
-                step = steps.get(gram)
-                if step is None:
-                    step = steps[gram] = self.step(gram)
-                out += step
-            if len(self.words) >= REMEMBERED:
-                self.words.clear()
-            self.words[bare] = out
-        self.words[token] = out
-        return out
-
-
-def features(body: bytes, ratio: Ratio) -> list[float]:
+        return float(self.chances(np.frombuffer(gram.encode("utf-32-le"), np.uint32)[None, :])[side][0])
+
+    def ratios(self, words: list[str]) -> np.ndarray:
+        """The sums over the words' sequences; one with a context that neither class knows says nothing."""
+        out = []
+        for i in range(0, len(words), 1 << 14):
+            grams, begin = _sequences(words[i : i + (1 << 14)])
+            ordinary, toxic, seen = self.chances(grams)
+            out.append(np.add.reduceat(np.where(seen, np.log(toxic / ordinary), 0.0), begin))
+        return np.concatenate(out) if out else np.zeros(0)
+
+    def __call__(self, word: str) -> float:
+        return float(self.ratios([word])[0])
+
+    def learn(self, words: set[str]) -> dict[str, float]:
+        """Ratios that hold these words; so many others are remembered that they take about ``REMEMBERED`` bytes."""
+        if self.held > REMEMBERED:
+            self.words, self.held = {}, 0
+        new = list(words - self.words.keys())
+        self.words.update(zip(new, self.ratios(new).tolist()))
+        self.held += sum(map(len, new)) + 150 * len(new)
+        return self.words
+
+
+def features(tokens: list[str], known: dict[str, float]) -> list[float]:
     """Mean ratio of the text's words, of its worst window, of its worst three words, and its share of suspicious words."""
-    tokens = body.decode("utf-8", "replace").lower().split()
     if not tokens:
         return [0.0] * 4
-    known = ratio.words
-    each = np.clip(np.array([known[t] if t in known else ratio(t) for t in tokens]), -12, 12)
+    each = np.clip(np.array([known[t] for t in tokens]), -12, 12)
     n = len(each)
     if n <= WINDOW:
         worst = each.sum() / (n + 5)
@@ -197,7 +243,7 @@ def score(
     """
     spark = docs.sparkSession
     path = scratch(spark, "toxicity")
-    rows = numbered(docs, text, id_col, carry)
+    rows = numbered(docs, text, id_col)
     fold = crc_fold(F.col("doc_id"), 3)
     known = labels.filter("toxic IN (0, 1)").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).distinct()
     known = known.withColumn("fold", fold).filter("fold <> 1")
@@ -215,7 +261,12 @@ def score(
         def measure(batches):
             ratio = shared(Ratio, held.value)
             for batch in batches:
-                x = [features(body, ratio) for (body,) in arrow_rows([batch], "body")]
+                x = []
+                for at in range(0, batch.num_rows, 64):
+                    bodies = batch.column("body").slice(at, 64).to_pylist()
+                    tokens = [body.decode("utf-8", "replace").lower().split() for body in bodies]
+                    known = ratio.learn(set().union(*tokens))
+                    x += [features(t, known) for t in tokens]
                 yield pa.RecordBatch.from_arrays(
                     [*(batch.column(c) for c in keep), pa.array(x, pa.list_(pa.float64()))], names=[*keep, "x"]
                 )
@@ -237,16 +288,7 @@ def score(
     total = F.lit(float(weights[-1]))
     for i in range(4):
         total = total + F.col("x")[i] * float(weights[i])
-    return (
-        measured(rows, ratio, ["rid", "doc_id", *(["row"] if carry else [])])
-        .withColumn("score", 1 / (1 + F.exp(-total)))
-        .select(
-            "rid",
-            "doc_id",
-            (fold == 1).alias("held_out"),
-            "score",
-            F.col("x")[0].alias("ratio"),
-            (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
-            *(["row"] if carry else []),
-        )
-    )
+    out = measured(rows, ratio, ["rid", "doc_id"]).withColumn("score", 1 / (1 + F.exp(-total)))
+    ratio_of, predicted = F.col("x")[0].alias("ratio"), (F.col("score") >= THRESHOLD).cast("int").alias("predicted")
+    out = out.select("rid", "doc_id", (fold == 1).alias("held_out"), "score", ratio_of, predicted)
+    return out.join(placed(docs, whole_row(docs)), "rid") if carry else out
