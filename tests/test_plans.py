@@ -88,13 +88,27 @@ def test_newest_rows_are_found_by_key_alone(spark, bronze):
 
 
 def test_samples_and_versions_are_cut_before_the_shuffle(spark, bronze):
-    for df in (O.field_samples(O.flatten_paths(bronze)), S.newest_per_key(bronze, version=("fetched_at",))):
-        assert plan(df, "simple").count("WindowGroupLimit") == 2
+    """A task sends the few newest of each path or key, whatever it holds; values of other rows stay."""
+    for df in (O.field_samples(O.flatten_paths(bronze)), O.profile_fields(bronze)):
+        text = plan(df, "simple")
+        below = text[text.index("Exchange hashpartitioning(path"):]
+        assert "partial_collect_top_k" in below and "WindowGroupLimit" not in text
+        assert text.count("Exchange hashpartitioning") == 1
+        assert not re.search(r"Exchange hashpartitioning\(path[^\n]*value", text)
+    ranked = plan(S.newest_per_key(bronze, version=("fetched_at",)), "simple")
+    assert ranked.index("WindowGroupLimit") < ranked.index("Exchange") < ranked.rindex("WindowGroupLimit")
 
 
 def test_profile_reads_the_source_once_per_branch(spark, bronze):
-    stats = O.field_stats(O.flatten_paths(bronze))
-    assert plan(stats, "simple").count("FileScan") == 1
+    """One scan of the documents, one of the objects inside them."""
+    scans = re.findall(r"FileScan.*ReadSchema: (.*)", plan(O.profile_fields(bronze, samples=3), "simple"))
+    assert sum("alert" in s for s in scans) == 1 and sum("prefix" in s for s in scans) == 1
+
+
+def test_the_plan_does_not_grow_with_depth(spark, bronze):
+    deep = bronze.withColumn("alert", F.parse_json(F.concat(F.lit('{"a":') , F.expr("repeat('{\"b\":', 9)"), F.lit("1"), F.expr("repeat('}', 10)"))))
+    flat, nested = (plan(O.profile_fields(df), "simple") for df in (bronze, deep))
+    assert nested.count("\n") <= flat.count("\n") + 1
 
 
 def test_snapshot_age_prunes_the_scan(spark):

@@ -66,13 +66,8 @@ def is_numeric(name: Column) -> Column:
 
 
 def bare_type(value: Column) -> Column:
-    """The type without the members of objects and lists: a small set of names.
-
-    Only for values that are neither is the type text made, which would walk
-    all that lies below.
-    """
-    listed = F.try_variant_get(value, "$", "array<variant>").isNotNull()
-    return F.when(as_object(value).isNotNull(), "OBJECT").when(listed, "ARRAY").otherwise(type_name(value))
+    """The type without the members of objects and lists: a small set of names."""
+    return F.regexp_extract(type_name(value), r"^[A-Z_]+(\(\d+,\d+\))?", 0)
 
 
 def kind_of(bare: Column) -> Column:

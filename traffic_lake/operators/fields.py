@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.internal import InternalFunction
 
 from ..functions import variants as V
+from ..session import work_dir
 from .incremental import recent_sample
 
 SAMPLES = 5
@@ -20,47 +22,52 @@ METADATA_WORDS = ("id",)
 # Display order of the categories.
 CATEGORY_ORDER = ("core", "location", "time", "domain", "metadata")
 
-def _entries(value: Column, prefix: Column) -> Column:
-    """``array<struct<path,value>>`` of an object's fields, NULL for anything else."""
-    return F.transform(
-        F.map_entries(value),
-        lambda e: F.struct(F.concat(prefix, e["key"]).alias("path"), e["value"].alias("value")),
-    )
+
+def _fields(objects: DataFrame, key: str) -> DataFrame:
+    """The fields of objects ``key, prefix, value``: ``key, path, value``. Anything but an object has none."""
+    held = objects.select(F.col(key).alias("__key"), F.col("prefix").alias("__prefix"), F.col("value").alias("__object"))
+    fields = held.lateralJoin(objects.sparkSession.tvf.variant_explode(F.col("__object").outer())).filter("key IS NOT NULL")
+    return fields.select(F.col("__key").alias(key), F.concat("__prefix", "key").alias("path"), "value")
 
 
-def _below(node: Column) -> Column:
-    """Fields of an object node, or of the object that leads a list node."""
-    own = _entries(V.as_object(node["value"]), F.concat(node["path"], F.lit(".")))
-    lead = F.try_variant_get(node["value"], "$[0]", "map<string,variant>")
-    return F.coalesce(own, _entries(lead, F.concat(node["path"], F.lit("[0]."))), F.array())
-
-
-def _levels(df: DataFrame, depth: int, alert: str, keep: list[str]) -> tuple[DataFrame, list[str]]:
-    """One array column of nodes per level, all made from a single look at the
-    document. What is no container has nothing below it."""
-    names = [f"__level{i}" for i in range(1, depth + 1)]
-    df = df.select(*keep, _entries(V.as_object(F.col(alert)), F.lit("")).alias(names[0]))
-    for above, name in zip(names, names[1:]):
-        df = df.withColumn(name, F.flatten(F.transform(above, _below)))
-    return df, names
-
-
-def document_depth(df: DataFrame, alert: str = "alert") -> int:
-    """Levels that reach every path: the deepest nesting of brackets, found in one
-    pass of which a number reaches the driver."""
-    text = F.to_json(F.struct(F.col(alert).alias("v")))
-    quoted = r'"(?:[^"\\]|\\.)*"'
-    brackets = F.regexp_replace(F.regexp_replace(text, quoted, ""), r"[^\[\]{}]", "")
-    deepest = F.aggregate(
-        F.split(brackets, ""),
-        F.struct(F.lit(0).alias("now"), F.lit(0).alias("most")),
-        lambda at, c: F.struct(
-            (at["now"] + F.when(c.isin("{", "["), 1).when(c.isin("}", "]"), -1).otherwise(0)).alias("now"),
-            F.greatest(at["most"], at["now"]).alias("most"),
-        ),
-        lambda at: at["most"],
+def _objects_below(nodes: DataFrame, key: str) -> DataFrame:
+    """Nodes that are objects with fields, or lists that such an object leads, as ``key, prefix, value``."""
+    lead = F.try_variant_get("value", "$[0]", "variant")
+    filled = "^OBJECT<[^>]"
+    return (
+        nodes.withColumn("__type", V.type_name(F.col("value")))
+        .withColumn("__lead", F.when(F.col("__type").startswith("ARRAY"), lead))
+        .filter(F.col("__type").rlike(filled) | V.type_name(F.col("__lead")).rlike(filled))
+        .select(
+            key,
+            F.concat("path", F.when(F.col("__lead").isNull(), ".").otherwise("[0].")).alias("prefix"),
+            F.coalesce("__lead", "value").alias("value"),
+        )
     )
-    return max(1, df.agg(F.max(deepest)).first()[0] or 1)
+
+
+def _stored_levels(documents: DataFrame, key: str, max_depth: int | None) -> list[str]:
+    """Folders with the objects inside documents, one per level, until a level has none."""
+    spark = documents.sparkSession
+    base, above, found = work_dir(spark, "levels"), documents, []
+    while True:
+        path = f"{base}/level={len(found) + 1}"
+        _objects_below(_fields(above, key), key).write.parquet(path)
+        above = spark.read.schema(documents.schema).parquet(path)
+        if above.isEmpty():
+            return found
+        if len(found) + 1 == max_depth:
+            raise PySparkException(f"documents nest deeper than {max_depth} levels: raise max_depth")
+        found.append(path)
+
+
+def _roots(df: DataFrame, alert: str, key: str) -> DataFrame:
+    return df.select(key, F.lit("").alias("prefix"), F.col(alert).alias("value"))
+
+
+def document_depth(df: DataFrame, alert: str = "alert", key: str = "mongo_id") -> int:
+    """Levels of paths that documents have, 1 at least."""
+    return 1 + len(_stored_levels(_roots(df, alert, key), key, None))
 
 
 def flatten_paths(
@@ -69,22 +76,23 @@ def flatten_paths(
     """One row per document and path: ``key, path, value``.
 
     Objects give ``a.b``; a list whose first element is an object gives
-    ``a[0].b`` for that element only. The depth is measured in a pass of its own.
-    With ``max_depth`` that pass is saved, and a document deeper than that fails
-    the query instead of losing paths.
+    ``a[0].b`` for that element only. The objects inside documents are stored
+    first, level by level until there are none, in a pass each over the level
+    above; then one plan, the same for any depth, takes the fields of documents and
+    stored objects. Values may be of any length. With ``max_depth`` a deeper
+    document fails instead of losing paths.
     """
-    depth = document_depth(df, alert) if max_depth is None else max_depth
-    levels, names = _levels(df, depth + 1, alert, [key])
-    last = names.pop()
-    too_deep = F.raise_error(F.lit(f"documents nest deeper than {depth} levels: raise max_depth"))
-    checked = F.when(F.size(last) > 0, too_deep.cast(levels.schema[last].dataType)).otherwise(F.col(last))
-    nodes = F.explode(F.concat(*names, checked))
-    return levels.select(key, nodes.alias("n")).select(key, "n.path", "n.value")
+    roots = _roots(df, alert, key)
+    levels = _stored_levels(roots, key, max_depth)
+    if not levels:
+        return _fields(roots, key)
+    inner = df.sparkSession.read.schema(roots.schema).parquet(*levels)
+    return _fields(roots, key).unionByName(_fields(inner, key))
 
 
-def sample_text(value: Column) -> Column:
+def sample_text(value: Column, type_name: Column | None = None) -> Column:
     """Short text of a value: containers by size, everything else cut to 100 characters."""
-    kind = V.kind(value)
+    kind = V.kind_of(V.bare_type(value) if type_name is None else type_name)
     text = F.try_variant_get(value, "$", "string")
     return (
         F.when(kind == "dict", F.format_string("dict(%d keys)", F.size(V.as_object(value))))
@@ -99,43 +107,39 @@ def sample_text(value: Column) -> Column:
     )
 
 
+def _typed(nodes: DataFrame) -> DataFrame:
+    return nodes.withColumn("type_name", V.bare_type(F.col("value")))
+
+
+def _counts() -> list[Column]:
+    """Aggregates over typed nodes: how many, of which kinds, how many nulls."""
+    kinds = F.transform(F.collect_set("type_name"), V.kind_of)
+    null_n = F.coalesce(F.sum((F.col("type_name") == "VOID").cast("int")), F.lit(0))
+    return [F.count(F.lit(1)).alias("n"), F.sort_array(F.array_distinct(kinds)).alias("types"), null_n.alias("null_n")]
+
+
+def _newest(key: str, n: int) -> Column:
+    """Aggregate over typed nodes: the ``n`` greatest keys with a value that isn't null, and its text.
+
+    No more than ``n`` are ever held per path, in a task as after the shuffle.
+    """
+    shown = F.struct(F.col(key).alias("key"), sample_text(F.col("value"), F.col("type_name")).alias("sample"))
+    return InternalFunction.collect_top_k(F.when(F.col("type_name") != "VOID", shown), n, False)
+
+
 def field_stats(nodes: DataFrame) -> DataFrame:
     """``path, n, types, null_n``.
 
-    Counting per path and type collapses the rows in each task before the
-    first shuffle, so a path present in every document is no hot key.
+    A path collapses to a row in each task before the shuffle, so one that is
+    present in every document is no hot key.
     """
-    kind = V.kind_of(F.col("type_name"))
-    return (
-        nodes.groupBy("path", V.bare_type(F.col("value")).alias("type_name"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("path")
-        .agg(
-            F.sum("n").alias("n"),
-            F.sort_array(F.collect_set(kind)).alias("types"),
-            F.sum(F.when(kind == "NoneType", F.col("n")).otherwise(0)).alias("null_n"),
-        )
-    )
+    return _typed(nodes).groupBy("path").agg(*_counts())
 
 
 def field_samples(nodes: DataFrame, key: str = "mongo_id", n: int = SAMPLES) -> DataFrame:
-    """``path, rank, sample``: the newest ``n`` non-null values of each path.
-
-    Paths and keys alone are ranked: the rank filter becomes a group limit on both
-    sides of the shuffle, so a task sends at most ``n`` short rows per path. The
-    values are then fetched for those keys, and text is rendered for them alone.
-    """
-    newest = W.partitionBy("path").orderBy(F.desc(key))
-    rank = F.row_number().over(newest)
-    present = nodes.filter(~F.is_variant_null("value"))
-    chosen = present.select("path", key).withColumn("rank", rank).filter(F.col("rank") <= n).drop("rank").distinct()
-    return (
-        present.join(chosen, ["path", key])
-        .select("path", key, sample_text(F.col("value")).alias("sample"))
-        .withColumn("rank", rank)
-        .filter(F.col("rank") <= n)
-        .select("path", "rank", "sample")
-    )
+    """``path, rank, sample``: the newest ``n`` non-null values of each path."""
+    newest = _typed(nodes).groupBy("path").agg(_newest(key, n).alias("s"))
+    return newest.select("path", F.posexplode("s.sample").alias("rank", "sample")).withColumn("rank", F.col("rank") + 1)
 
 
 def profile_fields(
@@ -145,27 +149,22 @@ def profile_fields(
     max_depth: int | None = None,
     samples: int = SAMPLES,
 ) -> DataFrame:
-    """One row per path: ``path, n, pct, types, null_n, null_pct, samples``."""
+    """One row per path: ``path, n, pct, types, null_n, null_pct, samples``.
+
+    Statistics and samples come from one flattening and one aggregation.
+    """
     nodes = flatten_paths(df, alert, key, max_depth)
     total = df.select(F.count(F.lit(1))).scalar()
-    stats = field_stats(nodes).select(
+    shown = [_newest(key, samples).alias("newest")] if samples else []
+    found = _typed(nodes).groupBy("path").agg(*_counts(), *shown)
+    return found.select(
         "path",
         "n",
         (100 * F.col("n") / total).alias("pct"),
         "types",
         "null_n",
         (100 * F.col("null_n") / F.col("n")).alias("null_pct"),
-    )
-    if not samples:
-        return stats
-    shown = (
-        field_samples(nodes, key, samples)
-        .groupBy("path")
-        .agg(F.sort_array(F.collect_list(F.struct("rank", "sample"))).alias("s"))
-        .select("path", F.col("s.sample").alias("samples"))
-    )
-    return stats.join(shown, "path", "left").withColumn(
-        "samples", F.coalesce("samples", F.array().cast("array<string>"))
+        *([F.col("newest.sample").alias("samples")] if samples else []),
     )
 
 

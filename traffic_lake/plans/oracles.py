@@ -310,6 +310,14 @@ _SQL: dict[str, str] = {
       SELECT repeat('n.', CAST(k - 1 AS INT)) || 'n' AS path, count(*) AS n,
         CASE WHEN bool_or(k < depth) AND bool_or(k = depth) THEN 'dict,int' WHEN bool_or(k < depth) THEN 'dict' ELSE 'int' END AS types
       FROM levels GROUP BY k""",
+    "long_text_profile": r"""WITH texts AS (
+        SELECT event_id, repeat('[{"}\ ', CASE WHEN event_id % 500 = 0 THEN 20000 ELSE 1 + event_id % 7 END) AS x FROM events),
+      ranked AS (SELECT *, row_number() OVER (ORDER BY event_id DESC) AS age FROM texts),
+      shown AS (SELECT unnest([
+        {'path': 'text', 'types': 'str', 's': left(x, 100)}, {'path': 'in', 'types': 'dict', 's': 'dict(1 keys)'},
+        {'path': 'in.note', 'types': 'str', 's': left(reverse(x), 100)}, {'path': 'list', 'types': 'list', 's': 'list(1 items)'},
+        {'path': 'list[0].x', 'types': 'str', 's': left(x, 100)}], recursive := true), age FROM ranked)
+      SELECT path, count(*) AS n, any_value(types) AS types, string_agg(s, ' | ' ORDER BY age) FILTER (age <= 2) AS samples FROM shown GROUP BY path""",
     "rejects_accounted": f"WITH {REJECT_DOCS}, {REASONS} SELECT mongo_id, processed_reason IS NULL AS stored FROM judged",
     "bounded_stream": "SELECT true AS several, count(*) AS read_n, count(*) AS exported_n, count(*) AS stored_n FROM events",
     "resumed_stream": f"""WITH {ALERTS} SELECT mongo_id, CASE WHEN event_id % 10 = 0 THEN 'CHANGED' ELSE type END AS type FROM alerts""",

@@ -646,6 +646,19 @@ def deep_profile(spark, sf_dir):
     return O.profile_fields(docs, samples=0).select("path", "n", F.array_join("types", ",").alias("types"))
 
 
+@query
+def long_text_profile(spark, sf_dir):
+    """Texts up to 120,000 characters of brackets, quotes and backslashes, at three levels."""
+    events = table(spark, sf_dir, "events")
+    times = F.when(F.col("event_id") % 500 == 0, 20_000).otherwise((1 + F.col("event_id") % 7).cast("int"))
+    text = F.repeat(F.lit('[{"}\\ '), times)
+    inner, listed = F.struct(F.reverse(text).alias("note")), F.array(F.struct(text.alias("x")))
+    doc = F.to_json(F.struct(text.alias("text"), inner.alias("in"), listed.alias("list")))
+    docs = events.select(F.lpad(F.lower(F.hex("event_id")), 24, "0").alias("mongo_id"), doc.alias("doc")).selectExpr("mongo_id", views.PARSED)
+    profile = O.profile_fields(docs, samples=2)
+    return profile.select("path", "n", F.array_join("types", ",").alias("types"), F.array_join("samples", " | ").alias("samples"))
+
+
 @query
 def rejects_accounted(spark, sf_dir):
     """Stored rows and dead letters are what was read, with default arguments."""
