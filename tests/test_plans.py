@@ -138,6 +138,24 @@ def test_current_rows_are_not_ranked_with_their_values(spark):
     assert compacted.count() == S.read_current(spark, path, partition_by=["day"]).count()
 
 
+def test_days_of_one_write_are_never_shuffled(spark):
+    """Not even with broadcasts off, as on any large table: only the day that was rewritten moves."""
+    path = work_dir(spark, "days")
+    df = views.alerts(spark, SF).selectExpr("mongo_id", "type AS wide", "date_add(DATE'2024-01-01', CAST(confidence AS INT)) AS day")
+    S.upsert(df, path, 0, partition_by=["day"])
+    S.upsert(df.filter("day = '2024-01-03'").withColumn("wide", F.lit("new")), path, 1, partition_by=["day"])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        current = S.read_current(spark, path, partition_by=["day"])
+        text = plan(current, "simple")
+        assert current.count() == df.count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    alone, others = re.split(r"\n[ :]*\+- Project[^\n]*\n[ :]*\+- SortMergeJoin", text, maxsplit=1)
+    assert "FileScan" in alone and "Exchange" not in alone and "PartitionFilters: [NOT" in alone
+    assert "Exchange" in others and all("IN (2024-01-03)" in p or "= 2024-01-03" in p for p in re.findall(r"PartitionFilters: \[([^\]]*)", others))
+
+
 def test_appends_write_few_files(spark, bronze):
     path = work_dir(spark, "files")
     S.append_events(bronze.repartition(8), path)

@@ -42,6 +42,69 @@ def test_upsert_of_an_empty_batch_changes_nothing(spark, where):
     assert pairs(S.read_current(spark, where)) == [("a", 1)]
 
 
+def test_runs_follow_those_in_the_target(spark, where, monkeypatch):
+    S.upsert(frame(spark, [("a", 1)]), f"{where}/t", 0, run_id=10**15)
+    assert S.run_number(spark, f"{where}/c1", f"{where}/t") == 10**15 + 1  # the clock is behind
+    assert S.run_number(spark, f"{where}/c1", f"{where}/t") == 10**15 + 1
+    assert 10**12 < S.run_number(spark, f"{where}/c2", f"{where}/none") < 10**14
+    frame(spark, [("a", 1)]).write.parquet(f"{where}/plain")
+    assert S.run_number(spark, f"{where}/c3", f"{where}/plain") < 10**14
+
+
+def test_folders_above_the_table_do_not_count(spark, where):
+    path = f"{where}/day=2000-01-01/run_id=7/t"
+    dated = frame(spark, [("a", 1), ("b", 1)]).withColumn("day", F.lit("2024-01-01").cast("date"))
+    S.upsert(dated, path, 0, partition_by=["day"])
+    S.upsert(dated.limit(1).withColumn("v", F.lit(2)), path, 1, partition_by=["day"])
+    assert sorted(r["v"] for r in S.read_current(spark, path, partition_by=["day"]).collect()) == [1, 2]
+    assert S.run_number(spark, f"{where}/c", path) > 7
+    with pytest.raises(ValueError, match="isn't partitioned by"):
+        S.read_current(spark, path, partition_by=["nope"])
+
+
+def snapshot_of(spark, base, as_of, **more):
+    df = S.read_snapshot(spark, base, as_of=F.lit(as_of).cast("timestamp"), schema="v int, fetched_at timestamp", **more)
+    return sorted(r["v"] for r in df.collect())
+
+
+def test_kept_snapshot(spark, where, monkeypatch):
+    monkeypatch.setattr(S, "SLOTS", 3)
+
+    def poll(*rows):
+        return spark.createDataFrame(rows, "v int, at string").select("v", F.col("at").cast("timestamp").alias("fetched_at"))
+
+    assert snapshot_of(spark, where, "2024-01-01 00:00:00") == []
+    assert not S.keep_snapshot(poll(), where)
+    assert S.keep_snapshot(poll((1, "2024-01-01 00:00:00"), (2, "2024-01-01 00:00:30"), (3, "2024-01-01 00:00:30")), where)
+    assert snapshot_of(spark, where, "2024-01-01 00:01:00") == [2, 3]
+    held = S.read_snapshot(spark, where, as_of=F.lit("2024-01-01 00:01:00").cast("timestamp"), schema="v int, fetched_at timestamp")
+    assert not S.keep_snapshot(poll(), where)  # an empty cycle
+    assert not S.keep_snapshot(poll((9, "2024-01-01 00:00:10")), where)  # a poll that lands late
+    assert snapshot_of(spark, where, "2024-01-01 00:05:29") == [2, 3]
+    assert snapshot_of(spark, where, "2024-01-01 00:05:30") == [] == snapshot_of(spark, where, "2024-01-01 00:00:29")
+    assert snapshot_of(spark, where, "2024-01-01 00:05:30", ttl="301 seconds") == [2, 3]
+    for minute in range(1, 8):
+        assert S.keep_snapshot(poll((10 + minute, f"2024-01-01 00:0{minute}:00")), where)
+        assert snapshot_of(spark, where, f"2024-01-01 00:0{minute}:00") == [10 + minute]
+        if minute == 2:
+            assert sorted(r["v"] for r in held.collect()) == [2, 3]  # what was resolved stays for some cycles
+    assert spark.read.parquet(f"{where}/pointers").count() == 3  # slots are used again
+    assert S.keep_snapshot(poll((17, "2024-01-01 00:07:00"), (18, "2024-01-01 00:07:00")), where)  # a replay
+    assert snapshot_of(spark, where, "2024-01-01 00:07:00") == [17, 18]
+
+
+def test_a_slot_that_was_left_half_written_is_passed_over(spark, where):
+    def keep(v, at):
+        S.keep_snapshot(spark.createDataFrame([(v, at)], "v int, at string").select("v", F.col("at").cast("timestamp").alias("fetched_at")), where)
+
+    keep(1, "2024-01-01 00:00:00")
+    keep(2, "2024-01-01 00:00:30")
+    spark.range(0).selectExpr("id AS number", "id AS taken").write.mode("overwrite").parquet(f"{where}/pointers/slot=1")
+    assert snapshot_of(spark, where, "2024-01-01 00:01:00") == [1]
+    keep(3, "2024-01-01 00:01:00")
+    assert snapshot_of(spark, where, "2024-01-01 00:01:00") == [3]
+
+
 def test_upsert_needs_its_key(spark, where):
     with pytest.raises(ValueError, match="no key column"):
         S.upsert(frame(spark, []), where, 1, "nope")

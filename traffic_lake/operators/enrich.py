@@ -212,8 +212,9 @@ def to_processed(
     ts: Column | str | None = None,
     alert: str = "alert",
     rules: A.ZoneRules = A.SANTIAGO_ZONES,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Processed rows from documents, with ``reject_reason`` and ``warning``.
+    """Processed rows from documents, with ``reject_reason`` and ``warning``; other columns to ``keep`` stay.
 
     ``ts`` (naive UTC column) replaces the processing time in the time group;
     naming ``source_time`` uses the document's own publication time.
@@ -221,7 +222,7 @@ def to_processed(
     text = [n for n in PROCESSED_TEXT if n not in _AS_IS]
     # A location that is no object is a NULL struct here, without coordinates.
     x, y = F.col("v_location.x"), F.col("v_location.y")
-    df = _times(_picked(df, alert, text, PROCESSED_INT, [], _SPOT)).withColumns(
+    df = _times(_picked(df, alert, text, PROCESSED_INT, [], _SPOT, keep=keep)).withColumns(
         {n: _text(n) for n in PROCESSED_TEXT if n in _AS_IS}
         | {
             "has_point": x.isNotNull() & y.isNotNull(),
@@ -263,7 +264,7 @@ def to_processed(
     df = TP.with_time_filter(df, ts)
     if alert != "alert":
         df = df.withColumnRenamed(alert, "alert")
-    return df.select(*[f.name for f in PROCESSED.fields], "reject_reason", "warning")
+    return df.select(*[f.name for f in PROCESSED.fields], "reject_reason", "warning", *keep)
 
 
 def with_local_times(df: DataFrame, alert: str = "alert", tz: str = TP.SANTIAGO) -> DataFrame:

@@ -306,6 +306,10 @@ _SQL: dict[str, str] = {
         sum(1 + event_id % 4) AS last_value, sum(2 * (1 + event_id % 4)) AS raw_rows FROM events""",
     "snapshot_fetch_time": f"""WITH {ALERTS} SELECT uuid, strftime(snapshot_ts, '%Y-%m-%d %H:%M:%S') AS fetched_at,
         epoch_us(snapshot_ts) // 1000000 AS key_seconds FROM alerts WHERE snapshot_ts = (SELECT max(snapshot_ts) FROM alerts)""",
+    "kept_snapshot": f"""WITH {ALERTS} SELECT uuid, strftime(snapshot_ts, '%Y-%m-%d %H:%M:%S') AS fetched_at, 0 AS expired_n
+        FROM alerts WHERE snapshot_ts = (SELECT max(snapshot_ts) FROM alerts)""",
+    "batch_repeats": f"""WITH {ALERTS} SELECT unnest([1, 2]) AS pass, mongo_id,
+        CASE WHEN event_id % 20 = 0 THEN 'AGAIN' WHEN event_id % 10 = 0 THEN 'CHANGED' ELSE type END AS type FROM alerts""",
     "deep_profile": """WITH levels AS (SELECT unnest(range(1, event_id % 13 + 2)) AS k, event_id % 13 + 1 AS depth FROM events)
       SELECT repeat('n.', CAST(k - 1 AS INT)) || 'n' AS path, count(*) AS n,
         CASE WHEN bool_or(k < depth) AND bool_or(k = depth) THEN 'dict,int' WHEN bool_or(k < depth) THEN 'dict' ELSE 'int' END AS types

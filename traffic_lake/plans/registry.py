@@ -382,6 +382,28 @@ def expired_snapshot(spark, sf_dir):
     return alive(299).unionByName(alive(300)).unionByName(alive(301))
 
 
+@query
+def kept_snapshot(spark, sf_dir):
+    """Each cycle with documents replaces the kept snapshot; the last cycle has none. A reader sees one poll, and none after 300 seconds."""
+    land, base = work_dir(spark, "polls"), work_dir(spark, "kept")
+    docs = views.alert_json(alerts(spark, sf_dir)).repartitionByRange(4, "snapshot_ts")
+    docs.selectExpr(POLL).write.text(land)
+    spark.range(1).selectExpr("""'{"fetched_at":"2999-01-01T00:00:00Z","alerts":[]}' AS value""").write.mode("append").text(land)
+    ingest_stream(
+        spark, land, f"{base}/d", f"{base}/c", snapshot=f"{base}/s", multi_line=False, max_files_per_trigger=1, available_now=True
+    ).awaitTermination()
+
+    def alive(age: int) -> DataFrame:
+        as_of = alerts(spark, sf_dir).select(F.max("snapshot_ts").cast("timestamp") + F.expr(f"INTERVAL '{age}' SECOND")).scalar()
+        return S.read_snapshot(spark, f"{base}/s", as_of=as_of)
+
+    return alive(299).select(
+        F.expr("variant_get(alert, '$.uuid', 'string')").alias("uuid"),
+        F.date_format("fetched_at", "yyyy-MM-dd HH:mm:ss").alias("fetched_at"),
+        alive(300).select(F.count(F.lit(1))).scalar().alias("expired_n"),
+    )
+
+
 @query
 def append_by_day(spark, sf_dir):
     """Append twice, nothing is de-duplicated; a replayed batch counts once."""
@@ -461,6 +483,10 @@ def fan_out_counts(spark, sf_dir):
     return O.facet_counts(a.unionByName(b), ["sink"]).withColumn("failed_sinks", failed)
 
 
+# A landed line of one alert that tells when it was fetched.
+POLL = """concat('{"fetched_at":"', date_format(snapshot_ts, "yyyy-MM-dd'T'HH:mm:ss"), 'Z","alerts":[', doc, ']}') AS value"""
+
+
 # --- streams -----------------------------------------------------------------
 
 
@@ -626,9 +652,7 @@ def snapshot_repeats(spark, sf_dir):
 @query
 def snapshot_fetch_time(spark, sf_dir):
     """Envelopes that tell when they were fetched: the newest poll of a compacted history."""
-    land = _lines(
-        spark, sf_dir, "1", """concat('{"fetched_at":"', date_format(snapshot_ts, "yyyy-MM-dd'T'HH:mm:ss"), 'Z","alerts":[', doc, ']}')"""
-    )
+    land = _lines(spark, sf_dir, "1", POLL.removesuffix(" AS value"))
     read = explode_alerts(read_alert_snapshots(spark, land, multi_line=False))
     as_of = alerts(spark, sf_dir).select(F.max("snapshot_ts").cast("timestamp") + F.expr("INTERVAL '10' SECOND")).scalar()
     return S.latest_snapshot(read, as_of=as_of).select(
@@ -698,6 +722,27 @@ def resumed_stream(spark, sf_dir):
     return S.read_current(spark, f"{base}/t", partition_by=["key_date"]).select("mongo_id", "type")
 
 
+@query
+def batch_repeats(spark, sf_dir):
+    """Keys that come up to three times in one batch: the last write wins, also when the documents are dealt otherwise and read again."""
+    base = work_dir(spark, "batch")
+    docs = views.bronze_view(table(spark, sf_dir, "events"))
+
+    def again(every: int, kind: str, pos: int) -> DataFrame:
+        changed = {"alert": F.parse_json(F.lit(f'{{"type":"{kind}","subtype":"x"}}')), "pos": F.lit(pos)}
+        later = {"fetched_at": F.col("fetched_at") + F.expr("INTERVAL '1' HOUR")}
+        return docs.filter(views.event_number() % every == 0).withColumns(changed | later)
+
+    every = again(20, "AGAIN", 1).unionByName(docs).unionByName(again(10, "CHANGED", 0))
+    passes = []
+    for number, parts in ((1, 5), (2, 2)):
+        every.repartition(parts, "pos", "mongo_id").write.parquet(f"{base}/d{number}")
+        raw_stream(read_bronze(spark, f"{base}/d{number}", True), f"{base}/t", f"{base}/c{number}", available_now=True).awaitTermination()
+        current = S.read_current(spark, f"{base}/t", partition_by=["key_date"])
+        passes.append(current.select(F.lit(number).alias("pass"), "mongo_id", "type"))
+    return passes[0].unionByName(passes[1])
+
+
 # --- dashboards --------------------------------------------------------------
 
 

@@ -4,9 +4,11 @@ from .tables import (
     compact_events,
     ensure_target,
     fan_out,
+    keep_snapshot,
     latest_snapshot,
     newest_per_key,
     read_current,
+    read_snapshot,
     run_number,
     snapshot_payload,
     upsert,

@@ -15,10 +15,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.timeparts import utc_ntz
+from ..schemas import BRONZE
 
 # Fixed value: how long the latest snapshot stays valid.
 SNAPSHOT_TTL = "300 seconds"
 
+# Snapshots that are kept side by side: what a reader has begun to read stays for as many cycles, less one.
+SLOTS = 16
+POINTER = "number bigint, taken bigint"
+
 # A write is told by the run of its stream and the batch in that run; both are partitions.
 RUN, BATCH = "run_id", "batch_id"
 # Fixed value: the folder name of a partition whose value is NULL.
@@ -51,12 +56,26 @@ def numbered(df: DataFrame, run_id: int, batch_id: int) -> DataFrame:
     return df.withColumns({RUN: F.lit(run_id).cast("bigint"), BATCH: F.lit(batch_id).cast("bigint")})
 
 
-def run_number(spark: SparkSession, checkpoint: str) -> int:
+def _last_run(spark: SparkSession, target: str) -> int:
+    """The greatest run stored in a target, -1 without one."""
+    try:
+        stored = spark.read.parquet(target)
+    except AnalysisException as missing:
+        if missing.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return -1
+        raise
+    if RUN not in stored.columns:
+        return -1
+    return max((int(run) for run, _ in _folders(stored, [RUN, BATCH])), default=-1)
+
+
+def run_number(spark: SparkSession, checkpoint: str, target: str | None = None) -> int:
     """The number of the run that ``checkpoint`` belongs to.
 
     It is the time at which the first stream with that checkpoint started, kept
     beside the checkpoint: a fresh checkpoint counts its batches from 0 again,
     but in a later run, so that it neither replaces older batches nor loses to them.
+    Should the clock be behind that of an older run in ``target``, it's the next after that.
     """
     beside = f"{checkpoint.rstrip('/')}-run"
     try:
@@ -65,6 +84,8 @@ def run_number(spark: SparkSession, checkpoint: str) -> int:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
     run = time.time_ns() // 1_000_000
+    if target is not None:
+        run = max(run, _last_run(spark, target) + 1)
     spark.range(1).select(F.lit(run).cast("bigint").alias("run")).coalesce(1).write.parquet(beside)
     return run
 
@@ -119,6 +140,53 @@ def snapshot_payload(snapshot: DataFrame) -> DataFrame:
     return snapshot.select(F.to_json(F.struct("*")).alias("payload"))
 
 
+def _kept(spark: SparkSession, base: str) -> dict[str, int] | None:
+    """The pointer row of the snapshot that readers see. A slot that is being written again is passed over."""
+    reader = spark.read.schema(POINTER).option("ignoreMissingFiles", True).option("ignoreCorruptFiles", True)
+    try:
+        rows = reader.parquet(f"{base}/pointers").orderBy(F.desc("number")).limit(1).collect()
+    except AnalysisException as missing:
+        if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+    return rows[0].asDict() if rows else None
+
+
+def keep_snapshot(df: DataFrame, base: str, stamp: str = "fetched_at") -> bool:
+    """Make the newest poll in ``df`` the kept snapshot; False, and nothing changes, if there is none or it's older than the kept one.
+
+    The rows are written beside the kept snapshot, then a pointer row is written:
+    readers see one snapshot or the next, never a mixture. Slots and pointers are
+    used again in turn, so the store doesn't grow, and what a reader has resolved stays for
+    ``SLOTS`` - 1 more cycles. One stream writes; a replayed cycle is a cycle.
+    """
+    spark, micros = df.sparkSession, F.unix_micros(F.col(stamp).cast("timestamp"))
+    taken = df.agg(F.max(micros)).first()[0]
+    kept = _kept(spark, base)
+    if taken is None or (kept and taken < kept["taken"]):
+        return False
+    number = kept["number"] + 1 if kept else 0
+    df.filter(micros == taken).write.mode("overwrite").parquet(f"{base}/slots/{number % SLOTS}")
+    pointer = spark.range(1).select(F.lit(number).cast("bigint").alias("number"), F.lit(taken).cast("bigint").alias("taken"))
+    pointer.coalesce(1).write.mode("overwrite").parquet(f"{base}/pointers/slot={number % SLOTS}")
+    return True
+
+
+def read_snapshot(
+    spark: SparkSession, base: str, ttl: str = SNAPSHOT_TTL, as_of: Column | None = None, schema: T.StructType = BRONZE
+) -> DataFrame:
+    """The kept snapshot, no rows once its age reaches ``ttl`` or before there is one.
+
+    Which snapshot that is is settled here, its age when the frame is computed. ``as_of`` replaces the clock.
+    """
+    kept = _kept(spark, base)
+    if kept is None:
+        return spark.createDataFrame([], schema)
+    now, taken = F.current_timestamp() if as_of is None else as_of, F.timestamp_micros(F.lit(kept["taken"]))
+    alive = (taken > now - F.expr(f"INTERVAL '{ttl}'")) & (taken <= now)
+    return spark.read.schema(schema).parquet(f"{base}/slots/{kept['number'] % SLOTS}").filter(alive)
+
+
 def upsert(
     df: DataFrame,
     path: str,
@@ -153,12 +221,21 @@ def newest_per_key(
     return df.withColumn("__rank", F.row_number().over(newest)).filter("__rank = 1").drop("__rank")
 
 
+def _folders(df: DataFrame, names: Sequence[str]) -> Iterable[tuple[str, ...]]:
+    """The values of the innermost partitions, which have to be ``names``, of each file. What lies above the table isn't looked at."""
+    for file in df.inputFiles():
+        parts = file.split("/")[-len(names) - 1 : -1]
+        at = dict(part.split("=", 1) for part in parts if "=" in part)
+        if set(at) != set(names):
+            raise ValueError(f"{file} isn't partitioned by {', '.join(names)}")
+        yield tuple(at[n] for n in names)
+
+
 def _writes(df: DataFrame, partition_by: Sequence[str]) -> dict[tuple[str, ...], set[tuple[str, str]]]:
     """The writes (run, batch) that each partition of an upserted table holds, as its folder names tell."""
     found: dict[tuple[str, ...], set[tuple[str, str]]] = {}
-    for file in df.inputFiles():
-        at = dict(part.split("=", 1) for part in file.split("/") if "=" in part)
-        found.setdefault(tuple(at[p] for p in partition_by), set()).add((at[RUN], at[BATCH]))
+    for *values, run, batch in _folders(df, [*partition_by, RUN, BATCH]):
+        found.setdefault(tuple(values), set()).add((run, batch))
     return found
 
 
@@ -168,24 +245,25 @@ def read_current(
     """The upserted table as its readers see it; filters on ``partition_by``
     columns still prune files.
 
-    Only partitions that hold several writes are looked through, and there only
-    keys and write numbers are shuffled: they give the outdated versions, which
-    are taken out of the rows. Partitions of one write are read as they are.
+    Partitions of one write are read as they are, whatever the others need. In
+    those of several, keys and write numbers alone are grouped; they give the
+    outdated versions, which are taken out of the rows.
     """
     stored = spark.read.parquet(path)
     several = [values for values, writes in _writes(stored, partition_by).items() if len(writes) > 1]
     if not several:
         return stored.drop(RUN, BATCH)
+    single, mixed = None, stored
     if len(partition_by) == 1:
         value = F.coalesce(F.col(partition_by[0]).cast("string"), F.lit(NO_VALUE))
-        mixed = value.isin(*(unquote(values[0]) for values in several))
-    else:
-        mixed = F.lit(True)
-    rows = stored.filter(mixed).select(key, RUN, BATCH)
-    last = rows.groupBy(key).agg(F.max(F.struct(RUN, BATCH)).alias("__last"), F.count(F.lit(1)).alias("__n"))
+        held = value.isin(*(unquote(values[0]) for values in several))
+        single, mixed = stored.filter(~held), stored.filter(held)
+    rows = mixed.select(*partition_by, key, RUN, BATCH)
+    last = rows.groupBy(*partition_by, key).agg(F.max(F.struct(RUN, BATCH)).alias("__last"), F.count(F.lit(1)).alias("__n"))
     last = last.filter("__n > 1").select(key, "__last")
-    outdated = rows.join(last, key).filter(F.struct(RUN, BATCH) < F.col("__last")).drop("__last")
-    return stored.join(outdated, [key, RUN, BATCH], "left_anti").drop(RUN, BATCH)
+    outdated = rows.join(last, key).filter(F.struct(RUN, BATCH) < F.col("__last")).select(key, RUN, BATCH)
+    current = mixed.join(outdated, [key, RUN, BATCH], "left_anti").select(*stored.columns)
+    return (current if single is None else single.unionByName(current)).drop(RUN, BATCH)
 
 
 def compact(
