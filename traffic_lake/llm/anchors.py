@@ -84,32 +84,46 @@ def runs(units: np.ndarray, at: np.ndarray, length: np.ndarray, L: int, k: int):
     return text, first - base, last - base, anchor - base, grams[anchor]
 
 
+def _pieces(texts: Iterator[tuple[object, np.ndarray]], L: int):
+    """Lists of (tag, units, offset in the text) of about ``PIECE`` units together; texts shorter than ``L`` are left out."""
+    held: list[tuple[object, np.ndarray, int]] = []
+    weight = 0
+    for tag, units in texts:
+        for offset in range(0, len(units) - L + 1, PIECE):
+            held.append((tag, units[offset : offset + PIECE + L - 1], offset))
+            weight += len(held[-1][1])
+            if weight >= PIECE:
+                yield held
+                held, weight = [], 0
+    if held:
+        yield held
+
+
+def joined_runs(held: list[tuple[object, np.ndarray, int]], L: int, k: int):
+    """The pieces' units in one array, where each begins, and the five arrays of ``runs``."""
+    length = np.array([len(p) for _, p, _ in held])
+    at, units = np.cumsum(length) - length, np.concatenate([p for _, p, _ in held])
+    return units, at, *runs(units, at, length, L, k)
+
+
 def text_runs(texts: Iterator[tuple[object, np.ndarray]], L: int, k: int):
     """For each piece of the texts: tag, unit array, offset of the piece, and the four run arrays of the piece.
 
     Offsets of runs are relative to the text; a piece with no window is left out.
     """
-    held: list[tuple[object, np.ndarray, int]] = []
-    weight = 0
-
-    def flush():
-        at = np.cumsum([0] + [len(p) for _, p, _ in held])[:-1]
-        length = np.array([len(p) for _, p, _ in held])
-        text, first, last, anchor, h = runs(np.concatenate([p for _, p, _ in held]), at, length, L, k)
+    for held in _pieces(texts, L):
+        _, _, text, first, last, anchor, h = joined_runs(held, L, k)
         bounds = np.searchsorted(text, np.arange(len(held) + 1))
         for i, (tag, piece, offset) in enumerate(held):
             part = slice(bounds[i], bounds[i + 1])
             yield tag, piece, offset, first[part] + offset, last[part] + offset, anchor[part] + offset, h[part]
 
-    for tag, units in texts:
-        for offset in range(0, len(units) - L + 1, PIECE):
-            held.append((tag, units[offset : offset + PIECE + L - 1], offset))
-            weight += len(held[-1][1])
-            if weight >= PIECE:
-                yield from flush()
-                held, weight = [], 0
-    if held:
-        yield from flush()
+
+def stretch_hashes(units: np.ndarray, at: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each stretch of units, whatever its length, from running sums as in ``gram_hashes``."""
+    sums = np.zeros(len(units) + 1, np.uint64)
+    np.cumsum(units * _power(_BASE, len(units)), out=sums[1:])
+    return mix((sums[at + length] - sums[at]) * _power(_UNBASE, len(units) + 1)[at] + length.astype(np.uint64))
 
 
 #: The bits of the filter before the join: a bound on what it takes, whatever the corpus.
@@ -171,6 +185,37 @@ def merged(batches: Iterator[pa.RecordBatch], rows: int = 1 << 16) -> Iterator[p
         yield pa.concat_batches(held)
 
 
+def marked_surroundings(batches: Iterator[pa.RecordBatch], encode, L: int, k: int) -> Iterator[pa.RecordBatch]:
+    """For stored rows with ``picks``, each run whose anchor repeats: ``h``, the anchor's hash; ``c``, a hash of all its units;
+    ``windows``, a hash of each of its windows; ``rid`` and ``doc_id``; ``a``, its first window."""
+    names = ["h", "c", "windows", "rid", "doc_id", "a"]
+    for batch in batches:
+        texts, wanted = [], [np.empty(0, np.int64)]
+        for i, (body, picks) in enumerate(arrow_rows([batch], "body", "picks")):
+            texts.append((i, encode(body)))
+            wanted.append(np.asarray(picks, np.int64) + (i << 40))
+        wanted = np.unique(np.concatenate(wanted))
+        for held in _pieces(iter(texts), L):
+            units, at, text, first, last, anchor, h = joined_runs(held, L, k)
+            row = np.array([tag for tag, _, _ in held])[text]
+            offset = np.array([o for _, _, o in held])[text]
+            use = np.isin((row << 40) + anchor + offset, wanted)
+            row, offset, text, first, last, h = row[use], offset[use], text[use], first[use], last[use], h[use]
+            n, begin = last - first + 1, first + at[text]
+            ends = np.cumsum(n)
+            windows = gram_hashes(units, L)[np.arange(ends[-1] if len(n) else 0) + np.repeat(begin - (ends - n), n)]
+            c = stretch_hashes(units, begin, n + L - 1).view(np.int64)
+            for i in range(0, len(n), 1 << 15):
+                part = slice(i, i + (1 << 15))
+                edges = np.concatenate(([ends[i] - n[i]], ends[part]))
+                hashes = np.ascontiguousarray(windows[edges[0] : edges[-1]])
+                edges = pa.py_buffer(((edges - edges[0]) * 8).astype(np.int32))
+                rows = pa.array(row[part])
+                columns = [h[part].view(np.int64), c[part], pa.BinaryArray.from_buffers(pa.binary(), len(rows), [None, edges, pa.py_buffer(hashes)])]
+                columns += [batch.column("rid").take(rows), batch.column("doc_id").take(rows), first[part] + offset[part]]
+                yield pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x) for x in columns], names)
+
+
 def marked_runs(batches, encode, L: int, k: int):
     """For stored rows with ``picks``: (rid, doc_id, units, first, last, anchor hash) of each run whose anchor repeats."""
     for batch in batches:

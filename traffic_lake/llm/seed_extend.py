@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .anchors import mark_repeats, marked_runs
+from .anchors import mark_repeats, marked_surroundings, merged
 from .common import arrow_out, arrow_rows, numbered, scratch, stored, words_of
 
 #: Words of a seed.
@@ -71,17 +71,7 @@ def remove_repeated_passages(docs: DataFrame, L: int = 13, text: str = "text", i
     touched = marked.filter("picks IS NOT NULL")
 
     def surroundings(batches):
-        schema = pa.schema(
-            [("h", pa.int64()), ("c", pa.int64()), ("windows", pa.binary()), ("rid", pa.int64()), ("doc_id", pa.int64()), ("a", pa.int64())]
-        )
-
-        def rows():
-            for rid, doc_id, units, a, b, h in marked_runs(batches, as_words, L, k):
-                raw = units.tobytes()
-                digests = b"".join(xxhash.xxh3_64_digest(raw[8 * i : 8 * (i + L)]) for i in range(b - a + 1))
-                yield h, xxhash.xxh3_64_intdigest(raw) - (1 << 63), digests, rid, doc_id, a
-
-        return arrow_out(schema, rows())
+        return merged(marked_surroundings(batches, as_words, L, k))
 
     # A seed's hash goes with each digest: windows are equal if both are, as are surroundings.
     places = touched.mapInArrow(surroundings, "h long, c long, windows binary, rid long, doc_id long, a long")
