@@ -22,7 +22,7 @@ corpus share one, all is counted again with other hashes.
 
 NULL texts have no words; a NULL language is ``und``. Repeated rows count each
 time, ids only deal rows into the sample and may be NULL or repeat. Texts of any
-length are read whole; a task holds one text or about 8 MB of them at once. An
+length are read whole; a task holds one text or about 4 MB of them at once. An
 empty table gives an empty result; other columns are ignored.
 """
 
@@ -43,7 +43,7 @@ from .common import arrow_rows, scratch, stored
 #: Sample one row in so many.
 SAMPLE = 4
 #: Bytes of text that a task counts at once.
-CHUNK = 8 << 20
+CHUNK = 4 << 20
 #: Bounds of a bitmap, as powers of two of bits.
 LEAST_BITS, MOST_BITS = 16, 27
 
