@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from traffic_lake import operators as O
+from traffic_lake import sources
 from traffic_lake.plans import queries, views
 from traffic_lake.schemas import PROCESSED, conform
 from traffic_lake.session import work_dir
@@ -156,6 +157,23 @@ def test_days_of_one_write_are_never_shuffled(spark):
     assert "Exchange" in others and all("IN (2024-01-03)" in p or "= 2024-01-03" in p for p in re.findall(r"PartitionFilters: \[([^\]]*)", others))
 
 
+def test_envelopes_that_do_not_repeat_stay_where_they_are(spark):
+    """Digests are counted by hash; of the envelopes only those that repeat move."""
+    land = work_dir(spark, "lines")
+    lines = views.alert_json(views.alerts(spark, SF)).selectExpr("""concat('{"alerts":[', doc, ']}') AS value""", views.EVENT_NUMBER + " AS n")
+    lines.selectExpr("explode(array_repeat(value, IF(n % 9 = 0, 3, 1))) AS value").write.text(land)
+    read = sources.read_alert_snapshots(spark, land, multi_line=False)
+    documents = sources.explode_alerts(read)
+    text = plan(documents, "simple")
+    alone, again = text.split("Window", 1)
+    assert "SortAggregate" not in text and "LeftAnti" in alone and "LeftSemi" in again
+    assert "Exchange hashpartitioning" not in alone
+    keys = [r["mongo_id"] for r in documents.collect()]
+    assert len(keys) == len(set(keys)) == read.count()
+    counts = plan(sources.snapshots._counted(read), "simple")
+    assert counts.count("HashAggregate") == 2 and "alerts" not in counts.split("Exchange")[1].split("\n")[0]
+
+
 def test_appends_write_few_files(spark, bronze):
     path = work_dir(spark, "files")
     S.append_events(bronze.repartition(8), path)

@@ -82,9 +82,12 @@ def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alerts_view(table(spark, sf_dir, "events"))
 
 
+EVENT_NUMBER = "CAST(conv(mongo_id, 16, 10) AS BIGINT)"
+
+
 def event_number() -> Column:
     """The number an alert's key was made from."""
-    return F.conv(F.col("mongo_id"), 16, 10).cast("bigint")
+    return F.expr(EVENT_NUMBER)
 
 
 def alert_json(alerts: DataFrame) -> DataFrame:
