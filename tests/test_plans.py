@@ -174,6 +174,44 @@ def test_envelopes_that_do_not_repeat_stay_where_they_are(spark):
     assert counts.count("HashAggregate") == 2 and "alerts" not in counts.split("Exchange")[1].split("\n")[0]
 
 
+def test_a_bucketed_table_is_not_shuffled(spark):
+    base = work_dir(spark, "buckets")
+    df = views.alerts(spark, SF).select("mongo_id", "type", F.lit("2024-01-01").cast("date").alias("day"))
+    S.upsert(df, f"{base}/t", 0, partition_by=["day"])
+    name = f"b_{base.rsplit('-', 1)[1]}"
+    S.compact_bucketed(spark, f"{base}/t", f"{base}/b", name, partition_by=["day"], buckets=4)
+    batch = df.limit(50).withColumn("type", F.lit("NEW"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        current = S.merged(spark, name, batch)
+        text = plan(current, "simple")
+        assert current.count() == df.count() and current.filter("type = 'NEW'").count() == 50
+        grouped = plan(spark.table(name).groupBy("mongo_id").count(), "simple")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    table_side = text[text.index("LeftAnti"):].split("Bucketed: true")[0]
+    assert "Exchange" not in table_side and "Bucketed: true" in text and "Exchange" not in grouped
+
+
+def test_keys_of_equal_days_are_not_read(spark):
+    base = work_dir(spark, "tree")
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (views.event_number() / 100).cast("int")).alias("day")
+    df = views.alerts(spark, SF).select("mongo_id", day)
+    S.upsert(df, f"{base}/raw", 0, partition_by=["day"])
+    S.upsert(df.filter(views.event_number() != 345).unionByName(df.limit(0)), f"{base}/processed", 0, partition_by=["day"])
+    raw, processed = (S.read_current(spark, f"{base}/{n}", partition_by=["day"]) for n in ("raw", "processed"))
+    found = O.reconcile_by_digest(raw, processed, day="day")
+    filters = re.findall(r"PartitionFilters: \[([^\]]*)\].*ReadSchema: struct<mongo_id:string>", plan(found, "simple"))
+    assert len(filters) == 2 and all("2024-01-04" in f and f.count("2024-") == 1 for f in filters)
+    n = df.count()
+    assert found.first().asDict() == {"raw_rows": n, "processed_rows": n - 1, "in_both": n - 1, "only_raw": 1, "only_processed": 0}
+    assert O.reconcile_by_digest(raw, raw, day="day").first().asDict() == O.reconcile(raw, raw).first().asDict()
+    assert O.reconcile_by_digest(raw, processed.limit(0), day="day").first().asDict() == O.reconcile(raw, processed.limit(0)).first().asDict()
+    none = raw.withColumn("day", F.when(views.event_number() % 3 > 0, F.col("day")))
+    assert O.reconcile_by_digest(none, none.filter(views.event_number() % 9 > 0), day="day").first().asDict() == O.reconcile(
+        none, none.filter(views.event_number() % 9 > 0)).first().asDict()
+
+
 def test_appends_write_few_files(spark, bronze):
     path = work_dir(spark, "files")
     S.append_events(bronze.repartition(8), path)

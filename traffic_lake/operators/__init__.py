@@ -1,4 +1,4 @@
-from .dashboards import date_histogram, facet_counts, key_presence, reconcile
+from .dashboards import date_histogram, facet_counts, key_presence, reconcile, reconcile_by_digest
 from .enrich import (
     flat_to_processed,
     flat_to_raw,

@@ -4,9 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import work_dir
+
+# Parts of a day whose digests are compared before its keys are.
+BUCKETS = 256
+
 
 def facet_counts(df: DataFrame, cols: Sequence[str], k: int | None = None) -> DataFrame:
     """Rows per combination of ``cols`` (name, or dotted path into a group).
@@ -61,3 +66,58 @@ def reconcile(raw: DataFrame, processed: DataFrame, key: str = "mongo_id") -> Da
         F.count_if((raw_n > 0) & (processed_n == 0)).alias("only_raw"),
         F.count_if((raw_n == 0) & (processed_n > 0)).alias("only_processed"),
     )
+
+
+def _digests(raw: DataFrame, processed: DataFrame, key: str, by: Sequence[Column]) -> DataFrame:
+    """Per node: rows of each side, and ``same``, whether both hold the same keys.
+
+    The digest of a node is the exclusive or of its keys' hashes and the sum of their lower
+    halves: over both sides they cancel out if the keys are the same ones.
+    """
+    h, low = F.xxhash64(key), F.xxhash64(key).bitwiseAND(0xFFFFFFFF)
+
+    def side(df: DataFrame, sign: int) -> DataFrame:
+        return df.select(*by, h.alias("__x"), (low * sign).alias("__s"), F.lit(sign).alias("__side"))
+
+    names = [f"__{i}" for i in range(len(by))]
+    both = side(raw, 1).unionByName(side(processed, -1)).toDF(*names, "__x", "__s", "__side")
+    rows = {"raw_n": F.count_if(F.col("__side") > 0), "processed_n": F.count_if(F.col("__side") < 0)}
+    nodes = both.groupBy(*names).agg(*(n.alias(c) for c, n in rows.items()), F.bit_xor("__x").alias("__x"), F.sum("__s").alias("__s"))
+    same = (F.col("raw_n") == F.col("processed_n")) & (F.col("__x") == 0) & (F.col("__s") == 0)
+    return nodes.withColumn("same", same).drop("__x", "__s")
+
+
+def reconcile_by_digest(
+    raw: DataFrame, processed: DataFrame, key: str = "mongo_id", day: str = "key_date", buckets: int = BUCKETS
+) -> DataFrame:
+    """:func:`reconcile` of tables that hold a key once, as ``read_current`` gives them, partitioned by ``day``.
+
+    A tree of digests is compared: a pass without a shuffle of keys tells the days that differ,
+    a second one over these days alone the parts of them that do, and
+    keys are shuffled for those parts only. A row per day reaches the driver.
+    """
+    days = _digests(raw, processed, key, [F.col(day)]).collect()
+    differ = [d["__0"] for d in days if not d["same"]]
+    known = [d for d in differ if d is not None]
+    held = (F.col(day).isin(known) if known else F.lit(False)) | (F.col(day).isNull() if None in differ else F.lit(False))
+    bucket = F.pmod(F.xxhash64(key), F.lit(buckets))
+    raw_left, processed_left = raw.filter(held), processed.filter(held)
+    path = work_dir(raw.sparkSession, "digests")
+    # Stored, so that its size is known: it's broadcast below Spark's threshold only.
+    _digests(raw_left, processed_left, key, [F.col(day), bucket]).write.parquet(path)
+    parts = raw.sparkSession.read.parquet(path)
+    other = parts.filter("NOT same").select(F.col("__0").alias("__day"), F.col("__1").alias("__bucket"))
+
+    def keys(df: DataFrame) -> DataFrame:
+        return df.join(other, F.col(day).eqNullSafe(F.col("__day")) & (bucket == F.col("__bucket")), "left_semi").select(key)
+
+    below = reconcile(keys(raw_left), keys(processed_left), key)
+    alike = sum(d["raw_n"] for d in days if d["same"])
+    more = F.coalesce(parts.filter("same").agg(F.sum("raw_n")).scalar(), F.lit(0))
+    return below.select(
+        F.lit(sum(d["raw_n"] for d in days)).cast("bigint").alias("raw_rows"),
+        F.lit(sum(d["processed_n"] for d in days)).cast("bigint").alias("processed_rows"),
+        (F.col("in_both") + F.lit(alike) + more).alias("in_both"),
+        "only_raw",
+        "only_processed",
+    )

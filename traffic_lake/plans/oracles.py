@@ -285,6 +285,7 @@ _SQL: dict[str, str] = {
       UNION ALL SELECT 'replayed', strftime(snapshot_ts, '%Y-%m-%d'), count(*) FROM alerts GROUP BY 2""",
     "upsert_last_wins": NEWEST,
     "compacted_target": NEWEST,
+    "bucketed_target": NEWEST,
     "ensure_target_state": f"""WITH {ALERTS}, a AS (SELECT CAST(count(*) AS INT) AS n, max(mongo_id) AS most FROM alerts)
       SELECT 1 AS step, 'create' AS state, 'v1' AS version, 0 AS v1_rows, '' AS v1_greatest
       UNION ALL SELECT 2, 'rebuild', 'v2', n, most FROM a UNION ALL SELECT 3, 'ok', 'v2', n, most FROM a""",
@@ -338,6 +339,13 @@ _SQL: dict[str, str] = {
         count(*) FILTER (raw_reason IS NULL AND processed_reason IS NULL) AS in_both,
         count(*) FILTER (raw_reason IS NULL AND processed_reason IS NOT NULL) AS only_raw,
         count(*) FILTER (raw_reason IS NOT NULL AND processed_reason IS NULL) AS only_processed FROM judged""",
+    "reconcile_by_digest": f"""WITH {REJECT_DOCS}, {REASONS} SELECT 'rejects' AS source,
+        count(*) FILTER (raw_reason IS NULL) AS raw_rows, count(*) FILTER (processed_reason IS NULL) AS processed_rows,
+        count(*) FILTER (raw_reason IS NULL AND processed_reason IS NULL) AS in_both,
+        count(*) FILTER (raw_reason IS NULL AND processed_reason IS NOT NULL) AS only_raw,
+        count(*) FILTER (raw_reason IS NOT NULL AND processed_reason IS NULL) AS only_processed FROM judged
+      UNION ALL SELECT 'lag', count(*), count(*) FILTER (kept), count(*) FILTER (kept), count(*) FILTER (NOT kept), 0
+      FROM (SELECT event_id < 5000 OR event_id % 7 > 0 AS kept FROM judged WHERE raw_reason IS NULL)""",
 }
 
 

@@ -443,6 +443,18 @@ def compacted_target(spark, sf_dir):
     return S.read_current(spark, into, "uuid")
 
 
+@query
+def bucketed_target(spark, sf_dir):
+    """The first batch compacted into buckets, the second merged into it: what the upserted table gives."""
+    base = work_dir(spark, "bucketed")
+    df = S.newest_per_key(alerts(spark, sf_dir).select("uuid", "mongo_id", "type", "pubMillis"), "uuid", ("mongo_id",))
+    S.upsert(df.withColumn("status", F.lit("first")), f"{base}/t", 0, "uuid")
+    name = f"bucketed_{base.rsplit('-', 1)[1]}"
+    S.compact_bucketed(spark, f"{base}/t", f"{base}/b", name, "uuid", buckets=8)
+    changed = df.filter("type = 'JAM' OR type = 'jam' OR type IS NULL").withColumn("status", F.lit("second"))
+    return S.merged(spark, name, changed, "uuid")
+
+
 @query
 def ensure_target_state(spark, sf_dir):
     """The three decisions: nothing there, old structure, right structure."""
@@ -797,5 +809,25 @@ def raw_processed_reconcile(spark, sf_dir):
     return O.reconcile(raw, processed)
 
 
+@query
+def reconcile_by_digest(spark, sf_dir):
+    """The same as keys tell, where enrichment rejects documents of every day, and where only the last days lag."""
+    base = work_dir(spark, "digest")
+    docs = views.reject_documents(spark, sf_dir)
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (views.event_number() / 100).cast("int")).alias("day")
+    raw, _ = O.split_rejects(O.to_raw(docs))
+    processed, _ = O.split_rejects(O.to_processed(docs, "source_time"))
+    S.upsert(raw.select("mongo_id", day), f"{base}/raw", 0, partition_by=["day"])
+    S.upsert(processed.select("mongo_id", day), f"{base}/processed", 0, partition_by=["day"])
+
+    def stored(name: str) -> DataFrame:
+        return S.read_current(spark, f"{base}/{name}", partition_by=["day"])
+
+    rejects = O.reconcile_by_digest(stored("raw"), stored("processed"), day="day")
+    late = stored("raw").filter((views.event_number() < 5000) | (views.event_number() % 7 > 0))
+    lag = O.reconcile_by_digest(stored("raw"), late, day="day")
+    return rejects.withColumn("source", F.lit("rejects")).unionByName(lag.withColumn("source", F.lit("lag")))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     return facet_counts(spark, "/root/testdata/sf0.001")

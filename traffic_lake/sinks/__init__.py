@@ -1,11 +1,13 @@
 from .tables import (
     append_events,
     compact,
+    compact_bucketed,
     compact_events,
     ensure_target,
     fan_out,
     keep_snapshot,
     latest_snapshot,
+    merged,
     newest_per_key,
     read_current,
     read_snapshot,

@@ -276,6 +276,31 @@ def compact(
     upsert(read_current(spark, path, key, partition_by), into, -1, key, partition_by)
 
 
+def compact_bucketed(
+    spark: SparkSession,
+    path: str,
+    into: str,
+    table: str,
+    key: str = "mongo_id",
+    partition_by: Sequence[str] = (),
+    buckets: int = 64,
+) -> None:
+    """Write the current rows as the table ``table`` at ``into``, bucketed and sorted by key.
+
+    What joins or groups it by key then moves only the other side (see :func:`merged`). Rows are
+    dealt by bucket first, so a partition has one file per bucket. The old folder is left alone.
+    """
+    rows = read_current(spark, path, key, partition_by).repartition(buckets, F.col(key))
+    writer = rows.write.bucketBy(buckets, key).sortBy(key).option("path", into)
+    (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(table)
+
+
+def merged(spark: SparkSession, table: str, batch: DataFrame, key: str = "mongo_id") -> DataFrame:
+    """The rows of a bucketed table with those of ``batch``, which holds a key once, in the place of theirs. The table isn't shuffled."""
+    stored = spark.table(table)
+    return stored.join(batch.select(key), key, "left_anti").select(*stored.columns).unionByName(batch.select(*stored.columns))
+
+
 def _columns(spark: SparkSession, path: str) -> set[str] | None:
     """Column names stored at ``path``, None when there is nothing."""
     try:
