@@ -126,26 +126,31 @@ def stretch_hashes(units: np.ndarray, at: np.ndarray, length: np.ndarray) -> np.
     return mix((sums[at + length] - sums[at]) * _power(_UNBASE, len(units) + 1)[at] + length.astype(np.uint64))
 
 
-#: The bits of the filter before the join: a bound on what it takes, whatever the corpus.
-FILTER_BITS = 25
+#: Bounds of the filter before a join, as powers of two of bits; 16 MB at most, whatever the corpus.
+LEAST_BITS, MOST_BITS = 16, 27
 
 
-def bitmap(hashes: DataFrame) -> np.ndarray:
-    """A bit for each hash, at its lowest ``FILTER_BITS`` bits; at most 4 MB, of which only words with a bit set are collected."""
-    word = F.col("h").bitwiseAND((1 << FILTER_BITS) - 64)
-    rows = hashes.groupBy(F.shiftright(word, 6).alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(h & 63 AS INT))")).alias("bits")).toArrow()
-    out = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
+def bitmap(hashes: DataFrame, column: str = "h") -> np.ndarray:
+    """A bit for each hash of a stored table, 16 bits per row as far as ``MOST_BITS`` go; only words with a bit set are collected."""
+    power = min(MOST_BITS, max(LEAST_BITS, (16 * hashes.count()).bit_length()))
+    word, bit = F.col(column).bitwiseAND((1 << power) - 64), F.expr(f"shiftleft(1L, CAST({column} & 63 AS INT))")
+    rows = hashes.groupBy(F.shiftright(word, 6).alias("at")).agg(F.bit_or(bit).alias("bits")).toArrow()
+    out = np.zeros(1 << (power - 6), np.uint64)
     out[rows["at"].to_numpy()] = rows["bits"].to_numpy().view(np.uint64)
     return out
 
 
+def has(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    low = hashes & np.uint64(len(bits) * 64 - 1)
+    return (bits[(low >> np.uint64(6)).astype(np.int64)] >> (hashes & np.uint64(63))) & np.uint64(1) == 1
+
+
 def mark_repeats(docs: DataFrame, encode: Callable[[bytes], np.ndarray], L: int, k: int, path: str) -> DataFrame:
     """``docs`` (rid, doc_id, body) with ``picks``, the offsets of anchors that occur more than once; NULL if there are none.
 
     Anchors are counted with partial sums, so a frequent one costs a row per
     task. The join back is on a stored table, which lets skewed keys be split; a
-    bitmap of bounded size spares it most anchors that occur once, as long as the
-    repeated ones don't fill it.
+    bitmap, sized by the number of repeated anchors up to a bound, spares it most that occur once.
     """
 
     def emit(batches, held=None):
@@ -157,8 +162,7 @@ def mark_repeats(docs: DataFrame, encode: Callable[[bytes], np.ndarray], L: int,
                 if bits is None:
                     yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64))], schema=schema)
                     continue
-                low = h & np.uint64((1 << FILTER_BITS) - 1)
-                may = (bits[(low >> np.uint64(6)).astype(np.int64)] >> (h & np.uint64(63))) & np.uint64(1) == 1
+                may = has(bits, h)
                 h, p = h[may], p[may]
                 columns = [pa.array(h.view(np.int64)), pa.array(np.full(len(p), rid, np.int64)), pa.array(p)]
                 yield pa.RecordBatch.from_arrays(columns, schema=schema)
@@ -169,6 +173,7 @@ def mark_repeats(docs: DataFrame, encode: Callable[[bytes], np.ndarray], L: int,
     held = docs.sparkSession.sparkContext.broadcast(bitmap(repeated))
     anchors = texts.mapInArrow(lambda b: merged(emit(b, held)), "h long, rid long, p long")
     picks = anchors.join(repeated.hint("shuffle_hash"), "h", "left_semi").groupBy("rid").agg(F.collect_list("p").alias("picks"))
+    picks = stored(picks, f"{path}/picks")  # what led to them can go before texts are shuffled
     return docs.join(picks.hint("shuffle_hash"), "rid", "left")
 
 

@@ -38,6 +38,13 @@ def stored(df: DataFrame, path: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def dropped(spark: SparkSession, *paths: str) -> None:
+    """Remove scratch tables that nothing reads any more, since all that was made of them is stored."""
+    for path in paths:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def whole_row(docs: DataFrame):
     """All columns, whatever their names, as the struct ``row``."""
     return F.struct(*(F.col("`" + c.replace("`", "``") + "`") for c in docs.columns)).alias("row")

@@ -16,7 +16,7 @@ language, all contiguous occurrences, overlaps included.
 
 The sample decides what a pass counts, never a figure: all counts are exact.
 Which phrases are proposed, and later found, goes to the tasks as a bitmap sized by
-their number, 32 bits each, up to 16 MB; beyond that it fills up and more is counted than
+their number, 16 bits each, up to 16 MB; beyond that it fills up and more is counted than
 need be. Words compare by 64-bit hashes; should any two words of the
 corpus share one, all is counted again with other hashes.
 
@@ -37,15 +37,13 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .anchors import mix
+from .anchors import bitmap, has, mix
 from .common import arrow_rows, scratch, stored
 
 #: Sample one row in so many.
 SAMPLE = 4
 #: Bytes of text that a task counts at once.
 CHUNK = 4 << 20
-#: Bounds of a bitmap, as powers of two of bits.
-LEAST_BITS, MOST_BITS = 16, 27
 
 _UPPER = bytes(range(ord("A"), ord("Z") + 1))
 _BREAKS = b".,;:!?\n\x0b\x0c\r"
@@ -59,11 +57,6 @@ def longer_hash(shorter: np.ndarray, word: np.ndarray) -> np.ndarray:
     return mix(shorter * _ODD + word)
 
 
-def has(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    low = hashes & np.uint64(len(bits) * 64 - 1)
-    return (bits[(low >> np.uint64(6)).astype(np.int64)] >> (hashes & np.uint64(63))) & np.uint64(1) == 1
-
-
 def words_and_joints(bodies: list[bytes]) -> tuple[pa.Array, np.ndarray]:
     """All words of the texts, and for each but the last whether the next is in the same piece."""
     a = np.frombuffer(b"\n".join(bodies).translate(_FOLD), np.uint8)
@@ -183,16 +176,6 @@ def _totals(texts: DataFrame, counter: Callable, *key: str) -> DataFrame:
     return texts.mapInArrow(counter, schema).groupBy(*key).agg(F.sum("n").alias("n"))
 
 
-def _bitmap(phrases: DataFrame) -> np.ndarray:
-    """A bit for each hash ``g`` of a stored table, 32 bits per phrase, at most 16 MB."""
-    power = min(MOST_BITS, max(LEAST_BITS, (32 * phrases.count()).bit_length()))
-    low = F.col("g").bitwiseAND((1 << power) - 1)
-    rows = phrases.groupBy(F.shiftright(low, 6).alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(g & 63 AS INT))")).alias("bits")).toArrow()
-    out = np.zeros(1 << (power - 6), np.uint64)
-    out[rows["at"].to_numpy()] = rows["bits"].to_numpy().view(np.uint64)
-    return out
-
-
 def frequent_phrases(
     docs: DataFrame, support: int = 30, longest: int = 4, text: str = "text", lang: str = "lang", id_col: str = "doc_id"
 ) -> tuple[DataFrame, DataFrame]:
@@ -213,13 +196,13 @@ def frequent_phrases(
     for seed in count():
         path = scratch(spark, "phrases")
         proposals = _totals(sample, _counter(longest - 1, seed), "g").filter(F.col("n") >= max(2, support // (2 * SAMPLE)))
-        proposed = share(_bitmap(stored(proposals, f"{path}/proposed")))
+        proposed = share(bitmap(stored(proposals, f"{path}/proposed"), "g"))
         full = _totals(texts, _counter(longest, seed, proposed), "lang", "word", "g")
         full = stored(full.filter((F.col("n") >= support) | F.col("word").isNotNull()), f"{path}/full")
         words = full.filter("word IS NOT NULL").select("lang", "word", F.col("g").alias("h1"), "n")
         if words.groupBy("h1").count().filter("count > 1").isEmpty():
             break
-    found = share(_bitmap(full.filter(F.col("n") >= support)))
+    found = share(bitmap(full.filter(F.col("n") >= support), "g"))
     longer = _totals(texts, _counter(longest, seed, proposed, found), *_KEY).filter(F.col("n") >= support)
     none = [F.lit(0).cast("long").alias(h) for h in _KEY[1:]]
     return words.filter(F.col("n") >= support).select("h1", *none, "n").unionByName(stored(longer, f"{path}/longer")), words

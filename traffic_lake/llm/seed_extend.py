@@ -27,8 +27,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .anchors import mark_repeats, marked_surroundings, merged
-from .common import arrow_out, arrow_rows, numbered, scratch, stored, words_of
+from .anchors import bitmap, has, mark_repeats, marked_surroundings, merged
+from .common import arrow_out, arrow_rows, dropped, numbered, scratch, stored, words_of
 
 #: Words of a seed.
 SEED = 5
@@ -81,44 +81,63 @@ def remove_repeated_passages(docs: DataFrame, L: int = 13, text: str = "text", i
         ),
         f"{path}/classes",
     )
-    # With one kind of surroundings, a seed's extensions are known to match; else they are matched one by one.
+    # With one kind of surroundings, a seed's extensions are known to match; else, or where the
+    # bitmap of those others can't tell, they are matched one by one.
     several = stored(classes.groupBy("h").count().filter("count > 1").select("h"), f"{path}/several")
+    differing = spark.sparkContext.broadcast(bitmap(several))
     later = "least < high OR (least IS NOT NULL AND unknown)"
     n_windows = (F.length("windows") / 8).cast("int")
-    alike = (
-        classes.join(several, "h", "left_anti")
-        .withColumn("least", F.col("low"))
-        .filter(later)
-        .select(
-            "h", "c", F.transform(F.sequence(F.lit(0), n_windows - 1), lambda i: F.struct(i.alias("i"), F.col("least").alias("least"))).alias("found")
-        )
-    )
-    extended = classes.join(several, "h", "left_semi").select(
-        "h",
-        "c",
-        "low",
-        "high",
-        "unknown",
-        F.posexplode(
-            F.transform(F.sequence(F.lit(0), n_windows - 1), lambda i: F.substring("windows", (i * 8 + 1).cast("int"), F.lit(8)))
-        ).alias("i", "w"),
-    )
+
+    def uniform(batches):
+        for b in batches:
+            yield b.filter(pa.array(~has(differing.value, b.column("h").to_numpy().view(np.uint64))))
+
+    found = F.transform(F.sequence(F.lit(0), n_windows - 1), lambda i: F.struct(i.alias("i"), F.col("least").alias("least")))
+    alike = classes.mapInArrow(uniform, classes.schema).withColumn("least", F.col("low")).filter(later).select("h", "c", found.alias("found"))
+
+    def extensions(held=None) -> DataFrame:
+        """Each window of the classes of the other seeds; with a bitmap only those that it may hold."""
+        kept = ["h", "c", "low", "high", "unknown"]
+
+        def split(batches):
+            for b in batches:
+                b = b.filter(pa.array(has(differing.value, b.column("h").to_numpy().view(np.uint64))))
+                if not b.num_rows:
+                    continue
+                windows = b.column("windows")
+                ends = np.frombuffer(windows.buffers()[1], np.int32)[windows.offset : windows.offset + b.num_rows + 1] // 8
+                ends, first = ends - ends[0], ends[0]
+                w = np.frombuffer(windows.buffers()[2], np.uint64)[first : first + ends[-1]]
+                use = np.arange(len(w)) if held is None else np.flatnonzero(has(held.value, w))
+                row = np.searchsorted(ends, use, "right") - 1
+                i, w, rows = pa.array((use - ends[row]).astype(np.int32)), pa.array(w[use].view(np.int64)), pa.array(row)
+                yield pa.RecordBatch.from_arrays([*(b.column(c).take(rows) for c in kept), i, w], [*kept, "i", "w"])
+
+        return classes.mapInArrow(lambda b: merged(split(b)), "h long, c long, low long, high long, unknown boolean, i int, w long")
+
     lowest = stored(
-        extended.groupBy("h", "w")
+        extensions()
+        .groupBy("h", "w")
         .agg(F.min("low").alias("least"), F.max("high").alias("high"), F.max("unknown").alias("unknown"))
         .filter(later)
         .select("h", "w", "least"),
         f"{path}/lowest",
     )
+    # Most extensions match no other: a bitmap, sized by those that do, keeps them from the join.
+    may_match = spark.sparkContext.broadcast(bitmap(lowest, "w"))
     matched = (
-        extended.join(lowest, ["h", "w"])
+        extensions(may_match)
+        .select("h", "c", "high", "unknown", "i", "w")
+        .join(lowest, ["h", "w"])
         .filter("least < high OR unknown")
         .groupBy("h", "c")
         .agg(F.collect_list(F.struct("i", "least")).alias("found"))
     )
+    matched = stored(matched.unionByName(alike), f"{path}/matched")
+    dropped(spark, *(f"{path}/{t}" for t in ("repeated", "picks", "classes", "several", "lowest")))
     starts = (
         places.select("h", "c", "rid", "doc_id", "a")
-        .join(stored(matched.unionByName(alike), f"{path}/matched"), ["h", "c"])
+        .join(matched, ["h", "c"])
         .select(
             "rid",
             F.transform(
@@ -138,6 +157,7 @@ def remove_repeated_passages(docs: DataFrame, L: int = 13, text: str = "text", i
 
     result = "rid long, doc_id long, n_words long, n_removed long, spans array<struct<start: long, end: long>>, kept binary"
     starts = stored(starts, f"{path}/starts")  # what led to them can go before the texts are shuffled
+    dropped(spark, f"{path}/matched")
     cut = touched.join(starts.hint("shuffle_hash"), "rid", "left").select("rid", "doc_id", "body", "starts").mapInArrow(finish, result)
     words = words_of(F.col("body").cast("string"))
     whole = marked.filter("picks IS NULL").select(
