@@ -99,12 +99,37 @@ def test_a_slot_that_was_left_half_written_is_passed_over(spark, where):
 
     keep(1, "2024-01-01 00:00:00")
     keep(2, "2024-01-01 00:00:30")
-    spark.range(0).selectExpr("id AS number", "id AS taken").write.mode("overwrite").parquet(f"{where}/pointers/slot=1")
+    spark.range(0).selectExpr("id AS number", "id AS value").write.mode("overwrite").parquet(f"{where}/pointers/slot=1")
     assert snapshot_of(spark, where, "2024-01-01 00:01:00") == [1]
     keep(3, "2024-01-01 00:01:00")
     assert snapshot_of(spark, where, "2024-01-01 00:01:00") == [3]
 
 
+def test_rebuild_and_switch(spark, where):
+    def columns():
+        path = S.current_target(spark, where)
+        return path and (path.rsplit("/", 1)[1], sorted(spark.read.parquet(path).columns))
+
+    def failing(path):
+        frame(spark, [("a", 1)]).write.parquet(path)
+        raise OSError("half written")
+
+    assert columns() is None
+    assert S.rebuild_target(spark, where, frame(spark, [("a", 1)]).write.parquet, ["v"]) == ("create", f"{where}/v1")
+    assert S.rebuild_target(spark, where, failing, ["v"]) == ("ok", f"{where}/v1")
+    with pytest.raises(OSError):
+        S.rebuild_target(spark, where, failing, ["w"])
+    assert columns() == ("v1", ["mongo_id", "v"])  # a failure changes nothing for readers
+    seen = []
+
+    def fill(path):
+        frame(spark, [("a", 1)]).withColumn("w", F.lit(1)).write.parquet(path)
+        seen.append(columns())
+
+    assert S.rebuild_target(spark, where, fill, ["w"]) == ("rebuild", f"{where}/v3")
+    assert seen == [("v1", ["mongo_id", "v"])] and columns() == ("v3", ["mongo_id", "v", "w"])
+
+
 def test_upsert_needs_its_key(spark, where):
     with pytest.raises(ValueError, match="no key column"):
         S.upsert(frame(spark, []), where, 1, "nope")

@@ -323,6 +323,11 @@ _SQL: dict[str, str] = {
         {'path': 'in.note', 'types': 'str', 's': left(reverse(x), 100)}, {'path': 'list', 'types': 'list', 's': 'list(1 items)'},
         {'path': 'list[0].x', 'types': 'str', 's': left(x, 100)}], recursive := true), age FROM ranked)
       SELECT path, count(*) AS n, any_value(types) AS types, string_agg(s, ' | ' ORDER BY age) FILTER (age <= 2) AS samples FROM shown GROUP BY path""",
+    "rebuilt_target": """WITH n AS (SELECT CAST(count(*) AS INT) AS n FROM events)
+      SELECT unnest(['before', 'while', 'after', 'again']) AS step, unnest(['v1', 'v1', 'v2', 'v2']) AS version, n,
+        unnest([false, false, true, true]) AS enriched FROM n""",
+    "stream_progress": """SELECT 2 AS streams, 2 * count(*) AS input_n, true AS bounded, true AS timed,
+        2 * count(*) AS read_n, true AS same_batches FROM events""",
     "rejects_accounted": f"WITH {REJECT_DOCS}, {REASONS} SELECT mongo_id, processed_reason IS NULL AS stored FROM judged",
     "bounded_stream": "SELECT true AS several, count(*) AS read_n, count(*) AS exported_n, count(*) AS stored_n FROM events",
     "resumed_stream": f"""WITH {ALERTS} SELECT mongo_id, CASE WHEN event_id % 10 = 0 THEN 'CHANGED' ELSE type END AS type FROM alerts""",

@@ -14,7 +14,7 @@ from ..schemas import DERIVED_FIELDS, PROCESSED, conform
 from ..session import work_dir
 from ..sinks import tables as S
 from ..sources import explode_alerts, read_alert_snapshots, read_bronze
-from ..streaming import histogram_stream, ingest_stream, processed_stream, raw_stream
+from ..streaming import histogram_stream, ingest_stream, processed_stream, progress_log, raw_stream
 from . import views
 from .views import alerts, table
 
@@ -477,6 +477,31 @@ def ensure_target_state(spark, sf_dir):
     return spark.range(1).select(F.inline(F.array(*one)))
 
 
+@query
+def rebuilt_target(spark, sf_dir):
+    """What readers see before, while and after a target of the old structure is filled again, and when all is well."""
+    base = work_dir(spark, "rebuilt")
+    steps = []
+
+    def look(step: str) -> None:
+        path = S.current_target(spark, base)
+        held = spark.read.parquet(path)
+        steps.append((step, path.rsplit("/", 1)[1], held.count(), "pig_event_filter" in held.columns))
+
+    def fill(path: str) -> None:
+        _enriched(spark, sf_dir).write.parquet(path)
+        look("while")
+
+    S.rebuild_target(spark, base, lambda path: alerts(spark, sf_dir).write.parquet(path), [])
+    look("before")
+    for step in ("after", "again"):
+        S.rebuild_target(spark, base, fill)
+        look(step)
+    cols = ["step", "version", "n", "enriched"]
+    one = [F.struct(*[F.lit(v).alias(c) for c, v in zip(cols, s)]) for s in steps]
+    return spark.range(1).select(F.inline(F.array(*one)))
+
+
 @query
 def fan_out_counts(spark, sf_dir):
     """Two sinks fed from one computation while a third one fails."""
@@ -601,6 +626,33 @@ def cycle_metrics(spark, sf_dir):
     )
 
 
+@query
+def stream_progress(spark, sf_dir):
+    """What Spark reports of the enrichment stream's batches, written as it runs, beside the stream's own counters."""
+    base = work_dir(spark, "progress")
+    docs = views.bronze_view(table(spark, sf_dir, "events"))
+    docs.repartition(6, "mongo_id").write.parquet(f"{base}/d")
+    with progress_log(spark, f"{base}/p") as log:
+        for name, files in (("few", 2), ("all", None)):
+            source = read_bronze(spark, f"{base}/d", True, max_files_per_trigger=files)
+            query = raw_stream(source, f"{base}/{name}", f"{base}/c-{name}", metrics=f"{base}/m-{name}", available_now=True)
+            query.awaitTermination()
+            log.wait(query)
+    seen = spark.read.parquet(f"{base}/p")
+    own = spark.read.parquet(f"{base}/m-few").unionByName(spark.read.parquet(f"{base}/m-all"))
+    return seen.agg(
+        F.count_distinct("run").alias("streams"),
+        F.sum("input_n").alias("input_n"),
+        (F.max("input_n") > F.min("input_n")).alias("bounded"),
+        (F.min("trigger_ms") > 0).alias("timed"),
+    ).withColumns(
+        {
+            "read_n": own.select(F.sum("read_n")).scalar(),
+            "same_batches": F.lit(0) + own.select(F.count(F.lit(1))).scalar() == seen.select(F.count(F.lit(1))).scalar(),
+        }
+    )
+
+
 @query
 def gated_stream(spark, sf_dir):
     """The purity gate stops a batch before anything is written; what is clean goes through."""

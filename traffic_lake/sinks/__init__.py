@@ -3,6 +3,7 @@ from .tables import (
     compact,
     compact_bucketed,
     compact_events,
+    current_target,
     ensure_target,
     fan_out,
     keep_snapshot,
@@ -11,6 +12,7 @@ from .tables import (
     newest_per_key,
     read_current,
     read_snapshot,
+    rebuild_target,
     run_number,
     snapshot_payload,
     upsert,

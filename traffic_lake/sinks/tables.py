@@ -22,7 +22,7 @@ SNAPSHOT_TTL = "300 seconds"
 
 # Snapshots that are kept side by side: what a reader has begun to read stays for as many cycles, less one.
 SLOTS = 16
-POINTER = "number bigint, taken bigint"
+POINTER = "number bigint, value bigint"
 
 # A write is told by the run of its stream and the batch in that run; both are partitions.
 RUN, BATCH = "run_id", "batch_id"
@@ -140,8 +140,8 @@ def snapshot_payload(snapshot: DataFrame) -> DataFrame:
     return snapshot.select(F.to_json(F.struct("*")).alias("payload"))
 
 
-def _kept(spark: SparkSession, base: str) -> dict[str, int] | None:
-    """The pointer row of the snapshot that readers see. A slot that is being written again is passed over."""
+def _pointer(spark: SparkSession, base: str) -> dict[str, int] | None:
+    """The newest pointer row of a store. A pointer that is just being written again is passed over."""
     reader = spark.read.schema(POINTER).option("ignoreMissingFiles", True).option("ignoreCorruptFiles", True)
     try:
         rows = reader.parquet(f"{base}/pointers").orderBy(F.desc("number")).limit(1).collect()
@@ -152,6 +152,12 @@ def _kept(spark: SparkSession, base: str) -> dict[str, int] | None:
     return rows[0].asDict() if rows else None
 
 
+def _point(spark: SparkSession, base: str, number: int, value: int) -> None:
+    """Let readers see ``value`` from now on. Pointers are used again in turn."""
+    row = spark.range(1).select(F.lit(number).cast("bigint").alias("number"), F.lit(value).cast("bigint").alias("value"))
+    row.coalesce(1).write.mode("overwrite").parquet(f"{base}/pointers/slot={number % SLOTS}")
+
+
 def keep_snapshot(df: DataFrame, base: str, stamp: str = "fetched_at") -> bool:
     """Make the newest poll in ``df`` the kept snapshot; False, and nothing changes, if there is none or it's older than the kept one.
 
@@ -162,13 +168,12 @@ def keep_snapshot(df: DataFrame, base: str, stamp: str = "fetched_at") -> bool:
     """
     spark, micros = df.sparkSession, F.unix_micros(F.col(stamp).cast("timestamp"))
     taken = df.agg(F.max(micros)).first()[0]
-    kept = _kept(spark, base)
-    if taken is None or (kept and taken < kept["taken"]):
+    kept = _pointer(spark, base)
+    if taken is None or (kept and taken < kept["value"]):
         return False
     number = kept["number"] + 1 if kept else 0
     df.filter(micros == taken).write.mode("overwrite").parquet(f"{base}/slots/{number % SLOTS}")
-    pointer = spark.range(1).select(F.lit(number).cast("bigint").alias("number"), F.lit(taken).cast("bigint").alias("taken"))
-    pointer.coalesce(1).write.mode("overwrite").parquet(f"{base}/pointers/slot={number % SLOTS}")
+    _point(spark, base, number, taken)
     return True
 
 
@@ -179,10 +184,10 @@ def read_snapshot(
 
     Which snapshot that is is settled here, its age when the frame is computed. ``as_of`` replaces the clock.
     """
-    kept = _kept(spark, base)
+    kept = _pointer(spark, base)
     if kept is None:
         return spark.createDataFrame([], schema)
-    now, taken = F.current_timestamp() if as_of is None else as_of, F.timestamp_micros(F.lit(kept["taken"]))
+    now, taken = F.current_timestamp() if as_of is None else as_of, F.timestamp_micros(F.lit(kept["value"]))
     alive = (taken > now - F.expr(f"INTERVAL '{ttl}'")) & (taken <= now)
     return spark.read.schema(schema).parquet(f"{base}/slots/{kept['number'] % SLOTS}").filter(alive)
 
@@ -331,6 +336,34 @@ def ensure_target(
     return "rebuild", f"{base}/v{version}"
 
 
+def current_target(spark: SparkSession, base: str) -> str | None:
+    """The version that readers of a rebuilt target use, None before there is one."""
+    at = _pointer(spark, base)
+    return at and f"{base}/v{at['value']}"
+
+
+def rebuild_target(
+    spark: SparkSession, base: str, fill: Callable[[str], None], required: Iterable[str] = ("pig_event_filter",)
+) -> tuple[str, str]:
+    """Bring a target to the wanted structure as one action: ``(state, path)`` with the states of :func:`ensure_target`.
+
+    Without a version, or with one that lacks a required column, ``fill`` writes
+    the next one from the start, while readers of :func:`current_target` stay on the old one. When it
+    returns one pointer is written, and they see the new one. Should it fail,
+    nothing has changed for them, and the next attempt takes a fresh folder. Older versions stay.
+    """
+    at = _pointer(spark, base)
+    held = _columns(spark, f"{base}/v{at['value']}") if at else None
+    if held is not None and set(required) <= held:
+        return "ok", f"{base}/v{at['value']}"
+    version = at["value"] + 1 if at else 1
+    while _columns(spark, f"{base}/v{version}") is not None:  # left by an attempt that failed
+        version += 1
+    fill(f"{base}/v{version}")
+    _point(spark, base, at["number"] + 1 if at else 0, version)
+    return "rebuild" if at else "create", f"{base}/v{version}"
+
+
 def check_schema(df: DataFrame, schema: T.StructType) -> list[str]:
     """Columns of ``schema`` that ``df`` lacks or holds with another type."""
     have = {f.name: f.dataType.simpleString() for f in df.schema.fields}
