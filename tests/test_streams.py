@@ -270,3 +270,15 @@ def test_fresh_checkpoint_is_a_later_run(spark):
     store(2, [(f"{9:024x}", '{"uuid":"second"}'), (f"{1:024x}", '{"uuid":"second"}')])
     current = S.read_current(spark, f"{base}/t", partition_by=["key_date"])
     assert sorted(r["uuid"] for r in current.collect()) == ["first"] * 5 + ["second"] * 2
+
+
+def test_batches_are_bounded_by_bytes_unless_told_otherwise(spark, monkeypatch):
+    base = work_dir(spark, "bytes")
+    docs = spark.sql("""SELECT lpad(hex(id), 24, '0') AS mongo_id, TIMESTAMP'2024-01-01 00:00:00' AS fetched_at, 'f' AS file_name, 0 AS pos,
+        parse_json(concat('{"type":"JAM","subtype":"', repeat(CAST(id AS STRING), 50), '"}')) AS alert FROM range(400)""")
+    docs.repartition(8).write.parquet(f"{base}/d")
+    size = sum(os.path.getsize(f"{base}/d/{f}") for f in os.listdir(f"{base}/d") if f.endswith(".parquet"))
+    monkeypatch.setattr(sources.snapshots, "BYTES_PER_TRIGGER", size // 3)
+    raw_stream(sources.read_bronze(spark, f"{base}/d", True), f"{base}/t", f"{base}/c", metrics=f"{base}/m", available_now=True).awaitTermination()
+    read = [r["read_n"] for r in spark.read.parquet(f"{base}/m").collect()]
+    assert 2 <= len(read) <= 8 and sum(read) == 400 and max(read) < 250

@@ -328,6 +328,10 @@ _SQL: dict[str, str] = {
         unnest([false, false, true, true]) AS enriched FROM n""",
     "stream_progress": """SELECT 2 AS streams, 2 * count(*) AS input_n, true AS bounded, true AS timed,
         2 * count(*) AS read_n, true AS same_batches FROM events""",
+    "document_comment_times": f"""WITH {ALERTS}, t AS (SELECT *, event_id % 3 <> 0 AS listed,
+        {local('make_timestamp("pubMillis" * 1000)')} AS loc, {local('make_timestamp(("pubMillis" + 60000) * 1000)')} AS later FROM alerts)
+      SELECT mongo_id, {iso('loc')} AS published, CASE WHEN listed THEN {iso('later')} END AS reported, CASE WHEN listed THEN uuid END AS uuid,
+        CASE WHEN listed THEN 'no time' END AS text, true AS untimed, CASE WHEN listed THEN false ELSE true END AS no_list FROM t""",
     "rejects_accounted": f"WITH {REJECT_DOCS}, {REASONS} SELECT mongo_id, processed_reason IS NULL AS stored FROM judged",
     "bounded_stream": "SELECT true AS several, count(*) AS read_n, count(*) AS exported_n, count(*) AS stored_n FROM events",
     "resumed_stream": f"""WITH {ALERTS} SELECT mongo_id, CASE WHEN event_id % 10 = 0 THEN 'CHANGED' ELSE type END AS type FROM alerts""",

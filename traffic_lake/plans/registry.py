@@ -126,6 +126,28 @@ def comment_times(spark, sf_dir):
 # --- projections -------------------------------------------------------------
 
 
+@query
+def document_comment_times(spark, sf_dir):
+    """Local times written into the documents themselves, as the streams do: of the alert and of each comment that has a time."""
+    listed = F.array(
+        F.to_json(F.struct((F.col("pubMillis") + 60_000).alias("reportMillis"), "uuid")),
+        F.lit('{"text":"no time"}'),
+        F.lit('{"reportMillis":"not a number"}'),
+    )
+    comments = F.when(views.event_number() % 3 == 0, F.lit('"none"')).otherwise(F.concat(F.lit("["), F.array_join(listed, ","), F.lit("]")))
+    doc = F.concat(F.lit('{"pubMillis":'), "pubMillis", F.lit(',"comments":'), comments, F.lit("}"))
+    docs = alerts(spark, sf_dir).select("mongo_id", doc.alias("doc")).selectExpr("mongo_id", views.PARSED)
+    return O.with_local_times(docs).selectExpr(
+        "mongo_id",
+        "variant_get(alert, '$.pubMillis_santiago', 'string') AS published",
+        "variant_get(alert, '$.comments[0].reportMillis_santiago', 'string') AS reported",
+        "variant_get(alert, '$.comments[0].uuid', 'string') AS uuid",
+        "variant_get(alert, '$.comments[1].text', 'string') AS text",
+        "coalesce(variant_get(alert, '$.comments[1].reportMillis_santiago'), variant_get(alert, '$.comments[2].reportMillis_santiago')) IS NULL AS untimed",
+        "try_variant_get(alert, '$.comments', 'string') = 'none' AS no_list",
+    )
+
+
 def _flat_point(df: DataFrame) -> DataFrame:
     return df.withColumns(
         {
