@@ -269,11 +269,20 @@ def test_tiles():
     for _ in range(60):
         doc = [rng.choice("abc").encode() for _ in range(rng.randint(0, 40))]
         item = [rng.choice("abc").encode() for _ in range(rng.randint(3, 15))]
-        items, index, keys = string_tiling.indexed([(1, b" ".join(item))], 3)
-        got = [laid for _, _, laid in string_tiling.contained(b" ".join(doc), items, index, keys, 3)]
+        items, index = string_tiling.indexed([(1, b" ".join(item))], 3)
+        got = [laid for _, _, laid in string_tiling.contained(b" ".join(doc), items, index, 3)]
         assert (got[0] if got else []) == tile_by_hand(doc, item, 3)
 
 
+def test_short_items_are_found_whole(spark, tmp_path):
+    rows = [(1, "What is the answer"), (2, "so, What IS the answer here"), (3, "what is an answer"), (4, "what is the"), (5, "the yes"), (6, None), (7, "")]
+    path = tables.write(str(tmp_path / "b"), {"item_id": pa.int64(), "text": pa.string()}, [(10, "what is the answer"), (11, "yes"), (12, ""), (13, None)], 1)
+    got = string_tiling.contamination(tables.documents(spark, str(tmp_path / "d"), rows), spark.read.parquet(path)).collect()
+    assert {r.doc_id: [(i.item_id, i.coverage) for i in r["items"] or []] for r in got} == {
+        1: [(10, 1.0)], 2: [(10, 1.0)], 3: [], 4: [], 5: [(11, 1.0)], 6: [], 7: []
+    }
+
+
 @pytest.mark.parametrize("block", [string_tiling.BLOCK_BYTES, 100])
 def test_contaminated_documents(spark, tmp_path, block):
     rng = random.Random(8)

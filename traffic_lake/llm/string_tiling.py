@@ -8,11 +8,11 @@ left. Tiles don't overlap and may lie in any order, so reordered passages
 count. An item is in a document if its tiles cover ``threshold`` of its words.
 
 The benchmark is a query set: it goes to the tasks in blocks of about
-``BLOCK_BYTES``, each of which meets all documents; the size is checked first.
-Documents are never shuffled.
+``BLOCK_BYTES``, one after another, each of which meets all documents. What it
+finds is stored and the block let go before the next. Documents are never shuffled.
 
-NULL and short texts contain nothing. Items of fewer than ``least`` words can't
-be told from chance and match nothing. Repeated items or documents are each
+NULL and blank texts contain nothing, items without words are in none. An item of fewer
+than ``least`` words has to be found whole, all its words in a row. Repeated items or documents are each
 treated by themselves; one result row per document row. With an empty
 benchmark all documents are clean.
 """
@@ -79,33 +79,37 @@ def tiles(found: list[tuple[int, int, int]], least: int) -> list[tuple[int, int,
     return out
 
 
-def contained(body: bytes, items: list[tuple[int, np.ndarray]], index: dict[int, list], keys: np.ndarray, least: int):
+def contained(body: bytes, items: list[tuple[int, np.ndarray]], index: dict[int, tuple[dict[int, list], np.ndarray]], least: int):
     """(item, coverage, tiles) for each item that shares a seed with the text."""
     doc = word_hashes(body)
-    if len(doc) < least or not len(keys):
-        return
-    grams = gram_hashes(doc, least)
-    at = np.searchsorted(keys, grams)
-    hits = np.flatnonzero(keys[np.minimum(at, len(keys) - 1)] == grams)
     seeds = defaultdict(list)
-    for i in hits.tolist():
-        for number, j in index[int(grams[i])]:
-            seeds[number].append((i, j))
+    for size, (places, keys) in index.items():
+        if len(doc) < size:
+            continue
+        grams = gram_hashes(doc, size)
+        at = np.searchsorted(keys, grams)
+        hits = np.flatnonzero(keys[np.minimum(at, len(keys) - 1)] == grams)
+        for i in hits.tolist():
+            for number, j in places[int(grams[i])]:
+                seeds[number].append((i, j))
     for number, pairs in seeds.items():
         item_id, item = items[number]
-        laid = tiles(matches(doc, item, pairs, least), least)
+        size = min(least, len(item))
+        laid = tiles(matches(doc, item, pairs, size), size)
         if laid:
             yield item_id, sum(n for n, _, _ in laid) / len(item), laid
 
 
 def indexed(texts: list[tuple[int, bytes]], least: int):
+    """The items' words, and by size of a seed the places of each: ``least`` words, or all of a shorter item."""
     items = [(item_id, word_hashes(body)) for item_id, body in texts]
-    index = defaultdict(list)
+    index: dict[int, dict[int, list]] = defaultdict(lambda: defaultdict(list))
     for number, (_, item) in enumerate(items):
-        if len(item) >= least:
-            for j, gram in enumerate(gram_hashes(item, least).tolist()):
-                index[gram].append((number, j))
-    return items, dict(index), np.array(sorted(index), np.uint64)
+        size = min(least, len(item))
+        if size:
+            for j, gram in enumerate(gram_hashes(item, size).tolist()):
+                index[size][gram].append((number, j))
+    return items, {size: (dict(places), np.array(sorted(places), np.uint64)) for size, places in index.items()}
 
 
 def contamination(
@@ -125,25 +129,26 @@ def contamination(
     blocks = 1 + total // block_bytes
     tests = tests.withColumn("block", F.pmod(F.xxhash64("item_id", "body"), F.lit(blocks)))
     hit = "rid long, item_id long, coverage double, spans array<struct<start: long, end: long>>"
-    found = []
+    path, found = scratch(spark, "tiling"), []
     for block in range(blocks):
         held = spark.sparkContext.broadcast([(r.item_id, bytes(r.body)) for r in tests.filter(F.col("block") == block).collect()])
 
         def search(batches, held=held):
             span = pa.struct([("start", pa.int64()), ("end", pa.int64())])
             schema = pa.schema([("rid", pa.int64()), ("item_id", pa.int64()), ("coverage", pa.float64()), ("spans", pa.list_(span))])
-            items, index, keys = indexed(held.value, least)
+            items, index = indexed(held.value, least)
             out = (
                 (rid, item_id, coverage, [{"start": i, "end": i + n} for n, _, i in sorted(laid, key=lambda t: t[2])])
                 for batch in batches
                 for rid, body in arrow_rows([batch], "rid", "body")
-                for item_id, coverage, laid in contained(body, items, index, keys, least)
+                for item_id, coverage, laid in contained(body, items, index, least)
                 if coverage >= threshold
             )
             return arrow_out(schema, out)
 
-        found.append(rows.select("rid", "body").mapInArrow(search, hit))
-    hits = stored(reduce(DataFrame.unionByName, found), f"{scratch(spark, 'tiling')}/hits")
+        found.append(stored(rows.select("rid", "body").mapInArrow(search, hit), f"{path}/hits-{block}"))
+        held.unpersist()
+    hits = reduce(DataFrame.unionByName, found)
     per_row = hits.groupBy("rid").agg(
         F.sort_array(F.collect_list(F.struct("item_id", "coverage"))).alias("items"), F.flatten(F.collect_list("spans")).alias("spans")
     )
