@@ -24,7 +24,6 @@ input row. An empty table gives an empty result.
 
 from __future__ import annotations
 
-import hashlib
 
 import numpy as np
 import pyarrow as pa
@@ -208,21 +207,3 @@ def remove_repeated_substrings(
         F.col("body").alias("kept"),
     )
     return cut.unionByName(whole)
-
-
-def brute_force(texts: list[bytes], L: int) -> list[tuple[int, int, int, str]]:
-    """Per text: bytes, removed bytes, removed runs, digest of the rest. Quadratic memory; for tests."""
-    seen: dict[bytes, int] = {}
-    for t in texts:
-        for i in range(len(t) - L + 1):
-            seen[t[i : i + L]] = seen.get(t[i : i + L], 0) + 1
-    out = []
-    for t in texts:
-        gone = bytearray(len(t))
-        for i in range(len(t) - L + 1):
-            if seen[t[i : i + L]] > 1:
-                gone[i : i + L] = b"\1" * L
-        kept = bytes(x for x, g in zip(t, gone) if not g)
-        n_runs = sum(1 for i, g in enumerate(gone) if g and (i == 0 or not gone[i - 1]))
-        out.append((len(t), sum(gone), n_runs, hashlib.sha256(kept).hexdigest()))
-    return out
