@@ -5,6 +5,7 @@ from __future__ import annotations
 import gzip
 import hashlib
 import io
+import os
 import random
 import zlib
 from collections import Counter
@@ -361,6 +362,16 @@ def test_reader_on_broken_archives():
     assert list(warc.read_records(io.BytesIO(b""))) == []
 
 
+def test_archives_are_bounded_by_bytes(spark, tmp_path, monkeypatch):
+    rows = [(i, None, "x" * (20_000 if i == 5 else 10)) for i in range(40)]
+    columns = {"page_id": pa.int64(), "url": pa.string(), "html": pa.string()}
+    df = spark.read.parquet(tables.write(str(tmp_path / "p"), columns, rows, 1))
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 50_000)
+    warc.write_archives(df, str(tmp_path / "w"))
+    files = [f for f in os.listdir(tmp_path / "w") if f.startswith("part-")]
+    assert len(files) == 20 and warc.read_archives(spark, str(tmp_path / "w")).count() == 40
+
+
 def test_empty_archives(spark, tmp_path):
     df = spark.read.parquet(tables.write(str(tmp_path / "p"), {"page_id": pa.int64(), "url": pa.string(), "html": pa.string()}, []))
     assert warc.round_trip(df).count() == 0

@@ -32,8 +32,8 @@ from .common import arrow_out, arrow_rows, scratch, stored
 
 #: Payloads of fewer bytes are never revisits.
 REVISIT = 100
-#: Records of an archive at most.
-RECORDS = 5000
+#: Records of an archive at most, and bytes of payload that fit into it however long its records are.
+RECORDS, ARCHIVE_BYTES = 5000, 256 << 20
 #: Compressed bytes that the reader looks at in one step.
 STEP = 1 << 16
 
@@ -151,7 +151,12 @@ def read_records(stream: io.BufferedIOBase, step: int = STEP) -> Iterator[Record
 def write_archives(
     pages: DataFrame, path: str, min_revisit: int = REVISIT, records: int = RECORDS, date: str = "2024-01-01T00:00:00Z"
 ) -> None:
-    """Archives of ``pages`` (page_id, url, html) below ``path``. Equal payloads are found with partial minima of their digests."""
+    """Archives of ``pages`` (page_id, url, html) below ``path``. Equal payloads are found with partial minima of their digests.
+
+    An archive is read as one value, so its records are so few that even the longest payloads make ``ARCHIVE_BYTES`` at most.
+    """
+    longest = pages.agg(F.max(F.octet_length("html"))).first()[0] or 0
+    records = max(1, min(records, ARCHIVE_BYTES // (longest + 1024)))
     payload = F.coalesce(F.col("html").cast("binary"), F.lit(b""))
     base = pages.select("page_id", F.col("url").cast("string").alias("url"), payload.alias("payload")).withColumn("digest", F.sha2("payload", 256))
     firsts = stored(
