@@ -41,6 +41,8 @@ WINDOW = 40
 THRESHOLD = 0.7
 #: Bytes of words whose ratio a task remembers.
 REMEMBERED = 32 << 20
+#: Sequences whose ratio a task remembers, 16 bytes each.
+STEPS = 1 << 21
 PAD = "\x02" * (ORDER - 1)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _TRIM = ".,;:!?\"'()[]{}|*%#&$<>"
@@ -128,6 +130,8 @@ class Ratio:
         self.characters = len(longer) + 1
         self.words: dict[str, float] = {}
         self.held = 0
+        #: What the last sequences said, each at the place that its hash gives; made where it's needed.
+        self.last: tuple[np.ndarray, np.ndarray] | None = None
 
     def chances(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Chance of the last character of each sequence in both classes, and whether either knows the context."""
@@ -150,13 +154,28 @@ class Ratio:
         """Chance of the last character in a class."""
         return float(self.chances(np.frombuffer(gram.encode("utf-32-le"), np.uint32)[None, :])[side][0])
 
+    def steps(self, grams: np.ndarray) -> np.ndarray:
+        """The log-likelihood ratios of the last characters; after a context that neither class knows it's 0."""
+        if self.last is None:
+            self.last = np.zeros(STEPS, np.uint64), np.zeros(STEPS)
+        keys, said = self.last
+        h = _hash(grams)
+        at = (h & np.uint64(STEPS - 1)).astype(np.int64)
+        out, new = said[at], np.flatnonzero(keys[at] != h)
+        _, first, same = np.unique(h[new], return_index=True, return_inverse=True)
+        ordinary, toxic, seen = self.chances(grams[new[first]])
+        fresh = np.where(seen, np.log(toxic / ordinary), 0.0)
+        out[new] = fresh[same]
+        # of sequences with one place the last stays, key and value alike
+        keys[at[new[first]]], said[at[new[first]]] = h[new[first]], fresh
+        return out
+
     def ratios(self, words: list[str]) -> np.ndarray:
-        """The sums over the words' sequences; one with a context that neither class knows says nothing."""
+        """The sums over the words' sequences."""
         out = []
         for i in range(0, len(words), 1 << 14):
             grams, begin = _sequences(words[i : i + (1 << 14)])
-            ordinary, toxic, seen = self.chances(grams)
-            out.append(np.add.reduceat(np.where(seen, np.log(toxic / ordinary), 0.0), begin))
+            out.append(np.add.reduceat(self.steps(grams), begin))
         return np.concatenate(out) if out else np.zeros(0)
 
     def __call__(self, word: str) -> float:
