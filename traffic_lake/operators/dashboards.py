@@ -11,6 +11,8 @@ from ..session import work_dir
 
 # Parts of a day whose digests are compared before its keys are.
 BUCKETS = 256
+# Differing days up to which partitions are read by a list of them; more are joined.
+LISTED_DAYS = 1000
 
 
 def facet_counts(df: DataFrame, cols: Sequence[str], k: int | None = None) -> DataFrame:
@@ -90,33 +92,43 @@ def _digests(raw: DataFrame, processed: DataFrame, key: str, by: Sequence[Column
 def reconcile_by_digest(
     raw: DataFrame, processed: DataFrame, key: str = "mongo_id", day: str = "key_date", buckets: int = BUCKETS
 ) -> DataFrame:
-    """:func:`reconcile` of tables that hold a key once, as ``read_current`` gives them, partitioned by ``day``.
+    """:func:`reconcile` of tables that hold a key once, as ``read_current`` gives them, partitioned by ``day`` or a column that follows from it.
 
     A tree of digests is compared: a pass without a shuffle of keys tells the days that differ,
     a second one over these days alone the parts of them that do, and
-    keys are shuffled for those parts only. A row per day reaches the driver.
+    keys are shuffled for those parts only. The digests are stored; up to ``LISTED_DAYS`` days reach the driver,
+    so that only their partitions are read, and more are joined.
     """
-    days = _digests(raw, processed, key, [F.col(day)]).collect()
-    differ = [d["__0"] for d in days if not d["same"]]
+    spark, path = raw.sparkSession, work_dir(raw.sparkSession, "digests")
+    _digests(raw, processed, key, [F.col(day)]).write.parquet(f"{path}/days")
+    days = spark.read.parquet(f"{path}/days")
+    alike_n = F.sum(F.when(F.col("same"), F.col("raw_n")))
+    raw_n, processed_n, alike = days.agg(*(F.coalesce(n, F.lit(0)) for n in (F.sum("raw_n"), F.sum("processed_n"), alike_n))).first()
+    differing = days.filter("NOT same").select(F.col("__0").alias("__day"))
+    differ = [d["__day"] for d in differing.limit(LISTED_DAYS + 1).collect()]
     known = [d for d in differ if d is not None]
     held = (F.col(day).isin(known) if known else F.lit(False)) | (F.col(day).isNull() if None in differ else F.lit(False))
+
+    def left(df: DataFrame) -> DataFrame:
+        if len(differ) > LISTED_DAYS:
+            return df.join(differing, F.col(day).eqNullSafe(F.col("__day")), "left_semi")
+        return df.filter(held)
+
     bucket = F.pmod(F.xxhash64(key), F.lit(buckets))
-    raw_left, processed_left = raw.filter(held), processed.filter(held)
-    path = work_dir(raw.sparkSession, "digests")
+    raw_left, processed_left = left(raw), left(processed)
     # Stored, so that its size is known: it's broadcast below Spark's threshold only.
-    _digests(raw_left, processed_left, key, [F.col(day), bucket]).write.parquet(path)
-    parts = raw.sparkSession.read.parquet(path)
+    _digests(raw_left, processed_left, key, [F.col(day), bucket]).write.parquet(f"{path}/parts")
+    parts = spark.read.parquet(f"{path}/parts")
     other = parts.filter("NOT same").select(F.col("__0").alias("__day"), F.col("__1").alias("__bucket"))
 
     def keys(df: DataFrame) -> DataFrame:
         return df.join(other, F.col(day).eqNullSafe(F.col("__day")) & (bucket == F.col("__bucket")), "left_semi").select(key)
 
     below = reconcile(keys(raw_left), keys(processed_left), key)
-    alike = sum(d["raw_n"] for d in days if d["same"])
     more = F.coalesce(parts.filter("same").agg(F.sum("raw_n")).scalar(), F.lit(0))
     return below.select(
-        F.lit(sum(d["raw_n"] for d in days)).cast("bigint").alias("raw_rows"),
-        F.lit(sum(d["processed_n"] for d in days)).cast("bigint").alias("processed_rows"),
+        F.lit(raw_n).cast("bigint").alias("raw_rows"),
+        F.lit(processed_n).cast("bigint").alias("processed_rows"),
         (F.col("in_both") + F.lit(alike) + more).alias("in_both"),
         "only_raw",
         "only_processed",
