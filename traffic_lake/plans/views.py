@@ -11,6 +11,9 @@ from ..schemas import BRONZE
 EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
 
+# Events that one task turns into documents, and documents that one file of a stream has, about.
+PART_ROWS, FILE_ROWS = 100_000, 400_000
+
 # Parse each text once: the optimizer does not copy a generator's output into
 # the predicates that read it, as it would copy a bare parse_json.
 PARSED = "explode(array(parse_json(doc))) AS alert"
@@ -21,13 +24,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def parts_of(df: DataFrame, rows: int) -> int:
+    """In how many parts a table has about ``rows`` rows each."""
+    return max(1, -(-df.count() // rows))
+
+
+def dealt(df: DataFrame, parts: int) -> DataFrame:
+    """Events in so many parts. A file of few bytes is one part as it is read, however much is made of its rows."""
+    return df.repartition(parts, "event_id") if parts > 1 else df
+
+
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events table in parts of about ``PART_ROWS`` rows, for what keeps or writes much more than it reads."""
+    read = table(spark, sf_dir, "events")
+    return dealt(read, parts_of(read, PART_ROWS))
+
+
 def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events table as a file stream.
+    """The events table as a file stream, a batch in parts of about ``PART_ROWS`` rows if it has the whole table.
 
     A pattern matches the table whether it is one file or a folder of files.
     """
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark.readStream.schema(EVENTS).parquet(f"{sf_dir}/events.parque[t]")
+    parts = parts_of(table(spark, sf_dir, "events"), PART_ROWS)
+    return dealt(spark.readStream.schema(EVENTS).parquet(f"{sf_dir}/events.parque[t]"), parts)
 
 
 # The fields beyond those that rules look at, alike in both SQL dialects. Gaps and

@@ -29,12 +29,16 @@ RUN, BATCH = "run_id", "batch_id"
 # Fixed value: the folder name of a partition whose value is NULL.
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
+# Partitions that a task writes at once without sorting its rows by them, which takes memory for all of its rows.
+OPEN_FILES = 8
+
 
 def write_batch(df: DataFrame, path: str, partitions: Sequence[str], rebalance: bool) -> None:
     """Replace exactly the partitions that ``df`` holds, so a replay is harmless."""
     if rebalance and partitions:
         # Adaptive execution merges small and splits oversized partitions here.
         df = df.hint("rebalance", *[F.col(p) for p in partitions])
+    df.sparkSession.conf.set("spark.sql.maxConcurrentOutputFileWriters", OPEN_FILES)
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
