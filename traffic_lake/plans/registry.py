@@ -816,7 +816,8 @@ def resumed_stream(spark, sf_dir):
 def batch_repeats(spark, sf_dir):
     """Keys that come up to three times in one batch: the last write wins, also when the documents are dealt otherwise and read again."""
     base = work_dir(spark, "batch")
-    docs = views.bronze_view(table(spark, sf_dir, "events"))
+    events = views.events(spark, sf_dir)
+    times, docs = views.parts_of(events, views.FILE_ROWS), views.bronze_view(events)
 
     def again(every: int, kind: str, pos: int) -> DataFrame:
         changed = {"alert": F.parse_json(F.lit(f'{{"type":"{kind}","subtype":"x"}}')), "pos": F.lit(pos)}
@@ -826,8 +827,10 @@ def batch_repeats(spark, sf_dir):
     every = again(20, "AGAIN", 1).unionByName(docs).unionByName(again(10, "CHANGED", 0))
     passes = []
     for number, parts in ((1, 5), (2, 2)):
-        every.repartition(parts, "pos", "mongo_id").write.parquet(f"{base}/d{number}")
-        raw_stream(read_bronze(spark, f"{base}/d{number}", True), f"{base}/t", f"{base}/c{number}", available_now=True).awaitTermination()
+        every.repartition(parts * times, "pos", "mongo_id").write.parquet(f"{base}/d{number}")
+        # all files are one batch, whatever their size
+        source = read_bronze(spark, f"{base}/d{number}", True, max_files_per_trigger=parts * times)
+        raw_stream(source, f"{base}/t", f"{base}/c{number}", available_now=True).awaitTermination()
         current = S.read_current(spark, f"{base}/t", partition_by=["key_date"])
         passes.append(current.select(F.lit(number).alias("pass"), "mongo_id", "type"))
     return passes[0].unionByName(passes[1])
