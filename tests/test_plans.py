@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from traffic_lake import operators as O
 from traffic_lake import sources
-from traffic_lake.plans import queries, views
+from traffic_lake.operators import dashboards
+from traffic_lake.plans import queries, registry, views
 from traffic_lake.schemas import PROCESSED, conform
 from traffic_lake.session import work_dir
 from traffic_lake.sinks import tables as S
@@ -217,3 +218,54 @@ def test_appends_write_few_files(spark, bronze):
     S.append_events(bronze.repartition(8), path)
     days = spark.read.parquet(path).select("ingest_date").distinct().count()
     assert len(spark.read.parquet(path).inputFiles()) <= 2 * days
+
+
+def test_many_differing_days_are_joined(spark, monkeypatch):
+    monkeypatch.setattr(dashboards, "LISTED_DAYS", 2)
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (views.event_number() / 100).cast("int"))
+    raw = views.alerts(spark, SF).select("mongo_id", F.when(views.event_number() % 30 > 0, day).alias("day"))
+    for left in (views.event_number() % 9 > 0, views.event_number() != 345):
+        assert O.reconcile_by_digest(raw, raw.filter(left), day="day").first().asDict() == O.reconcile(raw, raw.filter(left)).first().asDict()
+    found = O.reconcile_by_digest(raw, raw.filter(views.event_number() % 9 > 0), day="day")
+    assert "day#" not in "".join(re.findall(r"[^\n]* IN \([^\n]*", plan(found, "simple")))
+
+
+def test_reconciled_days_are_not_a_folder_each(spark, tmp_path, monkeypatch):
+    days = []
+    monkeypatch.setattr(S, "upsert", lambda df, path, *a, upsert=S.upsert, **k: (days.append(df.select(*k["partition_by"]).distinct().count()), upsert(df, path, *a, **k)))
+    events = spark.read.parquet(f"{SF}/events.parquet")
+    events.withColumn("event_id", F.col("event_id") * 50).write.parquet(f"{tmp_path}/events.parquet")  # 500 days
+    queries()["reconcile_by_digest"](spark, str(tmp_path)).collect()
+    assert days == [2, 2]
+
+
+def test_events_are_dealt_by_rows(spark, tmp_path, monkeypatch):
+    """One file is one task as it is read; what is made of it is not."""
+    monkeypatch.setattr(views, "PART_ROWS", 100, raising=False)
+    parts = []
+    monkeypatch.setattr(S, "fan_out", lambda df, sinks, fan_out=S.fan_out: (parts.append(df.rdd.getNumPartitions()), fan_out(df, sinks))[1])
+    n = spark.read.parquet(f"{SF}/events.parquet").count()
+    assert [r.n for r in queries()["fan_out_counts"](spark, SF).collect()] == [n, n]
+    assert parts == [-(-n // 100)]
+
+
+def test_files_of_a_bounded_stream_grow_in_number(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(views, "FILE_ROWS", 100, raising=False)
+    files = []
+    read_bronze = registry.read_bronze
+
+    def read(spark, path, *args, **kwargs):
+        files.append(len(spark.read.parquet(path).inputFiles()))
+        return read_bronze(spark, path, *args, **kwargs)
+
+    monkeypatch.setattr(registry, "read_bronze", read)
+    n = spark.read.parquet(f"{SF}/events.parquet").count()
+    got = queries()["bounded_stream"](spark, SF).first()
+    assert files == [-(-n // 100)] and (got.several, got.read_n, got.stored_n) == (True, n, n)
+
+
+def test_a_write_sorts_no_rows_by_partition(spark, bronze, tmp_path):
+    day = S.key_date(F.col("mongo_id")).alias("day")
+    S.upsert(bronze.select("mongo_id", day), f"{tmp_path}/t", 0, partition_by=["day"])
+    assert int(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")) > 0
+    assert spark.read.parquet(f"{tmp_path}/t").count() == bronze.count()
