@@ -221,6 +221,100 @@ def test_exchange_finds_the_classes():
     assert len({(k, c) for k, c in zip(kind.tolist(), cls.tolist())}) == 3
 
 
+def test_each_word_moves_to_its_best_class():
+    rng = np.random.default_rng(3)
+    units, k = 40, 5
+    pairs = np.zeros((units, units))
+    for a in rng.integers(0, units, 2000):
+        pairs[a, (a * 3 + rng.integers(0, 6)) % units] += 1
+    pairs[7, 7] += 4
+    old = rng.integers(0, k, units)
+
+    def table(cls):
+        member = np.eye(k)[cls]
+        return member.T @ pairs @ member
+
+    entries = []
+    for u in range(units):
+        for key in range(2 * k):
+            line = pairs[u] if key < k else pairs[:, u]
+            n = sum(line[v] for v in range(units) if v != u and old[v] == key % k)
+            entries += [(u, key, n)] if n else []
+        entries += [(u, 2 * k, pairs[u, u])] if pairs[u, u] else []
+    turn = np.arange(units) % 3 > 0
+    got = brown_lm.moved(table(old), old, *map(np.array, zip(*entries)), turn)
+    for u in range(units):
+        found = [brown_lm.likelihood(table(np.where(np.arange(units) == u, c, old))) for c in range(k)]
+        assert got[u] == (np.argmax(found) if turn[u] else old[u])
+
+
+def model_by_hand(rows, cls, classes):
+    """Scores with the given class of each training word; unknown words in the class with the most words seen once."""
+
+    def split(t):
+        return [*(t or "").encode().lower().split(), b"\n"]
+
+    train = [split(t) for i, t in rows if zlib.crc32(b"" if i is None else str(i).encode()) % 5 != 1]
+    counts = Counter(w for t in train for w in t)
+    table, weight, once = np.zeros((classes, classes)), np.zeros(classes), np.zeros(classes, int)
+    for t in train:
+        for a, b in zip([b"\n", *t], t):
+            table[cls[a], cls[b]] += 1
+    for w, n in counts.items():
+        weight[cls[w]] += n + 0.5
+        once[cls[w]] += n == 1
+    weight[once.argmax()] += 0.5
+    step = brown_lm.transitions(table, weight)
+    out = []
+    for i, t in rows:
+        w = split(t)
+        c = [cls.get(x, once.argmax()) for x in [b"\n", *w]]
+        emit = sum(log10((counts[x] + 0.5) / weight[d]) for x, d in zip(w, c[1:]))
+        out.append((i, emit + sum(step[a, b] for a, b in zip(c, c[1:]))))
+    return table, out
+
+
+@pytest.mark.parametrize("top", [300_000, 12, 1])
+def test_model_scores_of_all_words(spark, docs, monkeypatch, top):
+    """Every training word, however rare, has a class of its own choosing, and scores follow from these classes."""
+    found = []
+    clustered = brown_lm.clustered
+
+    def watched(texts, others, vocabulary, *rest):
+        cls, rare, table, k = clustered(texts, others, vocabulary, *rest)
+        numbers = dict(zip(vocabulary.words.tolist(), vocabulary.number.tolist()))
+        found.append((numbers, cls, {r.w: r.cls for r in rare.collect()}, table, k))
+        return cls, rare, table, k
+
+    monkeypatch.setattr(brown_lm, "clustered", watched)
+    got = brown_lm.score(docs, top=top, units=8, classes=4).collect()
+    numbers, cls, rare, table, k = found[0]
+    words = {w for _, t in ROWS for w in (t or "").encode().lower().split()} | {b"\n"}
+    of = {}
+    for w in words:
+        h = int(brown_lm.tokens(w)[0])
+        if h in numbers:
+            of[w] = int(cls[numbers[h]])
+        elif ~h in rare:
+            of[w] = rare[~h]
+    assert len(of) == len(numbers) + len(rare)
+    assert top > 12 or len(rare) > 20 and len(set(rare.values())) > 1
+    mine, want = model_by_hand(ROWS, of, k)
+    assert np.array_equal(mine, table)
+    for a, b in zip(by_id((r.doc_id, r.score) for r in got), by_id(want), strict=True):
+        assert a[0] == b[0] and a[1] == pytest.approx(b[1])
+
+
+def test_rare_words_have_classes(spark, tmp_path):
+    """Two kinds of words take turns, half of them beyond ``top``; their order shows on rows that nobody learnt from."""
+    rng = random.Random(5)
+    kinds = [[f"{k}{i}" for i in range(100)] for k in "ab"]
+    rows = [(i, " ".join(rng.choice(kinds[j % 2]) for j in range(2 * rng.randint(10, 40)))) for i in range(300)]
+    got = brown_lm.score(tables.documents(spark, str(tmp_path), rows), top=100, units=40, classes=4).filter("held_out").collect()
+    words = sum(r.n_tokens - 1 for r in got)
+    assert sum(r.score - r.base_score for r in got) > 0.2 * words  # half of the words can't come: log10(2) a word at most
+
+
 def test_probabilities_add_up(spark, tmp_path):
     """All words and one unknown word, each the only word of a text nobody learns from, share what one step from the start has."""
     step = brown_lm.transitions(np.array([[3.0, 0, 1], [0, 0, 0], [2, 2, 2]]), np.array([5.0, 2, 4]))

@@ -6,17 +6,28 @@ cover all training rows (crc32 of the id modulo 5 isn't 1).
 *Base* score: each token by its own frequency, half a count added.
 
 *Model* score: the class of a token follows from the class of the token before
-(the end, at the start), and the word from its class. Classes come from exchange
-clustering: each unit moves to the class that raises the likelihood of the
-training bigrams most, until none moves. Units are the ``UNITS`` most frequent
-tokens, one band per power of two of frequency for the rest of the at most ``TOP``
-most frequent ones, and one for all others, unknown words included; so the
-clustering and what the tasks are sent are bounded, whatever the vocabulary.
-Transitions are smoothed with the frequency of the class.
-
-Counts of words outside ``TOP`` never leave the cluster: the rare tokens of each
-text are joined with them. Such words have low counts, so the join has no
-frequent key; tokens are added up per text first. Words compare by 64-bit hashes.
+(the end, at the start), and the word from its class, by its frequency with half
+a count added. Classes come from exchange clustering: each word moves to the
+class that raises the likelihood of the training bigrams most.
+
+The exchange covers every training word. It starts from classes that the driver
+finds for the ``UNITS`` most frequent tokens, bands of frequency for the rest of
+the at most ``TOP`` most frequent ones, and one unit for all others. Then all
+words move one by one, in rounds: tasks count the classes before and after each
+word, add them up by word and choose its best class, as if no other moved. Words
+of even and odd numbers take turns, lest words that attract each other keep
+changing places. Rounds end when two of them, a turn of all words, raise the
+log10 likelihood by less than ``LEAST`` a token, or one lowers it; then the
+classes with the greater likelihood stay. No round limit, no word left out.
+
+The tasks are sent the classes of the ``TOP`` most frequent words. Those of all
+others never leave the cluster: they are a table, joined with the places of such
+words. These have low counts, so the join has no frequent key. What is known of
+the classes reaches the driver as classes squared.
+
+A word that nobody learnt from has half a count in the class with the most words
+seen once. Transitions are smoothed with the frequency of the class. Words compare
+by 63-bit hashes.
 
 NULL and blank texts are one end token. Rows may repeat; each trains and is
 scored. A NULL id has the hash of an empty text. Without training rows both
@@ -26,24 +37,30 @@ result.
 
 from __future__ import annotations
 
+from itertools import count
+
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_rows, crc_fold, most_frequent, numbered, scratch, share, shared, stored
+from .common import arrow_rows, crc_fold, dropped, most_frequent, numbered, scratch, share, shared, stored
 
 TOP, UNITS, CLASSES, ROUNDS = 300_000, 1000, 64, 6
 #: Weight of the class frequencies in a transition.
 SMOOTH = 20.0
-END = xxhash.xxh64_intdigest(b"\n")  # no word holds a line end
+#: Least rise of the log10 likelihood of a token, in two rounds of all words, for which the exchange goes on.
+LEAST = 0.02
+#: Tokens that a task counts at once, and those that a bucket of words stands for.
+PIECE, BUCKET = 1 << 21, 1_000_000
+END = xxhash.xxh64_intdigest(b"\n") >> 1  # no word holds a line end
 
 
 def tokens(body: bytes) -> np.ndarray:
     words = body.lower().split()
     words.append(b"\n")
-    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words)) >> np.uint64(1)
 
 
 def _gather(batches):
@@ -57,26 +74,28 @@ def _gather(batches):
 
 
 class Vocabulary:
-    """The most frequent tokens with their counts and units; all others are the last unit."""
+    """The most frequent tokens and the end, numbered by falling count, with their counts and the units they start in."""
 
     def __init__(self, words: np.ndarray, counts: np.ndarray, units: int):
         """``words`` (uint64) by falling count."""
         unit = np.arange(len(words))
         rest = counts[units:]
         if len(rest):
-            band = np.log2(rest).astype(np.int64)
+            band = np.log2(np.maximum(rest, 1)).astype(np.int64)
             unit[units:] = min(units, len(words)) + band[0] - band
-        self.units = int(unit.max(initial=-1)) + 2
+        self.units = int(unit.max()) + 2  # the last is for all others
         order = np.argsort(words)
-        self.words, self.counts, self.unit = words[order], counts[order], unit[order].astype(np.int32)
+        self.words, self.number = words[order], order
+        self.counts, self.unit = counts, unit
 
-    def look_up(self, w: np.ndarray):
-        """Places of the tokens among the frequent ones, -1 for others, and their units."""
-        if not len(self.words):
-            return np.full(len(w), -1), np.full(len(w), self.units - 1)
+    def look_up(self, w: np.ndarray) -> np.ndarray:
+        """Numbers of the tokens; other words have negative ones, the complements of their hashes."""
         at = np.minimum(np.searchsorted(self.words, w), len(self.words) - 1)
-        found = self.words[at] == w
-        return np.where(found, at, -1), np.where(found, self.unit[at], self.units - 1)
+        return np.where(self.words[at] == w, self.number[at], ~w.view(np.int64))
+
+
+def xlogx(x):
+    return x * np.log(np.maximum(x, 1e-300))
 
 
 def exchange(pairs: np.ndarray, classes: int, rounds: int) -> np.ndarray:
@@ -94,9 +113,6 @@ def exchange(pairs: np.ndarray, classes: int, rounds: int) -> np.ndarray:
     member[np.arange(units), cls] = 1
     table = member.T @ pairs @ member
 
-    def xlogx(x):
-        return x * np.log(np.maximum(x, 1e-300))
-
     for _ in range(rounds):
         moved = 0
         for u in np.argsort(-weight, kind="stable"):
@@ -137,6 +153,235 @@ def transitions(table: np.ndarray, weight: np.ndarray) -> np.ndarray:
         return np.log10((table + SMOOTH * chance) / (table.sum(1, keepdims=True) + SMOOTH))
 
 
+def likelihood(table: np.ndarray) -> float:
+    """Log-likelihood of the class bigrams, less what no choice of classes changes."""
+    return float(xlogx(table).sum() - xlogx(table.sum(0)).sum() - xlogx(table.sum(1)).sum())
+
+
+def summed(w: np.ndarray, key: np.ndarray, n: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (w, key) in their order, with the sums of ``n``; keys are below ``width``."""
+    mine, other = np.flatnonzero(w >= 0), np.flatnonzero(w < 0)
+    # the numbers of other words are too great to be sorted as one with their keys
+    order = np.concatenate((other[np.lexsort((key[other], w[other]))], mine[np.argsort(w[mine] * width + key[mine])]))
+    w, key = w[order], key[order]
+    first = np.flatnonzero(np.append(True, (w[1:] != w[:-1]) | (key[1:] != key[:-1]))[: len(w)])
+    return w[first], key[first], np.add.reduceat(n[order], first) if len(w) else n
+
+
+def dealt(w: np.ndarray, key: np.ndarray, n: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """The entries as a row per bucket of words."""
+    bucket = w % buckets
+    order = np.argsort(bucket, kind="stable")
+    found, first = np.unique(bucket[order], return_index=True)
+    parts = list(zip(first, np.append(first[1:], len(w))))
+    held = [w[order], key[order].astype(np.int16), n[order]]
+    columns = [pa.array([c[a:b].tobytes() for a, b in parts], pa.binary()) for c in held]
+    return pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), *columns], names=["bucket", "w", "key", "n"])
+
+
+def best(table: np.ndarray, old: np.ndarray, word: np.ndarray, key: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The class of each word that raises the likelihood of ``table`` most, if that word alone moves; ``old`` if none does.
+
+    Entry: ``n`` times the word ``word`` (a place in ``old``, ascending) was before class
+    ``key``, after class ``key`` - classes, or before itself (``key`` = 2 x classes). The
+    gain is that of ``exchange``, from the cells that the word has to do with.
+    """
+    k, m = len(table), len(old)
+    each = np.arange(m)
+    own = np.zeros((m, 1))
+    same = key == 2 * k
+    own[word[same], 0] = n[same]
+    word, key, n = word[~same], key[~same], n[~same].astype(float)
+    both = np.zeros((m, 2 * k))
+    both[word, key] = n
+    out, into = both[:, :k], both[:, k:]
+    # all classes by the class of each entry, without the word itself; logs are taken anew only where it counts
+    cells = np.concatenate((table, table.T), 1).T
+    logs = xlogx(cells)[key]
+    cells = cells[key]
+    was, entry = old[word], np.arange(len(word))
+    cells[entry, was] -= n
+    at = np.flatnonzero(key % k == was)
+    cells[at] -= np.where(key[at, None] < k, into[word[at]], out[word[at]])
+    cells[at, was[at]] -= own[word[at], 0]
+    logs[entry, was] = xlogx(cells[entry, was])
+    logs[at] = xlogx(cells[at])
+    cells += n[:, None]
+    gain = np.zeros((m, k))
+    first = np.flatnonzero(np.diff(word, prepend=-1))
+    if len(first):
+        gain[word[first]] = np.add.reduceat(xlogx(cells) - logs, first)
+    u, c = np.nonzero(((out > 0) & (into > 0)) | (own > 0))
+    diag, o, i, self = np.diag(table)[c], out[u, c], into[u, c], own[u, 0]
+    diag = diag - np.where(c == old[u], o + i + self, 0)
+    gain[u, c] += xlogx(diag + o + i + self) - xlogx(diag + o) - xlogx(diag + i) + xlogx(diag)
+    for margin, part in ((table.sum(1), out), (table.sum(0), into)):
+        of_word = part.sum(1, keepdims=True) + own
+        rest, logs = np.tile(margin, (m, 1)), np.tile(xlogx(margin), (m, 1))
+        rest[each, old] -= of_word[:, 0]
+        logs[each, old] = xlogx(rest[each, old])
+        gain -= xlogx(rest + of_word) - logs
+    new = gain.argmax(1)
+    return np.where(gain[each, new] > gain[each, old] + 1e-9, new, old)
+
+
+def moved(table: np.ndarray, old: np.ndarray, word: np.ndarray, key: np.ndarray, n: np.ndarray, turn: np.ndarray) -> np.ndarray:
+    """``best`` for the words whose ``turn`` it is, some at a time; of words seen once, those that are alike are done once."""
+    k, new = len(table), old.copy()
+    first = np.searchsorted(word, np.arange(len(old) + 1))
+    size = np.diff(first)
+
+    def done(some):
+        of = np.repeat(np.arange(len(some)), size[some])
+        entry = np.arange(len(of)) + (first[some] - np.cumsum(size[some]) + size[some])[of]
+        return best(table, old[some], of, key[entry], n[entry])
+
+    at = np.flatnonzero(turn & (size == 2))
+    at = at[(n[first[at]] == 1) & (n[first[at] + 1] == 1)]
+    _, chosen, like = np.unique((old[at] * 3 * k + key[first[at]]) * 3 * k + key[first[at] + 1], return_index=True, return_inverse=True)
+    rest = turn & (size > 0)
+    rest[at] = False
+    some = np.concatenate((at[chosen], np.flatnonzero(rest)))
+    for a in range(0, len(some), 2048):
+        new[some[a : a + 2048]] = done(some[a : a + 2048])
+    new[at] = new[at[chosen]][like]
+    return new
+
+
+def numbers(row: dict, *columns: str) -> list[np.ndarray]:
+    """The numbers that binary columns hold."""
+    return [np.frombuffer(row[c], np.int16 if c == "key" else np.int64).astype(np.int64) for c in columns]
+
+
+def pieces(batches, end: int):
+    """Tokens of some texts at a time, as numbers, in their order; the end comes before each text."""
+    some, size = [], 0
+    for batch in batches:
+        for codes in batch.column("codes"):
+            some.append(codes.as_py())
+            size += len(some[-1]) // 4
+            if size >= PIECE:
+                yield np.concatenate(([end], np.frombuffer(b"".join(some), np.int32)))
+                some, size = [], 0
+    if some:
+        yield np.concatenate(([end], np.frombuffer(b"".join(some), np.int32)))
+
+
+def clustered(texts: DataFrame, others: DataFrame, vocabulary: Vocabulary, end: int, N: int, classes: int, path: str):
+    """Classes of the vocabulary, those of all ``others`` as a table (w, cls), the counts of class after class, and the number of classes.
+
+    ``texts`` are the training texts: ``codes``, the numbers of their tokens, -1 for other words, and
+    ``rare``, ``before`` and ``after``, the other words and what stands around them.
+    """
+    spark = texts.sparkSession
+    places = texts.select(F.explode(F.arrays_zip("rare", "before", "after")).alias("r")).select(F.col("r.rare").alias("w"), "r.before", "r.after")
+    places = stored(places, f"{path}/places")
+    texts = texts.select("codes")
+    start = spark.sparkContext.broadcast(np.append(vocabulary.unit, vocabulary.units - 1))  # place -1 is for the others
+    units = vocabulary.units
+
+    def follow(batches):
+        seen = np.zeros(units * units, np.int64)
+        for codes in pieces(batches, end):
+            unit = start.value[codes]
+            seen += np.bincount(unit[:-1] * units + unit[1:], minlength=units * units)
+        at = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(seen[at])], names=["pair", "n"])
+
+    followed = texts.mapInArrow(follow, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()  # at most units squared
+    pairs = np.zeros(units**2)
+    pairs[followed["pair"].to_numpy()] = followed["n"].to_numpy()
+    of_unit = exchange(pairs.reshape(units, units), classes, ROUNDS)
+    k = classes
+    width = 3 * k + 1  # class after, k + class before, 2 k for itself, then 2 k + 1 + class of the word
+    buckets = 1 + N // BUCKET
+    cls = of_unit[vocabulary.unit]
+    rare = others.select(F.bitwise_not("w").alias("w"), F.lit(int(of_unit[-1])).alias("cls"))
+    entry = "bucket long, w binary, key binary, n binary"
+
+    def counted(cls, rare, turn):
+        """Classes before and after the words whose turn it is, classes after the others: a row of entries per bucket, with its share of the table."""
+        frequent = spark.sparkContext.broadcast(cls)
+
+        def near(batches):
+            cls = frequent.value
+            for codes in pieces(batches, end):
+                known = (codes[:-1] >= 0) & (codes[1:] >= 0)
+                a, b = codes[:-1][known], codes[1:][known]
+                back = (a != b) & (b % 2 == turn)
+                w = np.concatenate((a, b[back]))
+                key = np.concatenate((np.where(a == b, 2 * k, cls[b]), k + cls[a[back]]))
+                pair = np.sort(w * width + key)
+                first = np.flatnonzero(np.diff(pair, prepend=-1))
+                if len(first):
+                    yield dealt(pair[first] // width, pair[first] % width, np.diff(first, append=len(pair)), buckets)
+
+        def far(batches):
+            cls = frequent.value
+            for batch in batches:
+                w, a, b, c = (batch.column(x).to_numpy().astype(np.int64) for x in ("w", "before", "after", "cls"))
+                own, left, right = b == w, a >= 0, b >= 0
+                front, back, mine = a != w, ~own & (b % 2 == turn), left & (w % 2 == turn)
+                words = [a[front], b[back], w[own], w[right], w[mine], w]
+                keys = [c[front], k + c[back], np.full(own.sum(), 2 * k), cls[b[right]], k + cls[a[mine]], 2 * k + 1 + c]
+                words, keys = np.concatenate(words), np.concatenate(keys)
+                if len(words):
+                    yield dealt(*summed(words, keys, np.ones(len(words), np.int64), width), buckets)
+
+        def merge(group):
+            cls = frequent.value
+            parts = [numbers(row, "w", "key", "n") for row in group.select(["w", "key", "n"]).to_pylist()]
+            w, key, n = summed(*map(np.concatenate, zip(*parts)), width)
+            first = np.flatnonzero(np.append(True, w[1:] != w[:-1]))
+            word = np.repeat(np.arange(len(first)), np.diff(first, append=len(w)))
+            word_w, tag = w[first], key > 2 * k
+            old = np.where(word_w < 0, 0, cls[np.maximum(word_w, 0)])
+            old[word[tag]] = key[tag] - 2 * k - 1
+            word, key, n = word[~tag], key[~tag], n[~tag]
+            one = (key < k) | (key == 2 * k)
+            to = np.where(key[one] < k, key[one], old[word[one]])
+            cells = np.bincount(old[word[one]] * k + to, n[one], k * k).astype(np.int64)
+            held = [word_w, old, word, key.astype(np.int16), n]
+            return pa.table([*([c.tobytes()] for c in held), pa.array([cells], pa.list_(pa.int64()))], names=["words", "old", "word", "key", "n", "cells"])
+
+        entries = texts.mapInArrow(near, entry).union(places.join(rare, "w").mapInArrow(far, entry))
+        return entries.groupBy("bucket").applyInArrow(merge, "words binary, old binary, word binary, key binary, n binary, cells array<long>")
+
+    def chosen(entries, table, turn):
+        """The words with their classes, new ones if it is their turn."""
+        table = spark.sparkContext.broadcast(table)
+
+        def choose(batches):
+            for batch in batches:
+                for row in batch.to_pylist():
+                    words, old, word, key, n = numbers(row, "words", "old", "word", "key", "n")
+                    new = moved(table.value, old, word, key, n, words % 2 == turn)
+                    yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(new.astype(np.int32))], names=["w", "cls"])
+
+        return entries.drop("cells").mapInArrow(choose, "w long, cls int")
+
+    history, kept = [], None
+    for at in count():
+        turn = at % 2
+        entries = stored(counted(cls, rare, turn), f"{path}/entries{at}")
+        cells = entries.select(F.posexplode("cells")).groupBy("pos").agg(F.sum("col").alias("n")).toArrow()  # classes squared
+        table = np.zeros(k * k)
+        table[cells["pos"].to_numpy()] = cells["n"].to_numpy()
+        table = table.reshape(k, k)
+        history.append(likelihood(table) / np.log(10) / max(N, 1))
+        if at and history[-1] < history[-2]:
+            return *kept, k
+        kept = cls, rare, table
+        if not N or at > 1 and history[-1] < history[-3] + LEAST:
+            return *kept, k
+        changed = stored(chosen(entries, table, turn), f"{path}/classes{at}")
+        dropped(spark, f"{path}/entries{at}", *([f"{path}/classes{at - 2}"] if at > 1 else []))
+        frequent = changed.filter("w >= 0").toArrow()  # at most as many as the vocabulary
+        cls = cls.copy()
+        cls[frequent["w"].to_numpy()] = frequent["cls"].to_numpy()
+        rare = changed.filter("w < 0")
+
+
 def score(
     docs: DataFrame,
     top: int = TOP,
@@ -150,99 +395,122 @@ def score(
     path = scratch(spark, "brown")
     rows = numbered(docs, text, id_col)
     held_out = crc_fold(F.col("doc_id"), 5) == 1
-    train = rows.filter(~held_out).select("body")
-    counts = stored(train.mapInArrow(_gather, "w long, n long").groupBy("w").agg(F.sum("n").alias("n")), f"{path}/counts")
+    counts = stored(rows.filter(~held_out).select("body").mapInArrow(_gather, "w long, n long").groupBy("w").agg(F.sum("n").alias("n")), f"{path}/counts")
     N, V = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    above, others = most_frequent(counts, "n", top)
-    frequent = above.toArrow().sort_by([("n", "descending"), ("w", "ascending")])  # at most top rows
-    vocabulary = Vocabulary(frequent["w"].to_numpy().view(np.uint64), frequent["n"].to_numpy(), units)
+    ends = int(counts.filter(F.col("w") == END).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
+    above, others = (part.filter(F.col("w") != END) for part in most_frequent(counts, "n", top))
+    frequent = above.toArrow()  # at most top rows
+    words, times = np.append(frequent["w"].to_numpy(), END), np.append(frequent["n"].to_numpy(), ends)
+    order = np.lexsort((words, -times))
+    vocabulary = Vocabulary(words[order].astype(np.uint64), times[order], units)
     held = share(spark, vocabulary)
-    end = int(vocabulary.look_up(np.array([END], np.uint64))[1][0])
+    end = int(vocabulary.look_up(np.array([END], np.uint64))[0])
 
-    def follow(batches):
-        schema = pa.schema([("pair", pa.int64()), ("n", pa.int64())])
+    def encode(batches):
+        """Numbers of the tokens of each text, and its other words with what stands before and after."""
         voc = shared(Vocabulary, held.value)
-        seen = np.zeros(voc.units * voc.units, np.int64)
-        for (body,) in arrow_rows(batches, "body"):
-            unit = np.concatenate(([end], voc.look_up(tokens(body))[1])).astype(np.int64)
-            np.add.at(seen, unit[:-1] * voc.units + unit[1:], 1)
-        at = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(seen[at])], schema=schema)
+        for batch in batches:
+            out = []
+            for rid, doc_id, body in arrow_rows([batch], "rid", "doc_id", "body"):
+                code = voc.look_up(tokens(body))
+                at = np.flatnonzero(code < 0)
+                # the last token is the end, so a word has one after it
+                out.append((rid, doc_id, np.maximum(code, -1).astype(np.int32).tobytes(), code[at], np.append(end, code)[at], code[at + 1]))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*out), encoded)], schema=encoded)
 
-    followed = train.mapInArrow(follow, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()  # at most units squared
-    pairs = np.zeros(vocabulary.units**2)
-    pairs[followed["pair"].to_numpy()] = followed["n"].to_numpy()
-    pairs = pairs.reshape(vocabulary.units, vocabulary.units)
-    cls = exchange(pairs, classes, ROUNDS)
-    k = int(cls.max()) + 1
-    member = np.zeros((len(cls), k))
-    member[np.arange(len(cls)), cls] = 1
-    table = member.T @ pairs @ member
-    rare_tokens = int(N) - int(vocabulary.counts.sum())
-    rare_words = int(V) - len(vocabulary.words)
-    # half a count for each word of the open unit and one unknown word, so it has weight even if never seen
-    open_weight = rare_tokens + 0.5 * (rare_words + 1)
-    of_unit = np.bincount(vocabulary.unit, vocabulary.counts, vocabulary.units).astype(float)
-    of_unit[-1] = open_weight
-    of_class = np.bincount(cls, of_unit, k)
+    longs = pa.list_(pa.int64())
+    encoded = pa.schema(
+        [("rid", pa.int64()), ("doc_id", pa.int64()), ("codes", pa.binary()), ("rare", longs), ("before", longs), ("after", longs)]
+    )
+    texts = stored(
+        rows.mapInArrow(encode, "rid long, doc_id long, codes binary, rare array<long>, before array<long>, after array<long>"), f"{path}/texts"
+    )
+    cls, rare, table, k = clustered(texts.filter(~held_out), others, vocabulary, end, int(N), classes, path)
+
+    others = stored(others.select(F.bitwise_not("w").alias("w"), "n").join(rare, "w"), f"{path}/others")
+    seen = others.groupBy("cls").agg(F.sum(F.col("n") + 0.5).alias("n"), F.sum((F.col("n") == 1).cast("long")).alias("once")).toArrow()  # a row per class
+    of_class = np.bincount(cls, np.where(vocabulary.counts > 0, vocabulary.counts + 0.5, 0), k)
+    once = np.bincount(cls, vocabulary.counts == 1, k)
+    np.add.at(of_class, seen["cls"].to_numpy(), seen["n"].to_numpy())
+    np.add.at(once, seen["cls"].to_numpy(), seen["once"].to_numpy())
+    unknown = int(once.argmax() if once.any() else cls[-1])
+    of_class[unknown] += 0.5
     step = transitions(table, of_class)
-    emit = np.log10(np.maximum(vocabulary.counts, 1) / of_class[cls[vocabulary.unit]])
+    emit = np.log10((vocabulary.counts + 0.5) / of_class[cls])
     base = np.log10((vocabulary.counts + 0.5) / (N + 0.5 * (V + 1)))
     base_open = float(np.log10(1 / (N + 0.5 * (V + 1))))
-    emit_open = float(np.log10(1 / of_class[cls[-1]]))
-    model = spark.sparkContext.broadcast((cls, step, emit, base))
+    model = spark.sparkContext.broadcast((cls, step, emit, base, vocabulary.counts > 0))
 
     def run(batches):
-        schema = pa.schema(
-            [
-                ("rid", pa.int64()),
-                ("doc_id", pa.int64()),
-                ("n_tokens", pa.int64()),
-                ("n_frequent", pa.int64()),
-                ("base_part", pa.float64()),
-                ("score_part", pa.float64()),
-                ("rare", pa.list_(pa.int64())),
-                ("times", pa.list_(pa.int64())),
-            ]
-        )
-        voc, (cls, step, emit, base) = shared(Vocabulary, held.value), model.value
+        cls, step, emit, base, seen = model.value
+        names = ["rid", "doc_id", "n_tokens", "n_frequent", "base_part", "score_part"]
         for batch in batches:
             out = []
-            for rid, doc_id, body in arrow_rows([batch], "rid", "doc_id", "body"):
-                w = tokens(body)
-                at, unit = voc.look_up(w)
-                c = cls[np.concatenate(([end], unit))]
-                known = at[at >= 0]
-                rare, times = np.unique(w[at < 0], return_counts=True)
-                out.append(
-                    (rid, doc_id, len(w), len(known), float(base[known].sum()), float(emit[known].sum() + step[c[:-1], c[1:]].sum()), rare.view(np.int64), times)
-                )
+            for rid, doc_id, body in arrow_rows([batch], "rid", "doc_id", "codes"):
+                code = np.frombuffer(body, np.int32)
+                known = code[code >= 0]
+                follow = np.append(end, code)
+                a, b = follow[:-1], code
+                near = (a >= 0) & (b >= 0)
+                steps = step[cls[a[near]], cls[b[near]]].sum()
+                out.append((rid, doc_id, len(code), int(seen[known].sum()), float(base[known].sum()), float(emit[known].sum() + steps)))
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*out), schema)], schema=schema)
-
-    parts = stored(
-        rows.mapInArrow(
-            run,
-            "rid long, doc_id long, n_tokens long, n_frequent long, base_part double, score_part double, rare array<long>, times array<long>",
-        ),
-        f"{path}/parts",
+                yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*out), [pa.int64()] * 4 + [pa.float64()] * 2)], names=names)
+
+    parts = texts.select("rid", "doc_id", "codes").mapInArrow(
+        run, "rid long, doc_id long, n_tokens long, n_frequent long, base_part double, score_part double"
     )
-    rare = (
-        parts.select("rid", F.explode(F.arrays_zip("rare", "times")).alias("r"))
-        .select("rid", F.col("r.rare").alias("w"), F.col("r.times").alias("times"))
-        .join(others, "w", "left")
-        .groupBy("rid")
-        .agg(
-            F.sum("times").alias("n_rare"),
-            F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("known_rare"),
-            F.sum(F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + 0.5)).alias("weight"),
-        )
+    weights = spark.sparkContext.broadcast((unknown, of_class))
+
+    def passed(batches):
+        """What a place of another word adds: its frequency, and the steps from and to words of the vocabulary."""
+        (cls, step, *_), (unknown, of_class) = model.value, weights.value
+        for batch in batches:
+            rid, n, c, before, after = (batch.column(x).to_numpy(zero_copy_only=False) for x in ("rid", "n", "cls", "before", "after"))
+            known = n > 0
+            c = np.where(known, c, unknown)
+            weight = np.log10(n + 0.5)
+            score = weight - np.log10(of_class[c])
+            left, right = before >= 0, after >= 0
+            score[left] += step[cls[before[left]], c[left]]
+            score[right] += step[c[right], cls[after[right]]]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (rid, known.astype(np.int64), weight, score)], names=["rid", "known", "weight", "score"])
+
+    def between(batches):
+        """The steps between two such words."""
+        step = model.value[1]
+        for batch in batches:
+            rid, a, b = (batch.column(x).to_numpy() for x in ("rid", "a", "b"))
+            yield pa.RecordBatch.from_arrays([pa.array(rid), pa.array(step[a, b])], names=["rid", "score"])
+
+    places = texts.select("rid", F.explode(F.arrays_zip("rare", "before", "after")).alias("r")).select(
+        "rid", F.col("r.rare").alias("w"), "r.before", "r.after"
+    )
+    zero = F.lit(0).cast("long")
+    class_or = F.coalesce("cls", F.lit(unknown))
+    alone = (
+        places.join(others, "w", "left")
+        .select("rid", F.coalesce("n", zero).alias("n"), class_or.alias("cls"), "before", "after")
+        .mapInArrow(passed, "rid long, known long, weight double, score double")
+    )
+    class_of = others.select("w", "cls")
+    pairs = (
+        places.filter("after < 0")
+        .join(class_of, "w", "left")
+        .select("rid", class_or.alias("a"), F.col("after").alias("w"))
+        .join(class_of, "w", "left")
+        .select("rid", "a", class_or.alias("b"))
+        .mapInArrow(between, "rid long, score double")
+    )
+    added = alone.groupBy("rid").agg(
+        F.count("*").alias("n_rare"), F.sum("known").alias("known_rare"), F.sum("weight").alias("weight"), F.sum("score").alias("model")
     )
-    zero, none = F.lit(0).cast("long"), F.lit(0.0)
-    n_rare, weight = F.coalesce("n_rare", zero), F.coalesce("weight", none)
+    stepped = pairs.groupBy("rid").agg(F.sum("score").alias("steps"))
+    none = F.lit(0.0)
     return (
-        parts.drop("rare", "times")
-        .join(rare, "rid", "left")
+        parts.join(added, "rid", "left")
+        .join(stepped, "rid", "left")
         .select(
             "rid",
             "doc_id",
@@ -250,8 +518,8 @@ def score(
             "n_tokens",
             (F.col("n_frequent") + F.coalesce("known_rare", zero)).alias("n_known"),
             F.lit(int(N)).cast("long").alias("train_tokens"),
-            (F.col("base_part") + weight + n_rare * base_open).alias("base_score"),
-            (F.col("score_part") + weight + n_rare * emit_open).alias("score"),
+            (F.col("base_part") + F.coalesce("weight", none) + F.coalesce("n_rare", zero) * base_open).alias("base_score"),
+            (F.col("score_part") + F.coalesce("model", none) + F.coalesce("steps", none)).alias("score"),
         )
         .withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))
     )
