@@ -41,7 +41,9 @@ from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -52,25 +54,60 @@ TOP, UNITS, CLASSES, ROUNDS = 300_000, 1000, 64, 6
 SMOOTH = 20.0
 #: Least rise of the log10 likelihood of a token, in two rounds of all words, for which the exchange goes on.
 LEAST = 0.02
-#: Tokens that a task counts at once, and those that a bucket of words stands for.
-PIECE, BUCKET = 1 << 21, 1_000_000
+#: Tokens that a task counts at once, those that a bucket of words stands for, and bytes of text that are split at once.
+PIECE, BUCKET, TEXT = 1 << 21, 1_000_000, 8 << 20
+#: Counts of an entry for which a task holds the rise of each cell.
+FEW = 16
 END = xxhash.xxh64_intdigest(b"\n") >> 1  # no word holds a line end
 
 
+def some_texts(batch, column: str):
+    """Slices of a batch with about ``TEXT`` bytes of text each, or one longer text."""
+    size = np.cumsum(pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False))
+    a = 0
+    while a < len(size):
+        b = max(a + 1, int(np.searchsorted(size, TEXT + (size[a - 1] if a else 0), "right")))
+        yield batch.slice(a, b - a)
+        a = b
+
+
+def spelled(bodies: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the distinct tokens of some texts, the place of each token among them, and where texts begin, one more than there are."""
+    parts = pc.ascii_split_whitespace(pc.ascii_lower(bodies.view(pa.string())))
+    words, bounds = parts.flatten(), parts.offsets.to_numpy()
+    bounds = bounds - bounds[0]
+    real = pc.binary_length(words).to_numpy() > 0  # blanks at the ends of a text leave empty words
+    words = words.dictionary_encode()
+    distinct = words.dictionary.view(pa.binary()).to_numpy(zero_copy_only=False).tolist()  # to_pylist is slower
+    hashes = np.fromiter(map(xxhash.xxh64_intdigest, distinct), np.uint64, len(distinct)) >> np.uint64(1)
+    begin = np.append(0, np.cumsum(real))[bounds] + np.arange(len(bounds))
+    place = np.full(begin[-1], len(distinct))
+    word = np.ones(len(place), bool)
+    word[begin[1:] - 1] = False
+    place[word] = words.indices.to_numpy()[real]
+    return np.append(hashes, np.uint64(END)), place, begin
+
+
 def tokens(body: bytes) -> np.ndarray:
-    words = body.lower().split()
-    words.append(b"\n")
-    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words)) >> np.uint64(1)
+    hashes, place, _ = spelled(pa.array([body], pa.binary()))
+    return hashes[place]
 
 
 def _gather(batches):
     """Token counts of each batch."""
     schema = pa.schema([("w", pa.int64()), ("n", pa.int64())])
     for batch in batches:
-        held = [tokens(body) for (body,) in arrow_rows([batch], "body")]
+        held = []
+        for part in some_texts(batch, "body"):
+            hashes, place, _ = spelled(part.column("body"))
+            times = np.bincount(place, minlength=len(hashes))
+            held.append((hashes[times > 0], times[times > 0]))
         if held:
-            w, n = np.unique(np.concatenate(held), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(w.view(np.int64)), pa.array(n)], schema=schema)
+            w, n = map(np.concatenate, zip(*held))
+            order = np.argsort(w)
+            w, n = w[order], n[order]
+            first = np.flatnonzero(np.append(True, w[1:] != w[:-1]))
+            yield pa.RecordBatch.from_arrays([pa.array(w[first].view(np.int64)), pa.array(np.add.reduceat(n, first))], schema=schema)
 
 
 class Vocabulary:
@@ -161,8 +198,9 @@ def likelihood(table: np.ndarray) -> float:
 def summed(w: np.ndarray, key: np.ndarray, n: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct (w, key) in their order, with the sums of ``n``; keys are below ``width``."""
     mine, other = np.flatnonzero(w >= 0), np.flatnonzero(w < 0)
-    # the numbers of other words are too great to be sorted as one with their keys
-    order = np.concatenate((other[np.lexsort((key[other], w[other]))], mine[np.argsort(w[mine] * width + key[mine])]))
+    # the numbers of other words are too great to be sorted as one with their keys, so their places among them are
+    _, place = np.unique(w[other], return_inverse=True)
+    order = np.concatenate((other[np.argsort(place * width + key[other])], mine[np.argsort(w[mine] * width + key[mine])]))
     w, key = w[order], key[order]
     first = np.flatnonzero(np.append(True, (w[1:] != w[:-1]) | (key[1:] != key[:-1]))[: len(w)])
     return w[first], key[first], np.add.reduceat(n[order], first) if len(w) else n
@@ -179,7 +217,13 @@ def dealt(w: np.ndarray, key: np.ndarray, n: np.ndarray, buckets: int) -> pa.Rec
     return pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), *columns], names=["bucket", "w", "key", "n"])
 
 
-def best(table: np.ndarray, old: np.ndarray, word: np.ndarray, key: np.ndarray, n: np.ndarray) -> np.ndarray:
+def rises(table: np.ndarray) -> np.ndarray:
+    """``rises(table)[n - 1, key]``: what ``n`` more in a cell add to the sum of ``best``, for all classes, ``n`` up to ``FEW``."""
+    cells = np.concatenate((table, table.T), 1).T
+    return xlogx(cells + np.arange(1, FEW + 1)[:, None, None]) - xlogx(cells)
+
+
+def best(table: np.ndarray, risen: np.ndarray, old: np.ndarray, word: np.ndarray, key: np.ndarray, n: np.ndarray) -> np.ndarray:
     """The class of each word that raises the likelihood of ``table`` most, if that word alone moves; ``old`` if none does.
 
     Entry: ``n`` times the word ``word`` (a place in ``old``, ascending) was before class
@@ -195,46 +239,49 @@ def best(table: np.ndarray, old: np.ndarray, word: np.ndarray, key: np.ndarray,
     both = np.zeros((m, 2 * k))
     both[word, key] = n
     out, into = both[:, :k], both[:, k:]
-    # all classes by the class of each entry, without the word itself; logs are taken anew only where it counts
+    # all classes by the class of each entry; those of the word itself are taken without it
     cells = np.concatenate((table, table.T), 1).T
-    logs = xlogx(cells)[key]
-    cells = cells[key]
+    rise = risen.reshape(-1, k).take((np.minimum(n, FEW).astype(np.int64) - 1) * 2 * k + key, 0)
+    many = np.flatnonzero(n > FEW)
+    rise[many] = xlogx(cells[key[many]] + n[many, None]) - xlogx(cells[key[many]])
     was, entry = old[word], np.arange(len(word))
-    cells[entry, was] -= n
+    full = cells[key, was]
+    rise[entry, was] = xlogx(full) - xlogx(full - n)
     at = np.flatnonzero(key % k == was)
-    cells[at] -= np.where(key[at, None] < k, into[word[at]], out[word[at]])
-    cells[at, was[at]] -= own[word[at], 0]
-    logs[entry, was] = xlogx(cells[entry, was])
-    logs[at] = xlogx(cells[at])
-    cells += n[:, None]
+    less = cells[key[at]]
+    less[np.arange(len(at)), was[at]] -= n[at] + own[word[at], 0]
+    less -= np.where(key[at, None] < k, into[word[at]], out[word[at]])
+    rise[at] = xlogx(less + n[at, None]) - xlogx(less)
     gain = np.zeros((m, k))
-    first = np.flatnonzero(np.diff(word, prepend=-1))
-    if len(first):
-        gain[word[first]] = np.add.reduceat(xlogx(cells) - logs, first)
-    u, c = np.nonzero(((out > 0) & (into > 0)) | (own > 0))
+    size = np.bincount(word, minlength=m)
+    most = np.argsort(-size, kind="stable")
+    first = (np.cumsum(size) - size)[most]
+    for nth, words in enumerate(m - np.searchsorted(np.sort(size), np.arange(size.max()), "right")):
+        gain[most[:words]] += rise[first[:words] + nth]  # the nth entry of each word that has so many
+    u, c = np.divmod(np.flatnonzero(((out > 0) & (into > 0)) | (own > 0)), k)
     diag, o, i, self = np.diag(table)[c], out[u, c], into[u, c], own[u, 0]
     diag = diag - np.where(c == old[u], o + i + self, 0)
     gain[u, c] += xlogx(diag + o + i + self) - xlogx(diag + o) - xlogx(diag + i) + xlogx(diag)
     for margin, part in ((table.sum(1), out), (table.sum(0), into)):
-        of_word = part.sum(1, keepdims=True) + own
-        rest, logs = np.tile(margin, (m, 1)), np.tile(xlogx(margin), (m, 1))
-        rest[each, old] -= of_word[:, 0]
-        logs[each, old] = xlogx(rest[each, old])
-        gain -= xlogx(rest + of_word) - logs
+        of_word = part.sum(1) + own[:, 0]
+        times, like = np.unique(of_word, return_inverse=True)
+        rise = (xlogx(margin + times[:, None]) - xlogx(margin))[like]
+        rise[each, old] = xlogx(margin[old]) - xlogx(margin[old] - of_word)
+        gain -= rise
     new = gain.argmax(1)
     return np.where(gain[each, new] > gain[each, old] + 1e-9, new, old)
 
 
 def moved(table: np.ndarray, old: np.ndarray, word: np.ndarray, key: np.ndarray, n: np.ndarray, turn: np.ndarray) -> np.ndarray:
     """``best`` for the words whose ``turn`` it is, some at a time; of words seen once, those that are alike are done once."""
-    k, new = len(table), old.copy()
+    k, new, risen = len(table), old.copy(), rises(table)
     first = np.searchsorted(word, np.arange(len(old) + 1))
     size = np.diff(first)
 
     def done(some):
         of = np.repeat(np.arange(len(some)), size[some])
         entry = np.arange(len(of)) + (first[some] - np.cumsum(size[some]) + size[some])[of]
-        return best(table, old[some], of, key[entry], n[entry])
+        return best(table, risen, old[some], of, key[entry], n[entry])
 
     at = np.flatnonzero(turn & (size == 2))
     at = at[(n[first[at]] == 1) & (n[first[at] + 1] == 1)]
@@ -300,37 +347,58 @@ def clustered(texts: DataFrame, others: DataFrame, vocabulary: Vocabulary, end:
     entry = "bucket long, w binary, key binary, n binary"
 
     def counted(cls, rare, turn):
-        """Classes before and after the words whose turn it is, classes after the others: a row of entries per bucket, with its share of the table."""
+        """Classes before and after the words whose turn it is, a row of entries per bucket, with its share of the table.
+
+        Buckets below 0 have no entries but classes after classes, from where both are known. Those of two words
+        beyond the vocabulary are known when the entries of the first meet its class.
+        """
         frequent = spark.sparkContext.broadcast(cls)
 
+        def crossed(cells):
+            """The task's classes after classes as a row of a bucket below 0."""
+            bucket = -1 - TaskContext.get().partitionId() % buckets
+            return pa.RecordBatch.from_arrays([pa.array([bucket]), *(pa.array([x], pa.binary()) for x in (b"", b"", cells.tobytes()))], names=["bucket", "w", "key", "n"])
+
         def near(batches):
-            cls = frequent.value
+            cells, most = np.zeros(k * k, np.int64), len(frequent.value) * width
+            kind = np.int32 if most < 1 << 31 else np.int64  # half the bytes take half the time
+            cls = frequent.value.astype(kind)
             for codes in pieces(batches, end):
+                codes = codes.astype(kind)
                 known = (codes[:-1] >= 0) & (codes[1:] >= 0)
                 a, b = codes[:-1][known], codes[1:][known]
-                back = (a != b) & (b % 2 == turn)
-                w = np.concatenate((a, b[back]))
-                key = np.concatenate((np.where(a == b, 2 * k, cls[b]), k + cls[a[back]]))
-                pair = np.sort(w * width + key)
+                before, after = cls[a], cls[b]
+                cells += np.bincount(before * k + after, minlength=k * k)
+                own = a == b
+                after[own] = 2 * k
+                front, back = np.flatnonzero(a % 2 == turn), np.flatnonzero(~own & (b % 2 == turn))
+                pair = np.concatenate((a[front] * width + after[front], b[back] * width + k + before[back]))
+                pair.sort()
                 first = np.flatnonzero(np.diff(pair, prepend=-1))
                 if len(first):
-                    yield dealt(pair[first] // width, pair[first] % width, np.diff(first, append=len(pair)), buckets)
+                    word, key = np.divmod(pair[first].astype(np.int64), width)
+                    yield dealt(word, key, np.diff(first, append=len(pair)), buckets)
+            yield crossed(cells)
 
         def far(batches):
-            cls = frequent.value
+            cls, cells = frequent.value, np.zeros(k * k, np.int64)
             for batch in batches:
                 w, a, b, c = (batch.column(x).to_numpy().astype(np.int64) for x in ("w", "before", "after", "cls"))
                 own, left, right = b == w, a >= 0, b >= 0
-                front, back, mine = a != w, ~own & (b % 2 == turn), left & (w % 2 == turn)
+                cells += np.bincount(cls[a[left]] * k + c[left], minlength=k * k)
+                front, back, mine = (a != w) & (~left | (a % 2 == turn)), ~own & (b % 2 == turn), left & (w % 2 == turn)
                 words = [a[front], b[back], w[own], w[right], w[mine], w]
                 keys = [c[front], k + c[back], np.full(own.sum(), 2 * k), cls[b[right]], k + cls[a[mine]], 2 * k + 1 + c]
                 words, keys = np.concatenate(words), np.concatenate(keys)
                 if len(words):
                     yield dealt(*summed(words, keys, np.ones(len(words), np.int64), width), buckets)
+            yield crossed(cells)
 
         def merge(group):
             cls = frequent.value
             parts = [numbers(row, "w", "key", "n") for row in group.select(["w", "key", "n"]).to_pylist()]
+            if group["bucket"][0].as_py() < 0:
+                return pa.table([*([b""],) * 5, pa.array([sum(n for _, _, n in parts)], pa.list_(pa.int64()))], names=names)
             w, key, n = summed(*map(np.concatenate, zip(*parts)), width)
             first = np.flatnonzero(np.append(True, w[1:] != w[:-1]))
             word = np.repeat(np.arange(len(first)), np.diff(first, append=len(w)))
@@ -338,22 +406,32 @@ def clustered(texts: DataFrame, others: DataFrame, vocabulary: Vocabulary, end:
             old = np.where(word_w < 0, 0, cls[np.maximum(word_w, 0)])
             old[word[tag]] = key[tag] - 2 * k - 1
             word, key, n = word[~tag], key[~tag], n[~tag]
-            one = (key < k) | (key == 2 * k)
+            one = (word_w[word] < 0) & ((key < k) | (key == 2 * k))
             to = np.where(key[one] < k, key[one], old[word[one]])
             cells = np.bincount(old[word[one]] * k + to, n[one], k * k).astype(np.int64)
             held = [word_w, old, word, key.astype(np.int16), n]
-            return pa.table([*([c.tobytes()] for c in held), pa.array([cells], pa.list_(pa.int64()))], names=["words", "old", "word", "key", "n", "cells"])
+            return pa.table([*([c.tobytes()] for c in held), pa.array([cells], pa.list_(pa.int64()))], names=names)
 
+        names = ["words", "old", "word", "key", "n", "cells"]
         entries = texts.mapInArrow(near, entry).union(places.join(rare, "w").mapInArrow(far, entry))
         return entries.groupBy("bucket").applyInArrow(merge, "words binary, old binary, word binary, key binary, n binary, cells array<long>")
 
+    def added(batches):
+        """The cells of all rows of a task, added up."""
+        cells = np.zeros(k * k, np.int64)
+        for batch in batches:
+            cells += batch.column("cells").flatten().to_numpy().reshape(-1, k * k).sum(0)
+        yield pa.RecordBatch.from_arrays([pa.array([cells], pa.list_(pa.int64()))], names=["cells"])
+
     def chosen(entries, table, turn):
-        """The words with their classes, new ones if it is their turn."""
+        """The words whose turn it is with their new classes, and all beyond the vocabulary."""
         table = spark.sparkContext.broadcast(table)
 
         def choose(batches):
             for batch in batches:
                 for row in batch.to_pylist():
+                    if not row["words"]:
+                        continue
                     words, old, word, key, n = numbers(row, "words", "old", "word", "key", "n")
                     new = moved(table.value, old, word, key, n, words % 2 == turn)
                     yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(new.astype(np.int32))], names=["w", "cls"])
@@ -364,10 +442,8 @@ def clustered(texts: DataFrame, others: DataFrame, vocabulary: Vocabulary, end:
     for at in count():
         turn = at % 2
         entries = stored(counted(cls, rare, turn), f"{path}/entries{at}")
-        cells = entries.select(F.posexplode("cells")).groupBy("pos").agg(F.sum("col").alias("n")).toArrow()  # classes squared
-        table = np.zeros(k * k)
-        table[cells["pos"].to_numpy()] = cells["n"].to_numpy()
-        table = table.reshape(k, k)
+        cells = entries.select("cells").coalesce(16).mapInArrow(added, "cells array<long>").toArrow()  # at most 16 rows of classes squared
+        table = np.sum(cells["cells"].to_pylist(), 0, float).reshape(k, k) if cells.num_rows else np.zeros((k, k))
         history.append(likelihood(table) / np.log(10) / max(N, 1))
         if at and history[-1] < history[-2]:
             return *kept, k
@@ -410,14 +486,16 @@ def score(
         """Numbers of the tokens of each text, and its other words with what stands before and after."""
         voc = shared(Vocabulary, held.value)
         for batch in batches:
-            out = []
-            for rid, doc_id, body in arrow_rows([batch], "rid", "doc_id", "body"):
-                code = voc.look_up(tokens(body))
+            for part in some_texts(batch, "body"):
+                hashes, place, begin = spelled(part.column("body"))
+                code = voc.look_up(hashes)[place]
                 at = np.flatnonzero(code < 0)
-                # the last token is the end, so a word has one after it
-                out.append((rid, doc_id, np.maximum(code, -1).astype(np.int32).tobytes(), code[at], np.append(end, code)[at], code[at + 1]))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*out), encoded)], schema=encoded)
+                listed = np.maximum(code, -1).astype(np.int32)
+                codes = pa.Array.from_buffers(pa.binary(), part.num_rows, [None, pa.py_buffer((4 * begin).astype(np.int32)), pa.py_buffer(listed)])
+                bounds = pa.array(np.searchsorted(at, begin), pa.int32())
+                # each text ends in the end, so all other words have a token after them, and one before but at the start
+                around = [pa.ListArray.from_arrays(bounds, pa.array(c)) for c in (code[at], np.append(end, code)[at], code[at + 1])]
+                yield pa.RecordBatch.from_arrays([part.column("rid"), part.column("doc_id"), codes, *around], schema=encoded)
 
     longs = pa.list_(pa.int64())
     encoded = pa.schema(
