@@ -14,6 +14,7 @@ from math import log10
 import numpy as np
 import pyarrow as pa
 import pytest
+import xxhash
 
 import corpus_pipeline
 from traffic_lake.llm import brown_lm, perspectives, string_tiling, toxicity, warc
@@ -305,6 +306,39 @@ def test_model_scores_of_all_words(spark, docs, monkeypatch, top):
         assert a[0] == b[0] and a[1] == pytest.approx(b[1])
 
 
+def test_words_move_in_few_rows(docs, monkeypatch):
+    """In a round, only words of the vocabulary whose turn it is have entries; places of others are a row per bucket."""
+    entries, places = [], []
+    stored = brown_lm.stored
+
+    def watched(df, path):
+        out = stored(df, path)
+        if path.endswith("/places"):
+            places.append(out.count())
+        if "/entries" in path:
+            turn = int(path.rsplit("/entries")[1]) % 2
+            entries.extend((turn, w) for r in out.collect() for w in np.frombuffer(r.words, np.int64).tolist())
+        return out
+
+    monkeypatch.setattr(brown_lm, "stored", watched)
+    brown_lm.score(docs, top=12, units=8, classes=4).count()
+    assert any(w < 0 for _, w in entries) and {turn for turn, w in entries if w >= 0} == {0, 1}
+    assert all(w < 0 or w % 2 == turn for turn, w in entries)
+    assert places == [1]
+
+
+def test_texts_are_split_as_bytes():
+    rng = random.Random(6)
+    bodies = [bytes(rng.choice(b"AaBz \t\n\x0b\x0c\r\x1c\x1f\x85\xa0\xc3\x84\x00") for _ in range(rng.randint(0, 30))) for _ in range(300)]
+    hashes, place, begin = brown_lm.spelled(pa.array([b"left out", *bodies], pa.binary()).slice(1))
+    assert len(hashes) == len(set(hashes.tolist())) and begin[-1] == len(place)
+    for body, a, b in zip(bodies, begin, begin[1:]):
+        want = [xxhash.xxh64_intdigest(w) >> 1 for w in [*body.lower().split(), b"\n"]]
+        assert hashes[place[a:b]].tolist() == want == brown_lm.tokens(body).tolist()
+    batch = pa.RecordBatch.from_arrays([pa.array([*bodies, b"a" * (9 << 20), b"", b"b"], pa.binary())], names=["body"])
+    assert [part.num_rows for part in brown_lm.some_texts(batch, "body")] == [300, 1, 2]
+
+
 def test_rare_words_have_classes(spark, tmp_path):
     """Two kinds of words take turns, half of them beyond ``top``; their order shows on rows that nobody learnt from."""
     rng = random.Random(5)

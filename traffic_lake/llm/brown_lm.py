@@ -21,9 +21,10 @@ log10 likelihood by less than ``LEAST`` a token, or one lowers it; then the
 classes with the greater likelihood stay. No round limit, no word left out.
 
 The tasks are sent the classes of the ``TOP`` most frequent words. Those of all
-others never leave the cluster: they are a table, joined with the places of such
-words. These have low counts, so the join has no frequent key. What is known of
-the classes reaches the driver as classes squared.
+others never leave the cluster: words are dealt to buckets, and a row per bucket
+has their places, another their classes, which are joined. These words have low
+counts, so no bucket is great for one of them. What is known of the classes
+reaches the driver as classes squared.
 
 A word that nobody learnt from has half a count in the class with the most words
 seen once. Transitions are smoothed with the frequency of the class. Words compare
@@ -206,15 +207,14 @@ def summed(w: np.ndarray, key: np.ndarray, n: np.ndarray, width: int) -> tuple[n
     return w[first], key[first], np.add.reduceat(n[order], first) if len(w) else n
 
 
-def dealt(w: np.ndarray, key: np.ndarray, n: np.ndarray, buckets: int) -> pa.RecordBatch:
-    """The entries as a row per bucket of words."""
-    bucket = w % buckets
+def dealt(bucket: np.ndarray, **columns: np.ndarray) -> pa.RecordBatch:
+    """The entries as a row per bucket."""
     order = np.argsort(bucket, kind="stable")
     found, first = np.unique(bucket[order], return_index=True)
-    parts = list(zip(first, np.append(first[1:], len(w))))
-    held = [w[order], key[order].astype(np.int16), n[order]]
-    columns = [pa.array([c[a:b].tobytes() for a, b in parts], pa.binary()) for c in held]
-    return pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), *columns], names=["bucket", "w", "key", "n"])
+    parts = list(zip(first, np.append(first[1:], len(bucket))))
+    held = [c[order] for c in columns.values()]
+    held = [pa.array([c[a:b].tobytes() for a, b in parts], pa.binary()) for c in held]
+    return pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), *held], names=["bucket", *columns])
 
 
 def rises(table: np.ndarray) -> np.ndarray:
@@ -315,13 +315,29 @@ def pieces(batches, end: int):
 
 
 def clustered(texts: DataFrame, others: DataFrame, vocabulary: Vocabulary, end: int, N: int, classes: int, path: str):
-    """Classes of the vocabulary, those of all ``others`` as a table (w, cls), the counts of class after class, and the number of classes.
+    """Classes of the vocabulary, those of all ``others`` as a table (w, n, cls), the counts of class after class, and the number of classes.
 
     ``texts`` are the training texts: ``codes``, the numbers of their tokens, -1 for other words, and
     ``rare``, ``before`` and ``after``, the other words and what stands around them.
     """
     spark = texts.sparkSession
-    places = texts.select(F.explode(F.arrays_zip("rare", "before", "after")).alias("r")).select(F.col("r.rare").alias("w"), "r.before", "r.after")
+    buckets = 1 + N // BUCKET
+
+    def sent(batches):
+        """The places of other words, a row per bucket of words."""
+        for batch in batches:
+            w, before, after = (batch.column(c).flatten().to_numpy() for c in ("rare", "before", "after"))
+            if len(w):
+                yield dealt(w % buckets, w=w, before=before, after=after)
+
+    def gathered(group):
+        """All places of the words of a bucket, by word."""
+        w, before, after = map(np.concatenate, zip(*(numbers(row, "w", "before", "after") for row in group.to_pylist())))
+        order = np.argsort(w)
+        return pa.table([group["bucket"].slice(0, 1), *([c[order].tobytes()] for c in (w, before, after))], names=["bucket", "w", "before", "after"])
+
+    place = "bucket long, w binary, before binary, after binary"
+    places = texts.select("rare", "before", "after").mapInArrow(sent, place).groupBy("bucket").applyInArrow(gathered, place)
     places = stored(places, f"{path}/places")
     texts = texts.select("codes")
     start = spark.sparkContext.broadcast(np.append(vocabulary.unit, vocabulary.units - 1))  # place -1 is for the others
@@ -341,9 +357,18 @@ def clustered(texts: DataFrame, others: DataFrame, vocabulary: Vocabulary, end:
     of_unit = exchange(pairs.reshape(units, units), classes, ROUNDS)
     k = classes
     width = 3 * k + 1  # class after, k + class before, 2 k for itself, then 2 k + 1 + class of the word
-    buckets = 1 + N // BUCKET
     cls = of_unit[vocabulary.unit]
-    rare = others.select(F.bitwise_not("w").alias("w"), F.lit(int(of_unit[-1])).alias("cls"))
+    unit = int(of_unit[-1])
+
+    def alike(batches):
+        """The other words, all in the class of their unit."""
+        for batch in batches:
+            for row in batch.to_pylist():
+                words = np.unique(*numbers(row, "w"))
+                classes = np.full(len(words), unit)
+                yield pa.RecordBatch.from_arrays([pa.array([row["bucket"]]), *(pa.array([x.tobytes()]) for x in (words, classes))], names=["bucket", "rare", "cls"])
+
+    rare = places.select("bucket", "w").mapInArrow(alike, "bucket long, rare binary, cls binary")
     entry = "bucket long, w binary, key binary, n binary"
 
     def counted(cls, rare, turn):
@@ -377,28 +402,30 @@ def clustered(texts: DataFrame, others: DataFrame, vocabulary: Vocabulary, end:
                 first = np.flatnonzero(np.diff(pair, prepend=-1))
                 if len(first):
                     word, key = np.divmod(pair[first].astype(np.int64), width)
-                    yield dealt(word, key, np.diff(first, append=len(pair)), buckets)
+                    yield dealt(word % buckets, w=word, key=key.astype(np.int16), n=np.diff(first, append=len(pair)))
             yield crossed(cells)
 
         def far(batches):
             cls, cells = frequent.value, np.zeros(k * k, np.int64)
             for batch in batches:
-                w, a, b, c = (batch.column(x).to_numpy().astype(np.int64) for x in ("w", "before", "after", "cls"))
-                own, left, right = b == w, a >= 0, b >= 0
-                cells += np.bincount(cls[a[left]] * k + c[left], minlength=k * k)
-                front, back, mine = (a != w) & (~left | (a % 2 == turn)), ~own & (b % 2 == turn), left & (w % 2 == turn)
-                words = [a[front], b[back], w[own], w[right], w[mine], w]
-                keys = [c[front], k + c[back], np.full(own.sum(), 2 * k), cls[b[right]], k + cls[a[mine]], 2 * k + 1 + c]
-                words, keys = np.concatenate(words), np.concatenate(keys)
-                if len(words):
-                    yield dealt(*summed(words, keys, np.ones(len(words), np.int64), width), buckets)
+                for row in batch.to_pylist():
+                    w, a, b, known, of_known = numbers(row, "w", "before", "after", "rare", "cls")
+                    c = of_known[np.searchsorted(known, w)]
+                    own, left, right = b == w, a >= 0, b >= 0
+                    cells += np.bincount(cls[a[left]] * k + c[left], minlength=k * k)
+                    front, back, mine = (a != w) & (~left | (a % 2 == turn)), ~own & (b % 2 == turn), left & (w % 2 == turn)
+                    words = [a[front], b[back], w[own], w[right], w[mine], known]
+                    keys = [c[front], k + c[back], np.full(own.sum(), 2 * k), cls[b[right]], k + cls[a[mine]], 2 * k + 1 + of_known]
+                    words, keys = np.concatenate(words), np.concatenate(keys)
+                    words, keys, n = summed(words, keys, np.ones(len(words), np.int64), width)
+                    yield dealt(words % buckets, w=words, key=keys.astype(np.int16), n=n)
             yield crossed(cells)
 
         def merge(group):
             cls = frequent.value
             parts = [numbers(row, "w", "key", "n") for row in group.select(["w", "key", "n"]).to_pylist()]
             if group["bucket"][0].as_py() < 0:
-                return pa.table([*([b""],) * 5, pa.array([sum(n for _, _, n in parts)], pa.list_(pa.int64()))], names=names)
+                return pa.table([group["bucket"].slice(0, 1), *([b""],) * 5, pa.array([sum(n for _, _, n in parts)], pa.list_(pa.int64()))], names=names)
             w, key, n = summed(*map(np.concatenate, zip(*parts)), width)
             first = np.flatnonzero(np.append(True, w[1:] != w[:-1]))
             word = np.repeat(np.arange(len(first)), np.diff(first, append=len(w)))
@@ -410,11 +437,11 @@ def clustered(texts: DataFrame, others: DataFrame, vocabulary: Vocabulary, end:
             to = np.where(key[one] < k, key[one], old[word[one]])
             cells = np.bincount(old[word[one]] * k + to, n[one], k * k).astype(np.int64)
             held = [word_w, old, word, key.astype(np.int16), n]
-            return pa.table([*([c.tobytes()] for c in held), pa.array([cells], pa.list_(pa.int64()))], names=names)
+            return pa.table([group["bucket"].slice(0, 1), *([c.tobytes()] for c in held), pa.array([cells], pa.list_(pa.int64()))], names=names)
 
-        names = ["words", "old", "word", "key", "n", "cells"]
-        entries = texts.mapInArrow(near, entry).union(places.join(rare, "w").mapInArrow(far, entry))
-        return entries.groupBy("bucket").applyInArrow(merge, "words binary, old binary, word binary, key binary, n binary, cells array<long>")
+        names = ["bucket", "words", "old", "word", "key", "n", "cells"]
+        entries = texts.mapInArrow(near, entry).union(places.join(rare.hint("merge"), "bucket").mapInArrow(far, entry))
+        return entries.groupBy("bucket").applyInArrow(merge, "bucket long, words binary, old binary, word binary, key binary, n binary, cells array<long>")
 
     def added(batches):
         """The cells of all rows of a task, added up."""
@@ -430,13 +457,27 @@ def clustered(texts: DataFrame, others: DataFrame, vocabulary: Vocabulary, end:
         def choose(batches):
             for batch in batches:
                 for row in batch.to_pylist():
-                    if not row["words"]:
+                    if row["bucket"] < 0:
                         continue
                     words, old, word, key, n = numbers(row, "words", "old", "word", "key", "n")
                     new = moved(table.value, old, word, key, n, words % 2 == turn)
-                    yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(new.astype(np.int32))], names=["w", "cls"])
+                    at = int(np.searchsorted(words, 0))  # other words have numbers below
+                    held = [words[:at], new[:at], words[at:], new[at:]]
+                    yield pa.RecordBatch.from_arrays([pa.array([row["bucket"]]), *(pa.array([x.tobytes()]) for x in held)], names=names)
 
-        return entries.drop("cells").mapInArrow(choose, "w long, cls int")
+        names = ["bucket", "rare", "cls", "frequent", "to"]
+        return entries.drop("cells").mapInArrow(choose, "bucket long, rare binary, cls binary, frequent binary, to binary")
+
+    def listed(rare):
+        """The other words with their counts and classes."""
+
+        def each(batches):
+            for batch in batches:
+                for row in batch.to_pylist():
+                    words, of = numbers(row, "rare", "cls")
+                    yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(of, pa.int32())], names=["w", "cls"])
+
+        return others.select(F.bitwise_not("w").alias("w"), "n").join(rare.select("rare", "cls").mapInArrow(each, "w long, cls int"), "w")
 
     history, kept = [], None
     for at in count():
@@ -446,16 +487,19 @@ def clustered(texts: DataFrame, others: DataFrame, vocabulary: Vocabulary, end:
         table = np.sum(cells["cells"].to_pylist(), 0, float).reshape(k, k) if cells.num_rows else np.zeros((k, k))
         history.append(likelihood(table) / np.log(10) / max(N, 1))
         if at and history[-1] < history[-2]:
-            return *kept, k
+            break
         kept = cls, rare, table
         if not N or at > 1 and history[-1] < history[-3] + LEAST:
-            return *kept, k
+            break
         changed = stored(chosen(entries, table, turn), f"{path}/classes{at}")
         dropped(spark, f"{path}/entries{at}", *([f"{path}/classes{at - 2}"] if at > 1 else []))
-        frequent = changed.filter("w >= 0").toArrow()  # at most as many as the vocabulary
         cls = cls.copy()
-        cls[frequent["w"].to_numpy()] = frequent["cls"].to_numpy()
-        rare = changed.filter("w < 0")
+        for row in changed.select("frequent", "to").toArrow().to_pylist():  # at most as many words as the vocabulary
+            words, to = numbers(row, "frequent", "to")
+            cls[words] = to
+        rare = changed.select("bucket", "rare", "cls")
+    cls, rare, table = kept
+    return cls, listed(rare), table, k
 
 
 def score(
@@ -506,7 +550,7 @@ def score(
     )
     cls, rare, table, k = clustered(texts.filter(~held_out), others, vocabulary, end, int(N), classes, path)
 
-    others = stored(others.select(F.bitwise_not("w").alias("w"), "n").join(rare, "w"), f"{path}/others")
+    others = stored(rare, f"{path}/others")
     seen = others.groupBy("cls").agg(F.sum(F.col("n") + 0.5).alias("n"), F.sum((F.col("n") == 1).cast("long")).alias("once")).toArrow()  # a row per class
     of_class = np.bincount(cls, np.where(vocabulary.counts > 0, vocabulary.counts + 0.5, 0), k)
     once = np.bincount(cls, vocabulary.counts == 1, k)
