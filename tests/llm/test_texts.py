@@ -174,6 +174,14 @@ def test_links_of_clustered_fingerprints(spark, radius):
     assert sorted(map(tuple, simhash.links(df, radius).collect())) == wanted
 
 
+def test_variants_of_few_nodes_are_not_broadcast(spark, tmp_path):
+    """A small table of nodes has 66 variants each, which Spark doesn't count in."""
+    spark.range(1000).selectExpr("xxhash64(id) AS fp").write.parquet(f"{tmp_path}/nodes")
+    found = simhash.links(spark.read.parquet(f"{tmp_path}/nodes"))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_components_of_chains_and_hubs(spark, tmp_path):
     edges = [(i, i + 1) for i in range(60)] + [(100, x) for x in range(101, 160)] + [(200, 201), (200, 201), (201, 202), (200, 202)]
     spark.createDataFrame(edges, "a long, b long").write.parquet(f"{tmp_path}/in")

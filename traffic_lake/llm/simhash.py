@@ -90,7 +90,8 @@ def links(nodes: DataFrame, radius: int = 3) -> DataFrame:
             later = later | (F.col("kind") == -1 - t)
         earlier = earlier | (later & (F.bit_count(change.bitwiseAND(literal(mask))) <= 1))
     near = (F.bit_count(change) <= radius) & ~earlier & ((F.col("kind") >= 0) | (F.col("fp") < F.col("other")))
-    return left.join(right, ["kind", "key"]).filter(near).select(
+    # Spark takes the exploded variants for as many as the nodes and would broadcast them
+    return left.join(right.hint("merge"), ["kind", "key"]).filter(near).select(
         F.least("fp", "other").alias("fp"), F.greatest("fp", "other").alias("other")
     )
 
