@@ -282,3 +282,20 @@ def test_batches_are_bounded_by_bytes_unless_told_otherwise(spark, monkeypatch):
     raw_stream(sources.read_bronze(spark, f"{base}/d", True), f"{base}/t", f"{base}/c", metrics=f"{base}/m", available_now=True).awaitTermination()
     read = [r["read_n"] for r in spark.read.parquet(f"{base}/m").collect()]
     assert 2 <= len(read) <= 8 and sum(read) == 400 and max(read) < 250
+
+
+def test_a_batch_is_kept_on_disk_not_in_memory(spark, monkeypatch):
+    from traffic_lake.streaming import pipelines
+
+    base, levels, whole = work_dir(spark, "kept"), [], pipelines.fan_out
+    spark.sql("SELECT lpad(hex(id), 24, '0') AS mongo_id, parse_json('{\"type\":\"JAM\"}') AS alert FROM range(20)").write.parquet(f"{base}/d")
+
+    def seen(df, sinks):
+        levels.append(df.storageLevel)
+        return whole(df, sinks)
+
+    monkeypatch.setattr(pipelines, "fan_out", seen)
+    docs = spark.readStream.schema("mongo_id string, alert variant").parquet(f"{base}/d")
+    run(raw_stream(docs, f"{base}/t", f"{base}/c", available_now=True))
+    assert [(level.useDisk, level.useMemory) for level in levels] == [(True, False)]
+    assert spark.read.parquet(f"{base}/t").count() == 20
