@@ -292,6 +292,7 @@ def test_a_batch_is_kept_on_disk_not_in_memory(spark, monkeypatch):
 
     def seen(df, sinks):
         levels.append(df.storageLevel)
+        assert int(df.sparkSession.conf.get("spark.sql.inMemoryColumnarStorage.batchSize")) == pipelines.KEPT_ROWS
         return whole(df, sinks)
 
     monkeypatch.setattr(pipelines, "fan_out", seen)
